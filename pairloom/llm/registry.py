@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Module of this subpackage -> the query it registers.
 MODULES = {
     "simhash": "op2_simhash_near_dedup",
+    "bpe": "op3_byte_bpe",
 }
 
 
