@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 MODULES = {
     "simhash": "op2_simhash_near_dedup",
     "bpe": "op3_byte_bpe",
+    "tokenbin": "op9_token_binary",
+    "isomedia": "op10_iso_media",
 }
 
 
