@@ -13,6 +13,7 @@ MODULES = {
     "bpe": "op3_byte_bpe",
     "tokenbin": "op9_token_binary",
     "isomedia": "op10_iso_media",
+    "quality": "op1_host_quality",
 }
 
 
