@@ -14,6 +14,7 @@ MODULES = {
     "tokenbin": "op9_token_binary",
     "isomedia": "op10_iso_media",
     "quality": "op1_host_quality",
+    "mixture": "op4_source_mixture",
 }
 
 
