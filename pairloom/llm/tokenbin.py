@@ -33,6 +33,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,8 +46,20 @@ PERCENT = 95
 END_ID = 1
 HEAD = struct.Struct("<IHHB")
 TAIL = struct.Struct("<QQQI8s")
-#: Entries of each of the two generations of known words.
-KNOWN = 300_000
+#: Words that a worker knows at once.
+KNOWN = 600_000
+#: Fixed values of the vocabulary: its split of text in lower case.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+
+
+def _byte_chars() -> list[str]:
+    """The character that stands for each byte: itself where printable, else the next after 255."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return [chr(b) if b in own else chr(256 + rest.index(b)) for b in range(256)]
+
+
+BYTE_CHARS = _byte_chars()
 #: Ids that a reader holds at once.
 READ = 1 << 20
 
@@ -56,7 +69,9 @@ class WordEncoder:
     encoded once.
 
     The vocabulary's normalization and split work within words, so the ids of a text are
-    those of its words in order; ``whole`` encodes without this.
+    those of its words in order; ``whole`` encodes without this.  For a word of printable
+    Latin-1 they are plain (lower case and ``PIECES``), so its pieces go straight to the
+    library's model, where a probe shows that the file's own steps do the same.
     """
 
     def __init__(self, path: str):
@@ -65,24 +80,54 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: list[dict[bytes, bytes]] = [{}, {}]
+        self.known: dict[bytes, bytes] = {}
+        self.used: set[bytes] = set()
+        self.pieces: dict[str, bytes] = {}
+        latin = [c for c in map(chr, range(33, 256)) if c.isprintable()]
+        probe = [a + b + "Ab'S" + a + "1" for a in latin for b in latin[:: 1 if a < "\x7f" else 9]]
+        self.plain = all(self._pieces(p) == self._bytes(x) for p, x in zip(probe, self.whole(probe), strict=True))
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+    def _pieces(self, word: str) -> bytes:
+        out, known = [], self.pieces
+        for p in PIECES.findall(word.lower()):
+            if p not in known:
+                if len(known) >= KNOWN // 2:
+                    known.clear()
+                known[p] = b"".join([t.id.to_bytes(self.kind.itemsize, "little") for t in self.tokenizer.model.tokenize(p if p.isascii() else "".join(map(BYTE_CHARS.__getitem__, p.encode())))])
+            out.append(known[p])
+        return b"".join(out)
+
+    def learn(self, words: list[bytes]) -> None:
+        other = []
+        for w in words:
+            t = w.decode("utf-8")
+            if self.plain and t.isprintable() and (w.isascii() or max(t) < "\u0100"):
+                self.known[w] = self._pieces(t)
+            else:
+                other.append(w)
+        for i in range(0, len(other), 4096):
+            part = other[i : i + 4096]
+            self.known.update((w, self._bytes(x)) for w, x in zip(part, self.whole([w.decode("utf-8") for w in part]), strict=True))
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         words = [(t or "").encode("utf-8").split() for t in texts]
-        old, young = self.known
         need = set().union(*words)
-        got = {w: x for w in need if (x := young.get(w) or old.get(w)) is not None}
-        new = [w for w in need if w not in got]
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            got.update((w, np.array(x, self.kind).tobytes()) for w, x in zip(part, self.whole([w.decode("utf-8") for w in part]), strict=True))
-        if len(young) + len(new) > KNOWN:
-            self.known = [young, {}]
-        self.known[1].update(got)
-        return [np.frombuffer(b"".join([got[w] for w in ws]), self.kind) for ws in words]
+        new = need.difference(self.known)
+        self.used |= need - new
+        if len(self.known) + len(new) > KNOWN:  # keep what was used again since the last time
+            used = self.used if len(self.used) < KNOWN // 2 else need - new
+            self.known = {w: self.known[w] for w in used}
+            self.used = set()
+            new = need.difference(self.known)
+        self.learn(list(new))
+        known = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(known, ws)), self.kind) for ws in words]
 
 
 _encoders: dict[str, WordEncoder] = {}

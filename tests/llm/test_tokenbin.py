@@ -10,14 +10,21 @@ from pairloom.llm import tokenbin as B
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
-def test_words_apart_equal_whole_texts():
+def test_words_apart_equal_whole_texts(monkeypatch):
     rnd = random.Random(4)
-    texts = ["", " ", "It's  A\tTEST\r\n of <|endoftext|> things", "a\x1cb c\x85d e\xa0f g h", "é ́x Å\nİ ΣΑΣ ΟΔΟΣ. ½ 12345 日本 語！", "x" * 5000 + " y", "'s 's'S ' 're"]
+    texts = ["", " ", "It's  A\tTEST\r\n of <|endoftext|> things", "a\x1cb c\x85d e\xa0f g h", "é ́x Å\nİ ΣΑΣ ΟΔΟΣ. ½ 12345 日本 語！", "x" * 5000 + " y", "'s 's'S ' 're", "a‡ ‡ b", "‡", "※ ◊ ¶x †"]
     chars = "abZ éß'1 \n\t\x0b\x0ć　Σ!?＃🙂\x1d "
-    texts += ["".join(rnd.choice(chars) for _ in range(rnd.randrange(60))) for _ in range(500)]
+    texts += ["".join(rnd.choice(chars) for _ in range(rnd.randrange(60))) for _ in range(300)]
+    texts += [" ".join("".join(chr(rnd.randrange(33, 127)) for _ in range(rnd.randrange(1, 9))) for _ in range(6)) for _ in range(300)]
+    texts += [" ".join("".join(chr(rnd.randrange(33, 300)) for _ in range(rnd.randrange(1, 7))) for _ in range(6)) for _ in range(300)]
     enc = B.WordEncoder(WORDS)
+    assert enc.plain
     for t, got, want in zip(texts, enc.encode(texts), enc.whole(texts), strict=True):
         assert got.tolist() == want, t
+    few = B.WordEncoder(WORDS)
+    for i in range(0, len(texts), 20):
+        monkeypatch.setattr(B, "KNOWN", 40)
+        assert [x.tolist() for x in few.encode(texts[i : i + 20])] == enc.whole(texts[i : i + 20])
 
 
 @pytest.mark.parametrize("top", [1, 2, 300, 49_408, 70_000, 2**32])
