@@ -15,6 +15,7 @@ MODULES = {
     "isomedia": "op10_iso_media",
     "quality": "op1_host_quality",
     "mixture": "op4_source_mixture",
+    "lm": "op6_lm_score",
 }
 
 
