@@ -16,6 +16,7 @@ MODULES = {
     "quality": "op1_host_quality",
     "mixture": "op4_source_mixture",
     "lm": "op6_lm_score",
+    "pii": "op8_pii_surrogates",
 }
 
 

@@ -1,0 +1,127 @@
+import itertools
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from pairloom.llm import pii as P
+
+KEY = b"test key"
+
+
+def kinds(text):
+    return [(text[a:b], k) for a, b, k, _ in P.find(text)]
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("mail thwhhe.68@mail2.example.com.", [("thwhhe.68@mail2.example.com", "email")]),
+        ("THAT.92@MAIL2.EXAMPLE.COM!! x", [("THAT.92@MAIL2.EXAMPLE.COM", "email")]),
+        ("on +1 (663) 555-6869 or +1*** (743)%%% 555-3824###", [("+1 (663) 555-6869", "phone"), ("+1*** (743)%%% 555-3824", "phone")]),
+        ("call 212-555-0123, +44 20 7946 0958", [("212-555-0123", "phone"), ("+44 20 7946 0958", "phone")]),
+        ("pay 4111111111111111 or 4111 1111 1111 1111$$$", [("4111111111111111", "card"), ("4111 1111 1111 1111", "card")]),
+        ("number 4111111111111112 is no card", []),
+        ("ip 169.122.221.182. and 1.2.3 and 1.2.3.4.5 and 300.1.1.1", [("169.122.221.182", "ip")]),
+        ("version 3. and CC BY-NC 4.0. Apache License, Version 2.0", []),
+        ('token = "b44e15e09fd311c3cf3163b66d5a9875b883d8ce" x', [("b44e15e09fd311c3cf3163b66d5a9875b883d8ce", "secret")]),
+        ("b44e15e09fd311c3cf3163b66d5a9875b883d8ce", []),
+        ('TOKEN!! =!! "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"!!', [("9233A8ECF7C5B09FE5949719B6B82BC439E9329B", "secret")]),
+        ("ssn 078-05-1120, 000-12-3456", [("078-05-1120", "ssn")]),
+        ("DE89 3704 0044 0532 0130 00 and DE88 3704 0044 0532 0130 00", [("DE89 3704 0044 0532 0130 00", "iban")]),
+        ("Mr. John Smith met Frau Müller and Anna Schmidt", [("John", "given-m-latin"), ("Smith", "name"), ("Müller", "name"), ("Anna", "given-f-latin"), ("Schmidt", "name")]),
+        ("господин Иван Петров", [("Иван", "given-m-cyrillic"), ("Петров", "name")]),
+        ("", []),
+        ("Of the mark and the rest.", []),
+    ],
+)
+def test_find(text, want):
+    assert kinds(text) == want
+
+
+@given(st.lists(st.integers(2, 5), min_size=0, max_size=5))
+@settings(max_examples=30, deadline=None)
+def test_permutation(radices):
+    every = list(itertools.product(*(range(r) for r in radices)))
+    got = {tuple(P.permute(KEY, "t", list(v), radices)) for v in every}
+    assert got == set(every)
+
+
+@pytest.mark.parametrize("kind", ["email", "phone", "card", "ssn", "ip", "secret", "name"])
+def test_surrogates_keep_kind_and_differ(kind):
+    sample = {
+        "email": "mail ab.{:02d}@mail2.example.com",
+        "phone": "on +1 (663) 555-68{:02d} x",
+        "card": "pay {} x",
+        "ssn": "no 078-05-11{:02d} x",
+        "ip": "at 10.20.30.{} x",
+        "secret": 'token = "b44e15e09fd311c3cf3163b66d5a9875b883d8{:02d}"',
+        "name": "Mrs. Kovald{} x",
+    }[kind]
+    values = [sample.format(i) for i in range(10, 60)]
+    if kind == "card":
+        values = [sample.format(b + next(d for d in "0123456789" if P.luhn(b + d))) for b in (f"4111111111111{i:02d}" for i in range(10, 60))]
+    if kind == "name":
+        values = [sample.format(a + b) for a in "bcdfg" for b in "aeiou"]
+    out = [P.replace(v, KEY, {})[0] for v in values]
+    assert len(set(out)) == len(values) and all(a != b for a, b in zip(values, out, strict=True))
+    for v, o in zip(values, out, strict=True):
+        assert [k for _, k in kinds(o)] == [kind] == [k for _, k in kinds(v)]
+        assert len(o) == len(v) or kind == "ip"
+        assert P.replace(v, KEY, {})[0] == o and P.replace(v, b"other", {})[0] != o
+
+
+def test_one_person_one_surrogate():
+    a = P.replace("+1 (663) 555-6869 John Smith, JO@X.org", KEY, {})[0]
+    b = P.replace("+1*** (663)%%% 555-6869 Mr. John Smith, jo@x.org", KEY, {})[0]
+    digits = lambda t: [c for c in t if c.isdigit()]
+    assert digits(a) == digits(b)
+    assert a.split(",")[0].split()[-2:] == b.split(",")[0].split()[-2:]
+    assert a.split(", ")[1].lower() == b.split(", ")[1]
+    given = a.split(",")[0].split()[-2]
+    assert given in P.GIVEN["m", "latin"] and given != "John"
+
+
+def test_collisions_are_resolved(spark):
+    """Octets 10.0.0.x with all 254 hosts: attempt 0 often hits a real address."""
+    rows = [("ip", f"0.0.0.{i}") for i in range(1, 200)] + [("name", a + b) for a in "bcd" for b in "aeiou"] + [("given-m-latin", "john")]
+    found = spark.createDataFrame(rows, "kind string, norm string")
+    fixes = {(r.kind, r.norm): r.attempt for r in P.exceptions(found, KEY).collect()}
+    assert fixes and not any(k.startswith("given") for k, _ in fixes)
+    got = {(k, n): P.surrogate(KEY, k, n, fixes.get((k, n), 0)) for k, n in rows}
+    names = [(k, n) for k, n in rows if k == "name"]
+    assert len({got[e] for e in names}) == len(names)
+    assert not {got[e] for e in names} & {n for _, n in names}
+    few = [e for e in rows if e[0] == "ip" and fixes.get(e, 0) < P.ATTEMPTS - 1]
+    assert len({got[e] for e in few}) == len(few)
+    assert not {got[e] for e in few} & {n for _, n in rows}
+
+
+def test_query_over_documents(spark, sf):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = {r.doc_id: r for r in P.query(spark, sf).collect()}
+    assert got.keys() == texts.keys()
+    n = 0
+    for d, t in texts.items():
+        real = P.find(t)
+        n += len(real)
+        assert got[d].n_replaced == len(real) and (got[d].text == t) == (not real)
+        assert all(t[a:b] not in got[d].text for a, b, k, _ in real if k != "ip")
+    assert n > 5
+
+
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_odd_rows_and_both_ways(spark, limit):
+    rows = [(i, f"at 0.0.0.{i % 199 + 1} and a@b{i % 3}.co", "k", 9) for i in range(300)]
+    rows += [(None, None, None, None), (1, "", "x", 0), (1, "", "x", 0), (7, "Mr. Bo", "x", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kinds string, n_chars int")
+    got = P.with_surrogates(df, key=KEY, limit=limit)
+    fixes = {f"{r.kind}|{r.norm}": r.attempt for r in P.exceptions(P.entities(df), KEY).collect()}
+    assert fixes
+    want = sorted((str(d), str(P.replace(t, KEY, fixes)[0] if t is not None else None)) for d, t, _, _ in rows)
+    assert sorted((str(r.doc_id), str(r.text)) for r in got.collect()) == want
+    stage = P.surrogate_stage(df, KEY)
+    assert stage.schema == df.schema and stage.count() == len(rows)
+    assert stage.where("n_chars > 9").count() == 300 and stage.where(F.col("text").isNull()).count() == 1
+    assert P.surrogates(df.limit(0)).count() == 0 and P.surrogates(df).columns == ["doc_id", "text", "n_replaced", "kinds"]
