@@ -333,29 +333,49 @@ def decode(docs: DataFrame, ranks: str, pattern: str, ids: str = "token_ids", ke
     return docs.select(*keep, docs[ids].alias("__pl_ids")).mapInArrow(run, schema)
 
 
+def _digests(parts: list[list[str]], decoded: list[list[bytes]]) -> list[pa.Array]:
+    """Number of ids, and the digests of the ids (decimal, joined by one space) and of the bytes."""
+    texts = [" ".join(x) for x in parts]
+    return [
+        pa.array([t.count(" ") + bool(t) for t in texts], pa.int64()),
+        pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts]),
+        pa.array([hashlib.sha256(b"".join(x)).hexdigest() for x in decoded]),
+    ]
+
+
+_DIGESTS = ["n_tokens", "ids_sha256", "decoded_sha256"]
+
+
 def round_trip(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of the ids (decimal, joined by
-    one space) and of the bytes decoded from them."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each text's ids and the bytes
+    decoded from them."""
 
     def run(batches):
         c = codec(ranks, pattern)
         for b in slices(batches, 1024):
             parts = c.encode(b.column(1).to_pylist())
-            decoded = c.decode([_ids(x) for x in parts])
-            texts = [" ".join(x) for x in parts]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    b.column(0),
-                    pa.array([t.count(" ") + bool(t) for t in texts], pa.int64()),
-                    pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts]),
-                    pa.array([hashlib.sha256(b"".join(x)).hexdigest() for x in decoded]),
-                ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            yield pa.RecordBatch.from_arrays([b.column(0), *_digests(parts, c.decode([_ids(x) for x in parts]))], names=["doc_id", *_DIGESTS])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def encode_checked(docs: DataFrame, ranks: str, pattern: str, keep: list[str], text: str = "text") -> DataFrame:
+    """``keep`` columns, token_ids and the columns of ``round_trip``, in one pass."""
+    kinds = dict(docs.dtypes)
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "token_ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string"])
+
+    def run(batches):
+        c = codec(ranks, pattern)
+        for b in slices(batches, 1024):
+            parts = c.encode(b.column(len(keep)).to_pylist())
+            ids = [_ids(x) for x in parts]
+            offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            arrays = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], arrays, *_digests(parts, c.decode(ids))], names=[*keep, "token_ids", *_DIGESTS])
+
+    return docs.select(*keep, docs[text].alias("__pl_text")).mapInArrow(run, schema)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
