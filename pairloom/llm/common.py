@@ -85,6 +85,11 @@ def text_or_empty(c: str | Column = "text") -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
+def word_count(text: str | Column) -> Column:
+    """The number of words of a text; 0 for null."""
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def slices(batches, rows: int = 256):
     """Arrow record batches cut to at most ``rows`` rows, to bound what Python holds."""
     for b in batches:

@@ -30,7 +30,7 @@ from collections import defaultdict, deque
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, documents, maybe_broadcast, written
+from .common import documents, maybe_broadcast, word_count, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 REPEATS = 3
@@ -113,10 +113,6 @@ def route(patterns: dict[tuple, int], quotas: dict, repeats: int) -> dict[tuple,
     return {p: {s: n for s, n in f.items() if n > 0} for p, f in flow.items()}
 
 
-def size_of(text: str | Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
-
-
 def _key(doc_id: str, text: str, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text))
 
@@ -206,7 +202,7 @@ def sources_of_copies(key: Column) -> Column:
 
 
 def sized(docs: DataFrame, pattern: Column, seed: int = SEED) -> DataFrame:
-    return docs.select("doc_id", F.array_sort(F.array_distinct(pattern)).alias("pattern"), size_of("text").alias("size"), _key("doc_id", "text", seed).alias("key"))
+    return docs.select("doc_id", F.array_sort(F.array_distinct(pattern)).alias("pattern"), word_count("text").alias("size"), _key("doc_id", "text", seed).alias("key"))
 
 
 def mix(docs: DataFrame, pattern: Column | None = None, weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS, seed: int = SEED) -> tuple[DataFrame, Plan]:

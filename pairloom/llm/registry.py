@@ -17,6 +17,8 @@ MODULES = {
     "mixture": "op4_source_mixture",
     "lm": "op6_lm_score",
     "pii": "op8_pii_surrogates",
+    "langid": "op7_language_id",
+    "tokencount": "op5_token_counts",
 }
 
 
