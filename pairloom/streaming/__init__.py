@@ -1 +1,55 @@
+"""Structured Streaming forms of the polling loops.
 
+A file source with a checkpoint ingests each file once; a batch's effects are tables whose
+folder is the batch's id, so a batch that is run again overwrites what it left.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.dedup import first_by, unseen
+from ..operators.state import route
+
+
+def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 100) -> DataFrame:
+    """Q4, Q7: new Parquet files, at most ``files_per_batch`` at once."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+
+
+def dedup_once(stream: DataFrame, key: str, order: list[str], out: str, checkpoint: str, trigger: dict | None = None):
+    """Q6: rows whose key no earlier row had, first by ``order`` within a batch.
+
+    The kept rows are the seen set: one write commits both, so a crash can't part them.
+    Batch n goes to ``out/batch=n``; it is tested against the folders of other batches.
+    """
+    spark = stream.sparkSession
+
+    def batch(df: DataFrame, n: int) -> None:
+        fresh = first_by(df.where(F.col(key).isNotNull()), [key], order)
+        seen = seen_rows(spark, out, df.schema)
+        if seen is not None:
+            fresh = unseen(fresh, seen.where(F.col("batch") != n), key, normalize=lambda c: c)
+        fresh.write.mode("overwrite").parquet(f"{out}/batch={n}")
+
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def seen_rows(spark: SparkSession, out: str, schema) -> DataFrame | None:
+    """All kept rows with their batch; None before the first."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(out)
+
+
+def routed(stream: DataFrame, language: str = "language") -> DataFrame:
+    """D1 on a stream: each row's route; no state."""
+    return stream.withColumn("route", route(language))
+
+
+def to_memory(stream: DataFrame, name: str, checkpoint: str):
+    """A test's sink: everything available, into a table in memory."""
+    return stream.writeStream.format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
