@@ -66,7 +66,7 @@ def resolved(base: str | Column, c: str | Column) -> Column:
     path = F.regexp_extract(b, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
     own = F.regexp_extract(u, r"^([^?#]*)", 1)
     rest = F.substr(u, F.length(own) + 1)
-    joined = F.when(u.startswith("/"), own).otherwise(F.concat(F.regexp_extract(path, "^(.*/)", 1), own))
+    joined = F.when(u.startswith("/"), own).otherwise(F.concat(F.when(path == "", "/").otherwise(F.regexp_extract(path, "^(.*/)", 1)), own))
     segments = F.split(joined, "/", -1)
     last = F.element_at(segments, -1)
     empty = F.array().cast("array<string>")

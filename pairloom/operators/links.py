@@ -44,7 +44,7 @@ def anchors(pages: DataFrame, html: str = "html") -> DataFrame:
 def media_links(pages: DataFrame, html: str = "html") -> DataFrame:
     """(page columns but html, pos, url, label) of mp3 addresses in any src or
     href; the label is the text of the smallest enclosing anchor, else empty."""
-    found = F.regexp_extract_all(html, F.lit(r"""(?is)<(?:a|audio|source)\b[^>]*?\s(?:href|src)\s*=\s*["']([^"']*\.mp3)["'][^>]*>(?:(?:(?!</a>).)*</a>)?"""), 0)
+    found = F.regexp_extract_all(html, F.lit(r"""(?is)<a\b[^>]*?\shref\s*=\s*["'][^"']*\.mp3["'][^>]*>(?:(?!</a>).)*</a>|<(?:audio|source)\b[^>]*?\ssrc\s*=\s*["'][^"']*\.mp3["'][^>]*>"""), 0)
     rest = [c for c in pages.columns if c != html]
     link = F.regexp_extract("x", r"""(?is)\s(?:href|src)\s*=\s*["']([^"']*\.mp3)["']""", 1)
     out = pages.select(*rest, F.posexplode(found).alias("pos", "x")).withColumn("label", X.without_tags("x")).withColumn("link", link)

@@ -52,8 +52,8 @@ def holt_path(y: np.ndarray, level: float, trend: float, steps: int) -> tuple[np
     if len(y) < 2 or y[0] == 0:
         return y.copy(), np.full(steps, y[-1] if len(y) else np.nan)
     lev, tr = y[0], y[1] / y[0]
-    fitted = []
-    for v in y:
+    fitted = [y[0]]
+    for v in y[1:]:
         fitted.append(lev * tr)
         new = level * v + (1 - level) * lev * tr
         tr = trend * new / lev + (1 - trend) * tr if lev else tr

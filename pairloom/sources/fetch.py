@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +13,8 @@ from ..functions.image import status
 
 CONNECTIONS = 64
 SCHEMA = "sample_id long, url string, text string, license string, language string, n_bytes long, width int, height int, format string, failed boolean"
+_KINDS = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_()}
+ARROW = pa.schema([(n, _KINDS[k]) for n, k in (f.split() for f in SCHEMA.split(", "))])
 
 
 def fetched(requests: DataFrame, fetcher: Callable[[], Callable[[str], dict]], connections: int = CONNECTIONS) -> DataFrame:
@@ -20,23 +22,19 @@ def fetched(requests: DataFrame, fetcher: Callable[[], Callable[[str], dict]], c
     tells of each address: url (after redirects), n_bytes, width, height, format; and the
     status.  An exception is that row's failure."""
 
-    def run(frames):
+    def run(batches):
         get = fetcher()
 
-        def one(url):
+        def one(row):
             try:
-                return {"failed": False, **get(url)}
+                return {**row, "failed": False, **get(row["url"])}
             except Exception:  # the row's status says so
-                return {"failed": True}
+                return {**row, "failed": True}
 
         with ThreadPoolExecutor(connections) as pool:
-            for f in frames:
-                for i in range(0, len(f), 1000):
-                    part = f.iloc[i : i + 1000].reset_index(drop=True)
-                    got = pd.DataFrame(list(pool.map(one, part["url"])), columns=["url", "n_bytes", "width", "height", "format", "failed"])
-                    got["url"] = got["url"].fillna(part["url"])
-                    out = part.drop(columns="url").join(got)
-                    yield out[[c.split()[0] for c in SCHEMA.split(", ")]]
-
-    got = requests.select("sample_id", "url", "text", "license", "language").mapInPandas(run, SCHEMA)
+            for b in batches:
+                for i in range(0, b.num_rows, 1000):
+                    yield pa.RecordBatch.from_pylist(list(pool.map(one, b.slice(i, 1000).to_pylist())), schema=ARROW)
+
+    got = requests.select("sample_id", "url", "text", "license", "language").mapInArrow(run, SCHEMA)
     return got.withColumn("status", status(F.coalesce("n_bytes", F.lit(5000)), "width", "height", "format", "failed"))
