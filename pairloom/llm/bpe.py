@@ -43,7 +43,7 @@ LOT = 1 << 20
 #: Pieces, or ids, held at once.
 IDS = 1 << 19
 #: Entries of each of the two generations of known pieces.
-KNOWN = 300_000
+KNOWN = 500_000
 
 #: Contract the leftmost pair of least rank of each piece that has one.  A token's key is
 #: its piece's number and its first byte's place (under 64), n its length in bytes; the
