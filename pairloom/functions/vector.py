@@ -13,6 +13,8 @@ THRESHOLD = {"en": 0.28}
 THRESHOLD_OTHER = 0.26
 #: M4: first index of the adult categories, of the safe ages, and of the lifeless things' end.
 ADULT, SAFE_AGE, LAST_SAFE_THING = 19, 4, 20
+#: M5: sizes of the category lists; vectors and labels come from the caller's encoder.
+CATEGORIES = {"main": 35, "ages": 8, "animals": 33}
 
 
 def dot(a: str | Column, b: str | Column) -> Column:
@@ -35,18 +37,23 @@ def similar_enough(similarity: str | Column, route: str | Column) -> Column:
     return F.coalesce(col(similarity) >= least, F.lit(False))
 
 
+def category_labels(name: str) -> list[str]:
+    """M5: neutral placeholders, one a category."""
+    return [f"{name} {i}" for i in range(CATEGORIES[name])]
+
+
 def top_categories(df: DataFrame, vector: str, categories: DataFrame, k: int = 2, out: str = "top") -> DataFrame:
     """``df`` with an array of (idx, score) of the ``k`` best categories, ties to
     the smaller index.
 
-    ``categories`` (idx, vec) is a fixed list of some dozens: it is packed in one row and
-    joined as a broadcast scalar, so each row of ``df`` stays one row.  Softmax keeps the
-    order of cosines, so none is taken here; see ``softmax``.
+    ``categories`` (idx, vec) is a fixed list of some dozens (``CATEGORIES``): it is packed
+    in one value, a scalar subquery, so no join is made and each row of ``df`` stays one
+    row.  Softmax keeps the order of cosines, so none is taken here; see ``softmax``.
     """
-    packed = F.broadcast(categories.agg(F.array_sort(F.collect_list(F.struct("idx", "vec"))).alias("__categories")))
+    packed = categories.agg(F.array_sort(F.collect_list(F.struct("idx", "vec"))).alias("__categories")).scalar()
     scores = F.transform("__categories", lambda c: F.struct((-F.round(cosine(F.col(vector), c["vec"]), 9)).alias("n"), c["idx"].alias("idx")))
     best = F.transform(F.slice(F.array_sort(scores), 1, k), lambda s: F.struct(s["idx"].alias("idx"), (-s["n"]).alias("score")))
-    return df.join(packed).withColumn(out, best).drop("__categories")
+    return df.withColumn("__categories", packed).withColumn(out, best).drop("__categories")
 
 
 def softmax(scores: str | Column, scale: float = 100.0) -> Column:

@@ -25,7 +25,7 @@ def resample(df: DataFrame, ts: str, values: list[str], hours: int, dense: bool
         every = ends.where("lo is not null").select(F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL {hours} HOURS"))).alias("bucket"))
         got = every.join(got, "bucket", "left").select("bucket", *(F.coalesce(v, F.lit(0)).alias(v) for v in values))
     if drop_edges:
-        got = got.join(F.broadcast(ends)).where((F.col("bucket") > F.col("lo")) & (F.col("bucket") < F.col("hi"))).drop("lo", "hi")
+        got = got.where((F.col("bucket") > ends.select("lo").scalar()) & (F.col("bucket") < ends.select("hi").scalar()))
     return got
 
 

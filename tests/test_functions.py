@@ -174,3 +174,27 @@ def test_controllers(spark):
     assert [tuple(r) for r in got] == [(75, 73), (65, 73), (95, 77)]
     df = spark.createDataFrame([(3, 2), (0, 0)], "t long, u long")
     assert [tuple(r) for r in df.select(C.duplication_percent("t", "u"), C.ratio("u", "t"), C.utilization("u", "t")).collect()] == [(33.33, 0.67, 0.67), (0.0, None, None)]
+
+
+def test_media(spark):
+    import numpy as np
+
+    from pairloom.functions import media as A
+
+    assert A.resample(np.arange(10.0), 10, 5).tolist() == [0, 2, 4, 6, 8]
+    assert A.resample(np.array([0.0, 2.0]), 1, 2).tolist() == [0, 1, 2, 2]
+    df = spark.createDataFrame([([0.0, 1.0, 2.0, 3.0], 40_100), (None, 8000), ([], 8000)], "s array<float>, r int")
+    assert [None if r.x is None else list(r.x) for r in df.select(A.resampled("s", "r").alias("x")).collect()] == [[0.0, 2.0], None, []]
+    images = spark.createDataFrame([(1, bytearray(b"ab"), 448, 225), (2, bytearray(b"bad"), 300, 300)], "id int, content binary, w int, h int").withColumn("crop", I.crop("w", "h"))
+
+    def codec():
+        def work(raw, width, height, left, top):
+            if bytes(raw) == b"bad":
+                raise ValueError("not an image")
+            return f"{width}x{height}+{left}+{top}".encode()
+
+        return work
+
+    got = {r.id: r.pixels and bytes(r.pixels) for r in A.cropped(images, ["id"], codec).collect()}
+    assert got == {1: b"446x224+111+0", 2: None}
+    assert len(V.category_labels("main")) == 35
