@@ -75,7 +75,7 @@ def _anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = _anchors(spark, sf_dir).withColumn("url", U.resolved(U.dirname("url"), "href"))
+    found = L.once(_anchors(spark, sf_dir), "url", U.resolved(U.dirname("url"), "href"))
     return found.withColumn("host", U.host("url"))
 
 

@@ -21,6 +21,8 @@ def maybe_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 def _one(df: DataFrame, keys: list[str], order: list[str], pick) -> DataFrame:
     rest = [c for c in df.columns if c not in keys and c not in order]
+    if len(order) == 1 and not rest:  # a plain column needs no sort to combine
+        return df.groupBy(*keys).agg(pick(order[0]).alias(order[0])).select(*df.columns)
     value = F.struct(*order, *(F.col(c) for c in rest))
     got = df.groupBy(*keys).agg(pick(value).alias("__row"))
     return got.select(*(F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns))

@@ -70,6 +70,12 @@ def carried(df: DataFrame, keys: list[str], order: str, value: str, out: str) ->
     return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a dear column that later filters read: exploding a one-element array keeps
+    them above it, where pushed down each would compute the value again."""
+    return df.select(*(c for c in df.columns if c != name), F.explode(F.array(value)).alias(name))
+
+
 def candidates(links: DataFrame, mode: str = "strict", detector=None, fix=None) -> DataFrame:
     """Links with (base, url, alt, license) to candidates with url, text,
     license, domain, language and hash; other columns stay.
@@ -81,11 +87,11 @@ def candidates(links: DataFrame, mode: str = "strict", detector=None, fix=None)
         raise ValueError(f"mode is strict or resolve, not {mode!r}")
     df = links.where(F.col("url").isNotNull() & F.col("alt").isNotNull()).withColumn("url", X.escaped_url("url"))
     if mode == "resolve":
-        df = df.withColumn("url", U.resolved("base", "url"))
+        df = once(df, "url", U.resolved("base", "url"))
     df = df.where(~U.is_media_or_script("url")).where(U.is_absolute("url"))
     df = df.withColumn("domain", U.host("url")).where(U.good_host("domain"))
     cleaned = X.printable(X.repaired("alt", fix)) if fix else X.clean("alt")
-    df = df.withColumn("text", cleaned).where(X.long_enough("text"))
+    df = once(df, "text", cleaned).where(X.long_enough("text"))
     if detector is None:
         df = df.withColumn("language", F.lit(""))
     else:
