@@ -66,7 +66,9 @@ def rules(c: str) -> dict[str, Column]:
 def measure(docs: DataFrame, text: str = "text", out: str = "__pl_c") -> DataFrame:
     """``docs`` with the struct of counts and the columns ``<out>_base`` and
     ``<out>_minor``: whether the base rules and any other rule fail."""
-    df = docs.withColumn(out, counts(text))
+    # Exploding the one struct keeps filters on the counts above it: pushed down, they
+    # would measure the text a second time.
+    df = docs.withColumn(out, F.explode(F.array(counts(text))))
     base, *minor = rules(out).values()
     either = minor[0]
     for m in minor[1:]:
@@ -102,7 +104,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     hosts = maybe_broadcast(host_verdicts(slim, "__pl_host", F.col("base_failed") | F.col("minor_failed")))
     found = slim.join(hosts, slim["__pl_host"].eqNullSafe(hosts.host))
     kept = ~F.col("base_failed") & ~(F.col("host_bad") & F.col("minor_failed"))
-    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "minor_failed", "host_rate", "host_bad", kept.alias("kept"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "minor_failed", F.round("host_rate", 9).alias("host_rate"), "host_bad", kept.alias("kept"))
 
 
 def quality_stage(docs: DataFrame) -> DataFrame:
@@ -153,7 +155,7 @@ WITH words AS (
     SELECT source, (f + m * k) / (n + k) AS host_rate
     FROM hosts, (SELECT m, CASE WHEN v <= 0 OR m = 0 OR m = 1 THEN 1e6 ELSE least(1e6, greatest(1.0, m * (1 - m) / v - 1)) END AS k FROM prior)
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, minor_failed, host_rate, host_rate > 0.5 AS host_bad,
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, minor_failed, round(host_rate, 9) AS host_rate, host_rate > 0.5 AS host_bad,
     NOT base_failed AND NOT (host_rate > 0.5 AND minor_failed) AS kept
 FROM failed f JOIN verdicts v ON v.source IS NOT DISTINCT FROM f.source
 """
