@@ -17,6 +17,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 100_000
 
 
+_paths: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
@@ -35,12 +38,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder; it is deleted when the driver ends."""
+    """A fresh path in the shared folder; it is deleted by ``cleanup``, or when the driver ends."""
     path = f"{shared_dir(spark)}/pairloom-{uuid.uuid4().hex[:12]}-{name}"
-    atexit.register(delete, spark, path)
+    if not _paths:
+        atexit.register(lambda: cleanup(SparkSession.getActiveSession() or spark))
+    _paths.append(path)
     return path
 
 
+def cleanup(spark: SparkSession) -> None:
+    """Delete the tables written so far; results that still read them must be consumed first."""
+    while _paths:
+        delete(spark, _paths.pop())
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a path with Hadoop's file system; a session that has ended is left alone."""
     jvm = spark.sparkContext._jvm
