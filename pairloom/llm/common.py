@@ -7,6 +7,9 @@ import atexit
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +20,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 100_000
 
 
+#: Bytes of texts that a worker takes in at once.
+SLICE_BYTES = 8 << 20
+
 _paths: list[str] = []
 
 
@@ -64,16 +70,20 @@ def delete(spark: SparkSession, path: str) -> None:
         print(f"pairloom: could not delete {path}: {type(e).__name__}")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, plain: bool = False) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again.
 
     This cuts the lineage: what was computed is not computed again, and it outlives
-    any executor.  A column of type void becomes a string.
+    any executor.  A column of type void becomes a string.  ``plain``: without compression
+    and dictionaries, for narrow tables of numbers.  The planner takes a file's size for
+    the table's; sorted numbers compress so well that it would broadcast tables many
+    times its threshold.
     """
     spark = df.sparkSession
     df = df.withColumns({c: df[c].cast("string") for c, kind in df.dtypes if kind == "void"})
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "none").option("parquet.enable.dictionary", "false") if plain else df.write.option("compression", "zstd")
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -101,8 +111,18 @@ def word_count(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def slices(batches, rows: int = 256):
-    """Arrow record batches cut to at most ``rows`` rows, to bound what Python holds."""
+def slices(batches, rows: int = 256, size: int = SLICE_BYTES):
+    """Arrow record batches cut to at most ``rows`` rows and some ``size`` bytes of strings
+    and binaries (one row may be longer), to bound what Python holds."""
     for b in batches:
-        for i in range(0, b.num_rows, rows):
-            yield b.slice(i, rows)
+        held = np.zeros(b.num_rows, np.int64)
+        for c in b.columns:
+            if pa.types.is_string(c.type) or pa.types.is_binary(c.type):
+                held += pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False)
+        total = np.cumsum(held)
+        i = 0
+        while i < b.num_rows:
+            j = int(np.searchsorted(total, (total[i - 1] if i else 0) + size, "right"))
+            j = min(max(j, i + 1), i + rows, b.num_rows)
+            yield b.slice(i, j - i)
+            i = j
