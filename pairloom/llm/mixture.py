@@ -210,7 +210,7 @@ def mix(docs: DataFrame, pattern: Column | None = None, weights: tuple[float, ..
 
     ``pattern``: an array of the document's sources; by default its one source.
     """
-    slim = written(sized(docs, F.array("source") if pattern is None else pattern, seed), "sized")
+    slim = written(sized(docs, F.array("source") if pattern is None else pattern, seed), "sized", plain=True)
     p = plan(slim, weights, repeats)
     joined = slim.join(maybe_broadcast(p.cuts), "pattern", "left")
     return joined.select("doc_id", "pattern", "size", mended_copies(F.col("key")).alias("copies"), sources_of_copies(F.col("key")).alias("copy_sources")), p
@@ -220,7 +220,7 @@ def mix_stage(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: in
     """``docs`` with each row as often as the mix takes it; all columns stay as they are."""
     names = {c.lower(): c for c in docs.columns}
     plain = docs.select(F.col(names["doc_id"]).alias("doc_id"), F.col(names["text"]).alias("text"), F.col(names["source"]).alias("source"))
-    p = plan(written(sized(plain, F.array("source"), seed), "sized"), weights, repeats)
+    p = plan(written(sized(plain, F.array("source"), seed), "sized", plain=True), weights, repeats)
     cuts = maybe_broadcast(p.cuts.withColumnRenamed("pattern", "__pl_pattern"))
     keyed = docs.withColumns({"__pl_key": _key(names["doc_id"], names["text"], seed), "__pl_of": F.array(F.col(names["source"]))})
     joined = keyed.join(cuts, F.col("__pl_of") == F.col("__pl_pattern"))

@@ -180,7 +180,7 @@ def _keyed(fps: DataFrame, masks: list[int]) -> DataFrame:
 def link_forest(fps: DataFrame, group: int = GROUP) -> DataFrame:
     """(a, b): links whose components are those of all pairs of distinct ``fps`` (column
     fp) within the distance; a and b differ."""
-    first = written(_links(_keyed(fps, _masks()), group), "links")
+    first = written(_links(_keyed(fps, _masks()), group), "links", plain=True)
     links = first.where(~F.col("over")).select("a", "b")
     over = first.where("over").select(F.col("a").alias("fp")).distinct()
     if not over.isEmpty():
@@ -199,7 +199,7 @@ def components(edges: DataFrame) -> DataFrame:
     def stamp(df: DataFrame):
         return df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").bitwiseAND(F.lit((1 << 40) - 1)))).first()
 
-    e = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    e = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", plain=True)
     before = stamp(e)
     while before[0]:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -207,7 +207,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, both.a == least.u).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         lower = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m")
         star = large.join(lower, large.a == lower.u).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.*").where("a <> b").distinct()
-        e = written(star, "star")
+        e = written(star, "star", plain=True)
         after = stamp(e)
         if after == before:
             break
@@ -217,16 +217,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(marked: DataFrame) -> DataFrame:
     """(fp, component_id) for each distinct fingerprint of ``marked`` (doc_id, fp)."""
-    fps = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
+    fps = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints", plain=True)
     to = components(link_forest(fps.select("fp")))
-    rooted = written(fps.join(to, fps.fp == to.a, "left").select("fp", "least", F.coalesce("b", "fp").alias("root")), "rooted")
+    rooted = written(fps.join(to, fps.fp == to.a, "left").select("fp", "least", F.coalesce("b", "fp").alias("root")), "rooted", plain=True)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return written(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "components")
+    return written(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "components", plain=True)
 
 
 def simhash_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
-    marked = written(with_fingerprint(docs.select("doc_id", "text")).select("doc_id", "fp"), "marked")
+    marked = written(with_fingerprint(docs.select("doc_id", "text")).select("doc_id", "fp"), "marked", plain=True)
     found = near_duplicates(marked).withColumnRenamed("fp", "of")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return marked.join(found, marked.fp == found.of).select("doc_id", hexed.alias("fingerprint"), "component_id")
@@ -242,7 +242,7 @@ def dedup_stage(docs: DataFrame) -> DataFrame:
     slim = kept.select("doc_id", F.col("__pl_fp").alias("fp"), F.col(at).alias("row"))
     found = near_duplicates(slim.select("doc_id", "fp")).withColumnRenamed("fp", "of")
     first = slim.join(found, slim.fp == found.of).groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")).alias("x"))
-    keep = written(first.select(F.col("x.row").alias("__pl_keep")), "keep")
+    keep = written(first.select(F.col("x.row").alias("__pl_keep")), "keep", plain=True)
     return kept.join(keep, kept[at] == keep["__pl_keep"], "left_semi").select(*columns)
 
 
