@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 #: Characters that aren't printable: other (control, format, unassigned), line and
 #: paragraph separators, and all spaces but the ASCII one.
 UNPRINTABLE = r"[\p{C}\p{Zl}\p{Zp}[\p{Zs}&&[^ ]]]"
+#: White space characters.
+WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 MAX_TEXT = 2000
 MIN_TEXT = 5
 
@@ -25,9 +27,14 @@ def printable(c: str | Column) -> Column:
     return F.regexp_replace(c, UNPRINTABLE, "")
 
 
+def stripped(c: str | Column) -> Column:
+    """Ends trimmed of white space, as Python's strip does."""
+    return F.trim(col(c), F.lit(WHITE))
+
+
 def one_line(c: str | Column) -> Column:
     """The native part of F2: newlines to spaces, ends trimmed of white space."""
-    return F.regexp_replace(F.translate(c, "\n", " "), r"^\s+|\s+$", "")
+    return stripped(F.translate(c, "\n", " "))
 
 
 def repaired(c: str | Column, fix: Callable[[str], str]) -> Column:
@@ -142,4 +149,4 @@ def shard_text_repair(c: str | Column) -> Column:
 
 def without_tags(c: str | Column) -> Column:
     """tags out, ends trimmed."""
-    return F.regexp_replace(F.regexp_replace(c, "<.*?>", ""), r"^\s+|\s+$", "")
+    return stripped(F.regexp_replace(c, "<.*?>", ""))

@@ -27,6 +27,8 @@ def test_clean_cut_and_escape_in_order(spark):
     got = apply(spark, ["a\tb|c\nd", long, "x" * 2001, "\\", None], "string", X.escaped("v"))
     assert got == ["a b c d", "x" * 1999 + "\\\\", "x" * 2000, "\\\\", None]
     assert apply(spark, [" a\nb ", "\n"], "string", X.one_line("v")) == ["a b", ""]
+    odd = ["\u00a0 x\u3000\u2003", "\x1c y \x85", "\u200bz"]
+    assert apply(spark, odd, "string", X.one_line("v")) == [t.strip() for t in odd]
     assert apply(spark, ["a\nb\\c"], "string", X.escaped_url("v")) == ["ab\\\\c"]
 
 
