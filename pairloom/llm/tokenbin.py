@@ -47,7 +47,7 @@ END_ID = 1
 HEAD = struct.Struct("<IHHB")
 TAIL = struct.Struct("<QQQI8s")
 #: Words that a worker knows at once.
-KNOWN = 600_000
+KNOWN = 400_000
 #: Fixed values of the vocabulary: its split of text in lower case.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
