@@ -18,6 +18,17 @@ Finding the links, for N distinct fingerprints (copies of a text share one):
 4. Components come from alternating large-star and small-star steps on tables; nothing
    that grows is sent to the driver.
 
+``dedup_stage(docs, whole=True)`` also links texts whose sets of ``WORDS``-word shingles have
+a Jaccard similarity of ``NEAR`` or more, which 3 bits mostly miss.  ``similar`` finds all
+of them:
+
+1. Shingles are put in one order for all texts.  Of two such sets of sizes m and n, each
+   has a common shingle among its first size - ceil(NEAR size) + 1 (prefix filter).
+2. Texts meet under these shingles; pairs whose sizes or places rule it out are dropped.
+3. The rest are verified on the whole sets.
+The order is by hash, with shingles that are frequent in a bounded sample of texts last.
+The sample only saves work: any order finds the same links.
+
 Edge cases: a null or blank text has fingerprint zero, which links like any other;
 repeated rows share a component; a null doc_id keeps its row and is ignored as the
 smallest id unless all are null; no rows give no rows; other columns are ignored.
@@ -34,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, slices, written
+from .common import documents, maybe_broadcast, slices, written
 
 DISTANCE = 3
 SHINGLE = 3
@@ -43,6 +54,15 @@ SEED = 42
 GROUP = 4096
 #: Bits of the six blocks.
 BLOCKS = (11, 11, 11, 11, 10, 10)
+#: The stage's shingles, and the similarity that it links, as a fraction.
+WORDS = 5
+NEAR = (4, 5)
+#: Expected texts of the sample that tells frequent shingles: those of over ``HOT`` texts,
+#: and of over ``HOT_SAMPLED`` in the sample; at most ``HOTTEST`` of them are put last.
+SAMPLE = 50_000
+HOT = 50
+HOT_SAMPLED = 8
+HOTTEST = 1_000_000
 
 
 def shingle_hashes(text: str | None, k: int = SHINGLE, seed: int = SEED) -> np.ndarray:
@@ -215,10 +235,120 @@ def components(edges: DataFrame) -> DataFrame:
     return e
 
 
-def near_duplicates(marked: DataFrame) -> DataFrame:
-    """(fp, component_id) for each distinct fingerprint of ``marked`` (doc_id, fp)."""
+def shingle_set(text: str | None) -> np.ndarray:
+    """The distinct ``WORDS``-word shingles of a text, by hash."""
+    return np.unique(shingle_hashes(text, WORDS))
+
+
+def _hot(texts: DataFrame) -> np.ndarray:
+    """Shingles that are frequent in a sample of ``texts`` (text, row), by hash."""
+    total = texts.count()
+    share = min(1.0, SAMPLE / max(total, 1))
+    drawn = texts.where(F.pmod(F.xxhash64(F.lit(SEED), "row"), F.lit(1 << 30)) < share * (1 << 30))
+
+    def run(batches):
+        for b in slices(batches):
+            sets = [shingle_set(t) for t in b.column(0).to_pylist()]
+            key, c = np.unique(np.concatenate(sets), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(c, pa.int64())], names=["key", "c"])
+
+    counts = drawn.select("text").mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+    rows = counts.where(F.col("c") > max(HOT * share, HOT_SAMPLED)).orderBy(F.desc("c"), "key").limit(HOTTEST).collect()
+    return np.sort(np.array([r.key for r in rows], np.int64).view(np.uint64))
+
+
+def _meeting(keyed: DataFrame) -> DataFrame:
+    """(a, b), a < b: rows of ``keyed`` (key, n, at, row) that meet under a key and whose
+    sizes and places allow the similarity; some twice."""
+    p, q = NEAR
+
+    def run(batches):
+        held = None
+        for b in batches:
+            part = [c.to_numpy() for c in b.columns]
+            if not len(part[0]):
+                continue
+            if held is not None:
+                part = [np.append(h, c) for h, c in zip(held, part, strict=True)]
+            # The last key may go on in the next batch.
+            cut = int(np.searchsorted(part[0], part[0][-1], "left"))
+            held = [c[cut:] for c in part]
+            yield from pairs(*(c[:cut] for c in part))
+        if held is not None:
+            yield from pairs(*held)
+
+    def pairs(key, n, at, row):
+        i, step = np.arange(len(key)), 0
+        while len(i):
+            step += 1
+            i = i[i + step < len(key)]
+            j = i + step
+            go = (key[i] == key[j]) & (q * n[i] >= p * n[j])  # sizes rise within a key
+            i, j = i[go], j[go]
+            most = np.minimum(n[i] - at[i], n[j] - at[j])  # common from here on
+            fine = ((p + q) * most >= p * (n[i] + n[j])) & (row[i] != row[j])
+            x, y = row[i[fine]], row[j[fine]]
+            if len(x):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+    dealt = keyed.repartition("key").sortWithinPartitions("key", "n", "row")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def similar(texts: DataFrame) -> DataFrame:
+    """(a, b): the fingerprints of all pairs of ``texts`` (text, row, fp; row is unique)
+    whose shingle sets have a similarity of ``NEAR`` or more, where they differ."""
+    p, q = NEAR
+    # One row of each text: equal texts have one fingerprint.
+    slim = texts.select("row", "fp", F.xxhash64("text").alias("same"))
+    firsts = slim.groupBy("fp", "same").agg(F.min("row").alias("first"))
+    repeats = written(slim.join(firsts, ["fp", "same"]).where(F.col("row") > F.col("first")).select(F.col("row").alias("again")), "repeats", plain=True)
+    texts = texts.join(maybe_broadcast(repeats), F.col("row") == F.col("again"), "left_anti")
+    hot = texts.sparkSession.sparkContext.broadcast(_hot(texts))
+
+    def prefixes(batches):
+        last = hot.value
+        for b in slices(batches):
+            parts = []
+            for t, row in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                h = shingle_set(t)
+                if not len(h):
+                    continue
+                if len(last):
+                    late = last[np.minimum(np.searchsorted(last, h), len(last) - 1)] == h
+                    h = np.concatenate([h[~late], h[late]])
+                n = len(h)
+                k = n - (p * n + q - 1) // q + 1
+                parts.append((h[:k], np.full(k, n), np.arange(k), np.full(k, row)))
+            if parts:
+                key, n, at, row = (np.concatenate(x) for x in zip(*parts, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n, pa.int64()), pa.array(at, pa.int64()), pa.array(row, pa.int64())], names=["key", "n", "at", "row"])
+
+    def sets(batches):
+        for b in slices(batches):
+            got = [shingle_set(t).view(np.int64) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(got, pa.list_(pa.int64()))], names=["row", "fp", "shingles"])
+
+    keyed = texts.select("text", "row").mapInArrow(prefixes, "key long, n long, at long, row long")
+    met = written(_meeting(keyed).distinct(), "met", plain=True)
+    of = written(met.select(F.explode(F.array("a", "b")).alias("of")).distinct(), "met-rows", plain=True)
+    some = texts.join(maybe_broadcast(of), F.col("row") == F.col("of"), "left_semi").select("text", "row", "fp")
+    whole = written(some.mapInArrow(sets, "row long, fp long, shingles array<bigint>"), "shingles")
+    one, two = (whole.select(*(F.col(c).alias(f"{c}_{x}") for c in whole.columns)) for x in "ab")
+    both = met.join(one, met.a == F.col("row_a")).join(two, met.b == F.col("row_b")).where("fp_a <> fp_b")
+    common = F.size(F.array_intersect("shingles_a", "shingles_b"))
+    fine = (p + q) * common >= p * (F.size("shingles_a") + F.size("shingles_b"))
+    return written(both.where(fine).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")), "similar", plain=True)
+
+
+def near_duplicates(marked: DataFrame, more: DataFrame | None = None) -> DataFrame:
+    """(fp, component_id) for each distinct fingerprint of ``marked`` (doc_id, fp).
+
+    ``more``: links (a, b) of fingerprints besides those of their distance.
+    """
     fps = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints", plain=True)
-    to = components(link_forest(fps.select("fp")))
+    links = link_forest(fps.select("fp"))
+    to = components(links if more is None else links.union(more))
     rooted = written(fps.join(to, fps.fp == to.a, "left").select("fp", "least", F.coalesce("b", "fp").alias("root")), "rooted", plain=True)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return written(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "components", plain=True)
@@ -232,15 +362,19 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
     return marked.join(found, marked.fp == found.of).select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
-def dedup_stage(docs: DataFrame) -> DataFrame:
+def dedup_stage(docs: DataFrame, whole: bool = False) -> DataFrame:
     """``docs`` with one row of each component: the smallest doc_id's, and of repeated
-    rows one.  All columns stay as they are."""
+    rows one.  All columns stay as they are.
+
+    ``whole``: similar texts link too, not near fingerprints alone.
+    """
     columns = docs.columns
     at, text = "__pl_row", columns[[c.lower() for c in columns].index("text")]
     fp = with_fingerprint(docs, text, "__pl_fp").withColumn(at, F.monotonically_increasing_id())
     kept = written(fp, "fingerprinted")
     slim = kept.select("doc_id", F.col("__pl_fp").alias("fp"), F.col(at).alias("row"))
-    found = near_duplicates(slim.select("doc_id", "fp")).withColumnRenamed("fp", "of")
+    alike = similar(kept.select(F.col(text).alias("text"), F.col(at).alias("row"), F.col("__pl_fp").alias("fp"))) if whole else None
+    found = near_duplicates(slim.select("doc_id", "fp"), alike).withColumnRenamed("fp", "of")
     first = slim.join(found, slim.fp == found.of).groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")).alias("x"))
     keep = written(first.select(F.col("x.row").alias("__pl_keep")), "keep", plain=True)
     return kept.join(keep, kept[at] == keep["__pl_keep"], "left_semi").select(*columns)

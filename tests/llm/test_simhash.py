@@ -105,3 +105,44 @@ def test_forest_matches_bit_counts():
     g = np.array(sorted({0, 7, 8, 15, 1 << 40, 0xFFFF}), np.uint64)
     a, b = S._forest(g, 3)
     assert len(a) == len(b) == 4
+
+
+def test_whole_stage_links_all_similar_texts(spark, monkeypatch):
+    """Components by brute force over shingle sets and fingerprints, with and without
+    frequent shingles put last."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(400)]
+    line = " ".join(words[:30])  # in most texts
+    texts = []
+    for i in range(60):
+        base = [words[j] for j in rng.integers(0, 400, 60 + i)]
+        for edits in (0, 1, 2, 3):
+            x = list(base)
+            for j in rng.integers(0, len(x), edits):
+                x[j] = "changed"
+            texts.append(" ".join(x) + (" " + line if i % 3 else ""))
+    texts += [texts[0], texts[5], "one two", "ONE two", "", None]
+    grams = [set(S.shingle_set(t).tolist()) for t in texts]
+    fps = [plain_fingerprint(t) for t in texts]
+    parent = list(range(len(texts)))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    missed = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            common, near = len(grams[i] & grams[j]), (fps[i] ^ fps[j]).bit_count() <= 3
+            alike = common and 9 * common >= 4 * (len(grams[i]) + len(grams[j]))
+            missed += bool(alike and not near)
+            if alike or near:
+                a, b = sorted((top(i), top(j)))
+                parent[b] = a
+    assert missed > 20
+    want = {i for i in range(len(texts)) if top(i) == i}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for hot in (10, 10**9):
+        monkeypatch.setattr(S, "HOT", hot)
+        assert {r.doc_id for r in S.dedup_stage(df, whole=True).collect()} == want
