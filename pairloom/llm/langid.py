@@ -187,3 +187,12 @@ def document_evidence(docs: DataFrame) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = identify(document_evidence(documents(spark, sf_dir)))
     return found.withColumn("kept", F.coalesce(F.col("posterior") >= MIN_POSTERIOR, F.lit(False)))
+
+
+def page_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages by text, markup language, host and suffix; the text model is fitted on
+    declared pages and documents."""
+    pages = page_evidence(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    model = fit(pages.unionByName(document_evidence(documents(spark, sf_dir))))
+    found = identify(pages, model).withColumnRenamed("doc_id", "page_id")
+    return found.withColumn("kept", F.coalesce(F.col("posterior") >= MIN_POSTERIOR, F.lit(False)))

@@ -21,9 +21,13 @@ MODULES = {
     "tokencount": "op5_token_counts",
 }
 
+#: Further queries: name -> (module, function).
+MORE = {"op7_page_language_id": ("langid", "page_query")}
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: importlib.import_module(f"{__package__}.{module}").query for module, name in MODULES.items()}
+    found = {name: importlib.import_module(f"{__package__}.{module}").query for module, name in MODULES.items()}
+    return found | {name: getattr(importlib.import_module(f"{__package__}.{module}"), function) for name, (module, function) in MORE.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -91,3 +91,19 @@ def test_no_rows_and_none_declared(spark):
     none = L.identify(df.withColumn("declared", F.lit(None).cast("string"))).collect()
     assert len(none) == len(rows()) and all(r.lang is None for r in none)
     assert L.identify(df.limit(0), L.fit(df)).count() == 0
+
+
+def test_pages_are_a_registered_query(spark, sf):
+    from pairloom.llm import registry
+
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    evidence = {r.doc_id: r for r in L.page_evidence(pages).collect()}
+    got = {r.page_id: r for r in registry.queries()["op7_page_language_id"](spark, sf).collect()}
+    assert got.keys() == evidence.keys() and len(got) == pages.count()
+    assert all(got[i].declared == r.declared and 0 < got[i].posterior <= 1 for i, r in evidence.items())
+    assert any(r.declared for r in got.values()) and any(r.suffix for r in evidence.values())
+    docs = L.document_evidence(spark.read.parquet(f"{sf}/documents.parquet"))
+    model = L.fit(L.page_evidence(pages).unionByName(docs))
+    bare = L.page_evidence(pages).withColumns({c: F.lit(None).cast("string") for c in ("declared", "host", "suffix")})
+    without = {r.doc_id: r.posterior for r in L.identify(bare, model).collect()}
+    assert any(abs(got[i].posterior - p) > 1e-6 for i, p in without.items())  # the evidence counts
