@@ -13,8 +13,9 @@ and r(h) the count of the pairs after h that the filter holds.  Pairs seen fewer
 ``MIN_PAIR`` times in training are left to p(w), at every size of input.
 
 Sizes.  The filter is built in shards by hash, each in one task.  Words and contexts go
-to every worker; they must fit ``WORD_BYTES``, else the least count kept for words rises
-until they do (such words then count as not found; base_score stays exact).  Pairs go in
+to every worker in one broadcast if they fit ``WORD_BYTES``; else in as many passes as it
+takes, which write the level of each token as a word and as a context, and the levels are
+added up by row.  So every trained word and context has its level at any size.  Pairs go in
 as many passes over the texts as it takes to keep each broadcast under ``PASS_BYTES``: a
 pair's term needs only the pass that holds its shard, and terms add up.
 
@@ -327,7 +328,9 @@ class Model:
         contexts = written(pairs.groupBy(F.expr("shiftrightunsigned(of, 32)").alias("context")).agg(F.sum("c").alias("c")), "contexts")
         starts = spark.createDataFrame([(int(START.view(np.int64)), docs.count())], "word long, c long").where("c > 0")
 
-        # Words of the least counts go where the filter would outgrow its bound.
+        #: The level from which words fit beside the contexts: 1 where one broadcast has all,
+        #: else words and contexts go by passes of ``word_bytes``.
+        self.word_bytes = word_bytes
         room = word_bytes * 8 / BITS - (contexts.agg(F.sum(level_column("c"))).first()[0] or 0)
         self.least_level = 1
         for r in by_count:
@@ -335,33 +338,87 @@ class Model:
             if room < 0:
                 self.least_level = r.level + 1
                 break
-        kept = self.words.where(level_column("c") >= self.least_level).unionByName(starts)
-        words = keyed(kept, WORD_KIND).unionByName(keyed(contexts, CONTEXT_KIND))
+        words = keyed(self.words.unionByName(starts), WORD_KIND).unionByName(keyed(contexts, CONTEXT_KIND))
         self.word_table, self.word_shards, self.word_size = build(written(words, "word-keys"), "word-filter")
         self.pair_table, self.pair_shards, self.pair_size = build(written(keyed(pairs, PAIR_KIND), "pair-keys"), "pair-filter")
 
 
+def word_levels(words: Shards, hashes: np.ndarray) -> np.ndarray:
+    """The levels of each word, and below them of each as a context; 0 where the shard isn't
+    held."""
+    return np.stack([words.levels(keys_of(hashes, WORD_KIND)), words.levels(keys_of(hashes & np.uint64(0xFFFFFFFF), CONTEXT_KIND))])
+
+
+def levels_by_passes(fixed: DataFrame, model: Model) -> tuple[DataFrame, np.ndarray]:
+    """``fixed`` (text, row, ...) with a column ``levels``, each token's levels as a word, then
+    as a context, a byte each; and a text's start's levels."""
+    spark = fixed.sparkSession
+    per = max(1, model.word_bytes // (8 * model.word_size))
+    shape = model.word_shards, model.word_size
+    start, more = np.zeros((2, 1), np.int64), None
+
+    def run_pass(held):
+        def run(batches):
+            words = Shards(*shape, held.value)
+            for b in slices(batches, 4096):
+                texts = b.column(0).to_pylist()
+                for i, j in lots(texts):
+                    x = Batch(texts[i:j])
+                    got = word_levels(words, x.hashes)[:, x.ids].astype(np.uint8)
+                    each = [got[:, s : s + n].tobytes() for s, n in zip(x.starts.tolist(), x.lengths.tolist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays([b.column(1).slice(i, j - i), pa.array(each, pa.binary())], names=["row", "part"])
+
+        return run
+
+    for i in range(0, model.word_shards, per):
+        held = {r.shard: bytes(r.bits) for r in model.word_table.where(F.col("shard").between(i, i + per - 1)).collect()}
+        start += word_levels(Shards(*shape, held), np.array([START]))
+        shared = spark.sparkContext.broadcast(held)
+        part = written(fixed.select("text", "row").mapInArrow(run_pass(shared), "row long, part binary"), "word-levels")
+        shared.unpersist()
+        more = part if more is None else more.union(part)
+
+    def summed(batches):
+        for b in batches:
+            sums = [np.sum([np.frombuffer(p, np.uint8) for p in parts], axis=0, dtype=np.uint8).tobytes() for parts in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sums, pa.binary())], names=["row", "levels"])
+
+    levels = more.groupBy("row").agg(F.collect_list("part").alias("parts")).mapInArrow(summed, "row long, levels binary")
+    return written(fixed.join(levels, "row").select(*fixed.columns, "levels"), "leveled"), start
+
+
 class Scorer:
     """Scores batches of texts by the filters' shards that it holds."""
 
-    def __init__(self, words: Shards, pairs: Shards, n: int, unknown: float):
+    def __init__(self, words: Shards, pairs: Shards, n: int, unknown: float, start: np.ndarray | None = None):
+        """``start``: the levels of a text's start; by default ``words`` has them."""
         self.words, self.pairs, self.n, self.unknown = words, pairs, n, unknown
-        start = np.array([START])
-        (self.start_rest,), (self.start_whole,) = self.contexts(self.counts(start), start)
+        (self.start_rest,), (self.start_whole,) = self.shares(*count_of(word_levels(words, np.array([START])) if start is None else start))
 
     def counts(self, hashes: np.ndarray) -> np.ndarray:
         return count_of(self.words.levels(keys_of(hashes, WORD_KIND)))
 
     def contexts(self, c: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Each word's share, as a context, that goes to p(w), and its whole."""
-        r = count_of(self.words.levels(keys_of(hashes & np.uint64(0xFFFFFFFF), CONTEXT_KIND)))
+        return self.shares(c, count_of(self.words.levels(keys_of(hashes & np.uint64(0xFFFFFFFF), CONTEXT_KIND))))
+
+    def shares(self, c: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.maximum(c - r, 0) + MU, np.maximum(c, r) + MU
 
-    def scores(self, x: Batch) -> np.ndarray:
-        """Each text's sum over the tokens whose pair's shard is held."""
-        c = self.counts(x.hashes)
+    def scores(self, x: Batch, levels: np.ndarray | None = None) -> np.ndarray:
+        """Each text's sum over the tokens whose pair's shard is held.
+
+        ``levels``: those of each token as a word and as a context; by default ``words``
+        has them.
+        """
+        if levels is None:
+            found = word_levels(self.words, x.hashes)
+        else:
+            found = np.zeros((2, len(x.hashes)), np.int64)
+            found[:, x.ids] = levels
+        c, r = count_of(found)
         p1 = np.where(c > 0, (1 - self.unknown) * c / max(self.n, 1), self.unknown)
-        rest, whole = self.contexts(c, x.hashes)
+        rest, whole = self.shares(c, r)
         rest_at, whole_at = np.empty(len(x.ids)), np.empty(len(x.ids))
         rest_at[1:], whole_at[1:] = rest[x.ids[:-1]], whole[x.ids[:-1]]
         rest_at[x.starts], whole_at[x.starts] = self.start_rest, self.start_whole
@@ -383,20 +440,30 @@ def score(docs: DataFrame, model: Model, pass_bytes: int = PASS_BYTES) -> DataFr
     spark = docs.sparkSession
     broadcast = spark.sparkContext.broadcast
     top = broadcast(model.top)
-    word_filter = broadcast({r.shard: bytes(r.bits) for r in model.word_table.collect()})
+    plain = docs.select("text", "doc_id", held_out().alias("held_out"))
+    by_passes = model.least_level > 1
+    word_filter, start = None, None
+    if by_passes:
+        plain, start = levels_by_passes(written(plain.withColumn("row", F.monotonically_increasing_id()), "numbered"), model)
+    else:
+        word_filter = broadcast({r.shard: bytes(r.bits) for r in model.word_table.collect()})
     n, unknown, base_total = model.n, model.unknown, model.base_total
     shapes = (model.word_shards, model.word_size), (model.pair_shards, model.pair_size)
 
     def run_pass(held, first: bool):
         def run(batches):
-            scorer = Scorer(Shards(*shapes[0], word_filter.value), Shards(*shapes[1], held.value), n, unknown)
+            scorer = Scorer(Shards(*shapes[0], word_filter.value if word_filter else {}), Shards(*shapes[1], held.value), n, unknown, start)
             top_words, top_counts = top.value
             for b in slices(batches, 4096):
                 texts = b.column(0).to_pylist()
                 for i, j in lots(texts):
                     x = Batch(texts[i:j])
                     part = b.slice(i, j - i)
-                    scores = pa.array(scorer.scores(x))
+                    levels = None
+                    if by_passes:  # the last column
+                        each = [np.frombuffer(v, np.uint8).reshape(2, -1) for v in part.column(part.num_columns - 1).to_pylist()]
+                        levels = np.concatenate(each, axis=1)
+                    scores = pa.array(scorer.scores(x, levels))
                     if not first:
                         yield pa.RecordBatch.from_arrays([part.column(1), scores], names=["row", "score"])
                         continue
@@ -421,17 +488,17 @@ def score(docs: DataFrame, model: Model, pass_bytes: int = PASS_BYTES) -> DataFr
     def shards_of(p: list[int]):
         return broadcast({r.shard: bytes(r.bits) for r in model.pair_table.where(F.col("shard").isin(p)).collect()})
 
-    plain = docs.select("text", "doc_id", held_out().alias("held_out"))
+    levels = ["levels"] if by_passes else []
     first = "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rare array<bigint>"
     if len(passes) == 1:
-        scored = written(plain.mapInArrow(run_pass(shards_of(passes[0]), True), first).withColumn("row", F.monotonically_increasing_id()), "scored")
+        scored = written(plain.select("text", "doc_id", "held_out", *levels).mapInArrow(run_pass(shards_of(passes[0]), True), first).withColumn("row", F.monotonically_increasing_id()), "scored")
     else:
         # Passes are matched by row number, which a written table fixes.
-        fixed = written(plain.withColumn("row", F.monotonically_increasing_id()), "numbered")
-        parts = written(fixed.select("text", F.col("row").alias("doc_id"), "held_out").mapInArrow(run_pass(shards_of(passes[0]), True), first).withColumnRenamed("doc_id", "row"), "scored")
+        fixed = plain if by_passes else written(plain.withColumn("row", F.monotonically_increasing_id()), "numbered")
+        parts = written(fixed.select("text", F.col("row").alias("doc_id"), "held_out", *levels).mapInArrow(run_pass(shards_of(passes[0]), True), first).withColumnRenamed("doc_id", "row"), "scored")
         more = None
         for p in passes[1:]:
-            part = written(fixed.select("text", "row").mapInArrow(run_pass(shards_of(p), False), "row long, score double"), "pass")
+            part = written(fixed.select("text", "row", *levels).mapInArrow(run_pass(shards_of(p), False), "row long, score double"), "pass")
             more = part if more is None else more.union(part)
         added = more.groupBy("row").agg(F.sum("score").alias("more"))
         scored = fixed.select("row", "doc_id").join(parts, "row").join(added, "row").withColumn("score", F.col("score") + F.col("more"))

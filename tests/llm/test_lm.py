@@ -101,6 +101,22 @@ def test_passes_add_up(spark, monkeypatch):
     assert tight.least_level > 1
 
 
+@pytest.mark.parametrize("pass_bytes", [L.PASS_BYTES, 1])
+def test_words_and_contexts_keep_their_levels_at_any_size(spark, monkeypatch, pass_bytes):
+    """Words and contexts beyond one broadcast go by passes, with the same scores."""
+    rows = [(i, f"the cat {i % 7} sat on the mat {i % 3} of house {i}" * (1 + i % 4)) for i in range(60)] + [(99, None), (None, "the cat")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(L, "SHARD_BYTES", 200)
+    train = df.where(~L.held_out())
+    whole = {r.doc_id: r for r in L.score(df, L.Model(train)).collect()}
+    tight = L.Model(train, word_bytes=60)
+    assert tight.least_level > 1 and tight.word_shards > 1
+    got = {r.doc_id: r for r in L.score(df, tight, pass_bytes=pass_bytes).collect()}
+    assert got.keys() == whole.keys()
+    for d, r in got.items():
+        assert r.score == pytest.approx(whole[d].score) and r.base_score == pytest.approx(whole[d].base_score)
+
+
 def test_probabilities_sum_to_about_one(spark):
     """Small counts are exact levels: after a context, the known words and the unknown share 1."""
     rows = [(1, "a b a c a b a d b b"), (3, "a b c d")]
