@@ -1,7 +1,8 @@
 """Personal data replaced by keyed surrogates of the same kind and form.
 
 Found: e-mail addresses, phone numbers, payment cards (with a valid check digit), IBANs
-(likewise), US social security numbers, IPv4 addresses, labelled secrets, and names of
+(likewise), US social security numbers, IP addresses, secrets (labelled, or with an issuer's
+prefix), and names of
 persons (after a title, or a listed given name before a capitalised word).  Numbers that
 fail their check, version numbers and bare digits are left alone.
 
@@ -26,6 +27,7 @@ a null doc_id is no obstacle; no rows give no rows; other columns are ignored by
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from bisect import bisect
 from functools import lru_cache
@@ -43,15 +45,25 @@ ROUNDS = 8
 ATTEMPTS = 6
 
 _JUNK = r"[^\w\s]{0,4}"
+_LABEL = r"token|secret|(?:api|access|secret|private)[_ -]?key|client[_ -]?secret|(?:auth|access|bearer)[_ -]?token|bearer|password|passwd|pwd"
+#: Beginnings that tell issued keys; they stay.
+_PREFIX = r"AKIA|ASIA|AIza|gh[pousr]_|github_pat_|glpat-|sk-|[sprk]{2}_(?:live|test)_|xox[abprs]-"
 #: In order of precedence.
 PATTERNS = [
-    ("secret", re.compile(rf"(?i)(?<![a-z0-9])(?:token|secret|api[_ -]?key|access[_ -]?key|password)\b[^\w]{{1,14}}([0-9a-f]{{32,128}})(?![0-9a-z])")),
+    ("secret", re.compile(rf"(?<![A-Za-z0-9])(?i:{_LABEL})\b[^\w]{{1,14}}(?:{_PREFIX})?([A-Za-z0-9+/_~-]{{16,256}}={{0,2}})(?![0-9A-Za-z])|(?<![A-Za-z0-9_-])(?:{_PREFIX})([A-Za-z0-9_-]{{16,256}})(?![0-9A-Za-z])")),
     ("email", re.compile(r"(?<![\w.%+-])\w[\w.%+-]*@(?:[^\W_](?:[\w-]*[^\W_])?\.)+[A-Za-z]{2,24}(?![\w@])")),
     ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
     ("card", re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])")),
-    ("phone", re.compile(rf"(?<![\w+])(?:\+\d{{1,3}}{_JUNK}[ .-]?)?\(\d{{3}}\){_JUNK} ?\d{{3}}{_JUNK}[ .-]\d{{4}}(?!\w)|(?<![\w+])\+\d{{1,3}}(?:[ .-]\(?\d{{2,4}}\)?){{2,4}}(?!\w)|(?<![\w.-])\d{{3}}[.-]\d{{3}}[.-]\d{{4}}(?![\w-])")),
+    ("phone", re.compile("|".join([
+        rf"(?<![\w+])(?:\+\d{{1,3}}{_JUNK}[ .-]?)?\(\d{{3}}\){_JUNK} ?\d{{3}}{_JUNK}[ .-]\d{{4}}(?!\w)",
+        r"(?<![\w+])\+[1-9](?:[ ./-]?\(?\d|\)[ ./-]?\d){6,14}(?!\w)",  # E.164, in any groups
+        r"(?<![\w.+-])(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])",
+        r"(?<![\w.+-])0\d(?:[ .-]\d{2}){4}(?![\w-])",  # 06 12 34 56 78
+        r"(?<![\w.+-])(?<!\d )(?:0\d{1,4}|\(0\d{1,4}\))[ /-] ?(?:\d{5,9}|\d{3,4} \d{3,5})(?![\w-])(?! \d)",  # 030 12345678, 020 7946 0958
+    ]))),
     ("ssn", re.compile(r"(?<![\w-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])")),
     ("ip", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\.?\w)")),
+    ("ipv6", re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){3,7}[0-9A-Fa-f]{0,4}(?![\w:])")),
 ]
 
 #: Titles that come before a name, by the gender that they tell.
@@ -78,6 +90,8 @@ _SOUNDS = ["aeiou", "bcdfghjklmnpqrstvwxyz", "àáâãäåæèéêëìíîïòó
 _OF = {c: a for a in _ALPHABETS for c in a}
 _SOUND_OF = {c: a for a in _SOUNDS for c in a}
 _HEX = {c: "0123456789abcdef" for c in "0123456789abcdef"}
+#: Secrets beyond hexadecimal ones: their letter case counts.
+_CASED = {c: a for a in ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ") for c in a}
 
 
 def permute(key: bytes, tweak: str, values: list[int], radices: list[int]) -> list[int]:
@@ -118,6 +132,9 @@ def exchange(key: bytes, tweak: str, text: str, of: dict[str, str]) -> str:
     return "".join(out)
 
 
+_ALL_HEX = re.compile(r"(?i)[0-9a-f]{32,128}")
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -130,22 +147,55 @@ def _mod97(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
+def _is_ipv6(raw: str) -> bool:
+    try:
+        return any(c in "0123456789" for c in raw) and not ipaddress.IPv6Address(raw).is_loopback
+    except ValueError:
+        return False
+
+
+def _matches(kind: str, pattern: re.Pattern, text: str):
+    """(start, end) of what may be of this kind.
+
+    A run of digits that is no card is tried at its shorter groups (an expiry date or a
+    code may follow the number), then from its second group on.
+    """
+    if kind != "card":
+        for m in pattern.finditer(text):
+            yield m.span(m.lastindex if kind == "secret" else 0)
+        return
+    at = 0
+    while m := pattern.search(text, at):
+        start, end = m.span()
+        gaps = [i for i in range(start, end) if text[i] in " -"]
+        found = next((e for e in (end, *reversed(gaps)) if 13 <= len(d := re.sub(r"[ -]", "", text[start:e])) and luhn(d)), None)
+        if found:
+            yield start, found
+        at = found or (gaps[0] if gaps else end)
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, normal form) of each entity, in order, none overlapping."""
     got: list[tuple[int, int, str, str]] = []
     digits = any(d in text for d in "0123456789")
     for kind, pattern in PATTERNS:
-        if kind == "email" and "@" not in text or kind not in ("email", "secret") and not digits:
+        if kind == "email" and "@" not in text or kind != "email" and not digits:
             continue
-        for m in pattern.finditer(text):
-            start, end = m.span(1 if kind == "secret" else 0)
+        for start, end in _matches(kind, pattern, text):
             raw = text[start:end]
             if kind == "email":
                 norm = raw.lower()
                 if len(norm) != len(raw):
                     continue
             elif kind == "secret":
+                norm = raw.lower() if _ALL_HEX.fullmatch(raw) else raw
+                # A word or a path is no secret: letters and digits must be mixed.
+                if not (any(c.isdigit() for c in raw) and any(c.isalpha() for c in raw)) and not _ALL_HEX.fullmatch(raw):
+                    continue
+            elif kind == "ipv6":
                 norm = raw.lower()
+                if not _is_ipv6(raw):
+                    continue
             elif kind == "ip":
                 norm = raw
             elif kind == "iban":
@@ -156,7 +206,8 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 norm = re.sub(r"[^0-9]", "", raw)
                 if kind == "card" and not (13 <= len(norm) <= 19 and luhn(norm)) or kind == "phone" and not 7 <= len(norm) <= 15:
                     continue
-                if kind == "phone" and len(norm) == 11 and norm[0] == "1":
+                # The trunk digit stays.
+                if kind == "phone" and (len(norm) == 11 and norm[0] == "1" or norm[0] == "0"):
                     norm = norm[1:]
             got.append((start, end, kind, norm))
     for m in PERSON.finditer(text):
@@ -183,6 +234,8 @@ def surrogate(key: bytes, kind: str, norm: str, attempt: int = 0) -> str:
         host, _, top = domain.rpartition(".")
         return f"{exchange(key, tweak, local, _OF)}@{exchange(key, 'domain', host, _OF)}.{top}"
     if kind == "secret":
+        return exchange(key, tweak, norm, _HEX if _ALL_HEX.fullmatch(norm) and norm == norm.lower() else _CASED)
+    if kind == "ipv6":
         return exchange(key, tweak, norm, _HEX)
     if kind == "card":
         body = norm[0] + exchange(key, f"{tweak}|{norm[0]}", norm[1:-1], _OF)
