@@ -15,8 +15,8 @@ document, and different ones different surrogates, without a table.
 
 The collision check covers the corpus: each distinct entity's surrogate is joined with
 the entities found and with the other surrogates; where it is a real entity of the corpus
-(itself included) or is taken, the entity gets the next attempt's permutation, until none
-collides.  Only these exceptions need a table: it is broadcast when it is small, and else
+(itself included) or is taken, the entity gets a later attempt's permutation, until none
+collides; only where a shape has no form left does an entity keep a colliding one.  Only these exceptions need a table: it is broadcast when it is small, and else
 joined to the documents that hold them.
 
 Edge cases: a null text stays null, an empty one empty; repeated rows are replaced alike;
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import ipaddress
+import math
 import re
 from bisect import bisect
 from functools import lru_cache
@@ -37,12 +38,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, slices, small, written
+from .common import documents, maybe_broadcast, slices, small, written
 
 KEY = b"pairloom demonstration key"
 ROUNDS = 8
-#: Attempts after which an entity whose shape has too few forms keeps its last surrogate.
+#: Single attempts; what still collides then tries many at once, until none collides or its
+#: shape has no form free.
 ATTEMPTS = 6
+#: Attempts that are tried at once in all, and for one entity at first.
+TRIALS = 1 << 20
+TRIED = 64
 
 _JUNK = r"[^\w\s]{0,4}"
 _LABEL = r"token|secret|(?:api|access|secret|private)[_ -]?key|client[_ -]?secret|(?:auth|access|bearer)[_ -]?token|bearer|password|passwd|pwd"
@@ -263,6 +268,32 @@ def surrogate(key: bytes, kind: str, norm: str, attempt: int = 0) -> str:
     return exchange(key, tweak, norm, _OF)
 
 
+def shape_of(kind: str, norm: str) -> tuple[str, int]:
+    """The shape of a normal form, whose forms ``surrogate`` permutes, and how many it has."""
+    def exchanged(text: str, of: dict[str, str]) -> tuple[str, int]:
+        return "".join(of[c][0] if c in of else c for c in text), math.prod(len(of[c]) for c in text if c in of)
+
+    if kind == "email":
+        local, _, domain = norm.rpartition("@")
+        shape, n = exchanged(local, _OF)
+        return f"{shape}@{domain}", n  # the host's permutation has no attempts
+    if kind == "secret":
+        return exchanged(norm, _HEX if _ALL_HEX.fullmatch(norm) and norm == norm.lower() else _CASED)
+    if kind == "ipv6":
+        return exchanged(norm, _HEX)
+    if kind == "card":
+        return f"{norm[0]}{len(norm)}", 10 ** (len(norm) - 2)
+    if kind == "iban":
+        shape, n = exchanged(norm[4:], {c: a for a in ("0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ") for c in a})
+        return norm[:2] + shape, n
+    if kind == "ip":
+        octets = [x if x in ("0", "255") else "1" for x in norm.split(".")]
+        return ".".join(octets), 254 ** octets.count("1")
+    if kind == "ssn":
+        return "", 898 * 99 * 9999
+    return exchanged(norm, _SOUND_OF if kind == "name" else _OF)
+
+
 def lay_out(raw: str, kind: str, norm: str) -> str:
     """A normal form in the surface form of ``raw``."""
     if kind == "ip":
@@ -334,8 +365,52 @@ def exceptions(found: DataFrame, key: bytes = KEY) -> DataFrame:
         settled = kept if settled is None else settled.union(kept)
         if todo.isEmpty():
             break
-    # A shape with fewer forms than entities: the last attempt stays.
-    return written(settled.where("attempt > 0").select("kind", "norm", "attempt").union(todo.select("kind", "norm", F.col("attempt") - 1)), "exceptions")
+    settled, full = _settle(settled, todo, real, attempt)
+    # A shape with fewer free forms than entities: the last single attempt stays.
+    return written(settled.where("attempt > 0").select("kind", "norm", "attempt").union(full), "exceptions")
+
+
+def _settle(settled: DataFrame, todo: DataFrame, real: DataFrame, attempt) -> tuple[DataFrame, DataFrame]:
+    """``settled`` with what can be settled of ``todo`` (kind, norm, attempt), and the rest:
+    entities whose shape has no form left that is neither real nor taken."""
+
+    def run(batches):
+        for b in batches:
+            got = [shape_of(k, n) for k, n in zip(*(c.to_pylist() for c in b.columns[:2]), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x for x, _ in got], pa.string()), pa.array([float(n) for _, n in got], pa.float64())], names=["kind", "surrogate", "shape", "forms"])
+
+    def shaped(df: DataFrame) -> DataFrame:
+        return df.select("kind", "surrogate").mapInArrow(run, "kind string, surrogate string, shape string, forms double")
+
+    full = todo.limit(0)
+    base, tried_each = ATTEMPTS, TRIED
+    left = todo.count()
+    while left:
+        # Entities whose target shape is full keep their last single attempt.
+        target = attempt(todo.withColumn("attempt", F.lit(ATTEMPTS - 1)))
+        goals = written(target.join(shaped(target).distinct(), ["kind", "surrogate"]), "goals")
+        taken = shaped(real.union(settled.select("kind", "surrogate"))).join(maybe_broadcast(goals.select("kind", "shape").distinct()), ["kind", "shape"], "left_semi")
+        counts = written(taken.groupBy("kind", "shape").agg(F.count("*").alias("n")), "taken")
+        known = goals.join(counts, ["kind", "shape"], "left").withColumn("open", F.coalesce("n", F.lit(0)) < F.col("forms"))
+        known = written(known.select("kind", "norm", "attempt", "open"), "known")
+        full = full.union(known.where("not open").select("kind", "norm", "attempt"))
+        some = known.where("open").select("kind", "norm")
+        left = some.count()
+        if not left:
+            break
+        each = max(1, min(tried_each, TRIALS // left))
+        trials = some.select("kind", "norm", F.explode(F.sequence(F.lit(base), F.lit(base + each - 1))).alias("attempt"))
+        tried = written(attempt(trials.repartition("kind", "norm")), "trials")
+        free = tried.join(real, ["kind", "surrogate"], "left_anti").join(settled, ["kind", "surrogate"], "left_anti")
+        # A free form goes to its first entity, of its forms an entity takes the first.
+        owned = free.groupBy("kind", "surrogate").agg(F.min(F.struct("norm", "attempt")).alias("x")).select("kind", "surrogate", "x.norm", "x.attempt")
+        first = owned.groupBy("kind", "norm").agg(F.min(F.struct("attempt", "surrogate")).alias("x"))
+        kept = written(first.select("kind", "norm", "x.attempt", "x.surrogate"), "settled")
+        settled = settled.select("kind", "norm", "attempt", "surrogate").union(kept)
+        todo = written(some.join(kept, ["kind", "norm"], "left_anti"), "collided")
+        left = todo.count()
+        base, tried_each = base + each, 2 * tried_each
+    return settled, full
 
 
 def with_surrogates(docs: DataFrame, text: str = "text", key: bytes = KEY, kinds: str = "__pl_kinds", limit: int = 100_000) -> DataFrame:

@@ -156,3 +156,18 @@ def test_secrets_beyond_hexadecimal():
 
 def test_ipv6():
     assert kinds("at 2001:db8::8a2e:370:7334, 12:30:45, a::b and 1:2:3:4:5") == [("2001:db8::8a2e:370:7334", "ipv6")]
+
+
+def test_crowded_shapes_settle_while_forms_are_free(spark):
+    """1000 names in a shape of 2205 forms: all get a free form of their own."""
+    c, v = "bcdfghjklmnpqrstvwxyz", "aeiou"
+    every = [a + b + d for a in c for b in v for d in c]
+    rows = [("name", n) for n in every[::2][:1000]] + [("email", f"{i}@x.co") for i in range(10)]
+    found = spark.createDataFrame(rows, "kind string, norm string")
+    fixes = {(r.kind, r.norm): r.attempt for r in P.exceptions(found, KEY).collect()}
+    got = {e: P.surrogate(KEY, *e, fixes.get(e, 0)) for e in rows}
+    names = [got[e] for e in rows if e[0] == "name"]
+    assert len(set(names)) == 1000 and not set(names) & {n for _, n in rows}
+    assert all(P.shape_of(*e) == ("bab", 2205) for e in rows if e[0] == "name")
+    full = spark.createDataFrame([("ip", f"0.0.0.{i}") for i in range(1, 255)], "kind string, norm string")
+    assert {r.attempt for r in P.exceptions(full, KEY).collect()} == {P.ATTEMPTS - 1}  # none is free
