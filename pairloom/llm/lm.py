@@ -9,8 +9,8 @@ gives the count back.  The filter goes to the workers, whose smoothed probabilit
     p(w | h) = (c(hw) + (max(c(h) - r(h), 0) + MU) p(w)) / (max(c(h), r(h)) + MU)
 
 with c the probed counts, N the training tokens, u = (words seen once + 1/2) / (N + 1),
-and r(h) the count of the pairs after h that the filter holds.  Pairs seen fewer than
-``MIN_PAIR`` times in training are left to p(w), at every size of input.
+and r(h) the count of the pairs after h that the filter holds.  All trained pairs
+are kept (``MIN_PAIR`` is 1).
 
 Sizes.  The filter is built in shards by hash, each in one task.  Words and contexts go
 to every worker in one broadcast if they fit ``WORD_BYTES``; else in as many passes as it
@@ -48,7 +48,7 @@ START = np.uint64(0xE7037ED1A0B428DB)
 SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 #: Bytes whose hashes are made at once, and characters of a batch.
 LOT = 1 << 21
-MIN_PAIR = 2
+MIN_PAIR = 1
 MU = 4.0
 #: Bits set for an entry, all in one 64-bit word, and filter bits an entry: some two
 #: probes in a hundred err.
@@ -231,7 +231,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 10 == 0, F.lit(False))
 
 
-def count(docs: DataFrame, least: int = MIN_PAIR) -> DataFrame:
+def count(docs: DataFrame, least: int = 2) -> DataFrame:
     """(pair, key, c): a written table of the words of ``docs`` (text) and of the pairs with a
     count of ``least`` or more, by their numbers.
 
@@ -307,7 +307,7 @@ class Model:
 
     def __init__(self, docs: DataFrame, word_bytes: int = WORD_BYTES, top: int = TOP):
         spark = docs.sparkSession
-        counts = count(docs)
+        counts = count(docs, MIN_PAIR)
         self.words = counts.where("not pair").select(F.col("key").alias("word"), "c")
         pairs = counts.where("pair").select(F.col("key").alias("of"), "c")
         stats = self.words.agg(F.sum("c"), F.count("*"), F.count_if(F.col("c") == 1)).first()

@@ -161,3 +161,16 @@ def test_odd_rows(spark):
     assert L.score(df.limit(0), L.Model(df.limit(0))).count() == 0
     none = L.score(df, L.Model(df.limit(0))).collect()
     assert all(r.base_score == 0 and r.n_known == 0 and math.isfinite(r.score) for r in none)
+
+
+def test_pairs_seen_once_are_in_the_model(spark):
+    df = spark.createDataFrame([(1, "a b c"), (3, "a d c")], "doc_id long, text string")
+    counts = L.count(df, L.MIN_PAIR).where("pair")
+    assert counts.count() == 6 and counts.where("c = 1").count() == 4  # start a and c end: twice
+    model = L.Model(df)
+    tests = spark.createDataFrame([(5, "a b"), (6, "a c")], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in L.score(tests, model).collect()}
+    assert model.pair_shards and got[5] != got[6]
+    pairs = L.Shards(model.pair_shards, model.pair_size, {r.shard: bytes(r.bits) for r in model.pair_table.collect()})
+    b = L.Batch(["a b c"])
+    assert (pairs.levels(L.keys_of(b.pairs(), L.PAIR_KIND)) >= 1).all()
