@@ -3,29 +3,37 @@
 Counts of words and word pairs are taken over all training texts.  An n-gram's count is
 quantised to a level (exact to 4, then two levels an octave), and the n-gram is put in
 the filter once for each level up to its own; probing level after level until one fails
-gives the count back.  The filter goes to the workers, whose smoothed probability is
+gives the count back.  The smoothed probability of a word is
 
     p(w)     = (1 - u) c(w) / N, and u for a word that isn't found
-    p(w | h) = (c(hw) + (max(c(h) - r(h), 0) + MU) p(w)) / (max(c(h), r(h)) + MU)
+    p(w | h) = (c(hw) + MU p(w)) / (c(h) + MU)
 
-with c the probed counts, N the training tokens, u = (words seen once + 1/2) / (N + 1),
-and r(h) the count of the pairs after h that the filter holds.  All trained pairs
-are kept (``MIN_PAIR`` is 1).
+with c the probed counts, N the training tokens and u = (words seen once + 1/2) / (N + 1).
+Every trained word and pair is in the filter, whatever its count.  Each token but a text's
+end comes before just one other, so c(h) is also the count of the pairs after h; a
+text's start has the count of the ends.
 
-Sizes.  The filter is built in shards by hash, each in one task.  Words and contexts go
-to every worker in one broadcast if they fit ``WORD_BYTES``; else in as many passes as it
-takes, which write the level of each token as a word and as a context, and the levels are
-added up by row.  So every trained word and context has its level at any size.  Pairs go in
-as many passes over the texts as it takes to keep each broadcast under ``PASS_BYTES``: a
-pair's term needs only the pass that holds its shard, and terms add up.
+How the work is dealt.  Words and pairs are 64-bit numbers, and the shard of a number is a
+range of them.  Workers count some ``HELD`` tokens at a time and send each shard's part as
+one row of packed numbers and counts; the task that gathers a shard adds the parts up,
+keeps the words' exact counts, and fills the shard of the filter.  The number of shards
+follows the size of the texts, so what a shard holds is bounded at any size.
 
-base_score needs every word's exact count.  The most frequent words, at most
-``TOP``, are broadcast; the others, which are rare, are joined by shuffle.
+The filter is broadcast to workers if it has at most ``FILTER_BYTES``.  Beyond that, probes
+are dealt instead: each lot of texts sends its distinct words and pairs to their shards and
+gets the levels back, by the same shuffle that exact counts take (below), and every text
+is read twice, at any size.
+
+base_score needs every word's exact count.  The most frequent words, at most ``TOP``, are
+broadcast; each lot's other distinct words are sent to their shards as packed rows, and
+the counts come back in the same way.
 
 Words are told apart by 64-bit numbers (a polynomial of their bytes): of a billion words
-one pair in 37 such corpora would share one.
+one pair in 37 such corpora would share one.  A pair's number is mixed from both words'
+whole numbers.
 
-Edge cases: a null or empty text has one token, its end; a null doc_id is trained on;
+Edge cases: a null or empty text has one token, its end; a text longer than ``LOT`` bytes is
+taken in pieces cut at white space, with the same result; a null doc_id is trained on;
 repeated rows each count and get equal scores; without training texts every base term is
 log10(1); no rows give no rows; other columns are ignored.
 """
@@ -33,6 +41,7 @@ log10(1); no rows give no rows; other columns are ignored.
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -46,24 +55,30 @@ END = np.uint64(0xA0761D6478BD642F)
 START = np.uint64(0xE7037ED1A0B428DB)
 #: The bytes between words.
 SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-#: Bytes whose hashes are made at once, and characters of a batch.
-LOT = 1 << 21
-MIN_PAIR = 1
+GAP = re.compile(rb"[\x20\x09-\x0d]")
+#: Bytes of texts whose tokens are handled at once.
+LOT = 1 << 19
+#: Bytes of texts whose lookups are dealt as one.
+RECORD = 1 << 22
 MU = 4.0
-#: Bits set for an entry, all in one 64-bit word, and filter bits an entry: some two
-#: probes in a hundred err.
+#: Bits set for an entry, all in one 64-bit word, and filter bits an entry of a pair: some
+#: two probes in a hundred err.  Words, of which an unknown one taken for known costs
+#: most, have twice the bits: some two probes in a thousand err.
 PROBES = 6
 BITS = 12.0
-SHARD_BYTES = 64 << 10
-WORD_BYTES = 96 << 20
-PASS_BYTES = 96 << 20
+#: Bytes of a filter that goes to every worker.
+FILTER_BYTES = 160 << 20
 TOP = 100_000
-#: Pairs that a worker counts before it passes them on.
-HELD = 1 << 22
+#: Tokens that a worker counts before it passes the counts on.
+HELD = 1 << 20
+#: Bytes of texts a shard: some 400,000 tokens.
+SHARD_TEXT = 2 << 20
+#: Numbers that are gathered before equal ones are added up.
+GATHERED = 1 << 21
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-WORD_KIND, PAIR_KIND, CONTEXT_KIND = 1, 2, 3
+_LEVELS = 128
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -73,96 +88,88 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def keys_of(h: np.ndarray, kind: int) -> np.ndarray:
-    return mixed(h + np.array([kind], np.uint64) * _GOLD)
-
-
 def level(c: np.ndarray) -> np.ndarray:
     """The level of each count of 1 or more."""
     c = np.asarray(c, np.float64)
     return np.where(c < 4, c, 4 + np.floor(2 * np.log2(np.maximum(c, 4) / 4) + 1e-9)).astype(np.int64)
 
 
-def level_column(c: str) -> Column:
-    return F.when(F.col(c) < 4, F.col(c)).otherwise(4 + F.floor(2 * F.log2(F.col(c) / 4) + 1e-9)).cast("int")
+def count_of(levels: np.ndarray) -> np.ndarray:
+    """The middle of a level's counts; 0 for level 0."""
+    return _COUNTS[np.asarray(levels, np.int64)]
+
+
+_at = np.arange(_LEVELS)
+_COUNTS = np.where(_at < 4, _at, 4 * 2.0 ** ((_at - 4) / 2) * 2**0.25)
+
 
+def shard_of(keys: np.ndarray, n: int) -> np.ndarray:
+    """Each number's shard of ``n``: ranges of equal width, so sorted numbers are sorted by shard."""
+    return ((keys >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
-def spots(keys: np.ndarray, at: int, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each key's entry of level ``at``: its word in a shard, and its bits there."""
+
+def by_shard(keys: np.ndarray, n: int):
+    """(shard, first, last) of each shard that sorted ``keys`` fall in."""
+    if not len(keys):
+        return
+    shard = shard_of(keys, n)
+    first = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+    yield from zip(shard[first].tolist(), first.tolist(), np.append(first[1:], len(keys)).tolist(), strict=True)
+
+
+def spots(keys: np.ndarray, at: int, words: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+    """For each key's entry of level ``at``: its word in a shard of ``words`` words, and its bits there."""
     h = mixed(keys + np.array([at], np.uint64) * _GOLD)
     g = mixed(h ^ _M1)
     bits = np.zeros(len(h), np.uint64)
     for i in range(PROBES):
         bits |= np.uint64(1) << ((g >> np.uint64(6 * i)) & np.uint64(63))
-    return (h % np.uint64(words)).astype(np.int64), bits
+    return ((h >> np.uint64(32)) * np.asarray(words, np.uint64) >> np.uint64(32)).astype(np.int64), bits
 
 
-def count_of(levels: np.ndarray) -> np.ndarray:
-    """The middle of a level's counts; 0 for level 0."""
-    low = np.where(levels < 4, levels, 4 * 2.0 ** ((levels - 4) / 2))
-    return np.where(levels < 4, low, low * 2**0.25)
-
+def fill(keys: np.ndarray, counts: np.ndarray, bits_each: float = BITS) -> np.ndarray:
+    """The filter's shard that holds ``keys``, each up to the level of its count."""
+    levels = level(counts)
+    data = np.zeros(math.ceil(int(levels.sum()) * bits_each / 64) + 1, "<u8")
+    at = 0
+    while len(keys):
+        at += 1
+        for i in range(0, len(keys), GATHERED // 8):
+            word, bits = spots(keys[i : i + GATHERED // 8], at, len(data))
+            np.bitwise_or.at(data, word, bits)
+        more = levels > at
+        keys, levels = keys[more], levels[more]
+    return data
 
-class Shards:
-    """Some of a filter's shards (``words`` 64-bit words each), ready to be probed."""
 
-    def __init__(self, n_shards: int, words: int, held: dict[int, bytes]):
-        self.n_shards, self.words = n_shards, words
-        self.rank = np.full(max(n_shards, 1), -1, np.int64)
-        self.rank[sorted(held)] = np.arange(len(held))
-        self.data = np.frombuffer(b"".join(held[s] for s in sorted(held)), "<u8")
+class Filter:
+    """A filter's shards, ready to be probed: ``sizes`` 64-bit words each, one after the other."""
 
-    def base(self, keys: np.ndarray) -> np.ndarray:
-        """Where each key's shard begins in ``data``; negative where it isn't held."""
-        return self.rank[(keys % np.uint64(max(self.n_shards, 1))).astype(np.int64)] * self.words
+    def __init__(self, data: np.ndarray, sizes: np.ndarray):
+        self.data, self.sizes = data, sizes.astype(np.uint64)
+        self.starts = np.cumsum(sizes, dtype=np.int64) - sizes.astype(np.int64)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
-        """The highest level that each key reaches; 0 for one that isn't found or held."""
-        out = np.zeros(len(keys), np.int64)
-        base = self.base(keys)
-        left = np.flatnonzero(base >= 0)
+        """The highest level that each key reaches; 0 for one that isn't found."""
+        out = np.zeros(len(keys), np.uint8)
+        left = np.arange(len(keys))
+        shard = shard_of(keys, len(self.sizes))
+        base, size = self.starts[shard], self.sizes[shard]
         at = 0
-        while len(left):
+        while len(left) and at < _LEVELS - 1:
             at += 1
-            word, bits = spots(keys[left], at, self.words)
-            left = left[self.data[base[left] + word] & bits == bits]
+            word, bits = spots(keys, at, size)
+            hit = self.data[base + word] & bits == bits
+            left, keys, base, size = left[hit], keys[hit], base[hit], size[hit]
             out[left] = at
         return out
 
 
-def build(entries: DataFrame, name: str) -> tuple[DataFrame, int, int]:
-    """(table of (shard, bits as bytes), shards, 64-bit words a shard) for ``entries`` (key, level)."""
-    total = entries.agg(F.sum("level")).first()[0] or 0
-    n = max(1, math.ceil(total * BITS / 8 / SHARD_BYTES))
-    words = math.ceil(max(total, 1) * BITS / n * 1.02 / 64) + 1
-
-    def run(batches):
-        held: dict[int, np.ndarray] = {}
-        for b in batches:
-            shard = b.column(0).to_numpy()
-            keys = b.column(1).to_numpy().view(np.uint64)
-            levels = b.column(2).to_numpy()
-            for s in np.unique(shard).tolist():
-                mine = shard == s
-                k, q = keys[mine], levels[mine]
-                data = held.setdefault(s, np.zeros(words, "<u8"))
-                for at in range(1, int(q.max()) + 1):
-                    word, bits = spots(k[q >= at], at, words)
-                    np.bitwise_or.at(data, word, bits)
-        for s, data in held.items():
-            yield pa.RecordBatch.from_pydict({"shard": pa.array([s], pa.int32()), "bits": pa.array([data.tobytes()], pa.binary())})
-
-    # A shard's number is its key modulo the shards, unsigned.
-    shard = F.expr(f"cast(pmod(pmod(shiftright(key, 32) & 4294967295, {n}) * {(1 << 32) % n} + pmod(key & 4294967295, {n}), {n}) as int)")
-    dealt = entries.select(shard.alias("shard"), "key", "level").repartition("shard")
-    return written(dealt.mapInArrow(run, "shard int, bits binary"), name), n, words
-
-
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit number for each word of the bytes, and where it begins: a polynomial in the
     word's bytes, mixed with its length.  Bytes are taken in lots, to bound memory."""
     solid = ~SPACE[data]
-    edge = np.diff(solid.astype(np.int8), prepend=0, append=0)
+    edge = np.diff(solid.view(np.int8), prepend=np.int8(0), append=np.int8(0))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     out = np.empty(len(starts), np.uint64)
     lengths = ends - starts
@@ -180,65 +187,93 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, starts
 
 
-def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of the texts' tokens in order (words, A-Z in lower case, then the end),
-    and how many each text has."""
-    raw = [(t or "").encode("utf-8").lower() for t in texts]
-    sizes = np.fromiter(map(len, raw), np.int64, len(raw)) + 1
-    words, starts = word_hashes(np.frombuffer(b" ".join([*raw, b""]), np.uint8))
-    doc = np.searchsorted(np.cumsum(sizes), starts, "right")
-    lengths = np.bincount(doc, minlength=len(raw)) + 1
-    out = np.empty(len(words) + len(raw), np.uint64)
-    out[np.cumsum(lengths) - 1] = END
-    out[np.arange(len(words)) + doc] = words
-    return out, lengths
-
-
-def lots(texts: list[str | None], chars: int = LOT):
-    """Runs of texts of some ``chars`` characters, or one longer text."""
-    i, size = 0, 0
-    for j, t in enumerate(texts):
-        size += len(t or "") + 1
-        if size >= chars:
-            yield i, j + 1
-            i, size = j + 1, 0
-    if i < len(texts):
-        yield i, len(texts)
-
-
-def before(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """A number for each token after the one before it: 32 bits of each."""
-    low = ids & np.uint64(0xFFFFFFFF)
-    last = np.empty(len(ids), np.uint64)
-    last[1:] = low[:-1]
-    last[np.cumsum(lengths) - lengths] = START & np.uint64(0xFFFFFFFF)
-    return last << np.uint64(32) | low
-
-
-class Batch:
-    """Texts' tokens as numbers of this batch's distinct words."""
-
-    def __init__(self, texts: list[str | None]):
-        self.tokens, self.lengths = tokens(texts)
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        self.hashes, self.ids = np.unique(self.tokens, return_inverse=True)
+class Lot:
+    """Some whole texts, or a piece of a long one, as tokens.
+
+    ``of``: the index of each piece's text; ``lengths``: its tokens; ``before``: the number
+    of the token before each token.
+    """
+
+    def __init__(self, pieces: list[tuple[int, bytes, bool, bool]], carried: np.uint64 = START):
+        """``pieces``: (index, bytes, whether the text begins, whether it ends); ``carried``: the
+        last token before a piece that doesn't begin its text."""
+        raw = [p[1].lower() for p in pieces]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) + 1
+        ends = np.array([p[3] for p in pieces])
+        words, starts = word_hashes(np.frombuffer(b" ".join([*raw, b""]), np.uint8))
+        piece = np.searchsorted(np.cumsum(sizes), starts, "right")
+        self.of = np.array([p[0] for p in pieces])
+        self.lengths = np.bincount(piece, minlength=len(raw)) + ends
+        self.tokens = np.empty(len(words) + int(ends.sum()), np.uint64)
+        last = np.cumsum(self.lengths) - 1
+        self.tokens[last[ends]] = END
+        self.tokens[np.arange(len(words)) + (np.cumsum(ends) - ends)[piece]] = words
+        self.before = np.empty_like(self.tokens)
+        if len(self.tokens):
+            self.before[1:] = self.tokens[:-1]
+            some = self.lengths > 0
+            self.before[(last - self.lengths + 1)[some]] = np.where([p[2] for p in pieces], START, carried)[some]
 
     def pairs(self) -> np.ndarray:
-        return before(self.tokens, self.lengths)
+        return pair_numbers(self.before, self.tokens)
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Each piece's sum of its tokens' ``values``."""
+        return np.bincount(np.repeat(np.arange(len(self.lengths)), self.lengths), values, len(self.lengths))
+
+
+def pair_numbers(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """A 64-bit number for each token after the one before it."""
+    return mixed(mixed(before ^ _M2) + tokens)
+
+
+def lots(texts: list[str | None]):
+    """The texts as ``Lot``s of some ``LOT`` bytes, in order."""
+    held, size, carried = [], 0, START
+    for k, t in enumerate(texts):
+        raw = (t or "").encode("utf-8")
+        i = 0
+        while len(raw) - i > LOT and (gap := GAP.search(raw, i + LOT)):
+            lot = Lot([*held, (k, raw[i : gap.end()], i == 0, False)], carried)
+            carried = lot.tokens[-1] if lot.lengths[-1] else (START if i == 0 else carried)
+            held, size = [], 0
+            yield lot
+            i = gap.end()
+        held.append((k, raw[i:] if i else raw, i == 0, True))
+        size += len(raw) - i + 1
+        if size >= LOT:
+            yield Lot(held, carried)
+            held, size = [], 0
+    if held:
+        yield Lot(held, carried)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 10 == 0, F.lit(False))
 
 
-def count(docs: DataFrame, least: int = 2) -> DataFrame:
-    """(pair, key, c): a written table of the words of ``docs`` (text) and of the pairs with a
-    count of ``least`` or more, by their numbers.
+def added_up(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``keys``, sorted, and the sum of each one's ``counts`` (1 each by default)."""
+    if counts is None:
+        keys.sort()
+    else:
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    sums = np.diff(np.append(first, len(keys))) if counts is None else np.add.reduceat(counts, first) if len(keys) else counts
+    return keys[first], sums
+
 
-    Workers count what they hold; the counts are dealt by key, sorted (spilling), and
-    summed in a stream.
+_SHARDS = "shard int, n long, v long, ones long, levels array<bigint>, words binary, counts binary, word_bits binary, pair_bits binary"
+
+
+def count(docs: DataFrame, n: int, bits: float = BITS) -> DataFrame:
+    """The counts of the words and pairs of ``docs`` (text) in ``n`` shards, a written table.
+
+    Of each shard: tokens, distinct words, words seen once, and the number of words of each
+    level; the words' numbers and exact counts; the filters of words and of pairs.  A
+    shard without words or pairs has no row.
     """
-    names = ["pair", "key", "c"]
 
     def counted(batches):
         held: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
@@ -246,277 +281,303 @@ def count(docs: DataFrame, least: int = 2) -> DataFrame:
 
         def out():
             for pair, parts in enumerate(held):
-                key, c = np.unique(np.concatenate(parts), return_counts=True)
-                for i in range(0, len(key), 100_000):
-                    k = key[i : i + 100_000].view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), pair == 1)), pa.array(k), pa.array(c[i : i + 100_000], pa.int64())], names=names)
+                keys, c = added_up(np.concatenate(parts))
                 parts.clear()
+                rows = [(s, pair == 1, keys[a:b].astype("<u8").tobytes(), c[a:b].astype("<u4").tobytes()) for s, a, b in by_shard(keys, n)]
+                for i in range(0, len(rows), 4096):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[i : i + 4096], strict=True), (pa.int32(), pa.bool_(), pa.binary(), pa.binary()), strict=True)], names=["shard", "pair", "keys", "counts"])
 
         for b in slices(batches, 4096):
-            texts = b.column(0).to_pylist()
-            for i, j in lots(texts):
-                ids, lengths = tokens(texts[i:j])
-                held[0].append(ids)
-                held[1].append(before(ids, lengths))
-                size += len(ids)
+            for lot in lots(b.column(0).to_pylist()):
+                held[0].append(lot.tokens)
+                held[1].append(lot.pairs())
+                size += len(lot.tokens)
                 if size >= HELD:
                     yield from out()
                     size = 0
         if size:
             yield from out()
 
-    def reduced(batches):
-        last, total = None, 0  # the key that may go on in the next batch
-
-        def out(pair, key, c):
-            keep = ~pair | (c >= least)
-            return pa.RecordBatch.from_arrays([pa.array(pair[keep]), pa.array(key[keep]), pa.array(c[keep], pa.int64())], names=names)
-
-        for b in batches:
-            pair, key, c = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(), b.column(2).to_numpy()
-            if not len(key):
-                continue
-            first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (pair[1:] != pair[:-1])))
-            pairs, keys, sums = pair[first], key[first], np.add.reduceat(c, first)
-            if last is not None:
-                if (pairs[0], keys[0]) == last:
-                    sums[0] += total
-                else:
-                    pairs, keys, sums = np.append(last[0], pairs), np.append(last[1], keys), np.append(total, sums)
-            last, total = (pairs[-1], keys[-1]), sums[-1]
-            yield out(pairs[:-1], keys[:-1], sums[:-1])
-        if last is not None:
-            yield out(np.array([last[0]]), np.array([last[1]]), np.array([total]))
-
-    dealt = docs.select("text").mapInArrow(counted, "pair boolean, key long, c long").repartition("key").sortWithinPartitions("pair", "key")
-    return written(dealt.mapInArrow(reduced, "pair boolean, key long, c long"), "counts")
+    def gathered(batches):
+        now = None
+        held: dict[bool, list[tuple[np.ndarray, np.ndarray]]] = {False: [], True: []}
+        size = {False: 0, True: 0}
 
+        def add_up(pair):
+            keys, c = added_up(np.concatenate([k for k, _ in held[pair]] or [np.zeros(0, np.uint64)]), np.concatenate([c for _, c in held[pair]] or [np.zeros(0, np.int64)]))
+            held[pair], size[pair] = [(keys, c)], 0
+            return keys, c
 
-def keyed(df: DataFrame, kind: int) -> DataFrame:
-    """``df`` (number, c) as a filter's entries (key, level)."""
+        def out():
+            words, c = add_up(False)
+            pairs, of_pairs = add_up(True)
+            row = [now, int(c.sum()), len(c), int((c == 1).sum()), np.bincount(level(c), minlength=_LEVELS).tolist(), words.tobytes(), c.astype("<i8").tobytes(), fill(words, c, 2 * bits).tobytes(), fill(pairs, of_pairs, bits).tobytes()]
+            for pair in held:
+                held[pair] = []
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int32(), *[pa.int64()] * 3, pa.list_(pa.int64()), *[pa.binary()] * 4), strict=True)], names=[x.split()[0] for x in _SHARDS.split(", ")])
 
-    def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(keys_of(b.column(0).to_numpy().view(np.uint64), kind).view(np.int64)), b.column(1)], names=["key", "level"])
+            for shard, pair, keys, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
+                if now is not None and shard != now:
+                    yield out()
+                now = shard
+                held[pair].append((np.frombuffer(keys.as_buffer(), "<u8").copy(), np.frombuffer(c.as_buffer(), "<u4").astype(np.int64)))
+                size[pair] += len(held[pair][-1][0])
+                if size[pair] >= GATHERED:
+                    add_up(pair)
+        if now is not None:
+            yield out()
 
-    return df.select(F.col(df.columns[0]), level_column("c").alias("level")).mapInArrow(run, "key long, level int")
+    dealt = docs.select("text").mapInArrow(counted, "shard int, pair boolean, keys binary, counts binary").repartition("shard").sortWithinPartitions("shard")
+    return written(dealt.mapInArrow(gathered, _SHARDS), "counts", plain=True)
 
 
 class Model:
-    """Exact counts, and the filters of words with contexts and of pairs."""
-
-    def __init__(self, docs: DataFrame, word_bytes: int = WORD_BYTES, top: int = TOP):
-        spark = docs.sparkSession
-        counts = count(docs, MIN_PAIR)
-        self.words = counts.where("not pair").select(F.col("key").alias("word"), "c")
-        pairs = counts.where("pair").select(F.col("key").alias("of"), "c")
-        stats = self.words.agg(F.sum("c"), F.count("*"), F.count_if(F.col("c") == 1)).first()
-        self.n, self.v, ones = stats[0] or 0, stats[1], stats[2]
+    """Exact counts, and the filters of words and of pairs, in shards."""
+
+    def __init__(self, docs: DataFrame, top: int = TOP, shard_text: int = SHARD_TEXT, bits: float = BITS):
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        self.n_shards = max(1, math.ceil(size / shard_text))
+        self.shards = count(docs, self.n_shards, bits)
+        stats = self.shards.agg(F.sum("n"), F.sum("v"), F.sum("ones"), F.sum(F.octet_length("word_bits") + F.octet_length("pair_bits"))).first()
+        self.n, self.v, ones, self.filter_bytes = (x or 0 for x in stats)
         self.unknown = (ones + 0.5) / (self.n + 1)
         #: 0.1 added to each count of the base model
         self.base_total = self.n + 0.1 * (self.v + 1)
-        by_count = self.words.groupBy(level_column("c").alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect()  # some dozens
+        by_level = self.shards.select(F.posexplode("levels").alias("level", "n")).groupBy("level").agg(F.sum("n").alias("n")).where("n > 0").orderBy(F.desc("level")).collect()
         # The words of the highest levels, as many levels as hold at most ``top`` words.
         frequent, least = 0, None
-        for r in by_count:
+        for r in by_level:
             frequent += r.n
             if frequent > top:
                 break
             least = r.level
-        rows = sorted((r.word & 0xFFFFFFFFFFFFFFFF, r.c) for r in self.words.where(level_column("c") >= least).collect()) if least else []
+        rows = sorted((r.word & 0xFFFFFFFFFFFFFFFF, r.c) for r in self.words(least).collect()) if least else []
         self.top = np.array([w for w, _ in rows], np.uint64), np.array([c for _, c in rows], np.int64)
-        contexts = written(pairs.groupBy(F.expr("shiftrightunsigned(of, 32)").alias("context")).agg(F.sum("c").alias("c")), "contexts")
-        starts = spark.createDataFrame([(int(START.view(np.int64)), docs.count())], "word long, c long").where("c > 0")
-
-        #: The level from which words fit beside the contexts: 1 where one broadcast has all,
-        #: else words and contexts go by passes of ``word_bytes``.
-        self.word_bytes = word_bytes
-        room = word_bytes * 8 / BITS - (contexts.agg(F.sum(level_column("c"))).first()[0] or 0)
-        self.least_level = 1
-        for r in by_count:
-            room -= r.level * r.n
-            if room < 0:
-                self.least_level = r.level + 1
-                break
-        words = keyed(self.words.unionByName(starts), WORD_KIND).unionByName(keyed(contexts, CONTEXT_KIND))
-        self.word_table, self.word_shards, self.word_size = build(written(words, "word-keys"), "word-filter")
-        self.pair_table, self.pair_shards, self.pair_size = build(written(keyed(pairs, PAIR_KIND), "pair-keys"), "pair-filter")
 
+    def words(self, least: int = 1) -> DataFrame:
+        """(word, c): the words of level ``least`` or more by number, with exact counts."""
+
+        def run(batches):
+            for b in batches:
+                for words, counts in zip(b.column(0), b.column(1), strict=True):
+                    w, c = np.frombuffer(words.as_buffer(), "<i8"), np.frombuffer(counts.as_buffer(), "<i8")
+                    some = level(c) >= least
+                    yield pa.RecordBatch.from_arrays([pa.array(w[some]), pa.array(c[some])], names=["word", "c"])
+
+        return self.shards.select("words", "counts").mapInArrow(run, "word long, c long")
+
+    def filter(self, bits: str) -> Filter:
+        """The whole filter ``word_bits`` or ``pair_bits`` on the driver, gathered part by part."""
+        sizes = np.ones(self.n_shards, np.int64)
+        for r in self.shards.select("shard", (F.octet_length(bits) / 8).cast("int").alias("size")).collect():
+            sizes[r.shard] = r.size
+        out = Filter(np.zeros(int(sizes.sum()), "<u8"), sizes)
+        for r in self.shards.select("shard", bits).toLocalIterator():
+            out.data[out.starts[r.shard] : out.starts[r.shard] + sizes[r.shard]] = np.frombuffer(r[1], "<u8")
+        return out
 
-def word_levels(words: Shards, hashes: np.ndarray) -> np.ndarray:
-    """The levels of each word, and below them of each as a context; 0 where the shard isn't
-    held."""
-    return np.stack([words.levels(keys_of(hashes, WORD_KIND)), words.levels(keys_of(hashes & np.uint64(0xFFFFFFFF), CONTEXT_KIND))])
 
+def log_chances(c: np.ndarray, before: np.ndarray, both: np.ndarray, n: int, unknown: float) -> np.ndarray:
+    """The log10 probabilities of tokens with probed counts ``c`` after tokens with ``before``,
+    where the pairs have ``both``."""
+    p = np.where(c > 0, (1 - unknown) * c / max(n, 1), unknown)
+    return np.log10((both + MU * p) / (np.maximum(before, both) + MU))
 
-def levels_by_passes(fixed: DataFrame, model: Model) -> tuple[DataFrame, np.ndarray]:
-    """``fixed`` (text, row, ...) with a column ``levels``, each token's levels as a word, then
-    as a context, a byte each; and a text's start's levels."""
-    spark = fixed.sparkSession
-    per = max(1, model.word_bytes // (8 * model.word_size))
-    shape = model.word_shards, model.word_size
-    start, more = np.zeros((2, 1), np.int64), None
 
-    def run_pass(held):
-        def run(batches):
-            words = Shards(*shape, held.value)
-            for b in slices(batches, 4096):
-                texts = b.column(0).to_pylist()
-                for i, j in lots(texts):
-                    x = Batch(texts[i:j])
-                    got = word_levels(words, x.hashes)[:, x.ids].astype(np.uint8)
-                    each = [got[:, s : s + n].tobytes() for s, n in zip(x.starts.tolist(), x.lengths.tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays([b.column(1).slice(i, j - i), pa.array(each, pa.binary())], names=["row", "part"])
-
-        return run
-
-    for i in range(0, model.word_shards, per):
-        held = {r.shard: bytes(r.bits) for r in model.word_table.where(F.col("shard").between(i, i + per - 1)).collect()}
-        start += word_levels(Shards(*shape, held), np.array([START]))
-        shared = spark.sparkContext.broadcast(held)
-        part = written(fixed.select("text", "row").mapInArrow(run_pass(shared), "row long, part binary"), "word-levels")
-        shared.unpersist()
-        more = part if more is None else more.union(part)
-
-    def summed(batches):
+_RECORD = {"doc_id": pa.list_(pa.int64()), "held_out": pa.list_(pa.bool_()), "n_tokens": pa.binary(), "known": pa.binary(), "base": pa.binary(), "score": pa.binary(), "words": pa.binary(), "word_of": pa.binary(), "per_doc": pa.binary(), "pairs": pa.binary(), "pair_of": pa.binary()}
+_RECORD_SCHEMA = "doc_id array<bigint>, held_out array<boolean>, " + ", ".join(f"{c} binary" for c in list(_RECORD)[2:])
+
+
+class Record:
+    """Texts whose lookups are dealt as one: what is known of them, and the numbers to look up."""
+
+    def __init__(self):
+        self.doc_id, self.held_out = [], []
+        self.n_tokens, self.known, self.base, self.score, self.per_doc = ([] for _ in range(5))
+        self.words, self.pairs, self.size = [], [], 0
+
+    def add(self, lot: Lot, columns: pa.RecordBatch, known=None, base=None, score=None, words=None, per=None, pairs=None) -> None:
+        """The pieces of ``lot``: texts of ``columns`` (doc_id, held_out); a piece whose text
+        is here already adds to its values."""
+        for at, k in enumerate(lot.of.tolist()):
+            if k != self.last:
+                self.last = k
+                self.doc_id.append(columns.column(1)[k].as_py())
+                self.held_out.append(columns.column(2)[k].as_py())
+                for values in (self.n_tokens, self.known, self.base, self.score, self.per_doc):
+                    values.append(0)
+            for values, more in ((self.n_tokens, lot.lengths), (self.known, known), (self.base, base), (self.score, score), (self.per_doc, per)):
+                if more is not None:
+                    values[-1] += more[at].item()
+        self.words.append(words)
+        if pairs is not None:
+            self.pairs.append(pairs)
+        self.size += len(lot.tokens)
+
+    last = None
+
+    def out(self) -> pa.RecordBatch:
+        packed = []
+        for parts in (self.words, self.pairs):
+            keys, of = np.unique(np.concatenate([np.zeros(0, np.uint64), *parts]), return_inverse=True)
+            packed.append((keys.astype("<u8").tobytes(), of.astype("<u4").tobytes()))
+        (words, word_of), (pairs, pair_of) = packed
+        row = [self.doc_id, self.held_out, *(np.array(x, k).tobytes() for x, k in ((self.n_tokens, "<i8"), (self.known, "<i8"), (self.base, "<f8"), (self.score, "<f8"))), words, word_of, np.array(self.per_doc, "<i8").tobytes(), pairs, pair_of]
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _RECORD.values(), strict=True)], names=list(_RECORD))
+
+
+def looked_up(records: DataFrame, model: Model, dealt: bool) -> DataFrame:
+    """(lot, pair, at, counts, levels) for the numbers of each record: the words' exact
+    counts, and, where ``dealt``, the levels that words and pairs reach in the filters."""
+    n = model.n_shards
+
+    def probes(batches):
+        rows = []
+
+        def out():
+            batch = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()), strict=True)], names=["shard", "lot", "pair", "at", "a"])
+            rows.clear()
+            return batch
+
         for b in batches:
-            sums = [np.sum([np.frombuffer(p, np.uint8) for p in parts], axis=0, dtype=np.uint8).tobytes() for parts in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sums, pa.binary())], names=["row", "levels"])
-
-    levels = more.groupBy("row").agg(F.collect_list("part").alias("parts")).mapInArrow(summed, "row long, levels binary")
-    return written(fixed.join(levels, "row").select(*fixed.columns, "levels"), "leveled"), start
-
-
-class Scorer:
-    """Scores batches of texts by the filters' shards that it holds."""
-
-    def __init__(self, words: Shards, pairs: Shards, n: int, unknown: float, start: np.ndarray | None = None):
-        """``start``: the levels of a text's start; by default ``words`` has them."""
-        self.words, self.pairs, self.n, self.unknown = words, pairs, n, unknown
-        (self.start_rest,), (self.start_whole,) = self.shares(*count_of(word_levels(words, np.array([START])) if start is None else start))
-
-    def counts(self, hashes: np.ndarray) -> np.ndarray:
-        return count_of(self.words.levels(keys_of(hashes, WORD_KIND)))
-
-    def contexts(self, c: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Each word's share, as a context, that goes to p(w), and its whole."""
-        return self.shares(c, count_of(self.words.levels(keys_of(hashes & np.uint64(0xFFFFFFFF), CONTEXT_KIND))))
-
-    def shares(self, c: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return np.maximum(c - r, 0) + MU, np.maximum(c, r) + MU
-
-    def scores(self, x: Batch, levels: np.ndarray | None = None) -> np.ndarray:
-        """Each text's sum over the tokens whose pair's shard is held.
-
-        ``levels``: those of each token as a word and as a context; by default ``words``
-        has them.
-        """
-        if levels is None:
-            found = word_levels(self.words, x.hashes)
-        else:
-            found = np.zeros((2, len(x.hashes)), np.int64)
-            found[:, x.ids] = levels
-        c, r = count_of(found)
-        p1 = np.where(c > 0, (1 - self.unknown) * c / max(self.n, 1), self.unknown)
-        rest, whole = self.shares(c, r)
-        rest_at, whole_at = np.empty(len(x.ids)), np.empty(len(x.ids))
-        rest_at[1:], whole_at[1:] = rest[x.ids[:-1]], whole[x.ids[:-1]]
-        rest_at[x.starts], whole_at[x.starts] = self.start_rest, self.start_whole
-        found, held = self.pair_levels(x.pairs())
-        c2 = np.where(found >= MIN_PAIR, count_of(found), 0)
-        term = np.log10((c2 + rest_at * p1[x.ids]) / whole_at)
-        term[~held] = 0  # another pass has the shard
-        return np.add.reduceat(term, x.starts)
-
-    def pair_levels(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Levels of all pairs, and whether their shards are held; each distinct pair is
-        probed once."""
-        distinct, of = np.unique(keys_of(pairs, PAIR_KIND), return_inverse=True)
-        return self.pairs.levels(distinct)[of], (self.pairs.base(distinct) >= 0)[of]
-
-
-def score(docs: DataFrame, model: Model, pass_bytes: int = PASS_BYTES) -> DataFrame:
+            for i in range(b.num_rows):
+                for pair in (False, True):
+                    keys = np.frombuffer(b.column(1 + pair)[i].as_buffer(), "<u8")
+                    for s, first, last in by_shard(keys, n):
+                        rows.append((s, b.column(0)[i].as_py(), pair, first, keys[first:last].tobytes()))
+                        if len(rows) >= 8192:
+                            yield out()
+        if rows:
+            yield out()
+
+    def answered(batches):
+        now, held = None, {}
+        for b in batches:
+            rows = []
+            for shard, lot, pair, at, *parts in zip(*(b.column(i).to_pylist() for i in range(4)), *(b.column(i) for i in range(4, 8)), strict=True):
+                if shard != now:
+                    now, held = shard, {}
+                if lot is None:  # the shard itself, which sorts first
+                    words, counts, *bits = (np.frombuffer(p.as_buffer(), "<u8") for p in parts)
+                    held = {"words": words.copy(), "counts": counts.copy(), "bits": [x.copy() for x in bits]}
+                    continue
+                keys = np.frombuffer(parts[0].as_buffer(), "<u8")
+                counts, levels = np.zeros(0 if pair else len(keys), "<i8"), np.zeros(len(keys) if dealt else 0, np.uint8)
+                if held:
+                    if not pair and len(held["words"]):
+                        where = np.minimum(np.searchsorted(held["words"], keys), len(held["words"]) - 1)
+                        counts = np.where(held["words"][where] == keys, held["counts"][where], 0).astype("<i8")
+                    if dealt:
+                        bits = held["bits"][pair]
+                        levels = _probe(bits, keys)
+                rows.append((lot, pair, at, counts.tobytes(), levels.tobytes()))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["lot", "pair", "at", "counts", "levels"])
+
+    asked = records.select("lot", "words", "pairs").mapInArrow(probes, "shard int, lot long, pair boolean, at long, a binary")
+    none = F.lit(b"")
+    bits = [F.col(c) if dealt else none for c in ("word_bits", "pair_bits")]
+    shards = model.shards.select("shard", F.lit(None).cast("long").alias("lot"), F.lit(False).alias("pair"), F.lit(0).cast("long").alias("at"), F.col("words").alias("a"), F.col("counts").alias("b"), bits[0].alias("c"), bits[1].alias("d"))
+    both = shards.unionByName(asked.withColumns({c: none for c in "bcd"}))
+    return both.repartition("shard").sortWithinPartitions("shard", F.col("lot").asc_nulls_first()).mapInArrow(answered, "lot long, pair boolean, at long, counts binary, levels binary")
+
+
+def _probe(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Levels in a shard's own bits."""
+    out, left, at = np.zeros(len(keys), np.uint8), np.arange(len(keys)), 0
+    while len(left) and at < _LEVELS - 1:
+        at += 1
+        word, wanted = spots(keys, at, len(bits))
+        hit = bits[word] & wanted == wanted
+        left, keys = left[hit], keys[hit]
+        out[left] = at
+    return out
+
+
+def score(docs: DataFrame, model: Model, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """``docs``' doc_id with held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
-    broadcast = spark.sparkContext.broadcast
-    top = broadcast(model.top)
+    dealt = model.filter_bytes > filter_bytes
+    n, unknown, base_total, top = model.n, model.unknown, model.base_total, model.top
+    shared = spark.sparkContext.broadcast((*model.top, *((x.data, x.sizes) for x in (model.filter("word_bits"), model.filter("pair_bits"))))) if not dealt else None
+
+    def first_pass(batches):
+        filters = [Filter(*x) for x in shared.value[2:]] if shared else []
+        top_words, top_counts = shared.value[:2] if shared else (None, None)
+        start = count_of(filters[0].levels(np.array([END]))) if filters else None
+        record = Record()
+        for b in slices(batches, 4096):
+            record.last = None
+            last = start  # the probed count of the token before the piece
+            for lot in lots(b.column(0).to_pylist()):
+                if record.size * 6 >= RECORD and record.last != lot.of[0]:
+                    yield record.out()
+                    record = Record()
+                if not filters:
+                    record.add(lot, b, words=lot.tokens, per=lot.lengths, pairs=lot.pairs())
+                    continue
+                hashes, ids = np.unique(lot.tokens, return_inverse=True)
+                c = count_of(filters[0].levels(hashes))[ids]
+                before = np.append(last, c[:-1])[: len(c)]
+                before[lot.before == START] = start[0]
+                if len(c):
+                    last = c[-1:]
+                both = count_of(filters[1].levels(lot.pairs()))
+                exact = np.zeros(len(hashes), np.int64)
+                if len(top_words):
+                    at = np.minimum(np.searchsorted(top_words, hashes), len(top_words) - 1)
+                    exact = np.where(top_words[at] == hashes, top_counts[at], 0)
+                here = (exact > 0)[ids]
+                base = np.where(here, np.log10((exact + 0.1) / base_total)[ids], 0)
+                known = lot.sums(here).astype(np.int64)
+                record.add(lot, b, known, lot.sums(base), lot.sums(log_chances(c, before, both, n, unknown)), lot.tokens[~here], lot.lengths - known)
+        if record.size:
+            yield record.out()
+
     plain = docs.select("text", "doc_id", held_out().alias("held_out"))
-    by_passes = model.least_level > 1
-    word_filter, start = None, None
-    if by_passes:
-        plain, start = levels_by_passes(written(plain.withColumn("row", F.monotonically_increasing_id()), "numbered"), model)
-    else:
-        word_filter = broadcast({r.shard: bytes(r.bits) for r in model.word_table.collect()})
-    n, unknown, base_total = model.n, model.unknown, model.base_total
-    shapes = (model.word_shards, model.word_size), (model.pair_shards, model.pair_size)
+    records = written(plain.mapInArrow(first_pass, _RECORD_SCHEMA).withColumn("lot", F.monotonically_increasing_id()), "records", plain=True)
+    answers = looked_up(records, model, dealt)
 
-    def run_pass(held, first: bool):
-        def run(batches):
-            scorer = Scorer(Shards(*shapes[0], word_filter.value if word_filter else {}), Shards(*shapes[1], held.value), n, unknown, start)
-            top_words, top_counts = top.value
-            for b in slices(batches, 4096):
-                texts = b.column(0).to_pylist()
-                for i, j in lots(texts):
-                    x = Batch(texts[i:j])
-                    part = b.slice(i, j - i)
-                    levels = None
-                    if by_passes:  # the last column
-                        each = [np.frombuffer(v, np.uint8).reshape(2, -1) for v in part.column(part.num_columns - 1).to_pylist()]
-                        levels = np.concatenate(each, axis=1)
-                    scores = pa.array(scorer.scores(x, levels))
-                    if not first:
-                        yield pa.RecordBatch.from_arrays([part.column(1), scores], names=["row", "score"])
-                        continue
-                    exact = np.zeros(len(x.hashes), np.int64)
-                    if len(top_words):
-                        at = np.minimum(np.searchsorted(top_words, x.hashes), len(top_words) - 1)
-                        exact = np.where(top_words[at] == x.hashes, top_counts[at], 0)
-                    logs = np.log10((exact + 0.1) / base_total)
-                    here = (exact > 0)[x.ids]
-                    base = np.add.reduceat(np.where(here, logs[x.ids], 0), x.starts)
-                    n_known = np.add.reduceat(here.astype(np.int64), x.starts)
-                    offsets = np.append(0, np.cumsum(x.lengths - n_known)).astype(np.int32)
-                    rare = pa.ListArray.from_arrays(offsets, pa.array(x.tokens[~here].view(np.int64)))
-                    yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), pa.array(x.lengths), pa.array(n_known), pa.array(base), scores, rare], names=["doc_id", "held_out", "n_tokens", "known", "base", "score", "rare"])
-
-        return run
-
-    # Shards of pairs by pass, each pass's broadcast under the bound.
-    per = max(1, pass_bytes // (8 * model.pair_size))
-    passes = [list(range(i, min(i + per, model.pair_shards))) for i in range(0, model.pair_shards, per)]
-
-    def shards_of(p: list[int]):
-        return broadcast({r.shard: bytes(r.bits) for r in model.pair_table.where(F.col("shard").isin(p)).collect()})
-
-    levels = ["levels"] if by_passes else []
-    first = "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rare array<bigint>"
-    if len(passes) == 1:
-        scored = written(plain.select("text", "doc_id", "held_out", *levels).mapInArrow(run_pass(shards_of(passes[0]), True), first).withColumn("row", F.monotonically_increasing_id()), "scored")
-    else:
-        # Passes are matched by row number, which a written table fixes.
-        fixed = plain if by_passes else written(plain.withColumn("row", F.monotonically_increasing_id()), "numbered")
-        parts = written(fixed.select("text", F.col("row").alias("doc_id"), "held_out", *levels).mapInArrow(run_pass(shards_of(passes[0]), True), first).withColumnRenamed("doc_id", "row"), "scored")
-        more = None
-        for p in passes[1:]:
-            part = written(fixed.select("text", "row", *levels).mapInArrow(run_pass(shards_of(p), False), "row long, score double"), "pass")
-            more = part if more is None else more.union(part)
-        added = more.groupBy("row").agg(F.sum("score").alias("more"))
-        scored = fixed.select("row", "doc_id").join(parts, "row").join(added, "row").withColumn("score", F.col("score") + F.col("more"))
-        scored = written(scored, "summed")
-
-    rare = scored.select("row", F.explode("rare").alias("word"))
-    counted = rare.join(model.words, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    sums = counted.groupBy("row").agg(F.sum(F.log10((F.col("c") + 0.1) / base_total)).alias("base_more"), F.count_if(F.col("c") > 0).alias("known_more"))
-    joined = scored.drop("rare").join(sums, "row", "left")
-    return joined.select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("known") + F.coalesce("known_more", F.lit(0))).alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("base_more", F.lit(0.0))).alias("base_score"),
-        "score",
-    )
+    def finished(batches):
+        row, got = None, {}
+
+        def out():
+            doc_id, ids_out, n_tokens, known, base, scores, words, word_of, per_doc, pairs, pair_of = row
+            n_tokens, known, per_doc = (np.frombuffer(x, "<i8") for x in (n_tokens, known, per_doc))
+            base, scores, word_of, pair_of = np.frombuffer(base, "<f8"), np.frombuffer(scores, "<f8"), np.frombuffer(word_of, "<u4"), np.frombuffer(pair_of, "<u4")
+            counts = np.frombuffer(b"".join(got[False][0]), "<i8")
+            doc = np.repeat(np.arange(len(n_tokens)), per_doc)
+            logs = np.log10((counts + 0.1) / base_total)
+            base = base + np.bincount(doc, logs[word_of], len(n_tokens))
+            known = known + np.bincount(doc, (counts > 0)[word_of], len(n_tokens)).astype(np.int64)
+            if dealt:
+                c = count_of(np.frombuffer(b"".join(got[False][1]), np.uint8))[word_of]
+                both = count_of(np.frombuffer(b"".join(got[True][1]), np.uint8))[pair_of]
+                before = np.append(0.0, c[:-1])
+                ends = np.cumsum(n_tokens) - 1  # a text's start has the count of its end
+                before[ends - n_tokens + 1] = c[ends]
+                scores = scores + np.bincount(doc, log_chances(c, before, both, n, unknown), len(n_tokens))
+            return pa.RecordBatch.from_arrays([pa.array(doc_id, pa.int64()), pa.array(ids_out, pa.bool_()), pa.array(n_tokens), pa.array(known), pa.array(base), pa.array(scores)], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+        for b in batches:
+            at = {c: i for i, c in enumerate(b.schema.names)}
+            for i in range(b.num_rows):
+                if b.column(at["tag"])[i].as_py() == 0:
+                    if row is not None:
+                        yield out()
+                    row, got = [b.column(at[c])[i].as_py() for c in _RECORD], {False: ([], []), True: ([], [])}
+                else:
+                    mine = got[b.column(at["pair"])[i].as_py()]
+                    mine[0].append(b.column(at["counts"])[i].as_py())
+                    mine[1].append(b.column(at["levels"])[i].as_py())
+        if row is not None:
+            yield out()
+
+    # A record comes before its answers, which come in order.
+    both = records.withColumn("tag", F.lit(0)).unionByName(answers.withColumn("tag", F.lit(1)), allowMissingColumns=True)
+    done = both.repartition("lot").sortWithinPartitions("lot", "tag", "pair", "at").mapInArrow(finished, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return done.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,168 +9,202 @@ from pyspark.sql import functions as F
 from pairloom.llm import lm as L
 
 
+def tokens(text):
+    return [*(text or "").encode().lower().split(), b" end"]
+
+
 def base(rows):
-    """{index: (held_out, n_tokens, n_known, N, base_score)} by plain counting."""
-    toks = [[*(t or "").encode().lower().split(), b" end"] for _, t in rows]
+    """[(held_out, n_tokens, n_known, N, base_score)] by plain counting."""
+    toks = [tokens(t) for _, t in rows]
     out = [d is not None and zlib.crc32(str(d).encode()) % 10 == 0 for d, _ in rows]
     c = Counter(w for ws, o in zip(toks, out, strict=True) if not o for w in ws)
     n, v = sum(c.values()), len(c)
     return [(o, len(ws), sum(w in c for w in ws), n, sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws)) for ws, o in zip(toks, out, strict=True)]
 
 
+def quantised(c):
+    """The count that a level gives back, by search: levels begin at 1, 2, 3 and 4 * sqrt(2)**k."""
+    if c < 4:
+        return float(c)
+    k = 0
+    while 4 * 2 ** ((k + 1) / 2) <= c * (1 + 1e-9):
+        k += 1
+    return 4 * 2 ** (k / 2) * 2**0.25
+
+
+def twin(rows):
+    """The model's scores from exact counts in dictionaries, quantised; no filter."""
+    toks = [tokens(t) for _, t in rows]
+    train = [ws for (d, _), ws in zip(rows, toks, strict=True) if d is None or zlib.crc32(str(d).encode()) % 10]
+    words, pairs = Counter(), Counter()
+    for ws in train:
+        words.update(ws)
+        pairs.update(zip([b" start", *ws], ws, strict=False))
+    n = sum(words.values())
+    u = (sum(c == 1 for c in words.values()) + 0.5) / (n + 1)
+    words[b" start"] = len(train)
+    out = []
+    for ws in toks:
+        total = 0.0
+        for h, w in zip([b" start", *ws], ws, strict=False):
+            c, ch, both = (quantised(x) for x in (words[w], words[h], pairs[h, w]))
+            p = (1 - u) * c / n if c else u
+            total += math.log10((both + L.MU * p) / (max(ch, both) + L.MU))
+        out.append(total)
+    return out
+
+
 def test_levels():
     c = np.array([1, 2, 3, 4, 5, 6, 7, 8, 12, 1000, 10**9])
     q = L.level(c)
     assert q[:4].tolist() == [1, 2, 3, 4] and (np.diff(q) >= 0).all()
     assert (np.abs(np.log(L.count_of(q) / c)) <= math.log(2) / 4 + 1e-6).all()
     assert L.count_of(np.array([0])).tolist() == [0]
+    assert [quantised(x) for x in c.tolist()] == pytest.approx(L.count_of(q).tolist())
 
 
-def test_filter_gives_levels_back(spark, monkeypatch):
+@pytest.mark.parametrize("n", [1, 7])
+def test_filter_gives_levels_back(n):
     rng = np.random.default_rng(1)
-    keys = rng.integers(0, 2**64, 5000, dtype=np.uint64)
-    q = rng.integers(1, 9, 5000)
-    for size in (L.SHARD_BYTES, 2000):
-        monkeypatch.setattr(L, "SHARD_BYTES", size)
-        df = spark.createDataFrame(list(zip(keys.view(np.int64).tolist(), q.tolist(), strict=True)), "key long, level int")
-        table, n, bits = L.build(df, "test")
-        rows = {r.shard: bytes(r.bits) for r in table.collect()}
-        assert (n > 1) == (size == 2000) and set(rows) == set(range(n))
-        got = L.Shards(n, bits, rows).levels(keys)
-        assert (got >= q).all() and (got > q).mean() < 0.05
-        others = L.Shards(n, bits, rows).levels(rng.integers(0, 2**64, 20000, dtype=np.uint64))
-        assert (others > 0).mean() < 0.04
-        if n > 1:  # shards that aren't held aren't probed
-            some = L.Shards(n, bits, {0: rows[0]})
-            assert ((some.levels(keys) > 0) == (keys % np.uint64(n) == 0)).all()
+    keys = np.sort(rng.integers(0, 2**64, 5000, dtype=np.uint64))
+    counts = rng.integers(1, 30, 5000)
+    parts = {s: L.fill(keys[a:b], counts[a:b]) for s, a, b in L.by_shard(keys, n)}
+    assert set(parts) == set(range(n)) and (np.diff(L.shard_of(keys, n)) >= 0).all()
+    f = L.Filter(np.concatenate([parts[s] for s in range(n)]), np.array([len(parts[s]) for s in range(n)]))
+    got, q = f.levels(keys), L.level(counts)
+    assert (got >= q).all() and (got > q).mean() < 0.05
+    assert (f.levels(rng.integers(0, 2**64, 20000, dtype=np.uint64)) > 0).mean() < 0.04
+    s, a, b = list(L.by_shard(keys, n))[-1]
+    assert (L._probe(parts[s], keys[a:b]) == got[a:b]).all()
+    assert list(L.by_shard(keys[:0], n)) == [] and len(f.levels(keys[:0])) == 0
 
 
 def test_query_base_and_model(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = {r.doc_id: r for r in L.query(spark, sf).collect()}
     assert len(got) == len(rows)
-    for (d, _), want in zip(rows, base(rows), strict=True):
+    for (d, _), want, exact in zip(rows, base(rows), twin(rows), strict=True):
         r = got[d]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == want[:4]
         assert r.base_score == pytest.approx(want[4], rel=1e-9)
         assert math.isfinite(r.score) and r.score < 0
+        assert r.score == pytest.approx(exact, rel=0.1, abs=1)  # some two probes in a hundred err
+    assert sum(r.score for r in got.values()) == pytest.approx(sum(twin(rows)), rel=0.01)
     out = [r for r in got.values() if r.held_out]
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
-def test_pairs_are_counted(spark):
+@pytest.mark.parametrize("filter_bytes", [L.FILTER_BYTES, 0])
+def test_scores_equal_exact_counts(spark, sf, filter_bytes):
+    """With so many bits that no probe errs, scores are those of exact, quantised counts:
+    whether the filter is broadcast or probes are dealt to its shards."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").limit(60).repartition(3)
+    docs = docs.unionByName(spark.createDataFrame([(-1, None), (-2, ""), (None, "the  THE the"), (-3, "é É never-seen")], "doc_id long, text string"))
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    model = L.Model(docs.where(~L.held_out()), top=50, shard_text=20_000, bits=400.0)
+    assert model.n_shards > 3
+    got = {r.doc_id: r for r in L.score(docs, model, filter_bytes).collect()}
+    assert len(got) == len(rows)
+    for (d, _), want, exact in zip(rows, base(rows), twin(rows), strict=True):
+        assert got[d].score == pytest.approx(exact, rel=1e-9)
+        assert got[d].base_score == pytest.approx(want[4], rel=1e-9)
+        assert (got[d].n_tokens, got[d].n_known) == (want[1], want[2])
+
+
+def test_counts(spark):
     texts = ["a b a b", "A b c", None, "a b"]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
-    rows = L.count(df.repartition(3)).collect()
-    want, words = Counter(), Counter()
-    for t in texts:
-        want.update(L.Batch([t]).pairs().tolist())
-        words.update(L.tokens([t])[0].tolist())
-    assert {r.key & (2**64 - 1): r.c for r in rows if r.pair} == {k: c for k, c in want.items() if c >= 2}
-    assert {r.key & (2**64 - 1): r.c for r in rows if not r.pair} == words and max(words.values()) == 4
+    model = L.Model(df.repartition(3), shard_text=5)
+    want = Counter(w for t in texts for w in L.Lot([(0, (t or "").encode(), True, True)]).tokens.tolist())
+    assert model.n_shards > 1 and {r.word & (2**64 - 1): r.c for r in model.words().collect()} == want
+    assert (model.n, model.v) == (sum(want.values()), len(want))
+    assert {r.c for r in model.words(3).collect()} == {c for c in want.values() if c >= 3}
+    pairs = Counter(p for lot in L.lots(texts) for p in lot.pairs().tolist())
+    keys = np.array(list(pairs), np.uint64)
+    assert (model.filter("pair_bits").levels(keys) >= L.level(list(pairs.values()))).all()
 
 
 def test_numbers_of_words(monkeypatch):
     texts = ["The cat", None, "", " \n", "the  CAT the\tÉ é\x1cx", "x" * 3000 + " y", "a aa aaa b ab ba"]
-    ids, lengths = L.tokens(texts)
-    words = [[*(t or "").encode().lower().split(), b" end"] for t in texts]
-    assert lengths.tolist() == [len(w) for w in words]
-    flat = [w for ws in words for w in ws]
-    assert len({(w, i) for w, i in zip(flat, ids.tolist(), strict=True)}) == len(set(flat)) == len(set(ids.tolist()))
-    monkeypatch.setattr(L, "LOT", 3)
-    assert L.tokens(texts)[0].tolist() == ids.tolist()
-    assert [L.tokens([t])[0].tolist() for t in texts] == [p.tolist() for p in np.split(ids, np.cumsum(lengths)[:-1])]
-    assert list(L.lots(texts, 5)) == [(0, 1), (1, 4), (4, 5), (5, 6), (6, 7)]
-    assert list(L.lots([], 5)) == []
-
-
-def test_passes_add_up(spark, monkeypatch):
-    """With small shards and bounds: several passes, a small top, the same scores."""
-    rows = [(i, f"the cat {i % 7} sat on the mat {i % 3} of house {i}" * (1 + i % 4)) for i in range(120)]
+    words = [tokens(t) for t in texts]
+
+    def flat():
+        found = list(L.lots(texts))
+        lengths = np.zeros(len(texts), int)
+        for lot in found:
+            np.add.at(lengths, lot.of, lot.lengths)
+        return [np.concatenate([getattr(lot, k) for lot in found]).tolist() for k in ("tokens", "before")], lengths.tolist()
+
+    (ids, before), lengths = flat()
+    assert lengths == [len(w) for w in words]
+    every = [w for ws in words for w in ws]
+    assert len({(w, i) for w, i in zip(every, ids, strict=True)}) == len(set(every)) == len(set(ids))
+    starts = np.cumsum([0, *lengths[:-1]]).tolist()
+    assert before == [int(L.START) if i in starts else ids[i - 1] for i in range(len(ids))]
+    for size in (1, 2, 3, 7, 2999):
+        monkeypatch.setattr(L, "LOT", size)
+        assert flat() == ([ids, before], lengths)
+    assert list(L.lots([])) == []
+
+
+def test_a_very_long_text(spark):
+    """One of four million characters, and one of white space only."""
+    rows = [(1, "one two  three " * 280_000), (2, " \n" * 800_000 + "two"), (3, "two three"), (4, "w" * 1_500_000)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    monkeypatch.setattr(L, "SHARD_BYTES", 100)
-    model = L.Model(df.where(~L.held_out()), top=5)
-    assert model.pair_shards > 2
-    one = {r.doc_id: r for r in L.score(df, model).collect()}
-    many = {r.doc_id: r for r in L.score(df, model, pass_bytes=1).collect()}
-    for d, r in one.items():
-        assert many[d].score == pytest.approx(r.score) and many[d].base_score == pytest.approx(r.base_score)
-    for (d, _), want in zip(rows, base(rows), strict=True):
-        assert one[d].base_score == pytest.approx(want[4]) and one[d].n_known == want[2]
-    tight = L.Model(df.where(~L.held_out()), word_bytes=60)
-    assert tight.least_level > 1
+    model = L.Model(df, bits=100.0)
+    for filter_bytes in (L.FILTER_BYTES, 0):
+        got = {r.doc_id: r for r in L.score(df, model, filter_bytes).collect()}
+        assert [got[i].n_tokens for i in (1, 2, 3, 4)] == [840_001, 2, 3, 2] and got[1].train_tokens == 840_008
+        for (d, _), want, exact in zip(rows, base([(None, t) for _, t in rows]), twin([(None, t) for _, t in rows]), strict=True):
+            assert got[d].score == pytest.approx(exact, rel=1e-6) and got[d].base_score == pytest.approx(want[4], rel=1e-9)
 
 
-@pytest.mark.parametrize("pass_bytes", [L.PASS_BYTES, 1])
-def test_words_and_contexts_keep_their_levels_at_any_size(spark, monkeypatch, pass_bytes):
-    """Words and contexts beyond one broadcast go by passes, with the same scores."""
-    rows = [(i, f"the cat {i % 7} sat on the mat {i % 3} of house {i}" * (1 + i % 4)) for i in range(60)] + [(99, None), (None, "the cat")]
+def test_dealt_probes_give_the_same_scores(spark):
+    rows = [(i, f"the cat {i % 7} sat on the mat {i % 3} of house {i}" * (1 + i % 4)) for i in range(120)] + [(99, None), (None, "the cat")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    monkeypatch.setattr(L, "SHARD_BYTES", 200)
-    train = df.where(~L.held_out())
-    whole = {r.doc_id: r for r in L.score(df, L.Model(train)).collect()}
-    tight = L.Model(train, word_bytes=60)
-    assert tight.least_level > 1 and tight.word_shards > 1
-    got = {r.doc_id: r for r in L.score(df, tight, pass_bytes=pass_bytes).collect()}
-    assert got.keys() == whole.keys()
-    for d, r in got.items():
-        assert r.score == pytest.approx(whole[d].score) and r.base_score == pytest.approx(whole[d].base_score)
+    model = L.Model(df.where(~L.held_out()), top=5, shard_text=500)
+    one = {r.doc_id: r for r in L.score(df, model).collect()}
+    many = {r.doc_id: r for r in L.score(df, model, filter_bytes=0).collect()}
+    assert one.keys() == many.keys()
+    for d, r in one.items():
+        assert many[d].score == pytest.approx(r.score) and many[d].base_score == pytest.approx(r.base_score)
+        assert (many[d].n_known, many[d].n_tokens, many[d].held_out) == (r.n_known, r.n_tokens, r.held_out)
 
 
 def test_probabilities_sum_to_about_one(spark):
-    """Small counts are exact levels: after a context, the known words and the unknown share 1."""
-    rows = [(1, "a b a c a b a d b b"), (3, "a b c d")]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    model = L.Model(df)
-    words = ["a", "b", "c", "d", "zzz"]
-    alone = spark.createDataFrame([(i, f"b a {w}") for i, w in enumerate(words)] + [(90, "b a")], "doc_id long, text string")
-    s = {r.doc_id: r.score for r in L.score(alone, model).collect()}
-    scorer = L.Scorer(
-        L.Shards(model.word_shards, model.word_size, {r.shard: bytes(r.bits) for r in model.word_table.collect()}),
-        L.Shards(model.pair_shards, model.pair_size, {r.shard: bytes(r.bits) for r in model.pair_table.collect()}),
-        model.n,
-        model.unknown,
-    )
-    # the end's share after "b a w" is taken off by scoring it alone
+    """Small counts are exact levels: after a context, the known words, the end and the
+    unknown share 1."""
+    df = spark.createDataFrame([(1, "a b a c a b a d b b"), (3, "a b c d")], "doc_id long, text string")
+    model = L.Model(df, bits=400.0)
+    words, pairs = model.filter("word_bits"), model.filter("pair_bits")
+    of = lambda t: L.Lot([(0, t.encode(), True, True)])
     total = 0.0
-    ends = {w: 10 ** (scorer.scores(L.Batch([f"b a {w} {w}"]))[0] - s[i]) for i, w in enumerate(words)}
-    assert all(0 < x for x in ends.values())
-    for i, w in enumerate(words):
-        x = L.Batch([f"b a {w}"])
-        found, _ = scorer.pair_levels(x.pairs())
-        c = scorer.counts(x.hashes)
-        rest, whole = scorer.contexts(c, x.hashes)
-        p1 = np.where(c > 0, (1 - model.unknown) * c / model.n, model.unknown)
-        at = x.ids[2]
-        c2 = L.count_of(found)[2] if found[2] >= L.MIN_PAIR else 0
-        total += (c2 + rest[x.ids[1]] * p1[at]) / whole[x.ids[1]]
-    end = scorer.counts(np.array([L.END]))[0]
-    a = scorer.counts(L.tokens(["a"])[0][:1])
-    rest, whole = scorer.contexts(a, L.tokens(["a"])[0][:1])
-    total += rest[0] * (1 - model.unknown) * end / model.n / whole[0]
+    for t in ("a a", "a b", "a c", "a d", "a zzz", "a"):
+        x = of(t)
+        c = L.count_of(words.levels(x.tokens[1:2]))
+        before = L.count_of(words.levels(x.before[1:2]))
+        both = L.count_of(pairs.levels(x.pairs()[1:2]))
+        total += 10 ** L.log_chances(c, before, both, model.n, model.unknown)[0]
     assert total == pytest.approx(1, abs=0.1)
 
 
 def test_odd_rows(spark):
     rows = [(1, None, 5), (1, None, 5), (None, "", 1), (7, "x x", 2), (20, "y", 3), (8, "\x1c x", 3)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, score int").withColumn("held_out", F.lit("?"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, score int").withColumn("held_out", F.lit("?")).withColumn("lot", F.lit(1))
     got = L.score(df, L.Model(df.where(~L.held_out()))).collect()
     want = base([(d, t) for d, t, _ in rows])
     key = lambda x: (str(x[0]), x[2])
     assert sorted([(r.doc_id, r.held_out, r.n_tokens, r.n_known, round(r.base_score, 9)) for r in got], key=key) == sorted([(d, w[0], w[1], w[2], round(w[4], 9)) for (d, _, _), w in zip(rows, want, strict=True)], key=key)
     assert L.score(df.limit(0), L.Model(df.limit(0))).count() == 0
-    none = L.score(df, L.Model(df.limit(0))).collect()
-    assert all(r.base_score == 0 and r.n_known == 0 and math.isfinite(r.score) for r in none)
+    for filter_bytes in (L.FILTER_BYTES, -1):
+        none = L.score(df, L.Model(df.limit(0)), filter_bytes).collect()
+        assert len(none) == 6 and all(r.base_score == 0 and r.n_known == 0 and math.isfinite(r.score) for r in none)
 
 
 def test_pairs_seen_once_are_in_the_model(spark):
     df = spark.createDataFrame([(1, "a b c"), (3, "a d c")], "doc_id long, text string")
-    counts = L.count(df, L.MIN_PAIR).where("pair")
-    assert counts.count() == 6 and counts.where("c = 1").count() == 4  # start a and c end: twice
     model = L.Model(df)
-    tests = spark.createDataFrame([(5, "a b"), (6, "a c")], "doc_id long, text string")
-    got = {r.doc_id: r.score for r in L.score(tests, model).collect()}
-    assert model.pair_shards and got[5] != got[6]
-    pairs = L.Shards(model.pair_shards, model.pair_size, {r.shard: bytes(r.bits) for r in model.pair_table.collect()})
-    b = L.Batch(["a b c"])
-    assert (pairs.levels(L.keys_of(b.pairs(), L.PAIR_KIND)) >= 1).all()
+    got = {r.doc_id: r.score for r in L.score(spark.createDataFrame([(5, "a b"), (6, "a c")], "doc_id long, text string"), model).collect()}
+    assert got[5] != got[6]
+    lot = L.Lot([(0, b"a b c", True, True)])
+    assert (model.filter("pair_bits").levels(lot.pairs()) >= 1).all()
