@@ -3,9 +3,10 @@ reading any file's tracks from its boxes.
 
 ``tracks`` walks the nested boxes and decodes the sample tables: codec, time scale,
 duration, and the byte range of every key frame, without reading the payload.  Box sizes
-of 32 and 64 bits and to the end of the file, sample sizes of stsz and stz2, and chunk
-offsets of stco and co64 are read.  A file whose boxes don't fit together gives an error
-text and no tracks.
+of 32 and 64 bits and to the end of the file, sample sizes of stsz and stz2, chunk
+offsets of stco and co64, and the fragments of a film (moof, with trex defaults) are
+read.  A file whose boxes don't fit together, or whose tables claim more samples than
+the file has bytes for, gives an error text and no tracks; boxes may be nested at any depth.
 
 ``from_texts`` stores a text's UTF-8, padded with zero bytes to a positive multiple of
 ``FRAME``, as one track of unsigned 8-bit samples ('raw '), a frame of ``FRAME`` bytes
@@ -92,7 +93,7 @@ def container(payload: bytes) -> bytes:
 
 
 def boxes(data: bytes, start: int = 0, end: int | None = None):
-    """(kind, first byte of the body, end) of each box; nested boxes aren't entered."""
+    """(kind, first byte of the body, end, first byte) of each box; nested boxes aren't entered."""
     end = len(data) if end is None else end
     while start < end:
         if end - start < 8:
@@ -108,13 +109,21 @@ def boxes(data: bytes, start: int = 0, end: int | None = None):
             size = end - start
         if size < head or start + size > end:
             raise Malformed("a box's size doesn't fit")
-        yield kind, start + head, start + size
+        yield kind, start + head, start + size, start
         start += size
 
 
-def tree(data: bytes, start: int = 0, end: int | None = None) -> list:
-    """All boxes as (kind, start, end, boxes within)."""
-    return [(k, a, b, tree(data, a, b) if k in CONTAINERS else []) for k, a, b in boxes(data, start, end)]
+def tree(data: bytes) -> list:
+    """All boxes as (kind, first byte of the body, end, boxes within, first byte)."""
+    out: list = []
+    todo = [(0, len(data), out)]
+    while todo:
+        start, end, into = todo.pop()
+        for kind, a, b, first in boxes(data, start, end):
+            into.append((kind, a, b, [], first))
+            if kind in CONTAINERS:
+                todo.append((a, b, into[-1][3]))
+    return out
 
 
 def _find(nodes: list, *kinds: bytes):
@@ -136,6 +145,8 @@ def _table(data: bytes, node, kind: str, columns: int = 1, skip: int = 8) -> np.
 def _sizes(data: bytes, stbl) -> np.ndarray:
     if node := _find(stbl, b"stsz"):
         uniform, n = struct.unpack_from(">II", data, node[1] + 4)
+        if uniform and n > len(data) // uniform:
+            raise Malformed("more samples than the file has bytes for")
         return np.full(n, uniform, np.int64) if uniform else _table(data, node, ">u4", skip=12)[:, 0]
     if node := _find(stbl, b"stz2"):
         bits, n = struct.unpack_from(">xxxBI", data, node[1] + 4)
@@ -146,45 +157,133 @@ def _sizes(data: bytes, stbl) -> np.ndarray:
     raise Malformed("a track has no sample sizes")
 
 
+def _in_chunks(data: bytes, stbl: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The starts and sizes of the samples of a sample table, and the indexes of its key frames."""
+    stsc, offsets = _find(stbl, b"stsc"), _find(stbl, b"stco") or _find(stbl, b"co64")
+    if not (stsc and offsets):
+        raise Malformed("a track lacks a table")
+    sizes = _sizes(data, stbl)
+    at = _table(data, offsets, ">u4" if offsets[0] == b"stco" else ">u8")[:, 0]
+    runs = _table(data, stsc, ">u4", 3)
+    if len(runs) and (runs[0, 0] != 1 or (np.diff(runs[:, 0]) <= 0).any() or runs[-1, 0] > max(len(at), 1)):
+        raise Malformed("the runs of chunks don't fit")
+    per = np.repeat(runs[:, 1], np.diff(np.append(runs[:, 0], max(len(at), 1) + 1)))[: len(at)] if len(runs) else np.zeros(0, np.int64)
+    if len(per) != len(at) or (per > len(sizes)).any() or per.sum() != len(sizes):
+        raise Malformed("the chunks don't hold the samples")
+    chunk = np.repeat(np.arange(len(at)), per)
+    before = np.cumsum(sizes) - sizes
+    first = np.cumsum(per) - per
+    starts = at[chunk] + before - before[first[chunk]] if len(sizes) else before
+    sync = _find(stbl, b"stss")
+    keys = _table(data, sync, ">u4")[:, 0] - 1 if sync else np.arange(len(sizes))
+    if len(keys) and (keys.min() < 0 or keys.max() >= len(sizes)):
+        raise Malformed("a key frame is no sample")
+    return starts, sizes, keys
+
+
+def _lasting(data: bytes, stbl: list) -> int:
+    """The samples' time, by the table of times to sample."""
+    node = _find(stbl, b"stts")
+    return sum(n * d for n, d in _table(data, node, ">u4", 2).tolist()) if node else 0
+
+
+#: Bit of a sample's flags: not a sync sample.
+_NO_KEY = 0x10000
+
+
+def _fragments(data: bytes, nodes: list) -> dict[int, list]:
+    """By track number: (starts, sizes, whether key frames, time) of each run of each fragment."""
+    defaults = {}
+    for mvex in (n for n in (_find(nodes, b"moov") or (0, 0, 0, []))[3] if n[0] == b"mvex"):
+        for trex in (n for n in mvex[3] if n[0] == b"trex"):
+            track, _, *rest = struct.unpack_from(">5I", data, trex[1] + 4)
+            defaults[track] = rest
+    out: dict[int, list] = {}
+    for moof in (n for n in nodes if n[0] == b"moof"):
+        at = moof[4]  # where the next run begins unless it says so
+        for traf in (n for n in moof[3] if n[0] == b"traf"):
+            tfhd = _find(traf[3], b"tfhd")
+            if not tfhd:
+                raise Malformed("a fragment lacks a box")
+            flags, track = struct.unpack_from(">II", data, tfhd[1])
+            place, duration, size, kind = tfhd[1] + 8, *defaults.get(track, (0, 0, 0))
+            base = moof[4] if flags & 0x20000 else at
+            if flags & 1:
+                (base,) = struct.unpack_from(">Q", data, place)
+                place += 8
+            place += 4 * bool(flags & 2)
+            held = []
+            for bit, value in ((8, duration), (0x10, size), (0x20, kind)):
+                if flags & bit:
+                    (value,) = struct.unpack_from(">I", data, place)
+                    place += 4
+                held.append(value)
+            at = base
+            for trun in (n for n in traf[3] if n[0] == b"trun"):
+                at = _run(data, trun, base, at, held, out.setdefault(track, []))
+    return out
+
+
+def _run(data: bytes, trun, base: int, at: int, held: list[int], into: list) -> int:
+    """Adds one run's samples; the byte behind them."""
+    flags, n = struct.unpack_from(">II", data, trun[1])
+    place = trun[1] + 8
+    if flags & 1:
+        at = base + struct.unpack_from(">i", data, place)[0]
+        place += 4
+    first = None
+    if flags & 4:
+        (first,) = struct.unpack_from(">I", data, place)
+        place += 4
+    fields = [bit for bit in (0x100, 0x200, 0x400, 0x800) if flags & bit]
+    if n > len(data) or place + 4 * n * len(fields) > trun[2]:
+        raise Malformed("more samples than the file has bytes for")
+    table = np.frombuffer(data, ">u4", n * len(fields), place).astype(np.int64).reshape(n, len(fields))
+    times, sizes, kinds = (table[:, fields.index(bit)] if bit in fields else np.full(n, value, np.int64) for bit, value in zip((0x100, 0x200, 0x400), held, strict=True))
+    keys = kinds & _NO_KEY == 0
+    if first is not None and n:
+        keys[0] = not first & _NO_KEY
+    if not 0 <= at <= len(data):
+        raise Malformed("a sample is outside the file")
+    into.append((at + np.cumsum(sizes) - sizes, sizes, keys, int(times.sum())))
+    return at + int(sizes.sum())
+
+
 def tracks(data: bytes) -> list[dict]:
     """For each track: codec, handler, timescale, duration, n_samples, starts and sizes of
-    its samples (arrays), and keyframes, the indexes of its sync samples."""
+    its samples (arrays), and keyframes, the indexes of its sync samples.
+
+    The duration is the track's own; where that is 0 or unknown (all ones), as it is in
+    fragmented films, the time of its samples.
+    """
     try:
         nodes = tree(data)
         out = []
+        fragments = _fragments(data, nodes)
         for trak in (n for n in (_find(nodes, b"moov") or (0, 0, 0, []))[3] if n[0] == b"trak"):
             mdia = _find(trak[3], b"mdia")
             mdhd, hdlr, stbl = (_find(mdia[3], *x) for x in ((b"mdhd",), (b"hdlr",), (b"minf", b"stbl"))) if mdia else (None,) * 3
             if not (mdhd and hdlr and stbl):
                 raise Malformed("a track lacks a box")
-            scale, duration = struct.unpack_from(">IQ" if data[mdhd[1]] else ">II", data, mdhd[1] + (20 if data[mdhd[1]] else 12))
-            stsd, stsc = _find(stbl[3], b"stsd"), _find(stbl[3], b"stsc")
-            offsets = _find(stbl[3], b"stco") or _find(stbl[3], b"co64")
-            if not (stsd and stsc and offsets):
+            wide = bool(data[mdhd[1]])
+            scale, duration = struct.unpack_from(">IQ" if wide else ">II", data, mdhd[1] + (20 if wide else 12))
+            stsd, tkhd = _find(stbl[3], b"stsd"), _find(trak[3], b"tkhd")
+            if not stsd:
                 raise Malformed("a track lacks a table")
             codec = struct.unpack_from(">4s", data, stsd[1] + 12)[0]
-            sizes = _sizes(data, stbl[3])
-            at = _table(data, offsets, ">u4" if offsets[0] == b"stco" else ">u8")[:, 0]
-            runs = _table(data, stsc, ">u4", 3)
-            last = np.append(runs[1:, 0], len(at) + 1)
-            per = np.repeat(runs[:, 1], np.maximum(last - runs[:, 0], 0))
-            if len(per) != len(at) or per.sum() != len(sizes):
-                raise Malformed("the chunks don't hold the samples")
-            chunk = np.repeat(np.arange(len(at)), per)
-            before = np.cumsum(sizes) - sizes
-            first = np.cumsum(per) - per
-            starts = at[chunk] + before - before[first[chunk]] if len(sizes) else before
-            if len(sizes) and (starts + sizes).max() > len(data):
+            starts, sizes, keys = _in_chunks(data, stbl[3])
+            parts = fragments.get(struct.unpack_from(">I", data, tkhd[1] + (20 if data[tkhd[1]] else 12))[0], []) if tkhd else []
+            if duration in (0, (1 << (64 if wide else 32)) - 1):
+                duration = _lasting(data, stbl[3]) + sum(p[3] for p in parts)
+            keys = np.concatenate([keys, *(np.flatnonzero(p[2]) + n for p, n in zip(parts, np.cumsum([len(sizes), *(len(p[1]) for p in parts)]).tolist(), strict=False))])
+            starts, sizes = np.concatenate([starts, *(p[0] for p in parts)]), np.concatenate([sizes, *(p[1] for p in parts)])
+            if len(sizes) and (starts.min() < 0 or (starts + sizes).max() > len(data)):
                 raise Malformed("a sample is outside the file")
-            sync = _find(stbl[3], b"stss")
-            keys = _table(data, sync, ">u4")[:, 0] - 1 if sync else np.arange(len(sizes))
-            if len(keys) and (keys.min() < 0 or keys.max() >= len(sizes)):
-                raise Malformed("a key frame is no sample")
             out.append({"codec": codec.decode("latin-1"), "handler": data[hdlr[1] + 8 : hdlr[1] + 12].decode("latin-1"), "timescale": scale, "duration": duration, "starts": starts, "sizes": sizes, "keyframes": keys})
         if not out:
             raise Malformed("no track")
         return out
-    except (struct.error, ValueError, IndexError) as e:
+    except (struct.error, ValueError, IndexError, OverflowError) as e:
         raise Malformed(str(e)) from e
 
 
@@ -203,27 +302,35 @@ def key_ranges(track: dict) -> list[tuple[int, int]]:
 
 
 _RANGES = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+_TRACKS = pa.list_(pa.struct([("handler", pa.string()), ("codec", pa.string()), ("duration_s", pa.float64()), ("n_samples", pa.int64()), ("keyframes", _RANGES)]))
+
+
+def _told(track: dict) -> dict:
+    ranges = [{"first": a, "end": e} for a, e in key_ranges(track)]
+    return {"handler": track["handler"], "codec": track["codec"], "duration_s": track["duration"] / track["timescale"] if track["timescale"] else None, "n_samples": len(track["sizes"]), "keyframes": ranges}
 
 
 def media_columns(df: DataFrame, media: str = "media", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (default: doc_id) and, of each media value's first track: codec,
-    duration_s, n_samples, keyframes (byte ranges), and error where it can't be read."""
+    """``keep`` columns (default: doc_id) and, of each media value's main track (the first
+    of pictures, else the first): codec, duration_s, n_samples, keyframes (byte ranges);
+    then tracks, the same of every track with its handler, and error where it can't be read."""
     keep = ["doc_id"] if keep is None else keep
     kinds = dict(df.dtypes)
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "codec string, duration_s double, n_samples long, keyframes array<struct<first: bigint, end: bigint>>, error string"])
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "codec string, duration_s double, n_samples long, keyframes array<struct<first: bigint, end: bigint>>, tracks array<struct<handler: string, codec: string, duration_s: double, n_samples: bigint, keyframes: array<struct<first: bigint, end: bigint>>>>, error string"])
 
     def run(batches):
         for b in slices(batches, 64):
             rows = []
             for x in b.column(len(keep)).to_pylist():
                 try:
-                    t = tracks(x)[0] if x is not None else None
-                    rows.append((t["codec"], t["duration"] / t["timescale"] if t["timescale"] else None, len(t["sizes"]), [{"first": a, "end": e} for a, e in key_ranges(t)], None) if t else (None,) * 5)
+                    every = [_told(t) for t in tracks(x)] if x is not None else []
+                    main = next((t for t in every if t["handler"] == "vide"), every[0] if every else {})
+                    rows.append((*map(main.get, ("codec", "duration_s", "n_samples", "keyframes")), every or None, None))
                 except Malformed as e:
-                    rows.append((None, None, None, None, str(e)))
-            arrays = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), (pa.string(), pa.float64(), pa.int64(), _RANGES, pa.string()), strict=True)] if rows else []
+                    rows.append((None,) * 5 + (str(e),))
+            arrays = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), (pa.string(), pa.float64(), pa.int64(), _RANGES, _TRACKS, pa.string()), strict=True)] if rows else []
             if rows:
-                yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], *arrays], names=[*keep, "codec", "duration_s", "n_samples", "keyframes", "error"])
+                yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], *arrays], names=[*keep, "codec", "duration_s", "n_samples", "keyframes", "tracks", "error"])
 
     return df.select(*keep, df[media].alias("__pl_media")).mapInArrow(run, schema)
 

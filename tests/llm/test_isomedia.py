@@ -82,3 +82,74 @@ def test_columns_and_odd_rows(spark):
     assert got["8"].codec is None and got["8"].error
     assert (got["9"].codec, got["9"].duration_s, got["9"].n_samples, len(got["9"].keyframes)) == ("mp4a", 2.5, 3, 3)
     assert M.digests(stored.limit(0)).count() == 0
+
+
+def test_deep_boxes():
+    data = box(b"free", b"")
+    for i in range(10_000):
+        data = struct.pack(">I4s", len(data) + 8, b"moov") + data
+    with pytest.raises(M.Malformed):
+        M.tracks(data)
+
+
+@pytest.mark.parametrize("kind", [b"stsz", b"stts", b"stsc", b"stco", b"stz2", b"stss"])
+@pytest.mark.parametrize("value", [0xFFFFFFFF, 0x7FFFFFFF, 0x10000])
+def test_huge_counts_are_an_error_or_harmless(kind, value):
+    """Each number behind a table's box replaced by a huge one: no big allocation, no other error."""
+    good = M.container(bytes(64 * 40)) if kind != b"stz2" else foreign(stz2=True)
+    at = good.index(kind) + 4
+    for i in range(0, 20, 4):
+        data = good[: at + i] + struct.pack(">I", value) + good[at + i + 4 :]
+        try:
+            (t,) = M.tracks(data)
+            assert len(t["sizes"]) <= 40
+        except M.Malformed:
+            pass
+
+
+def track(number, handler, codec, stbl_rest, duration=0):
+    stsd = box(b"stsd", bytes(4) + struct.pack(">I", 1) + box(codec, bytes(28)))
+    mdia = box(b"mdia", box(b"mdhd", bytes(12) + struct.pack(">II", 10, duration) + bytes(4)) + box(b"hdlr", bytes(8) + handler + bytes(13)) + box(b"minf", box(b"stbl", stsd + stbl_rest)))
+    return box(b"trak", box(b"tkhd", bytes(12) + struct.pack(">I", number) + bytes(64)) + mdia)
+
+
+def empty_tables():
+    return box(b"stts", bytes(8)) + box(b"stsc", bytes(8)) + box(b"stsz", bytes(12)) + box(b"stco", bytes(8))
+
+
+def film():
+    """Sound first, then pictures, both in two fragments; the pictures' sizes by sample, their
+    first one of each fragment a key frame."""
+    trex = b"".join(box(b"trex", bytes(4) + struct.pack(">5I", n, 1, 5, size, flags)) for n, size, flags in ((1, 3, 0), (2, 0, 0x10000)))
+    out = box(b"ftyp", b"iso5") + box(b"moov", track(1, b"soun", b"mp4a", empty_tables()) + track(2, b"vide", b"avc1", empty_tables()) + box(b"mvex", trex))
+    for letter in b"xy":
+
+        def moof(offset):
+            sound = box(b"traf", box(b"tfhd", struct.pack(">II", 0x20000, 1)) + box(b"trun", struct.pack(">IIi", 1, 2, offset)))
+            pictures = box(b"traf", box(b"tfhd", struct.pack(">II", 0x20000, 2)) + box(b"trun", struct.pack(">IIiI", 0x205, 3, offset + 6, 0) + struct.pack(">3I", 4, 2, 1)))
+            return box(b"moof", sound + pictures)
+
+        head = moof(0)
+        out += moof(len(head) + 8) + box(b"mdat", b"sss" * 2 + bytes([letter]) * 4 + b"pp" + b"q")
+    return out
+
+
+def test_fragments_and_all_tracks(spark):
+    data = film()
+    sound, pictures = M.tracks(data)
+    assert M.payload(data, sound) == b"s" * 12 and len(M.key_ranges(sound)) == 4
+    assert M.payload(data, pictures) == b"xxxxppqyyyyppq"
+    assert [data[a:b] for a, b in M.key_ranges(pictures)] == [b"xxxx", b"yyyy"]
+    assert (sound["duration"], pictures["duration"]) == (20, 30)
+    rows = [(1, bytearray(data)), (2, bytearray(data.replace(b"trun", b"free"))), (3, bytearray(data.replace(struct.pack(">3I", 4, 2, 1), struct.pack(">3I", 4, 2, 2**31))))]
+    got = {r.doc_id: r for r in M.media_columns(spark.createDataFrame(rows, "doc_id long, media binary")).collect()}
+    assert (got[1].codec, got[1].duration_s, got[1].n_samples, len(got[1].keyframes)) == ("avc1", 3.0, 6, 2)
+    assert [(t.handler, t.codec, t.n_samples, len(t.keyframes)) for t in got[1].tracks] == [("soun", "mp4a", 4, 4), ("vide", "avc1", 6, 2)]
+    assert got[2].error is None and got[2].n_samples == 0 and got[3].error and got[3].tracks is None
+
+
+def test_a_very_long_text(spark):
+    text = "é and words " * 400_000
+    (r,) = M.digests(M.from_texts(spark.createDataFrame([(1, text)], "doc_id long, text string"))).collect()
+    n, p = M.padded(text)
+    assert (r.n_bytes, r.payload_sha256) == (n, hashlib.sha256(p).hexdigest())
