@@ -7,14 +7,21 @@ isn't itself a token becomes token-position rows, and a recursive query contract
 piece's leftmost pair of least rank until none is left.  Decoding joins (document,
 position, id) rows with the vocabulary and aggregates the bytes in order.
 
-Long pieces (``LONG`` bytes or more) contract all pairs of the least rank at once, from
-the left and without overlap.  That is the same result if no merge of the token so made
-ranks below it: then a pair made by a contraction ranks above the pairs still to
-contract.  The merge table marks the tokens that lack this property (``alone``); those
-contract one pair a step.
-
-Memory is bounded: pieces go to DuckDB in lots of ``LOT`` bytes, pieces and ids are held
-in lots of ``IDS``, and the worker knows at most two generations of ``KNOWN`` pieces.
+Long pieces (``LONG`` bytes or more) are first cut where no token of the vocabulary that
+occurs in the piece crosses: no merge crosses there either, so the parts merge apart.  A
+part that is still long contracts many pairs a step: each whose rank is the least within
+reach, which is twice the longest token that occurs, to both sides.  A merge that could
+take one of such a pair's tokens first would need a pair of lower rank within reach, so
+the result is that of one pair at a time.  Of a run of overlapping pairs of one rank every
+second contracts, from the run's start.  The merge table marks tokens of which a merge
+ranks below their own (``alone``); of those only the leftmost within three times the
+longest token contracts.  The recursion is keyed by place, so it holds the last state
+only; parts beyond ``BLOCK`` bytes are taken in blocks whose ends stay as they are, again
+and again with other ends, until no pair is left.
+
+Memory is bounded: pieces go to DuckDB in lots, pieces and ids are held in lots of
+``IDS``, the worker knows at most two generations of ``KNOWN`` pieces of less than ``LONG``
+bytes, and DuckDB doesn't spill: what exceeds its ``MEMORY`` is an error.
 
 Edge cases: a null or empty text has no tokens; repeated rows and ties have equal
 results; no rows give no rows; columns other than those named are ignored.
@@ -27,6 +34,7 @@ import hashlib
 from itertools import islice
 from pathlib import Path
 
+import ahocorasick
 import duckdb
 import numpy as np
 import pyarrow as pa
@@ -38,8 +46,13 @@ from .common import documents, slices
 
 #: Bytes from which a piece counts as long (a short one's places fit six bits).
 LONG = 64
-#: Bytes of pieces in one query.
-LOT = 1 << 20
+#: Rows of all steps together that a query of short pieces may make (half a piece's length
+#: squared, at most), and bytes of long ones in one query.
+ROWS = 4 << 20
+LOT = 1 << 19
+#: Bytes of a long part that are taken at once.
+BLOCK = 1 << 18
+MEMORY = "512MB"
 #: Pieces, or ids, held at once.
 IDS = 1 << 19
 #: Entries of each of the two generations of known pieces.
@@ -72,32 +85,39 @@ FROM (SELECT s.w, s.tok, s.k FROM step s JOIN (SELECT w, max(i) AS last FROM ste
 GROUP BY w
 """
 
-#: Contract all pairs of least rank of each piece: in a run of overlapping pairs every second one.
-_ALL = """
-WITH RECURSIVE step(w, i, pos, tok) AS (
-    SELECT w, 0, pos, tok FROM start
+#: Contract, in each step, the pairs of a part that rank least within reach.  ``low`` and
+#: ``high`` are the first and last places at which a part's pairs may contract.
+_MANY = """
+WITH RECURSIVE step(w, pos, tok) USING KEY (w, pos) AS (
+    SELECT w, pos, tok FROM start
     UNION ALL
-    SELECT w, i + 1, pos, CASE WHEN hit THEN r ELSE tok END
+    SELECT w, pos, CASE WHEN gone THEN -1 WHEN hit THEN r ELSE tok END
     FROM (
-        SELECT *, coalesce(lag(hit) OVER (PARTITION BY w ORDER BY pos), false) AS gone
+        SELECT *, coalesce(lag(hit) OVER (PARTITION BY w ORDER BY pos), false) AS gone, bool_or(hit) OVER (PARTITION BY w) AS going
         FROM (
-            SELECT *, least AND CASE WHEN alone THEN n = min(CASE WHEN least THEN n END) OVER (PARTITION BY w)
-                ELSE (n - max(CASE WHEN least AND NOT before THEN n END) OVER (PARTITION BY w ORDER BY pos)) % 2 = 0 END AS hit
+            SELECT *, coalesce(bool_and(fits) OVER (PARTITION BY w, run ORDER BY pos) AND (CASE WHEN alone THEN first ELSE (n - run) % 2 = 0 END), false) AS hit
             FROM (
-                SELECT *, coalesce(lag(least) OVER (PARTITION BY w ORDER BY pos), false) AS before, row_number() OVER (PARTITION BY w ORDER BY pos) AS n
+                SELECT w, pos, tok, r, alone, n, max(CASE WHEN begins THEN n END) OVER (PARTITION BY w ORDER BY pos) AS run,
+                    coalesce(r = min(r) OVER (PARTITION BY w ORDER BY pos RANGE BETWEEN {reach} PRECEDING AND {reach} FOLLOWING) AND pos BETWEEN low AND high, false) AS fits,
+                    {first} AS first
                 FROM (
-                    SELECT *, coalesce(r = min(r) OVER (PARTITION BY w), false) AS least, min(r) OVER (PARTITION BY w) AS best
-                    FROM (SELECT w, i, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS nexttok FROM step) q
+                    SELECT w, pos, tok, r, alone, n, low, high, r IS DISTINCT FROM lag(r) OVER (PARTITION BY w ORDER BY pos) AS begins
+                    FROM (
+                        SELECT w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS nexttok, row_number() OVER (PARTITION BY w ORDER BY pos) AS n
+                        FROM step
+                        WHERE tok >= 0
+                    ) q
                     LEFT JOIN merges m ON m.ab = ((q.tok::BIGINT << 20) | q.nexttok)
+                    JOIN bounds USING (w)
                 )
-                WHERE best IS NOT NULL
             )
         )
     )
-    WHERE NOT gone
+    WHERE going
 )
-SELECT w, list(tok ORDER BY pos) AS ids FROM (SELECT *, max(i) OVER (PARTITION BY w) AS last FROM step) WHERE i = last GROUP BY w
+SELECT w, pos, tok FROM step WHERE tok >= 0 ORDER BY w, pos
 """
+_FIRST = "(r::BIGINT << 40 | pos) = min(r::BIGINT << 40 | pos) OVER (PARTITION BY w ORDER BY pos RANGE BETWEEN {reach} PRECEDING AND {reach} FOLLOWING)"
 
 _DECODE = """
 SELECT d, string_agg(v.hex, '' ORDER BY pos) AS hex FROM ids JOIN vocab v ON v.id = ids.id GROUP BY d
@@ -169,41 +189,134 @@ class Codec:
         rows = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         a, b, r = (np.array(x, np.int32) for x in zip(*rows, strict=True)) if rows else (np.zeros(0, np.int32),) * 3
         alone = np.isin(r, np.concatenate([a[a > r], b[b > r]]))
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "512MB", "preserve_insertion_order": False})
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": MEMORY, "preserve_insertion_order": False, "temp_directory": ""})
+        self.alone = bool(alone.any())
+        self.occurring: ahocorasick.Automaton | None = None
         merges = pa.table({"ab": (a.astype(np.int64) << 20) | b, "r": r, "alone": alone})  # noqa: F841  read by name
         vocab = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "hex": pa.array([t.hex() for t in ranks])})  # noqa: F841
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges ORDER BY ab")
         self.db.execute("CREATE TABLE vocab AS SELECT * FROM vocab")
+        self.pairs = np.unique(merges.column("ab").to_numpy())
         self.known: list[dict[str, str]] = [{}, {}]
 
-    def merge(self, pieces: list[bytes], how: str) -> list[list[int]]:
-        """The ids of each piece, a lot at once."""
+    def merge(self, pieces: list[bytes]) -> list[list[int]]:
+        """The ids of each short piece, a lot at once."""
         data = np.frombuffer(b"".join(pieces), np.uint8)
         lengths = np.array([len(p) for p in pieces], np.int64)
         at = np.repeat(np.cumsum(lengths) - lengths, lengths)
         start = pa.table({"w": np.repeat(np.arange(len(pieces), dtype=np.int32), lengths), "pos": (np.arange(len(data)) - at).astype(np.int32), "tok": self.byte_ids[data]})
         self.db.register("start", start)
-        got = self.db.sql(how).to_arrow_table()
+        got = self.db.sql(_ONE).to_arrow_table()
         self.db.unregister("start")
         out: list[list[int]] = [[]] * len(pieces)
         for w, ids in zip(got.column("w").to_pylist(), got.column("ids").to_pylist(), strict=True):
             out[w] = ids
         return out
 
+    def cut(self, piece: bytes) -> tuple[np.ndarray, int]:
+        """The places in a piece that no token crosses, its ends included, and the length of
+        the longest token that occurs."""
+        if self.occurring is None:
+            self.occurring = ahocorasick.Automaton()
+            for t in self.ranks:
+                if len(t) > 1:
+                    self.occurring.add_word(t.decode("latin-1"), len(t))
+            self.occurring.make_automaton()
+            self.longest = max(map(len, self.ranks))
+        text, n, longest = piece.decode("latin-1"), len(piece), 1
+        change = np.zeros(n + 1, np.int32)
+        for i in range(0, n, BLOCK):
+            # Tokens that end in this block; as they come, the last of an end is the shortest.
+            ends, lengths = np.fromiter((x for m in self.occurring.iter(text, max(0, i - self.longest), min(n, i + BLOCK)) for x in m), np.int64).reshape(-1, 2).T
+            np.add.at(change, ends - lengths + 2, 1)
+            np.add.at(change, ends + 1, -1)
+            longest = max(longest, int(lengths.max(initial=1)))
+        return np.append(np.flatnonzero(np.cumsum(change[:n]) == 0), n), longest
+
+    def contract(self, parts: list[tuple[np.ndarray, np.ndarray, int, int]], longest: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Parts (places, tokens, first and last place that may contract) as far as they contract."""
+        lengths = [len(p[0]) for p in parts]
+        self.db.register("start", pa.table({"w": np.repeat(np.arange(len(parts), dtype=np.int32), lengths), "pos": np.concatenate([p[0] for p in parts]), "tok": np.concatenate([p[1] for p in parts])}))
+        self.db.register("bounds", pa.table({"w": np.arange(len(parts), dtype=np.int32), "low": np.array([p[2] for p in parts], np.int64), "high": np.array([p[3] for p in parts], np.int64)}))
+        first = _FIRST.format(reach=3 * longest) if self.alone else "false"
+        w, pos, tok = (c.to_numpy() for c in self.db.sql(_MANY.format(reach=2 * longest, first=first)).to_arrow_table().columns)
+        self.db.unregister("start")
+        self.db.unregister("bounds")
+        cuts = np.searchsorted(w, np.arange(1, len(parts)))
+        return list(zip(np.split(pos, cuts), np.split(tok, cuts), strict=True))
+
+    def merge_long(self, parts: list[bytes], longest: int) -> list[list[int]]:
+        """The ids of each long part: whole parts in lots, longer ones by blocks."""
+        out: list[list[int]] = [[] for _ in parts]
+        lot, size = [], 0
+        whole = [i for i, p in enumerate(parts) if len(p) <= BLOCK]
+        for n, i in enumerate(whole):
+            lot.append(i)
+            size += len(parts[i])
+            if size >= LOT or n == len(whole) - 1:
+                for k, (_, tok) in zip(lot, self.contract([(*self._bytes(parts[k]), 0, len(parts[k])) for k in lot], longest), strict=True):
+                    out[k] = tok.tolist()
+                lot, size = [], 0
+        for i, p in enumerate(parts):
+            if len(p) > BLOCK:
+                out[i] = self._by_blocks(p, longest).tolist()
+        return out
+
+    def _bytes(self, part: bytes) -> tuple[np.ndarray, np.ndarray]:
+        return np.arange(len(part), dtype=np.int32), self.byte_ids[np.frombuffer(part, np.uint8)]
+
+    def _by_blocks(self, part: bytes, longest: int) -> np.ndarray:
+        pos, tok = self._bytes(part)
+        margin, turn, idle, block = 4 * longest + 1, 0, 0, BLOCK
+        while self._contracts(tok):
+            n = len(tok)
+            edges = [0, *range(block // (1 + turn % 2), len(part), block), len(part)]
+            rows = np.searchsorted(pos, edges)
+            lots, done = [[]], []
+            for a, b in zip(rows[:-1].tolist(), rows[1:].tolist(), strict=True):
+                if sum(len(x[0]) for x in lots[-1]) >= LOT:
+                    lots.append([])
+                low = 0 if a == 0 else int(pos[min(a, n - 1)]) + margin
+                high = len(part) if b == n else int(pos[b]) - margin
+                if a < b:
+                    lots[-1].append((pos[a:b], tok[a:b], low, high))
+            for lot in filter(None, lots):
+                done += self.contract(lot, longest)
+            pos, tok = np.concatenate([p for p, _ in done]), np.concatenate([t for _, t in done])
+            idle = idle + 1 if len(tok) == n else 0
+            if idle == 2:  # no pair is free of some block's end
+                block, idle = 2 * block, 0
+            turn += 1
+        return tok
+
+    def _contracts(self, tok: np.ndarray) -> bool:
+        """Whether some pair is still in the merge table."""
+        return bool(np.isin((tok[:-1].astype(np.int64) << 20) | tok[1:], self.pairs).any())
+
     def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
         """The ids of each distinct piece: a token's own id, else by merges."""
-        out: list[list[int]] = [[self.ranks[p]] if p in self.ranks else [] for p in pieces]
-        for how, chosen in ((_ONE, lambda n: n < LONG), (_ALL, lambda n: n >= LONG)):
-            lot, size = [], 0
-            todo = [i for i, p in enumerate(pieces) if not out[i] and chosen(len(p))]
-            for n, i in enumerate(todo):
-                lot.append(i)
-                size += len(pieces[i])
-                if size >= LOT or n == len(todo) - 1:
-                    for k, ids in zip(lot, self.merge([pieces[k] for k in lot], how), strict=True):
-                        out[k] = ids
-                    lot, size = [], 0
-        return out
+        parts: list[list[bytes]] = []
+        longest = 1
+        for p in pieces:
+            if p in self.ranks or len(p) < LONG:
+                parts.append([p])
+                continue
+            cuts, most = self.cut(p)
+            longest = max(longest, most)
+            parts.append([p[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)])
+        known: dict[bytes, list[int]] = {x: [self.ranks[x]] for p in parts for x in p if x in self.ranks}
+        todo = list(dict.fromkeys(x for p in parts for x in p if x not in known))
+        lot, size = [], 0
+        short = [x for x in todo if len(x) < LONG]
+        for n, x in enumerate(short):
+            lot.append(x)
+            size += len(x) * len(x) // 2
+            if size >= ROWS or n == len(short) - 1:
+                known.update(zip(lot, self.merge(lot), strict=True))
+                lot, size = [], 0
+        long = [x for x in todo if len(x) >= LONG]
+        known.update(zip(long, self.merge_long(long, longest), strict=True))
+        return [[i for x in p for i in known[x]] for p in parts]
 
     def learn(self, pieces: set[str]) -> dict[str, str]:
         """The pieces' ids as text: from the known pieces, else by queries.
@@ -219,7 +332,7 @@ class Codec:
             got.update((p, " ".join(map(str, x))) for p, x in zip(new, ids, strict=True))
         if len(young) + len(new) > KNOWN:
             self.known = [young, {}]
-        self.known[1].update(got)
+        self.known[1].update((p, x) for p, x in got.items() if len(p) < LONG)
         return got
 
     def pieces(self, text: str):

@@ -59,7 +59,7 @@ def test_random_bytes_of_words(own, theirs):
 def test_lots_do_not_change_results(own, monkeypatch):
     texts = [t * 3 if t else t for t in hard()]
     want = [bpe._ids(x).tolist() for x in own.encode(texts)]
-    for name, value in (("IDS", 5), ("LOT", 100), ("KNOWN", 2)):
+    for name, value in (("IDS", 5), ("LOT", 100), ("ROWS", 100), ("KNOWN", 2)):
         monkeypatch.setattr(bpe, name, value)
     fresh = bpe.Codec(own.ranks, public_tokenizers.PATTERN)
     fresh_texts = [t[:300] if t else t for t in texts]
@@ -73,7 +73,53 @@ def test_simultaneous_contraction_equals_one_by_one(own):
     """The long-piece query on short pieces gives what the short-piece query gives."""
     rnd = random.Random(2)
     pieces = list({bytes(rnd.choice(b"aabbe tion=") for _ in range(rnd.randrange(2, 40))) for _ in range(300)})
-    assert own.merge(pieces, bpe._ALL) == own.merge(pieces, bpe._ONE)
+    longest = max(own.cut(p)[1] for p in pieces)
+    assert own.merge_long(pieces, longest) == own.merge(pieces)
+
+
+def test_cuts_are_where_no_token_crosses(own):
+    rnd = random.Random(3)
+    for _ in range(30):
+        p = bytes(rnd.choice(b"abcdefgqxzj") for _ in range(rnd.randrange(64, 200)))
+        cuts, longest = own.cut(p)
+        tokens = [(a, b) for a in range(len(p)) for b in range(a + 2, min(len(p), a + 128) + 1) if p[a:b] in own.ranks]
+        assert longest == max((b - a for a, b in tokens), default=1)
+        assert cuts.tolist() == [i for i in range(len(p) + 1) if not any(a < i < b for a, b in tokens)]
+
+
+def runs():
+    """Long unbroken runs: few cuts (a DNA line, words without spaces), many (random letters,
+    base 64), one rank only."""
+    rnd = random.Random(5)
+    words = "the of and to in is you that it he was for on are as with his they at be this have from or one had by word but not what all were we when your can said".split()
+    base = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    return {
+        "letters": "".join(rnd.choice(base[26:]) for _ in range(100_000)),
+        "base 64": "".join(rnd.choice(base) for _ in range(50_000)),
+        "DNA": "".join(rnd.choice("ACGT") for _ in range(30_000)),
+        "words": "".join(rnd.choice(words) for _ in range(12_000)),
+        "spaces": " " * 100_000,
+        "same": "a" * 70_000,
+        "Chinese": "".join(chr(rnd.randrange(0x4E00, 0x5E00)) for _ in range(20_000)),
+    }
+
+
+@pytest.mark.parametrize("kind", list(runs()))
+def test_very_long_runs(own, theirs, kind):
+    text = "x " + runs()[kind] + "!"
+    (got,) = own.encode([text])
+    assert bpe._ids(got).tolist() == theirs.encode_ordinary(text)
+    assert b"".join(own.decode([bpe._ids(got)])[0]).decode() == text
+
+
+@pytest.mark.parametrize("block", [70, 500])
+def test_blocks_of_long_parts(own, monkeypatch, block):
+    monkeypatch.setattr(bpe, "BLOCK", block)
+    rnd = random.Random(6)
+    words = ["the", "ing", "tion", "aa", "international", "er", "ation", "s"]
+    pieces = ["".join(rnd.choice(words) for _ in range(400)).encode(), b"ab" * 600, b"a" * 1500, bytes(rnd.choice(b"ACGT") for _ in range(1500))]
+    theirs = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=own.ranks, special_tokens={})
+    assert own.encode_pieces(pieces) == [theirs.encode_ordinary(p.decode()) for p in pieces]
 
 
 def test_query_over_documents(spark, sf, theirs):
