@@ -3,8 +3,11 @@
 Found: e-mail addresses, phone numbers, payment cards (with a valid check digit), IBANs
 (likewise), US social security numbers, IP addresses, secrets (labelled, or with an issuer's
 prefix), and names of
-persons (after a title, or a listed given name before a capitalised word).  Numbers that
-fail their check, version numbers and bare digits are left alone.
+persons: after a title, a listed given name before a capitalised word (both in capitals,
+too), after words that introduce one ("my name is", "dear", "contact", "signed by", ...), and
+before an address in angle brackets.  A name so found in a text is found wherever the text
+has it again, as a word with a capital or in capitals.  Numbers that fail their check,
+version numbers and bare digits are left alone.
 
 An entity's normal form (digits without separators, lower case, ...) is mapped by a keyed
 permutation of all normal forms of its shape, a Feistel network over mixed radices, and
@@ -21,7 +24,12 @@ joined to the documents that hold them.
 
 Edge cases: a null text stays null, an empty one empty; repeated rows are replaced alike;
 a null doc_id is no obstacle; no rows give no rows; other columns are ignored by
-``surrogates`` and kept by the stage.
+``surrogates`` and kept by the stage; entities of any length are permuted, in blocks of
+``WIDE`` characters, each by what came before it.
+
+The key is the caller's: an argument, or the session's ``spark.pairloom.pii.key``.  Who has it can
+turn surrogates back.  Only the registered query and the pipeline, which show the
+operator, use a key known to all where the session has none.
 """
 
 from __future__ import annotations
@@ -40,8 +48,10 @@ from pyspark.sql import types as T
 
 from .common import documents, maybe_broadcast, slices, small, written
 
-KEY = b"pairloom demonstration key"
+KEY_CONF = "spark.pairloom.pii.key"
 ROUNDS = 8
+#: Characters of an entity that are permuted as one number.
+WIDE = 64
 #: Single attempts; what still collides then tries many at once, until none collides or its
 #: shape has no form free.
 ATTEMPTS = 6
@@ -85,9 +95,23 @@ GIVEN = {
     ("f", "cyrillic"): "Анна Мария Елена Ольга Наталья Татьяна Ирина Светлана".split(),
 }
 _GENDER = {n.lower(): k for k, names in GIVEN.items() for n in names}
-_NAME = r"(?:[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+|[А-ЯЁ][а-яё]+)(?:[-'’](?:[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+|[А-ЯЁ][а-яё]+))?"
+_TITLED = r"(?:[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+|[А-ЯЁ][а-яё]+)"
+_UPPER = r"(?:[A-ZÀ-ÖØ-Þ]{2,}|[А-ЯЁ]{2,})"
+_NAME = rf"{_TITLED}(?:[-'’]{_TITLED})?"
+_LOUD = rf"{_UPPER}(?:[-'’]{_UPPER})?"
 _TITLE = {t: g for g, ts in TITLES.items() for t in ts}
-PERSON = re.compile(rf"(?<!\w)(?:({'|'.join(_TITLE)})\.? +({_NAME})(?: +({_NAME}))?|({'|'.join(n for ns in GIVEN.values() for n in ns)}) +({_NAME}))(?!\w)")
+_LISTED = [n for ns in GIVEN.values() for n in ns]
+PERSON = re.compile(
+    rf"(?<!\w)(?:(?:{'|'.join(_TITLE)}|MR|MRS)\.? +(?:({_NAME})(?: +({_NAME}))?|({_LOUD})(?: +({_LOUD}))?)"
+    rf"|({'|'.join(_LISTED)}) +({_NAME})|({'|'.join(n.upper() for n in _LISTED)}) +({_LOUD}))(?!\w)"
+)
+#: Words that introduce a name, of one word or two, and of two only.
+INTRODUCED = re.compile(rf"(?<!\w)(?:(?i:my name is|signed by|yours sincerely,|kind regards,|dear)\s+({_NAME})(?: +({_NAME}))?|(?i:contact|contact person:|ask for|attn\.?:?|author:|written by)\s+({_NAME}) +({_NAME}))(?!\w)")
+#: Words that stand where a name would.
+ADDRESSEES = frozenset("sir sirs madam all customer customers friend friends colleague colleagues reader readers team editor everyone god lord diary".split())
+#: Before an address in angle brackets.
+ADDRESSED = re.compile(rf"(?<!\w)({_NAME}) +({_NAME}) +<(?=[\w.%+-]+@)")
+_CAPITALS = re.compile(rf"(?<!\w)(?:{_NAME}|{_LOUD})(?!\w)")
 
 #: Alphabets within which letters are exchanged: vowels apart for names.
 _ALPHABETS = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ", "абвгдежзийклмнопрстуфхцчшщъыьэюяё", "αβγδεζηθικλμνξοπρστυφχψω"]
@@ -112,7 +136,7 @@ def permute(key: bytes, tweak: str, values: list[int], radices: list[int]) -> li
         sizes.append(n or 1)
     for i in range(ROUNDS):
         side = 1 - i % 2
-        seed = f"{tweak}|{radices}|{i}|{parts[1 - side]}".encode()
+        seed = f"{tweak}|{radices}|{i}|{parts[1 - side]:x}".encode()
         parts[side] = (parts[side] + int.from_bytes(hashlib.shake_256(key + b"|" + seed).digest(32 + sizes[side].bit_length() // 8), "big")) % sizes[side]
     out: list[int] = []
     for v, lo, hi in ((parts[0], 0, half), (parts[1], half, len(values))):
@@ -131,9 +155,16 @@ def exchange(key: bytes, tweak: str, text: str, of: dict[str, str]) -> str:
     if not at:
         return text
     shape = "".join(c if c not in of else of[c][0] for c in text)
+    if len(shape) > WIDE:
+        shape = hashlib.sha256(shape.encode()).hexdigest()
     out = list(text)
-    for i, v in zip(at, permute(key, f"{tweak}|{shape}", [of[text[i]].index(text[i]) for i in at], [len(of[text[i]]) for i in at]), strict=True):
-        out[i] = of[text[i]][v]
+    # Each block by those before it: equal beginnings stay equal, and the whole is a permutation.
+    chain = ""
+    for b in range(0, len(at), WIDE):
+        block = at[b : b + WIDE]
+        for i, v in zip(block, permute(key, f"{tweak}|{shape}{chain}", [of[text[i]].index(text[i]) for i in block], [len(of[text[i]]) for i in block]), strict=True):
+            out[i] = of[text[i]][v]
+        chain = "|" + hashlib.sha256((chain + "".join(out[i] for i in block)).encode()).hexdigest()
     return "".join(out)
 
 
@@ -215,11 +246,14 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 if kind == "phone" and (len(norm) == 11 and norm[0] == "1" or norm[0] == "0"):
                     norm = norm[1:]
             got.append((start, end, kind, norm))
-    for m in PERSON.finditer(text):
-        for i in (2, 3, 4, 5):
-            if m[i]:
-                n = m[i].lower()
-                got.append((*m.span(i), "-".join(("given", *_GENDER[n])) if n in _GENDER else "name", n))
+    names = {m[i].lower() for pattern in (PERSON, INTRODUCED, ADDRESSED) for m in pattern.finditer(text) for i in range(1, pattern.groups + 1) if m[i] and len(m[i].lower()) == len(m[i])} - ADDRESSEES
+    for m in _CAPITALS.finditer(text) if names else ():
+        word, start = m[0].lower(), m.start()
+        # A compound is no name that was found, but its parts may be.
+        for part in [word] if word in names else re.split("[-'’]", word):
+            if part in names:
+                got.append((start, start + len(part), "-".join(("given", *_GENDER[part])) if part in _GENDER else "name", part))
+            start += len(part) + 1
     rank = {k: i for i, (k, _) in enumerate(PATTERNS)}
     got.sort(key=lambda e: (rank.get(e[2], 99), e[0]))
     out: list[tuple[int, int, str, str]] = []
@@ -230,9 +264,13 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     return out
 
 
-@lru_cache(maxsize=100_000)
 def surrogate(key: bytes, kind: str, norm: str, attempt: int = 0) -> str:
     """The surrogate's normal form."""
+    return (_surrogate if len(norm) <= WIDE else _surrogate.__wrapped__)(key, kind, norm, attempt)
+
+
+@lru_cache(maxsize=100_000)
+def _surrogate(key: bytes, kind: str, norm: str, attempt: int) -> str:
     tweak = f"{kind}|{attempt}"
     if kind == "email":
         local, _, domain = norm.rpartition("@")
@@ -337,7 +375,7 @@ def entities(docs: DataFrame, text: str = "text") -> DataFrame:
     return written(docs.select(text).mapInArrow(run, "kind string, norm string").distinct(), "entities")
 
 
-def exceptions(found: DataFrame, key: bytes = KEY) -> DataFrame:
+def exceptions(found: DataFrame, key: bytes) -> DataFrame:
     """(kind, norm, attempt) of the entities whose surrogate of attempt 0 collides with a
     real entity or another surrogate; a written table."""
 
@@ -413,9 +451,26 @@ def _settle(settled: DataFrame, todo: DataFrame, real: DataFrame, attempt) -> tu
     return settled, full
 
 
-def with_surrogates(docs: DataFrame, text: str = "text", key: bytes = KEY, kinds: str = "__pl_kinds", limit: int = 100_000) -> DataFrame:
-    """``docs`` with the texts replaced and ``kinds``, the kinds replaced in each."""
+def session_key(spark: SparkSession, known: bytes | None = None) -> bytes:
+    """The key that the session is given, else ``known``; without either, an error."""
+    found = spark.conf.get(KEY_CONF, None)
+    if not found and not known:
+        raise ValueError(f"pass a key or set {KEY_CONF}")
+    return found.encode() if found else known
+
+
+def shown_key(spark: SparkSession) -> bytes:
+    """For the registered query and the pipeline: the session's key, else one known to all."""
+    return session_key(spark, b"pairloom demonstration key")
+
+
+def with_surrogates(docs: DataFrame, text: str = "text", key: bytes | None = None, kinds: str = "__pl_kinds", limit: int = 100_000) -> DataFrame:
+    """``docs`` with the texts replaced and ``kinds``, the kinds replaced in each.
+
+    ``key``: by default the session's.
+    """
     spark = docs.sparkSession
+    key = key or session_key(spark)
     fixes = exceptions(entities(docs, text), key)
     at = docs.columns.index(text)
     names = docs.columns
@@ -451,13 +506,13 @@ def with_surrogates(docs: DataFrame, text: str = "text", key: bytes = KEY, kinds
     return joined.mapInArrow(run(lambda b: [dict(x or ()) for x in b.column(len(names)).to_pylist()]), schema)
 
 
-def surrogates(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def surrogates(docs: DataFrame, key: bytes | None = None) -> DataFrame:
     """doc_id, text with surrogates, n_replaced and kinds (those replaced, in order)."""
     got = with_surrogates(docs.select("doc_id", "text"), key=key)
     return got.select("doc_id", "text", F.coalesce(F.size("__pl_kinds"), F.lit(0)).alias("n_replaced"), F.col("__pl_kinds").alias("kinds"))
 
 
-def surrogate_stage(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def surrogate_stage(docs: DataFrame, key: bytes | None = None) -> DataFrame:
     """``docs`` with the texts replaced; a column n_chars follows its text."""
     names = {c.lower(): c for c in docs.columns}
     got = with_surrogates(docs, names["text"], key)
@@ -468,4 +523,4 @@ def surrogate_stage(docs: DataFrame, key: bytes = KEY) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return surrogates(documents(spark, sf_dir))
+    return surrogates(documents(spark, sf_dir), shown_key(spark))

@@ -124,7 +124,7 @@ def test_odd_rows_and_both_ways(spark, limit):
     stage = P.surrogate_stage(df, KEY)
     assert stage.schema == df.schema and stage.count() == len(rows)
     assert stage.where("n_chars > 9").count() == 300 and stage.where(F.col("text").isNull()).count() == 1
-    assert P.surrogates(df.limit(0)).count() == 0 and P.surrogates(df).columns == ["doc_id", "text", "n_replaced", "kinds"]
+    assert P.surrogates(df.limit(0), KEY).count() == 0 and P.surrogates(df, KEY).columns == ["doc_id", "text", "n_replaced", "kinds"]
 
 
 @pytest.mark.parametrize("number", ["+15551234567", "555 123 4567", "1-555-123-4567", "+49 30 12345678", "+33 6 12 34 56 78", "06 12 34 56 78", "030 12345678", "020 7946 0958", "+49 (0)30 12345678"])
@@ -171,3 +171,104 @@ def test_crowded_shapes_settle_while_forms_are_free(spark):
     assert all(P.shape_of(*e) == ("bab", 2205) for e in rows if e[0] == "name")
     full = spark.createDataFrame([("ip", f"0.0.0.{i}") for i in range(1, 255)], "kind string, norm string")
     assert {r.attempt for r in P.exceptions(full, KEY).collect()} == {P.ATTEMPTS - 1}  # none is free
+
+
+@pytest.mark.parametrize("size", [64, 65, 129, 6200, 20_000, 1_000_000])
+def test_an_address_of_any_length(size):
+    text = f"write to {'ab7' * (size // 3)}{'x' * (size % 3)}@example.com now"
+    (found,) = P.find(text)
+    assert found[2] == "email" and found[1] - found[0] == size + 12
+    out = P.replace(text, KEY, {})[0]
+    assert len(out) == len(text) and out != text and out.startswith("write to ") and out.endswith(".com now")
+    other = P.replace(text.replace("x@", "y@").replace("7@", "8@"), KEY, {})[0]
+    assert size < 66 or other != out or size % 3 == 0
+
+
+def test_long_entities_stay_apart():
+    """Equal beginnings or ends of any blocks, different entities: different surrogates."""
+    norms = [a * 64 + b * 64 + c * 10 + "@x.co" for a in "ab" for b in "ab" for c in "abc"]
+    assert len({P.surrogate(KEY, "email", n) for n in norms}) == len(norms)
+
+
+def test_names_again_in_a_text():
+    text = "Mr. Smith met Anna Schmidt. Later Smith and Schmidt spoke; Smith's car. SMITH! smith, Smithson."
+    out = P.replace(text, KEY, {})[0]
+    assert [t for t, k in kinds(text)] == ["Smith", "Anna", "Schmidt", "Smith", "Schmidt", "Smith", "SMITH"]
+    smith, schmidt = out.split()[1], out.split()[4].rstrip(".")
+    assert out == f"Mr. {smith} met {out.split()[3]} {schmidt}. Later {smith} and {schmidt} spoke; {smith}'s car. {smith.upper()}! smith, Smithson."
+    assert smith != "Smith" and smith != schmidt
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("JOHN SMITH wrote", ["JOHN", "SMITH"]),
+        ("my name is Priya Sharma.", ["Priya", "Sharma"]),
+        ("Please contact Mohammed Ali today", ["Mohammed", "Ali"]),
+        ("from Wei Zhang <wei.zhang@example.org>", ["Wei", "Zhang"]),
+        ("Dear Chidi, thanks", ["Chidi"]),
+        ("MRS. DOUGLAS-HOME came", ["DOUGLAS-HOME"]),
+        ("contact us at The Office", []),
+        ("the Mark II and Mary", []),
+    ],
+)
+def test_names_beyond_the_list(text, want):
+    found = [t for t, k in kinds(text) if k.startswith(("name", "given"))]
+    assert found == want
+    out = P.replace(text, KEY, {})[0]
+    assert len(out) == len(text) or any(k.startswith("given") for _, k in kinds(text))
+    assert all(w not in out for w in want)
+
+
+def test_planted_entities_against_their_places(spark):
+    """Entities put into texts by templates, their places known without the module's finder."""
+    import random
+
+    rnd = random.Random(9)
+
+    def card():
+        body = "4" + "".join(rnd.choice("0123456789") for _ in range(14))
+        digit = next(d for d in range(10) if sum(sum(divmod(int(c) * (2 if i % 2 else 1), 10)) for i, c in enumerate(reversed(f"{body}{d}"))) % 10 == 0)
+        return f"{body}{digit}"
+
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    make = {
+        "email": lambda: "".join(rnd.choice(letters) for _ in range(9)) + "@" + "".join(rnd.choice(letters) for _ in range(6)) + ".org",
+        "phone": lambda: f"+1 ({rnd.randrange(200, 999)}) 555-{rnd.randrange(1000, 9999)}",
+        "card": card,
+        "ssn": lambda: f"{rnd.randrange(100, 600)}-{rnd.randrange(10, 99)}-{rnd.randrange(1000, 9999)}",
+        "ip": lambda: ".".join(str(rnd.randrange(1, 250)) for _ in range(4)),
+        "name": lambda: "".join(rnd.choice(letters) for _ in range(8)).title(),
+    }
+    before = {"email": "write to ", "phone": "call ", "card": "paid with ", "ssn": "number ", "ip": "host ", "name": "Mrs. "}
+    pool = [(k, f()) for k, f in make.items() for _ in range(12)]
+    rows, planted = [], []
+    for i in range(150):
+        chosen = [rnd.choice(pool) for _ in range(3)]
+        rows.append((i, "then " + " and some words, ".join(before[k] + e for k, e in chosen) + " in the end"))
+        planted.append(chosen)
+    got = {r.doc_id: r for r in P.surrogates(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+    given = {}
+    for (i, text), chosen in zip(rows, planted, strict=True):
+        out = got[i].text
+        parts = out.removeprefix("then ").removesuffix(" in the end").split(" and some words, ")
+        assert len(parts) == 3 and out.startswith("then ") and out.endswith(" in the end") and got[i].n_replaced == 3
+        for (k, e), part in zip(chosen, parts, strict=True):
+            assert part.startswith(before[k]) and part != before[k] + e
+            given.setdefault((k, e), set()).add(part.removeprefix(before[k]))
+    assert all(len(x) == 1 for x in given.values())  # one entity, one surrogate
+    assert len({(k, *x) for (k, _), x in given.items()}) == len(given)  # different ones differ
+    real = {e for _, e in pool}
+    assert not real & {next(iter(x)) for x in given.values()}
+
+
+def test_the_key_is_the_callers(spark):
+    df = spark.createDataFrame([(1, "call 212-555-0123")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        P.surrogates(df)
+    spark.conf.set(P.KEY_CONF, "a")
+    try:
+        a = P.surrogates(df).first().text
+    finally:
+        spark.conf.unset(P.KEY_CONF)
+    assert a == P.surrogates(df, b"a").first().text != P.surrogates(df, b"b").first().text
