@@ -41,10 +41,14 @@ def register(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
+    from . import catalog_io  # noqa: F401  it registers its own
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import catalog_io  # noqa: F401
+
     return dict(_SQL)
 
 
@@ -91,20 +95,109 @@ def link_resolve(spark, sf_dir):
     return _resolved(spark, sf_dir).select("page_id", F.col("pos").cast("long").alias("pos"), "url", "host")
 
 
-@register(
-    f"""WITH {_RESOLVED} SELECT page_id, pos::BIGINT AS pos, url FROM hosts
-WHERE NOT (contains(url, '.svg') OR contains(url, '.gif') OR contains(url, 'data:image') OR contains(url, 'javascript:')) AND length(host) BETWEEN 1 AND 60"""
-)
+#: Links as the web has them, made of each anchor: schemes, ports, user names, paths with
+#: characters that strict parsers refuse, hosts of other scripts and too long ones,
+#: relative forms, scripted images, junk.  With each: whether it is absolute, and its host.
+_WEB = [
+    ("http://Example.com{h}", True, "example.com"),
+    ("https://user:pw@img.example.org:8080{h}?q=a|b#top", True, "img.example.org"),
+    ("http://example.com/a|b{p}.png", True, "example.com"),
+    ("http://example.com/img[{p}].jpg", True, "example.com"),
+    ("http://example.com/a%zz{p}.jpg", True, "example.com"),
+    ("http://example.com/a{{{p}}}.png", True, "example.com"),
+    ("http://example.com/a^b{p}.png", True, "example.com"),
+    ("http://example.com/a" + chr(92) + "b{p}.png", True, "example.com"),
+    ('http://example.com/a"b{p}.png', True, "example.com"),
+    ("http://example.com/a`b{p}.png", True, "example.com"),
+    ("http://exämple.com/x{p}.png", True, "exämple.com"),
+    ("ftp://files.example.net/{p}.webp", True, "files.example.net"),
+    ("http://127.0.0.1:80/{p}", True, "127.0.0.1"),
+    ("http://[2001:db8::1]:80/{p}", True, "2001:db8::1"),
+    ("http://" + "a" * 50 + "." + "b" * 5 + ".com/{p}", True, "a" * 50 + "." + "b" * 5 + ".com"),
+    ("http://" + "a" * 50 + "." + "b" * 6 + ".com/{p}", True, "a" * 50 + "." + "b" * 6 + ".com"),
+    ("http://example.com/logo{p}.svg", True, "example.com"),
+    ("http://gifts.example.com/x.giftwrap{p}", True, "gifts.example.com"),
+    ("data:image/png;base64,{p}", False, None),
+    ("javascript:void({p})", False, None),
+    ("../up/{p}.png?x=1#y", False, None),
+    ("{p}.png", False, None),
+    ("//cdn.example.com/{p}.png", False, None),
+    ("?only={p}", False, None),
+    ("http:///nohost{p}", False, None),
+    ("http://-bad.example/{p}", False, "-bad.example"),
+    ("mailto:a{p}@example.com", False, None),
+]
+
+
+def _web_parts(i: int) -> list[tuple[str, str | None]]:
+    """The text before, between and behind the anchor's address ({h}) and number ({p})."""
+    import string
+
+    return [(text, field) for text, field, _, _ in string.Formatter().parse(_WEB[i][0])]
+
+
+def _web_sql() -> str:
+    def one(i: int) -> str:
+        pieces = []
+        for text, field in _web_parts(i):
+            pieces += ["'" + text.replace("'", "''") + "'", {"h": "href", "p": "page_id::VARCHAR", None: "''"}[field]]
+        host = "NULL" if _WEB[i][2] is None else f"'{_WEB[i][2]}'"
+        return f"SELECT page_id, pos, {i} AS form, {' || '.join(pieces)} AS link, {str(_WEB[i][1]).lower()} AS absolute, {host} AS host FROM anchors WHERE pos < 2"
+
+    return "web AS (" + " UNION ALL ".join(map(one, range(len(_WEB)))) + ")"
+
+
+def _web(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def link(i: int):
+        pieces = []
+        for text, field in _web_parts(i):
+            pieces += [F.lit(text), {"h": F.col("href"), "p": F.col("page_id").cast("string"), None: F.lit("")}[field]]
+        return F.struct(F.lit(i).alias("form"), F.concat(*pieces).alias("link"))
+
+    forms = F.array(*map(link, range(len(_WEB))))
+    first = _anchors(spark, sf_dir).where("pos < 2")
+    return first.select("page_id", F.col("pos").cast("long").alias("pos"), "label", F.col("url").alias("page"), F.explode(forms).alias("w")).select("page_id", "pos", "label", "page", "w.*")
+
+
+@register(f"WITH {_ANCHORS}, {_web_sql()} SELECT page_id, pos, form, link, absolute, host FROM web")
+def link_web(spark, sf_dir):
+    """Which links are absolute, and their hosts."""
+    return _web(spark, sf_dir).select("page_id", "pos", "form", "link", U.is_absolute("link").alias("absolute"), U.host("link").alias("host"))
+
+
+_REJECTS = "contains(link, '.svg') OR contains(link, '.gif') OR contains(link, 'data:image') OR contains(link, 'javascript:')"
+
+
+@register(f"WITH {_ANCHORS}, {_web_sql()} SELECT form, count(*) AS links, count(*) FILTER ({_REJECTS}) AS rejected, count(*) FILTER (coalesce(length(host) BETWEEN 1 AND 60, false)) AS good_host FROM web GROUP BY form")
 def link_reject(spark, sf_dir):
-    """P3, P4."""
-    df = _resolved(spark, sf_dir).where(~U.is_media_or_script("url") & U.good_host("host"))
-    return df.select("page_id", F.col("pos").cast("long").alias("pos"), "url")
+    """P3, P4, by the link's form."""
+    df = _web(spark, sf_dir).groupBy("form")
+    return df.agg(F.count("*").alias("links"), F.count_if(U.is_media_or_script("link")).alias("rejected"), F.count_if(U.good_host(U.host("link"))).alias("good_host"))
 
 
-@register(f"WITH {_RESOLVED} SELECT count(*) AS links, count(*) FILTER (regexp_matches(href, '^[A-Za-z]+://')) AS absolute FROM anchors")
+@register(
+    f"""WITH {_ANCHORS}, {_web_sql()} SELECT page_id, pos, form, replace(link, chr(92), chr(92) || chr(92)) AS url, host AS domain FROM web JOIN anchors USING (page_id, pos)
+WHERE absolute AND NOT ({_REJECTS}) AND length(host) BETWEEN 1 AND 60 AND length(trim(label)) >= 5"""
+)
 def link_strict(spark, sf_dir):
-    """In strict mode relative addresses don't survive."""
-    return _anchors(spark, sf_dir).agg(F.count("*").alias("links"), F.count_if(U.is_absolute("href")).alias("absolute"))
+    """Candidates of links as the web has them, in strict mode."""
+    links = _web(spark, sf_dir).select("page_id", "pos", "form", F.col("link").alias("url"), F.col("label").alias("alt"), U.dirname("page").alias("base"))
+    return L.candidates(links, "strict").select("page_id", "pos", "form", "url", "domain")
+
+
+_RELATIVE = """CASE form WHEN 20 THEN origin || regexp_replace(parent, '[^/]+/$', '') || 'up/' || page_id || '.png?x=1#y' WHEN 21 THEN origin || parent || page_id || '.png'
+    WHEN 22 THEN scheme || '://cdn.example.com/' || page_id || '.png' WHEN 23 THEN dir || link ELSE link END"""
+
+
+@register(
+    f"""WITH {_ANCHORS}, {_web_sql()}, d AS (SELECT page_id, pos, regexp_replace(regexp_extract(url, '^(.*)/', 1), '/+$', '') AS dir, regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1) AS origin, regexp_extract(url, '^([A-Za-z]+):', 1) AS scheme FROM anchors),
+p AS (SELECT *, CASE WHEN dir = origin THEN '/' ELSE regexp_extract(substr(dir, length(origin) + 1), '^(.*/)', 1) END AS parent FROM d)
+SELECT page_id, pos, form, {_RELATIVE} AS resolved FROM web JOIN p USING (page_id, pos) WHERE form <> 24"""
+)
+def link_relative(spark, sf_dir):
+    """relative links against the pages' folders."""
+    df = _web(spark, sf_dir).where("form <> 24")
+    return L.once(df, "resolved", U.resolved(U.dirname("page"), "link")).select("page_id", "pos", "form", "resolved")
 
 
 @register(
@@ -601,14 +694,40 @@ def upload_mode(spark, sf_dir):
     return M.most_common(table(spark, sf_dir, "events"), "event_type")
 
 
-@register()
+def _unpivoted(hours: int) -> str:
+    return f"s AS (UNPIVOT ({_resample_sql(hours)}) ON {', '.join(_SERIES)} INTO NAME series VALUE n)"
+
+
+def _poly_sql(degree: int) -> str:
+    """Least squares by polynomials that are orthogonal over the points, made one by one."""
+    steps = []
+    for k in range(degree):
+        last = f"p{k - 1}" if k else "0.0"
+        less = f"- sum(p{k} * p{k}) OVER w / sum({last} * {last}) OVER w * {last}" if k else ""
+        steps.append(f"o{k + 1} AS (SELECT *, (x - sum(x * p{k} * p{k}) OVER w / sum(p{k} * p{k}) OVER w) * p{k} {less} AS p{k + 1} FROM o{k} WINDOW w AS (PARTITION BY series))")
+    fitted = " + ".join(f"sum(n * p{k}) OVER w / sum(p{k} * p{k}) OVER w * p{k}" for k in range(degree + 1))
+    return f"""WITH {_unpivoted(3)}, o0 AS (SELECT series, bucket, n::DOUBLE AS n, 1.0::DOUBLE AS p0,
+    (row_number() OVER (PARTITION BY series ORDER BY bucket) - 1)::DOUBLE / (count(*) OVER (PARTITION BY series) - 1) AS x FROM s), {', '.join(steps)}
+SELECT series, bucket, round({fitted}, 6) AS fitted FROM o{degree} WINDOW w AS (PARTITION BY series)"""
+
+
+@register(_poly_sql(5))
 def poly_trend(spark, sf_dir):
     """M6: the fitted trend of each series of 3-hour counts."""
     df = R.resample(_counts(spark, sf_dir), "ts", list(_SERIES), 3).unpivot("bucket", list(_SERIES), "series", "n")
-    return R.polynomial(df, ["series"], "bucket", "n").withColumn("fitted", F.round("fitted", 6))
+    df = R.polynomial(df, ["series"], "bucket", "n").withColumn("fitted", F.round("fitted", 6))
+    return df.withColumn("bucket", F.date_format("bucket", "yyyy-MM-dd HH:mm"))
 
 
-@register()
+@register(
+    f"""WITH RECURSIVE {_unpivoted(12)}, y AS (SELECT series, n::DOUBLE AS n, row_number() OVER (PARTITION BY series ORDER BY bucket) AS i, count(*) OVER (PARTITION BY series) AS total FROM s),
+h AS (
+    SELECT a.series, 1::BIGINT AS i, a.n AS lev, b.n / a.n AS tr, a.total FROM y a JOIN y b ON b.series = a.series AND b.i = 2 WHERE a.i = 1
+    UNION ALL
+    SELECT h.series, y.i, 0.6::DOUBLE * y.n + 0.4::DOUBLE * h.lev * h.tr, (0.6::DOUBLE * y.n + 0.4::DOUBLE * h.lev * h.tr) / h.lev, h.total FROM h JOIN y ON y.series = h.series AND y.i = h.i + 1
+)
+SELECT series, step::INT AS step, round(lev * power(tr, step) * 1.1, 6) AS forecast FROM h, (SELECT unnest(range(1, 11)) AS step) WHERE i = total"""
+)
 def holt_forecast(spark, sf_dir):
     """M7: ten buckets ahead of each 12-hour series."""
     df = R.resample(_counts(spark, sf_dir), "ts", list(_SERIES), 12).unpivot("bucket", list(_SERIES), "series", "n")

@@ -48,3 +48,18 @@ def crop(width: str | Column, height: str | Column, side: int = SIDE) -> Column:
     new = lambda x: F.when(shrink, F.bround(x * side / short).cast("int")).otherwise(x)
     at = lambda x: F.greatest(F.floor((new(x) - side) / 2), F.lit(0)).cast("int")
     return F.struct(new(w).alias("width"), new(h).alias("height"), at(w).alias("left"), at(h).alias("top"))
+
+
+#: The bytes that image files begin with, in hex; a RIFF file tells its kind
+#: behind its size.
+HEADS = ("FFD8FF", "89504E470D0A1A0A", "474946383761", "474946383961")
+RIFF, WEBP = "52494646", "57454250"
+
+
+def opens(content: str | Column) -> Column:
+    """Whether the bytes begin as an image that a reader opens; null and empty do not."""
+    head = F.hex(F.substring(content, 1, 12))
+    known = F.lit(False)
+    for h in HEADS:
+        known = known | head.startswith(h)
+    return F.coalesce(known | (head.startswith(RIFF) & head.endswith(WEBP)), F.lit(False))

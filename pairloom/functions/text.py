@@ -47,6 +47,22 @@ def repaired(c: str | Column, fix: Callable[[str], str]) -> Column:
     return one_line(run(F.translate(c, "\n", " ")))
 
 
+#: The characters that Windows-1252 has for the bytes 128 to 159.
+CP1252 = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+_CP1252_BYTES = "".join(map(chr, (0x80, 0x82, 0x83, 0x84, 0x85, 0x86, 0x87, 0x88, 0x89, 0x8A, 0x8B, 0x8C, 0x8E, 0x91, 0x92, 0x93, 0x94, 0x95, 0x96, 0x97, 0x98, 0x99, 0x9A, 0x9B, 0x9C, 0x9E, 0x9F)))
+
+
+def mended(c: str | Column) -> Column:
+    """F2's repair without an injected function: a text whose characters are all bytes of
+    Windows-1252, and which as bytes is valid UTF-8 beyond ASCII, was read with the wrong
+    encoding; other texts stay."""
+    bytes_ = F.translate(c, CP1252, _CP1252_BYTES)
+    broken = bytes_.rlike("[\u00c2-\u00f4][\u0080-\u00bf]") & ~bytes_.rlike("[^\u0000-\u00ff]")
+    # Characters beyond Latin-1 can't be encoded: they are taken out where no repair is due.
+    raw = F.encode(F.when(broken, bytes_).otherwise(""), "ISO-8859-1").cast("string")
+    return F.when(broken & F.is_valid_utf8(raw), raw).otherwise(col(c))
+
+
 def clean(c: str | Column) -> Column:
     """What an alt text goes through before its length is tested."""
     return printable(one_line(c))
@@ -97,14 +113,49 @@ def detected(c: str | Column, detector: Callable[[str], tuple[str, bool]]) -> Co
     return run(c)
 
 
+#: Frequent short words by language, and letters by script.
+STOPWORDS = {
+    "de": "der die das und ist nicht mit den von ein eine für auf im dem sich auch werden",
+    "en": "the and of to is that with for was this are from have not you it on by",
+    "es": "el los las que una por con para del está como más pero sus se y es",
+    "fr": "le les des une est que dans pour qui sur pas avec plus du et il au ce",
+    "it": "il che di una per con non sono della gli nel anche è alla dei più ed si",
+    "nl": "het een van en niet dat met voor zijn op aan te naar bij ook maar er ik",
+    "pt": "o os uma que não com para dos das em por mais como foi ao são se e",
+}
+SCRIPTS = {"ar": r"\p{IsArabic}", "el": r"\p{IsGreek}", "he": r"\p{IsHebrew}", "hi": r"\p{IsDevanagari}", "ja": r"[\p{IsHiragana}\p{IsKatakana}]", "ko": r"\p{IsHangul}", "ru": r"\p{IsCyrillic}", "th": r"\p{IsThai}", "zh": r"\p{IsHan}"}
+#: Words of a language that make its answer reliable.
+LEAST_WORDS = 2
+
+
+def native_language(c: str | Column) -> Column:
+    """F3 without an injected detector: struct of language and reliable, JVM-side.
+
+    A script that has a third of the letters tells the language; Latin letters are told by
+    the most frequent words, which must be ``LEAST_WORDS`` and more than any other
+    language's.  Null and empty texts have no language.
+    """
+    words = F.split(F.lower(c), r"[^\p{L}]+", -1)
+    score = lambda s: -F.size(F.filter(words, lambda w: w.isin(s.split())))
+    ranked = F.array_sort(F.array(*(F.struct(score(s).alias("n"), F.lit(k).alias("language")) for k, s in STOPWORDS.items())))
+    letters = F.regexp_count(c, F.lit(r"\p{L}"))
+    script = F.coalesce(*(F.when((letters > 0) & (F.regexp_count(c, F.lit(p)) * 3 >= letters), F.lit(k)) for k, p in SCRIPTS.items()))
+    latin = (ranked[0]["n"] <= -LEAST_WORDS) & (ranked[0]["n"] < ranked[1]["n"])
+    return F.struct(F.coalesce(script, F.when(ranked[0]["n"] < 0, ranked[0]["language"]), F.lit("")).alias("language"), F.coalesce(script.isNotNull() | latin, F.lit(False)).alias("reliable"))
+
+
 def language_or_english(c: str | Column) -> Column:
     """F15."""
     return F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit("en"))
 
 
+#: Words that tell of minors.
+MINORS = ("teen", "kid", "child", "baby")
+
+
 def mentions_minor(c: str | Column) -> Column:
     """F16: case-sensitive, anywhere."""
-    return F.coalesce(col(c).rlike("teen|kid|child|baby"), F.lit(False))
+    return F.coalesce(col(c).rlike("|".join(MINORS)), F.lit(False))
 
 
 def is_number(c: str | Column) -> Column:

@@ -34,13 +34,18 @@ def is_media_or_script(c: str | Column) -> Column:
 
 
 def host(c: str | Column) -> Column:
-    """lower case, without port and userinfo; null for what can't be parsed."""
-    return F.lower(F.try_parse_url(c, F.lit("HOST")))
+    """lower case, without port, userinfo and an IPv6 address's brackets; null without one.
+
+    Only the authority is looked at: paths on the web hold characters that no strict parser
+    takes.
+    """
+    found = F.regexp_extract(c, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:]*)", 1)
+    return F.nullif(F.lower(F.btrim(found, F.lit("[]"))), F.lit(""))
 
 
 def netloc(c: str | Column) -> Column:
     """F6, older form: port and userinfo stay."""
-    return F.try_parse_url(c, F.lit("AUTHORITY"))
+    return F.nullif(F.regexp_extract(c, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
 
 
 def good_host(h: str | Column, most: int = MAX_HOST) -> Column:

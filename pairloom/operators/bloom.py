@@ -54,6 +54,5 @@ def seeded(frames: list[DataFrame], key: str) -> DataFrame:
 
 
 def unseen_exact(batch: DataFrame, seen: DataFrame, key: str) -> DataFrame:
-    """What isn't in ``seen``: exact.  Spark's own runtime Bloom filter
-    (spark.sql.optimizer.runtime.bloomFilter.enabled) prunes the large side of the join."""
+    """What isn't in ``seen``, by the exact test that a sketch's claims need."""
     return unseen(batch, seen, key)

@@ -7,9 +7,11 @@ with one row a key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import ranges
+
 #: Rows up to which a side of a join is broadcast.
 BROADCAST_ROWS = 100_000
 
@@ -80,14 +82,18 @@ def insert_ignore(table: DataFrame, batch: DataFrame, key: str, order: list[str]
 
 def with_ids(df: DataFrame, per: list[str], order: list[str], start: str | Column, out: str = "sampleid") -> DataFrame:
     """Dense ids from ``start`` in the order of each ``per`` group (one crawl file)."""
-    w = Window.partitionBy(*per).orderBy(*order)
     first = F.col(start) if isinstance(start, str) else start
-    return df.withColumn(out, (first + F.row_number().over(w) - 1).cast("long"))
+    return ranges.numbered(df, per, order, "__number").withColumn(out, (first + F.col("__number") - 1).cast("long")).drop("__number")
+
+
+#: Rows that one task may sort and cut.
+ONE_TASK_ROWS = 100_000
 
 
-def first_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
-    """O1, O2: the first ``n`` by ``order``, which should be total."""
-    return df.orderBy(*order).limit(n)
+def first_rows(df: DataFrame, n: int, order: list[str], most: int = ONE_TASK_ROWS) -> DataFrame:
+    """O1, O2: the first ``n`` by ``order``, which should be total.  More than ``most`` rows are
+    cut by ranges, not in one task."""
+    return df.orderBy(*order).limit(n) if n <= most else ranges.first_rows(df, n, order)
 
 
 def hash_sample(df: DataFrame, key: str, percent: float, buckets: int = 1_000_000) -> DataFrame:
@@ -98,7 +104,7 @@ def hash_sample(df: DataFrame, key: str, percent: float, buckets: int = 1_000_00
 
 def shuffled(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
     """In an order by hash, which spreads a domain's links."""
-    return df.orderBy(F.xxhash64(F.lit(seed), key), key)
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string"))), key)
 
 
 def by_number(df: DataFrame, column: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions import url as U
 from ..schemas import CRAWL
+from . import ranges
 
 LICENSE_MARK = "creativecommons.org/licenses/"
 UNKNOWN_LICENSE = "?"
@@ -66,8 +67,7 @@ def with_license(links: DataFrame, record: list[str], pos: str = "pos", url: str
 
 def carried(df: DataFrame, keys: list[str], order: str, value: str, out: str) -> DataFrame:
     """W1 in general: the last value that isn't null at or before each row."""
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
+    return ranges.last_before(df, keys, order, value, out, True)
 
 
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -82,6 +82,7 @@ def candidates(links: DataFrame, mode: str = "strict", detector=None, fix=None)
 
     ``strict`` drops what isn't an absolute address; ``resolve`` first resolves against the
     base, as the older client did.  Filters run from cheap to dear, the detector last.
+    ``detector`` and ``fix`` are functions of the caller's; by default the JVM-side ones serve.
     """
     if mode not in ("strict", "resolve"):
         raise ValueError(f"mode is strict or resolve, not {mode!r}")
@@ -90,12 +91,10 @@ def candidates(links: DataFrame, mode: str = "strict", detector=None, fix=None)
         df = once(df, "url", U.resolved("base", "url"))
     df = df.where(~U.is_media_or_script("url")).where(U.is_absolute("url"))
     df = df.withColumn("domain", U.host("url")).where(U.good_host("domain"))
-    cleaned = X.printable(X.repaired("alt", fix)) if fix else X.clean("alt")
+    cleaned = X.printable(X.repaired("alt", fix)) if fix else X.clean(X.mended("alt"))
     df = once(df, "text", cleaned).where(X.long_enough("text"))
-    if detector is None:
-        df = df.withColumn("language", F.lit(""))
-    else:
-        df = df.withColumn("__d", X.detected("text", detector)).withColumn("language", X.gated_language("__d.language", "__d.reliable")).drop("__d")
+    found = X.native_language("text") if detector is None else X.detected("text", detector)
+    df = df.withColumn("__d", found).withColumn("language", X.gated_language("__d.language", "__d.reliable")).drop("__d")
     df = df.withColumn("text", X.escaped("text")).withColumn("hash", X.pair_hash("url", "text"))
     return df.drop("alt", "base")
 

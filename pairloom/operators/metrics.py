@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import col
+from . import ranges
 from .state import route
 
 
@@ -49,8 +50,7 @@ def trailing_sums(df: DataFrame, ts: str, values: list[str], ref: Column, scale:
 
 def deltas(df: DataFrame, keys: list[str], order: str, value: str, out: str = "delta") -> DataFrame:
     """A8, W4, corrected: each cumulative value less the one before; the first is itself."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    return df.withColumn(out, F.col(value) - F.coalesce(F.lag(value).over(w), F.lit(0)))
+    return ranges.last_before(df, keys, order, value, "__before", False).withColumn(out, F.col(value) - F.coalesce("__before", F.lit(0))).drop("__before")
 
 
 def error_rate(df: DataFrame, failed: Column, seconds: str | Column, by: list[str] | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import col
-from .dedup import insert_ignore, maybe_broadcast
+from .dedup import insert_ignore, last_by, maybe_broadcast
 
 NEW, CLAIMED, OK, FAILED = 0, 1, 2, 9
 
@@ -51,14 +51,21 @@ def apply_claim(table: DataFrame, claimed: DataFrame, key: str, now: Column | No
     return joined.withColumns(changed).select(*table.columns)
 
 
-def complete(table: DataFrame, results: DataFrame, key: str, columns: list[str], now: Column | None = None) -> DataFrame:
-    """``columns`` of the rows that have a result are the result's (one row a key)."""
+def complete(table: DataFrame, results: DataFrame, key: str, columns: list[str], now: Column | None = None, order: list[str] | None = None) -> DataFrame:
+    """``columns`` of the rows that have a result are the result's, nulls too.
+
+    Of several results for a key the last by ``order`` counts (by default the greatest
+    values), so a row of the table stays one row.
+    """
     names = {c: f"__new_{c}" for c in columns}
-    new = results.select(F.col(key).alias("__key"), *(F.col(c).alias(n) for c, n in names.items()))
+    order = order or columns
+    last = last_by(results.where(F.col(key).isNotNull()).select(key, *dict.fromkeys([*order, *columns])), [key], order)
+    new = last.select(F.col(key).alias("__key"), *(F.col(c).alias(n) for c, n in names.items()))
     joined = table.join(new, F.col(key) == F.col("__key"), "left")
-    changed = {c: F.coalesce(n, c) for c, n in names.items()}
+    hit = F.col("__key").isNotNull()
+    changed = {c: F.when(hit, F.col(n)).otherwise(F.col(c)) for c, n in names.items()}
     if now is not None:
-        changed["modified"] = F.when(F.col("__key").isNotNull(), now).otherwise(F.col("modified"))
+        changed["modified"] = F.when(hit, now).otherwise(F.col("modified"))
     return joined.withColumns(changed).select(*table.columns)
 
 

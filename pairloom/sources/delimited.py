@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.image import opens
 from ..functions.text import shard_text_repair
 from ..schemas import CANDIDATE, DATAPOINTS, DATASET
 
@@ -62,6 +63,11 @@ def shard_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return rows.select(F.from_csv("line", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields), {"sep": "|"}).alias("r")).select("r.*")
 
 
+def openable(df: DataFrame, content: str = "content") -> DataFrame:
+    """The rows whose image opens."""
+    return df.where(opens(content))
+
+
 def flattened(df: DataFrame, column: str, schema: str) -> DataFrame:
     """A JSON column's fields as columns, nested ones under dotted names."""
     parsed = df.select(F.from_json(column, schema).alias("j"))
