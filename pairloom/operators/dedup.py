@@ -41,16 +41,20 @@ def last_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def unseen(batch: DataFrame, seen: DataFrame, key: str, seen_key: str | None = None, normalize=F.trim) -> DataFrame:
-    """The batch's rows whose key is not in ``seen``; exact.  A null key was never seen."""
+    """The batch's rows whose key is not in ``seen``; exact.  A null key was never seen.
+
+    A semi or anti join needs no distinct keys.  A seen set that is stored normalised and
+    bucketed by its key (and ``normalize`` that leaves it as it is) isn't shuffled at all.
+    """
     k = normalize(F.col(key))
-    there = seen.select(normalize(F.col(seen_key or key)).alias("__seen")).distinct()
+    there = seen.select(normalize(F.col(seen_key or key)).alias("__seen"))
     return batch.join(there, k == F.col("__seen"), "left_anti")
 
 
 def already_seen(batch: DataFrame, seen: DataFrame, key: str, seen_key: str | None = None, normalize=F.trim) -> DataFrame:
     """The batch's rows whose key is in ``seen``."""
     k = normalize(F.col(key))
-    there = seen.select(normalize(F.col(seen_key or key)).alias("__seen")).distinct()
+    there = seen.select(normalize(F.col(seen_key or key)).alias("__seen"))
     return batch.join(there, k == F.col("__seen"), "left_semi")
 
 
