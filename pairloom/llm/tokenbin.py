@@ -1,7 +1,9 @@
 """Token ids in binary files of patched frame-of-reference blocks.
 
-The documents are dealt out by ranges of doc_id and sorted; each task encodes its
-documents in order and appends the ids to one file.  A block holds ``BLOCK`` ids: the
+Documents are encoded where they are read; their ids, a third of the texts' size, are
+dealt out by ranges of doc_id and sorted, and each range's ids are appended to one file.
+The ranges' bounds come from a sample of doc_ids; documents of one doc_id that would fill
+several ranges are dealt to them by a digest of their ids.  A block holds ``BLOCK`` ids: the
 block's least id is subtracted, the differences are packed at the width that covers
 ``PERCENT`` of them, and the rest go to the block's exception list.  A file ends with an
 index of block starts and a table of documents, so any stretch of ids is read from its
@@ -20,13 +22,16 @@ A file's name is unique to the task attempt that wrote it; the manifest, a table
 once, names those of the attempts that count.  So a lost executor leaves only files that
 no manifest names.
 
+Special tokens in a text are what the library makes of them by default: their own ids.
+
 Edge cases: a null or empty text holds only the end id; a null doc_id sorts first;
-documents that share a doc_id are ordered by text; no rows give no files and no rows;
-other columns are ignored.
+documents that share a doc_id are ordered by a digest of their ids; no rows give no
+files and no rows; other columns are ignored; a text of any length is encoded whole.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -46,8 +51,11 @@ PERCENT = 95
 END_ID = 1
 HEAD = struct.Struct("<IHHB")
 TAIL = struct.Struct("<QQQI8s")
+#: Sampled rows for each range of doc_ids.
+SAMPLED = 100
+SEED = 11
 #: Words that a worker knows at once.
-KNOWN = 400_000
+KNOWN = 600_000
 #: Fixed values of the vocabulary: its split of text in lower case.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
@@ -60,32 +68,53 @@ def _byte_chars() -> list[str]:
 
 
 BYTE_CHARS = _byte_chars()
+#: ASCII punctuation but the apostrophe, which some pieces begin with.
+MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 #: Ids that a reader holds at once.
 READ = 1 << 20
 
 
+class Known(dict):
+    """Ids of words as bytes, made when first asked for.  Two generations: when the younger
+    is full it becomes the older, and what is used again is carried over."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, word):
+        if len(self) >= KNOWN // 2:
+            self.old = dict(self)
+            self.clear()
+        got = self[word] = self.old.get(word) or self.make(word)
+        return got
+
+
 class WordEncoder:
     """Ids of texts by a tokenizers file, each distinct word (as cut by ASCII white space)
     encoded once.
 
     The vocabulary's normalization and split work within words, so the ids of a text are
     those of its words in order; ``whole`` encodes without this.  For a word of printable
-    Latin-1 they are plain (lower case and ``PIECES``), so its pieces go straight to the
-    library's model, where a probe shows that the file's own steps do the same.
+    Latin-1 without a special token's string they are plain (lower case and ``PIECES``), so
+    its pieces go straight to the library's model, where a probe shows that the file's own
+    steps do the same.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
-        self.used: set[bytes] = set()
-        self.pieces: dict[str, bytes] = {}
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)) or "(?!)", re.IGNORECASE)
+        self.packed = [i.to_bytes(self.kind.itemsize, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.known = Known(self._word)
+        self.pieces = Known(self._piece)
         latin = [c for c in map(chr, range(33, 256)) if c.isprintable()]
         probe = [a + b + "Ab'S" + a + "1" for a in latin for b in latin[:: 1 if a < "\x7f" else 9]]
-        self.plain = all(self._pieces(p) == self._bytes(x) for p, x in zip(probe, self.whole(probe), strict=True))
+        self.plain = not any(c.isspace() for t in special for c in t)
+        self.plain = self.plain and all(self._pieces(p) == self._bytes(x) for p, x in zip(probe, self.whole(probe), strict=True))
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -93,41 +122,28 @@ class WordEncoder:
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        return b"".join([self.packed[t.id] for t in self.tokenizer.model.tokenize(piece if piece.isascii() else "".join(map(BYTE_CHARS.__getitem__, piece.encode())))])
+
     def _pieces(self, word: str) -> bytes:
-        out, known = [], self.pieces
-        for p in PIECES.findall(word.lower()):
-            if p not in known:
-                if len(known) >= KNOWN // 2:
-                    known.clear()
-                known[p] = b"".join([t.id.to_bytes(self.kind.itemsize, "little") for t in self.tokenizer.model.tokenize(p if p.isascii() else "".join(map(BYTE_CHARS.__getitem__, p.encode())))])
-            out.append(known[p])
-        return b"".join(out)
-
-    def learn(self, words: list[bytes]) -> None:
-        other = []
-        for w in words:
-            t = w.decode("utf-8")
-            if self.plain and t.isprintable() and (w.isascii() or max(t) < "\u0100"):
-                self.known[w] = self._pieces(t)
-            else:
-                other.append(w)
-        for i in range(0, len(other), 4096):
-            part = other[i : i + 4096]
-            self.known.update((w, self._bytes(x)) for w, x in zip(part, self.whole([w.decode("utf-8") for w in part]), strict=True))
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        words = [(t or "").encode("utf-8").split() for t in texts]
-        need = set().union(*words)
-        new = need.difference(self.known)
-        self.used |= need - new
-        if len(self.known) + len(new) > KNOWN:  # keep what was used again since the last time
-            used = self.used if len(self.used) < KNOWN // 2 else need - new
-            self.known = {w: self.known[w] for w in used}
-            self.used = set()
-            new = need.difference(self.known)
-        self.learn(list(new))
-        known = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(known, ws)), self.kind) for ws in words]
+        return b"".join(map(self.pieces.__getitem__, PIECES.findall(word.lower())))
+
+    def _word(self, word: bytes) -> bytes:
+        t = word.decode("utf-8")
+        if self.plain and (word.isascii() or max(t) < "\u0100"):
+            # Most words are letters, and punctuation behind them: two pieces.
+            low = t.lower()
+            letters = low.rstrip(MARKS)
+            if letters.isalpha() and "<" not in low:
+                marks = low[len(letters) :]
+                return self.pieces[letters] + self.pieces[marks] if marks else self.pieces[letters]
+        if self.plain and t.isprintable() and (word.isascii() or max(t) < "\u0100") and not self.special.search(t):
+            return self._pieces(t)
+        return self._bytes(self.whole([t])[0])
+
+    def encode(self, text: str | None) -> bytes:
+        """The ids of a text, packed."""
+        return b"".join(map(self.known.__getitem__, (text or "").encode("utf-8").split()))
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -292,26 +308,62 @@ class Reader:
 
 
 def write_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) -> DataFrame:
-    """Encode and write all documents; the manifest, a written table: path, first_id (the
-    least doc_id), n_docs, n_ids, n_bytes of each file."""
+    """Encode and write all documents; the manifest, a written table: file (its place in
+    order), path, first_id (the least doc_id), n_docs, n_ids, n_bytes of each file."""
+
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(range_bounds(docs))  # SAMPLED longs a range at most
+
+    def encoded(batches):
+        enc, bounds = encoder(tokenizer), shared.value
+        end = np.array([end_id], enc.kind).tobytes()
+        for b in slices(batches, 1024):
+            ids = [enc.encode(t) + end for t in b.column(1).to_pylist()]
+            digest = np.fromiter((zlib.crc32(x) for x in ids), np.int64, len(ids))
+            place = _ordered(b.column(0))
+            low, high = np.searchsorted(bounds, place, "left"), np.searchsorted(bounds, place, "right")
+            file = low + (digest * (high - low + 1) >> 32)
+            yield pa.RecordBatch.from_arrays([pa.array(file), b.column(0), pa.array(digest), pa.array(ids, pa.binary()), pa.array([enc.kind.itemsize] * len(ids), pa.int32())], names=["file", "doc_id", "digest", "ids", "width"])
 
     def run(batches):
-        enc, writer, name, first = encoder(tokenizer), None, "", None
+        writer, now, name, first = None, None, "", None
+
+        def done():
+            row = [now, name, first, len(writer.docs), writer.n_ids, writer.close()]
+            return pa.RecordBatch.from_arrays([pa.array([x], pa.string() if i == 1 else pa.int64()) for i, x in enumerate(row)], names=["file", "path", "first_id", "n_docs", "n_ids", "n_bytes"])
+
         for b in slices(batches, 1024):
-            if writer is None:
-                name, first = f"{folder}/{uuid.uuid4().hex}.pltb", b.column(0)[0].as_py()
-                system, path = _files(name)
-                system.create_dir(path.rpartition("/")[0], recursive=True)
-                writer = Writer(system.open_output_stream(path))
-            end = np.array([end_id], enc.kind)
-            for d, ids in zip(b.column(0).to_pylist(), enc.encode(b.column(1).to_pylist()), strict=True):
-                writer.add(d, np.concatenate((ids, end)))
+            for file, d, ids, width in zip(*(b.column(i).to_pylist() for i in (0, 1, 3, 4)), strict=True):
+                if file != now:
+                    if writer is not None:
+                        yield done()
+                    now, name, first = file, f"{folder}/{uuid.uuid4().hex}.pltb", d
+                    system, path = _files(name)
+                    system.create_dir(path.rpartition("/")[0], recursive=True)
+                    writer = Writer(system.open_output_stream(path))
+                writer.add(d, np.frombuffer(ids, f"<u{width}"))
         if writer is not None:
-            n = writer.close()
-            yield pa.RecordBatch.from_pylist([{"path": name, "first_id": first, "n_docs": len(writer.docs), "n_ids": writer.n_ids, "n_bytes": n}], schema=pa.schema([("path", pa.string()), ("first_id", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_bytes", pa.int64())]))
+            yield done()
+
+    ids = docs.select("doc_id", "text").mapInArrow(encoded, "file long, doc_id long, digest long, ids binary, width int")
+    dealt = ids.repartition("file").sortWithinPartitions("file", "doc_id", "digest", "ids")
+    return written(dealt.mapInArrow(run, "file long, path string, first_id long, n_docs long, n_ids long, n_bytes long"), "manifest")
+
+
+def _ordered(doc_id: pa.Array) -> np.ndarray:
+    """doc_ids as numbers; a null comes first."""
+    return np.asarray(doc_id.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), np.int64)
+
 
-    dealt = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return written(dealt.mapInArrow(run, "path string, first_id long, n_docs long, n_ids long, n_bytes long"), "manifest")
+def range_bounds(docs: DataFrame) -> np.ndarray:
+    """The doc_ids that part ``docs`` in as many ranges as a shuffle has partitions, from a
+    sample of some ``SAMPLED`` rows a range.  Files of any sizes would do: the sample decides
+    how evenly they are filled, nothing else."""
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select("doc_id")
+    share = min(1.0, SAMPLED * n / max(1, rows.count()))
+    found = np.sort(_ordered(rows.where(F.rand(SEED) < share).toArrow().column(0).combine_chunks()))
+    return found[(np.arange(1, n) * len(found)) // n] if len(found) else found
 
 
 def read_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
@@ -321,7 +373,7 @@ def read_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     The manifest has a row a file, which the driver gathers for the files' first ids.
     """
     files, start = [], 0
-    for r in manifest.orderBy(F.col("first_id").asc_nulls_first()).collect():
+    for r in manifest.orderBy("file").collect():
         files.append((r.path, start))
         start += r.n_ids
     if not files:

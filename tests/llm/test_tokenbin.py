@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from pairloom.llm import tokenbin as B
 
@@ -19,12 +20,17 @@ def test_words_apart_equal_whole_texts(monkeypatch):
     texts += [" ".join("".join(chr(rnd.randrange(33, 300)) for _ in range(rnd.randrange(1, 7))) for _ in range(6)) for _ in range(300)]
     enc = B.WordEncoder(WORDS)
     assert enc.plain
-    for t, got, want in zip(texts, enc.encode(texts), enc.whole(texts), strict=True):
-        assert got.tolist() == want, t
+    texts += ["a <|endoftext|> b", "x<|endoftext|>y <|STARTOFTEXT|> <|startoftext|><|endoftext|>", "<|endof text|> <| |>"]
+    plain = Tokenizer.from_file(WORDS)
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[-3] == [320, 49407, 321]
     few = B.WordEncoder(WORDS)
-    for i in range(0, len(texts), 20):
-        monkeypatch.setattr(B, "KNOWN", 40)
-        assert [x.tolist() for x in few.encode(texts[i : i + 20])] == enc.whole(texts[i : i + 20])
+    for t, ids in zip(texts, want, strict=True):
+        assert np.frombuffer(enc.encode(t), enc.kind).tolist() == ids, t
+    monkeypatch.setattr(B, "KNOWN", 40)
+    for t, ids in zip(texts, want, strict=True):
+        assert np.frombuffer(few.encode(t), enc.kind).tolist() == ids, t
+    assert len(few.known) <= 20 and len(few.known.old) <= 20
 
 
 @pytest.mark.parametrize("top", [1, 2, 300, 49_408, 70_000, 2**32])
@@ -43,10 +49,7 @@ def test_blocks_round_trip(top, n):
 
 
 def test_query_over_documents(spark, sf):
-    from tokenizers import Tokenizer
-
     t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
     start, want = 0, {}
     for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect():
         ids = [*t.encode(r.text, add_special_tokens=False).ids, 1]
@@ -75,3 +78,28 @@ def test_a_file_that_is_none(tmp_path):
     (tmp_path / "x").write_bytes(bytes(100))
     with pytest.raises(ValueError):
         B.Reader(f"file://{tmp_path}/x")
+
+
+def test_a_doc_id_of_a_third_of_the_rows(spark, tmp_path):
+    """Many rows of one doc_id, and of none, go to several files; order and starts hold."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"word {i % 5} " * (i % 7)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    manifest = B.write_files(df, WORDS, f"file://{tmp_path}/t")
+    files = manifest.collect()
+    assert len(files) == 4 and sum(r.first_id == 7 for r in files) + sum(r.first_id is None for r in files) >= 3
+    got = sorted((tuple(r) for r in B.read_files(spark, manifest).collect()), key=lambda r: r[1])
+    assert [r[0] for r in got] == sorted((d for d, _ in rows), key=lambda d: (d is not None, d or 0))
+    assert [r[1] for r in got] == np.cumsum([0, *[r[2] for r in got]]).tolist()[:-1]
+    t = Tokenizer.from_file(WORDS)
+    crcs = sorted((str(d), zlib.crc32(np.array([*t.encode(x, add_special_tokens=False).ids, 1], "<u4").tobytes())) for d, x in rows)
+    assert sorted((str(r[0]), r[3]) for r in got) == crcs
+
+
+def test_a_very_long_text(spark, tmp_path):
+    text = "Some words, again and AGAIN 12 é " * 60_000
+    df = spark.createDataFrame([(1, text), (2, "x" * 300_000)], "doc_id long, text string")
+    got = {r.doc_id: r for r in B.read_files(spark, B.write_files(df, WORDS, f"file://{tmp_path}/t")).collect()}
+    t = Tokenizer.from_file(WORDS)
+    for d, x in ((1, text), (2, "x" * 300_000)):
+        ids = [*t.encode(x, add_special_tokens=False).ids, 1]
+        assert (got[d].n_tokens, got[d].ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
