@@ -14,12 +14,16 @@ seeded key, then a running sum within the ranges that hold a cut.  Last, one doc
 each pattern, the one whose size is nearest to what the cut left over or short, gets a
 copy more or less.
 
-The driver sees one row a pattern and a source; ``MAX_PATTERNS`` bounds them, and more is
-an error that says so.  Nothing by document is gathered.
+Sources, patterns and cuts are tables; the driver sees sums only.  Targets are found by
+rounds over the table of sources, each of which stops those that are above.  A source
+that no overlapping pattern has gets its target from its one pattern, in a column.  The
+others' patterns are cut into the connected components of patterns and sources, whose
+flows don't touch each other, and each component is routed by one worker, which holds
+a row a pattern.
 
 Edge cases: null is a source of its own, last in order; null and empty texts have size 0
 and no copies unless all else of their source is taken whole; rows equal in doc_id and
-text get equal copies; no rows give no rows; other columns are ignored by ``mix`` and
+text get equal copies, which the mend counts; no rows give no rows; other columns are ignored by ``mix`` and
 kept by the stage.
 """
 
@@ -27,36 +31,39 @@ from __future__ import annotations
 
 from collections import defaultdict, deque
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import ranges
 from .common import documents, maybe_broadcast, word_count, written
+from .simhash import components
 
 WEIGHTS = (5.0, 2.0, 1.0)
 REPEATS = 3
 SEED = 20_240_501
-MAX_PATTERNS = 20_000
 #: Bits of the seeded key by which token sums are kept.
 RANGE_BITS = 12
 
 
-def targets(sizes: list[int], weights: tuple[float, ...], total: float, repeats: int) -> list[float]:
-    """``total`` shared by weight (repeating); a target stops at ``repeats`` times its
-    source's size and the excess is shared again, until none is above."""
-    w = [weights[i % len(weights)] for i in range(len(sizes))]
-    out, free = [0.0] * len(sizes), set(range(len(sizes)))
-    while free:
-        rest = total - sum(out[i] for i in range(len(sizes)) if i not in free)
-        share = sum(w[i] for i in sorted(free))
-        over = {i for i in free if rest * w[i] / share > repeats * sizes[i]}
-        for i in over:
-            out[i] = float(repeats * sizes[i])
-        if not over:
-            for i in free:
-                out[i] = rest * w[i] / share
+def with_targets(sources: DataFrame, weights: tuple[float, ...], repeats: int) -> DataFrame:
+    """``sources`` (source, source_size, own) with ``target``, a written table: the sum of ``own``
+    shared by weight (repeating, in code point order, null last); a target stops at
+    ``repeats`` times its source's size and the excess is shared again, until none is above."""
+    ordered = ranges.numbered(sources.withColumn("last", F.col("source").isNull()), [], ["last", "source"], "i")
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.col("i") - 1, F.lit(len(weights))) + 1).cast("int"))
+    df = written(ordered.select("source", "source_size", "own", weight.alias("weight"), (F.col("source_size") * repeats).alias("most")), "sources")
+    total, capped = df.agg(F.sum("own")).first()[0] or 0, F.lit(False)
+    before, share = None, None
+    while True:
+        free = df.agg(F.sum(F.when(~capped, F.col("weight"))), F.sum(F.when(capped, F.col("most"))), F.count_if(capped)).first()
+        # Those over the share stop; a share only grows, so none is let go again.
+        if not free[0] or free[2] == before:
             break
-        free -= over
-    return out
+        before, share = free[2], (float(total) - (free[1] or 0)) / free[0]
+        capped = F.col("weight") * F.lit(share) > F.col("most")
+    target = F.col("most").cast("double") if share is None or not free[0] else F.when(capped, F.col("most").cast("double")).otherwise(F.col("weight") * F.lit(share))
+    return written(df.select("source", "source_size", target.alias("target")), "targets")
 
 
 def route(patterns: dict[tuple, int], quotas: dict, repeats: int) -> dict[tuple, dict]:
@@ -131,34 +138,57 @@ class Plan:
         self.cuts = cuts
 
 
+_CUTS = "pattern array<string>, source string, at long, layer long, place long"
+
+
+def flows(patterns: DataFrame, sources: DataFrame, repeats: int) -> DataFrame:
+    """(pattern, source, at, layer, place): the ends of the sources' stretches on the lines of
+    ``patterns`` (pattern, tokens); ``sources`` has source and target."""
+    names = {c: f"of_{c}" for c in sources.columns}
+    quota = sources.withColumnsRenamed(names).withColumn("quota", F.bround("of_target").cast("long"))
+    parts = written(patterns.withColumn("source", F.explode("pattern")).join(maybe_broadcast(quota.select("of_source", "quota")), F.col("source").eqNullSafe(F.col("of_source"))).select("pattern", "tokens", "source", "quota"), "parts")
+    overlapping = parts.where(F.size("pattern") > 1)
+    lone = parts.where("quota > 0 and tokens > 0")
+    if overlapping.isEmpty():
+        routed = parts.sparkSession.createDataFrame([], _CUTS)
+    else:
+        shared = written(overlapping.select(F.col("source").alias("shared")).distinct(), "shared")
+        held = written(parts.join(maybe_broadcast(shared), F.col("source").eqNullSafe(F.col("shared")), "left_semi"), "overlapping")
+        lone = lone.join(maybe_broadcast(shared), F.col("source").eqNullSafe(F.col("shared")), "left_anti")
+        pattern, source = F.xxhash64(F.lit(1), F.to_json(F.struct("pattern"))), F.xxhash64(F.lit(2), "source")
+        edges = held.select(pattern.alias("p"), source.alias("s"))
+        to = components(edges.select(F.col("p").alias("a"), F.col("s").alias("b"))).withColumnsRenamed({"a": "node", "b": "root"})
+        placed = held.withColumn("p", pattern).join(to, F.col("p") == F.col("node"), "left").withColumn("component", F.coalesce("root", "p"))
+
+        def run(f: pd.DataFrame) -> pd.DataFrame:
+            tokens = {tuple(p): int(t) for p, t in zip(f["pattern"], f["tokens"], strict=True)}
+            quotas = {s if isinstance(s, str) else None: int(q) for s, q in zip(f["source"], f["quota"], strict=True)}
+            ends = []
+            for p, out in route(tokens, quotas, repeats).items():
+                at = 0
+                for s in sorted(out, key=lambda s: (s is None, (s or "").encode("utf-8", "surrogatepass"))):
+                    at += out[s]
+                    ends.append((list(p), s, at, *divmod(at, tokens[p])))
+            return pd.DataFrame(ends, columns=["pattern", "source", "at", "layer", "place"])
+
+        routed = placed.select("component", "pattern", "tokens", "source", "quota").groupBy("component").applyInPandas(run, _CUTS)
+    alone = lone.withColumn("at", F.least("quota", F.col("tokens") * repeats)).select("pattern", "source", "at", F.expr("at div tokens").alias("layer"), F.expr("at % tokens").alias("place"))
+    return written(alone.unionByName(routed), "ends")
+
+
 def plan(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS) -> Plan:
     """The plan for ``sized``: pattern (array of sources), size and key of each document."""
-    spark = sized.sparkSession
-    ranges = written(sized.groupBy("pattern", _range(F.col("key")).alias("range")).agg(F.sum("size").alias("tokens")), "ranges")
-    rows = ranges.groupBy("pattern").agg(F.sum("tokens").alias("tokens")).limit(MAX_PATTERNS + 1).collect()
-    if len(rows) > MAX_PATTERNS:
-        raise ValueError(f"over {MAX_PATTERNS} membership patterns: merge sources before mixing")
-    patterns = {tuple(r.pattern): r.tokens for r in rows}
-    names = sorted({s for p in patterns for s in p}, key=lambda s: (s is None, (s or "").encode("utf-8", "surrogatepass")))
-    sizes = [sum(n for p, n in patterns.items() if s in p) for s in names]
-    goal = targets(sizes, weights, float(sum(patterns.values())), repeats)
-    flows = route(patterns, {s: round(t) for s, t in zip(names, goal, strict=True)}, repeats)
-    order = {s: i for i, s in enumerate(names)}
-
-    # The ends of the sources' stretches on each pattern's line.
-    ends = []
-    for p, f in flows.items():
-        at = 0
-        for s in sorted(f, key=order.get):
-            at += f[s]
-            layer, place = divmod(at, patterns[p])
-            ends.append((list(p), s, at, layer, place))
-    source_rows = spark.createDataFrame(list(zip(names, sizes, goal, strict=True)), "source string, source_size long, target double")
-    cuts = spark.createDataFrame(ends, "pattern array<string>, source string, at long, layer long, place long")
+    ranges_ = written(sized.groupBy("pattern", _range(F.col("key")).alias("range")).agg(F.sum("size").alias("tokens")), "ranges")
+    patterns = written(ranges_.groupBy("pattern").agg(F.sum("tokens").alias("tokens")), "patterns")
+    # ``own``: each pattern's tokens count once, for the least of its sources.
+    own = F.when(F.col("place") == 0, F.col("tokens")).otherwise(F.lit(0))
+    by_source = patterns.select("tokens", F.posexplode("pattern").alias("place", "source")).groupBy("source").agg(F.sum("tokens").alias("source_size"), F.sum(own).alias("own"))
+    sources = with_targets(by_source, weights, repeats)
+    cuts = flows(patterns, sources, repeats)
 
     # The range that holds each cut, then the first document whose middle is past it.
-    before = ranges.select("pattern", "range", "tokens", F.expr("sum(tokens) over (partition by pattern order by range) - tokens").alias("before"))
-    at_range = F.broadcast(cuts).join(before, "pattern").where("place >= before and place < before + tokens")
+    before = ranges_.select("pattern", "range", "tokens", F.expr("sum(tokens) over (partition by pattern order by range) - tokens").alias("before"))
+    at_range = maybe_broadcast(cuts).join(before, "pattern").where("place >= before and place < before + tokens")
     held = written(at_range.select("pattern", "source", "at", "layer", "range", (F.col("place") - F.col("before")).alias("rest")), "held")
     near = sized.select("pattern", "size", "key", _range(F.col("key")).alias("range")).join(maybe_broadcast(held.select("pattern", "range").distinct()), ["pattern", "range"])
     running = near.select("pattern", "range", "key", (F.expr("sum(size) over (partition by pattern, range order by key, size rows unbounded preceding)") - F.col("size") / 2).alias("middle"))
@@ -179,7 +209,11 @@ def plan(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int =
     can = (F.col("size") > 0) & (fit < F.abs("short")) & F.when(F.col("short") > 0, F.col("copies") < repeats).otherwise(F.col("copies") > 0)
     mends = joined.drop("wanted").join(maybe_broadcast(short), "pattern").where(can).groupBy("pattern").agg(F.min(F.struct(fit.alias("fit"), "key", F.signum("short").cast("int").alias("sign"))).alias("m"))
     mends = written(mends.select(F.col("pattern").alias("p"), F.col("m.key").alias("mend_key"), F.col("m.sign").alias("mend")), "mends")
-    return Plan(source_rows, written(lists.join(maybe_broadcast(mends), F.col("pattern") == F.col("p"), "left").select("pattern", "cuts", "mend_key", "mend"), "plan"))
+    # Rows equal in doc_id and text are mended together: only where that is nearer, too.
+    many = sized.join(maybe_broadcast(mends), (F.col("pattern") == F.col("p")) & (F.col("key") == F.col("mend_key"))).groupBy("p").agg(F.sum("size").alias("mended"))
+    near = short.join(maybe_broadcast(many), F.col("pattern") == F.col("p")).where("mended < 2 * abs(short)").select(F.col("p").alias("fine"))
+    mends = written(mends.join(maybe_broadcast(near), F.col("p") == F.col("fine"), "left_semi"), "fine-mends")
+    return Plan(sources, written(lists.join(maybe_broadcast(mends), F.col("pattern") == F.col("p"), "left").select("pattern", "cuts", "mend_key", "mend"), "plan"))
 
 
 def _copies(key: Column) -> Column:
@@ -231,6 +265,12 @@ def mix_stage(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: in
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     got, p = mix(documents(spark, sf_dir))
     source = F.element_at("pattern", 1)
-    by = F.broadcast(p.sources) if p.sources.count() <= MAX_PATTERNS else p.sources
-    joined = got.withColumn("of", source).join(by, F.col("of").eqNullSafe(F.col("source")))
+    joined = got.withColumn("of", source).join(maybe_broadcast(p.sources), F.col("of").eqNullSafe(F.col("source")))
     return joined.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", F.col("copies").cast("int").alias("copies"))
+
+
+def overlap_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed by sources that overlap: a document's own, and its language."""
+    docs = documents(spark, sf_dir)
+    got, p = mix(docs, F.array("source", F.concat(F.lit("language "), F.coalesce("lang", F.lit("?")))))
+    return got.select("doc_id", "pattern", "size", F.col("copies").cast("int").alias("copies"), "copy_sources")

@@ -22,7 +22,7 @@ MODULES = {
 }
 
 #: Further queries: name -> (module, function).
-MORE = {"op7_page_language_id": ("langid", "page_query")}
+MORE = {"op7_page_language_id": ("langid", "page_query"), "op4_overlapping_mixture": ("mixture", "overlap_query")}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

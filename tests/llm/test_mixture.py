@@ -12,10 +12,31 @@ def words(t):
     return len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
 
 
-@pytest.mark.parametrize("sizes", [[10, 10, 10], [1, 100, 100, 100], [0, 5, 0], [7], [], [1, 1, 1000], [3, 1, 4, 1, 5, 9, 2, 6]])
-def test_targets(sizes):
+def plain_targets(sizes, weights, total, repeats):
+    w = [weights[i % len(weights)] for i in range(len(sizes))]
+    out, free = [0.0] * len(sizes), set(range(len(sizes)))
+    while free:
+        rest = total - sum(out[i] for i in range(len(sizes)) if i not in free)
+        share = sum(w[i] for i in sorted(free))
+        over = {i for i in free if rest * w[i] / share > repeats * sizes[i]}
+        for i in over:
+            out[i] = float(repeats * sizes[i])
+        if not over:
+            for i in free:
+                out[i] = rest * w[i] / share
+            break
+        free -= over
+    return out
+
+
+@pytest.mark.parametrize("sizes", [[10, 10, 10], [1, 100, 100, 100], [0, 5, 0], [7], [], [1, 1, 1000], [3, 1, 4, 1, 5, 9, 2, 6], [0, 0], [1, 2, 4, 8, 16, 32, 64, 128, 4096]])
+def test_targets(spark, sizes):
     total = float(sum(sizes))
-    got = M.targets(sizes, M.WEIGHTS, total, 3)
+    names = [f"s{i:02d}" for i in range(len(sizes) - 1)] + [None]  # null is last
+    df = spark.createDataFrame([(n, x, x) for n, x in zip(names, sizes, strict=False)], "source string, source_size long, own long").repartition(3)
+    by = {r.source: r.target for r in M.with_targets(df, M.WEIGHTS, 3).collect()}
+    got = [by[n] for n in names[: len(sizes)]]
+    assert got == pytest.approx(plain_targets(sizes, M.WEIGHTS, total, 3))
     assert sum(got) == pytest.approx(total)
     w = [M.WEIGHTS[i % 3] for i in range(len(sizes))]
     free = [i for i in range(len(sizes)) if got[i] < 3 * sizes[i] - 1e-9]
@@ -68,7 +89,7 @@ def test_query(spark, sf):
     assert got.keys() == docs.keys()
     names = sorted({r.source for r in docs.values()})
     sizes = [sum(words(r.text) for r in docs.values() if r.source == s) for s in names]
-    goal = dict(zip(names, M.targets(sizes, (5, 2, 1), float(sum(sizes)), 3), strict=True))
+    goal = dict(zip(names, plain_targets(sizes, (5, 2, 1), float(sum(sizes)), 3), strict=True))
     for d, r in got.items():
         assert r.size == words(docs[d].text) and r.target == pytest.approx(goal[docs[d].source])
         assert 0 <= r.taken <= 3 * r.size and r.source_size == sizes[names.index(docs[d].source)]
@@ -140,3 +161,59 @@ def test_stage_and_odd_rows(spark):
     assert counted == doubled
     assert M.mix_stage(df.limit(0)).count() == 0 and M.mix(df.limit(0))[0].count() == 0
     assert M.mix(df.where("doc_id = 2"))[0].first().copies == 0
+
+
+def test_components_are_routed_apart(spark):
+    """Two groups of overlapping sources and many lone ones: each group's flow is that of the
+    group alone, and lone sources take their targets."""
+    rnd = random.Random(12)
+    groups = [["a"], ["a", "b"], ["b", "c"], ["x", "y"], ["y"], *[[f"lone{i}"] for i in range(30)]]
+    rows = [(i, " ".join(["w"] * rnd.randrange(1, 30)), rnd.choice(groups)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source array<string>")
+    got, p = M.mix(df, F.col("source"))
+    goal = {r.source: r.target for r in p.sources.collect()}
+    taken, tokens = dict.fromkeys(goal, 0), {}
+    for r in got.collect():
+        tokens[tuple(r.pattern)] = tokens.get(tuple(r.pattern), 0) + r.size
+        for s in r.copy_sources:
+            taken[s] += r.size
+    assert all(abs(taken[s] - goal[s]) <= 90 for s in goal), (taken, goal)
+    # the cuts are the ends of the flow that the whole network has
+    flow = M.route(tokens, {s: round(t) for s, t in goal.items()}, 3)
+    ends = {(tuple(r.pattern), r.source): r["at"] for r in M.flows(spark.createDataFrame([(list(k), n) for k, n in tokens.items()], "pattern array<string>, tokens long"), p.sources, 3).collect()}
+    for k, out in flow.items():
+        at = 0
+        for s in sorted(out):
+            at += out[s]
+            assert ends.pop((k, s)) == at
+    assert not ends
+
+
+def test_more_sources_than_before(spark):
+    """25,000 sources, each with a pattern of its own."""
+    df = spark.range(25_000).select(F.col("id").alias("doc_id"), F.lit("a b c d").alias("text"), F.concat(F.lit("h"), F.col("id").cast("string")).alias("source"))
+    got, p = M.mix(df)
+    assert got.count() == 25_000 == p.sources.count()
+    assert got.agg(F.sum(F.col("copies") * F.col("size"))).first()[0] > 0 and got.agg(F.max("copies")).first()[0] <= 3
+
+
+def test_equal_rows_are_mended_together(spark):
+    """A hundred rows of one doc_id and text: none is added where all would be too many."""
+    rows = [(1, "w " * 7, "a")] * 100 + [(i, "w " * 400, "b") for i in range(2, 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got, p = M.mix(df)
+    goal = {r.source: r.target for r in p.sources.collect()}
+    taken = {s: 0 for s in goal}
+    for r in got.collect():
+        taken[r.pattern[0]] += r.copies * r.size
+    assert abs(taken["a"] - goal["a"]) <= 350 and abs(taken["b"] - goal["b"]) <= 200
+
+
+def test_overlapping_query_and_a_very_long_text(spark, sf):
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = {r.doc_id: r for r in M.overlap_query(spark, sf).collect()}
+    assert got.keys() == docs.keys()
+    assert all(set(r.pattern) == {docs[d].source, f"language {docs[d].lang}"} and set(r.copy_sources) <= set(r.pattern) and len(r.copy_sources) == r.copies for d, r in got.items())
+    assert {s.startswith("language ") for r in got.values() for s in r.copy_sources} == {True, False}
+    long = spark.createDataFrame([(1, "w " * 1_000_000, "a"), (2, "w", "b")], "doc_id long, text string, source string")
+    assert {r.doc_id: r.size for r in M.mix(long)[0].collect()} == {1: 1_000_000, 2: 1}
