@@ -8,12 +8,15 @@ For each document and language the log posterior adds up
   - the address: a prior of the host, smoothed toward its address suffix, which is
     smoothed toward all documents (K pseudo-documents at each level).
 The estimates come from grouped aggregations of the text-only posteriors over all
-documents, so neither declarations nor hosts are trusted beyond what texts bear out.
+documents, so neither declarations nor hosts are trusted beyond what texts bear out.  A
+document's own text doesn't count for its host's prior.
 
 The trigram model is fitted on a bounded sample of declared rows: an expected ``SAMPLE``
-a language, drawn by a hash of doc_id; all else covers all rows.  The driver holds
-``BUCKETS`` counts for each of at most ``LANGUAGES`` languages (the most declared).  Host
-priors are broadcast when they are few and else joined by shuffle.
+a language, drawn by a hash of doc_id; all else covers all rows.  Every language is
+fitted that has ``LEAST`` declared rows and one in ``SHARE`` of them, so there are at
+most ``SHARE``; what is rarer is fitted together as ``OTHER``.  The model has at most
+``CELLS`` counts: the more languages, the fewer buckets of trigrams.  Host priors are
+broadcast when they are few and else joined by shuffle.
 
 Edge cases: a text without letters leaves the decision to the other evidence; a null
 host, suffix or declaration is a value of its own with what its documents bear out; ties
@@ -28,18 +31,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.url import host
 from .common import documents, maybe_broadcast, slices, written
 
 SAMPLE = 3000
-LANGUAGES = 64
-BUCKETS = 1 << 14
+LEAST = 5
+SHARE = 10_000
+OTHER = "other"
+BUCKETS, LEAST_BUCKETS = 1 << 14, 1 << 10
+CELLS = 1 << 24
 TEMPER = 0.1
 K = 20.0
 SEED = 7
 MIN_POSTERIOR = 0.5
 
 
-def buckets_of(text: str | None) -> np.ndarray:
+def buckets_of(text: str | None, buckets: int = BUCKETS) -> np.ndarray:
     """The bucket of each letter trigram of the text in lower case, other characters as
     one space."""
     if not text:
@@ -52,7 +59,7 @@ def buckets_of(text: str | None) -> np.ndarray:
     if len(c) < 3 or not letter.any():
         return np.zeros(0, np.int64)
     h = c[:-2] * np.uint64(0x9E3779B1) + c[1:-1] * np.uint64(0x85EBCA77) + c[2:] * np.uint64(0xC2B2AE3D)
-    return ((h ^ (h >> np.uint64(15))) & np.uint64(BUCKETS - 1)).astype(np.int64)
+    return ((h ^ (h >> np.uint64(15))) & np.uint64(buckets - 1)).astype(np.int64)
 
 
 def markup_language(html: str | Column) -> Column:
@@ -62,10 +69,6 @@ def markup_language(html: str | Column) -> Column:
     return F.lower(F.nullif(found, F.lit("")))
 
 
-def host_of(url: str | Column) -> Column:
-    return F.lower(F.try_parse_url(url, F.lit("HOST")))
-
-
 def suffix_of(host: Column) -> Column:
     """The last label of a host; null for one without a dot or an address of digits."""
     last = F.substring_index(host, ".", -1)
@@ -79,7 +82,7 @@ class TextModel:
         self.languages, self.logs = languages, logs
 
     def score(self, text: str | None) -> list[float]:
-        b = buckets_of(text)
+        b = buckets_of(text, len(self.logs))
         total = np.zeros(len(self.languages))
         for i in range(0, len(b), 1 << 16):
             total += self.logs[b[i : i + (1 << 16)]].sum(axis=0)
@@ -88,24 +91,36 @@ class TextModel:
 
 def fit(rows: DataFrame) -> TextModel:
     """From ``rows`` (doc_id, text, declared), those declared."""
-    counts = rows.where("declared is not null").groupBy("declared").count().orderBy(F.desc("count"), "declared").limit(LANGUAGES).collect()
-    languages = sorted(r.declared for r in counts)
+    by_language = written(rows.where("declared is not null").groupBy("declared").agg(F.count("*").alias("n")), "declared")
+    total = by_language.agg(F.sum("n")).first()[0] or 0
+    often = F.col("n") >= max(LEAST, total / SHARE)
+    counts = {r.declared: r.n for r in by_language.where(often).collect()}  # at most SHARE
+    rare = by_language.where(~often).agg(F.sum("n")).first()[0] or 0
+    if rare:
+        counts[OTHER] = counts.get(OTHER, 0) + rare
+    languages = sorted(counts)
     if not languages:
         return TextModel([], np.zeros((BUCKETS, 0)))
-    share = F.create_map(*(F.lit(x) for r in counts for x in (r.declared, min(1.0, SAMPLE / r["count"]))))
+    n_buckets = BUCKETS
+    while n_buckets > LEAST_BUCKETS and n_buckets * len(languages) > CELLS:
+        n_buckets //= 2
+    share = F.create_map(*(F.lit(x) for d, n in counts.items() for x in (d, min(1.0, SAMPLE / n))))
+    if rare:
+        named = F.create_map(*(F.lit(x) for d in languages for x in (d, d)))
+        rows = rows.withColumn("declared", F.when(F.col("declared").isNotNull(), F.coalesce(F.try_element_at(named, F.col("declared")), F.lit(OTHER))))
     drawn = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30)) < F.try_element_at(share, F.col("declared")) * (1 << 30)
 
     def count(batches):
         held: dict[str, np.ndarray] = {}
         for b in slices(batches):
             for t, d in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                held[d] = held.get(d, 0) + np.bincount(buckets_of(t), minlength=BUCKETS)
+                held[d] = held.get(d, 0) + np.bincount(buckets_of(t, n_buckets), minlength=n_buckets)
         for d, c in held.items():
             at = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays([pa.array([d] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(c[at], pa.int64())], names=["declared", "bucket", "n"])
 
     sampled = rows.where(drawn).select("text", "declared").mapInArrow(count, "declared string, bucket int, n long")
-    table = np.full((BUCKETS, len(languages)), 0.5)
+    table = np.full((n_buckets, len(languages)), 0.5, np.float32)
     index = {d: i for i, d in enumerate(languages)}
     for r in sampled.groupBy("declared", "bucket").agg(F.sum("n").alias("n")).collect():
         table[r.bucket, index[r.declared]] += r.n
@@ -118,8 +133,15 @@ def _softmax(x: Column) -> Column:
     return F.transform(e, lambda v: v / F.aggregate(e, F.lit(0.0), lambda a, w: a + w))
 
 
-def _sums(n: int) -> list[Column]:
-    return [F.sum(F.col("p")[i]).alias(f"n{i}") for i in range(n)]
+def _sums(column: str, n: int) -> Column:
+    """The sums of an array's ``n`` places."""
+    return F.array(*(F.sum(F.col(column)[i]) for i in range(n)))
+
+
+def _smoothed(counts: str | Column, above: Column) -> Column:
+    """Shares of ``counts`` with ``K`` pseudo-counts as ``above`` has them."""
+    size = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
+    return F.transform(F.array(size), lambda n: F.zip_with(counts, above, lambda c, a: (c + K * a) / (n + K)))[0]
 
 
 def identify(docs: DataFrame, model: TextModel | None = None) -> DataFrame:
@@ -130,7 +152,7 @@ def identify(docs: DataFrame, model: TextModel | None = None) -> DataFrame:
     if not n:
         none = F.lit(None)
         return docs.select("doc_id", none.cast("string").alias("lang"), none.cast("double").alias("posterior"), none.cast("string").alias("text_lang"), "declared")
-    shared = spark.sparkContext.broadcast(model)  # at most BUCKETS x LANGUAGES doubles
+    shared = spark.sparkContext.broadcast(model)  # at most CELLS floats, or LEAST_BUCKETS a language
 
     def run(batches):
         m = shared.value
@@ -141,30 +163,30 @@ def identify(docs: DataFrame, model: TextModel | None = None) -> DataFrame:
     scored = written(scored.withColumn("p", _softmax(F.col("text_log"))), "text-scores")
 
     # Hierarchy: all documents, suffix, host; each level smoothed toward the one above.
-    hosts = written(scored.groupBy("host", "suffix").agg(*_sums(n)), "host-counts")
-    whole = hosts.agg(*(F.sum(f"n{i}").alias(f"n{i}") for i in range(n))).first()
+    hosts = written(scored.groupBy("host", "suffix").agg(_sums("p", n).alias("here")), "host-counts")
+    whole = hosts.agg(_sums("here", n).alias("all")).first()["all"]
     total = sum(x or 0 for x in whole) or 1.0
-    top = [((x or 0) + 1) / (total + n) for x in whole]
-    suffixes = hosts.groupBy("suffix").agg(*(F.sum(f"n{i}").alias(f"n{i}") for i in range(n)))
-
-    def smoothed(above: list[Column]) -> Column:
-        size = sum((F.col(f"n{i}") for i in range(n)), F.lit(0.0))
-        return F.array(*((F.col(f"n{i}") + K * above[i]) / (size + K) for i in range(n)))
-
-    by_suffix = suffixes.select(F.col("suffix").alias("of"), smoothed([F.lit(x) for x in top]).alias("above"))
+    top = F.array(*(F.lit(((x or 0) + 1) / (total + n)) for x in whole))
+    by_suffix = written(hosts.groupBy("suffix").agg(_sums("here", n).alias("here")), "suffix-counts").select(F.col("suffix").alias("of"), _smoothed("here", top).alias("above"))
     joined = hosts.join(maybe_broadcast(by_suffix), hosts.suffix.eqNullSafe(F.col("of")))
-    priors = written(joined.select(F.col("host").alias("h"), F.col("suffix").alias("s"), smoothed([F.col("above")[i] for i in range(n)]).alias("prior")), "priors")
+    priors = written(joined.select(F.col("host").alias("h"), F.col("suffix").alias("s"), "here", "above"), "priors")
 
-    # P(declared | language), over the declarations that occur (few: the rest count as one).
-    names = [r.declared for r in scored.groupBy("declared").count().orderBy(F.desc("count"), "declared").limit(4 * LANGUAGES).collect()]
+    # P(declared | language), over the declarations that are as frequent as a language must
+    # be; the rest count as one.
+    said = written(scored.groupBy("declared").agg(F.count("*").alias("n")), "declarations")
+    least = (said.agg(F.sum("n")).first()[0] or 0) / SHARE
+    names = [r.declared for r in said.where(F.col("n") >= least).collect()]  # at most SHARE
     known = F.when(F.col("declared").isin([d for d in names if d is not None]), F.col("declared")).otherwise(F.when(F.col("declared").isNull(), F.lit("\0none")).otherwise(F.lit("\0other")))
     scored = scored.withColumn("said", known)
-    channel = {r.said: [r[f"n{i}"] for i in range(n)] for r in scored.groupBy("said").agg(*_sums(n)).collect()}
+    channel = {r.said: r.n for r in scored.groupBy("said").agg(_sums("p", n).alias("n")).collect()}
     sums = [sum(c[i] for c in channel.values()) for i in range(n)]
     logs = spark.createDataFrame([(d, [float(np.log((c[i] + 0.5) / (sums[i] + 0.5 * len(channel)))) for i in range(n)]) for d, c in channel.items()], "d string, channel array<double>") if channel else spark.createDataFrame([], "d string, channel array<double>")
 
     fused = scored.join(maybe_broadcast(priors), F.col("host").eqNullSafe(F.col("h")) & F.col("suffix").eqNullSafe(F.col("s"))).join(F.broadcast(logs), F.col("said") == F.col("d"))
-    log = F.array(*(F.col("text_log")[i] + F.log(F.col("prior")[i]) + F.col("channel")[i] for i in range(n)))
+    # The host's other documents: its counts without the document's own.
+    others = F.zip_with("here", "p", lambda a, b: F.greatest(a - b, F.lit(0.0)))
+    fused = fused.withColumn("prior", _smoothed(others, F.col("above")))
+    log = F.zip_with(F.zip_with("text_log", "prior", lambda a, b: a + F.log(b)), "channel", lambda a, b: a + b)
     languages = F.array(*(F.lit(x) for x in model.languages))
     best = lambda x: F.element_at(languages, F.array_position(x, F.array_max(x)).cast("int"))
     fused = fused.withColumn("q", _softmax(log))
@@ -174,8 +196,8 @@ def identify(docs: DataFrame, model: TextModel | None = None) -> DataFrame:
 def page_evidence(pages: DataFrame) -> DataFrame:
     """(doc_id, text, declared, host, suffix) of web pages (page_id, url, html)."""
     text = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1>|<!--.*?-->", " "), r"<[^>]*>", " ")
-    host = host_of("url")
-    return pages.select(F.col("page_id").alias("doc_id"), text.alias("text"), markup_language("html").alias("declared"), host.alias("host"), suffix_of(host).alias("suffix"))
+    of = host("url")
+    return pages.select(F.col("page_id").alias("doc_id"), text.alias("text"), markup_language("html").alias("declared"), of.alias("host"), suffix_of(of).alias("suffix"))
 
 
 def document_evidence(docs: DataFrame) -> DataFrame:

@@ -61,12 +61,13 @@ def test_posterior_against_plain_sums(spark):
     whole = add(data)
     top = [(x + 1) / (sum(whole) + n) for x in whole]
     smooth = lambda c, above: [(c[i] + L.K * above[i]) / (sum(c) + L.K) for i in range(n)]
+    # of the host, without the document itself
     sums = add(data)
     said = {r[2] for r in data}
     for r in L.identify(df, model).collect():
         _, _, declared, host, suffix = next(x for x in data if x[0] == r.doc_id)
         above = smooth(add([x for x in data if x[4] == suffix]), top)
-        prior = smooth(add([x for x in data if x[3] == host]), above)
+        prior = smooth(add([x for x in data if x[3] == host and x[0] != r.doc_id]), above)
         c = add([x for x in data if x[2] == declared])
         log = [text[r.doc_id][i] + math.log(prior[i]) + math.log((c[i] + 0.5) / (sums[i] + 0.5 * len(said))) for i in range(n)]
         assert r.posterior == pytest.approx(max(soft(log))) and r.lang == model.languages[log.index(max(log))]
@@ -107,3 +108,46 @@ def test_pages_are_a_registered_query(spark, sf):
     bare = L.page_evidence(pages).withColumns({c: F.lit(None).cast("string") for c in ("declared", "host", "suffix")})
     without = {r.doc_id: r.posterior for r in L.identify(bare, model).collect()}
     assert any(abs(got[i].posterior - p) > 1e-6 for i, p in without.items())  # the evidence counts
+
+
+def test_held_out_accuracy_with_the_label_withheld(spark):
+    """A quarter of the documents declare nothing; their language is told from text and host."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    hidden = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
+    evidence = L.document_evidence(docs).withColumn("declared", F.when(~hidden, F.col("declared")))
+    truth = {r.doc_id: r.lang for r in docs.where(hidden).collect()}
+    got = {r.doc_id: r.lang for r in L.identify(evidence).collect() if r.doc_id in truth}
+    assert len(got) == len(truth) > 200
+    assert sum(got[d] == t for d, t in truth.items()) / len(truth) > 0.95
+
+
+def test_more_languages_than_before_and_rare_ones(spark, monkeypatch):
+    """Seventy languages of their own words, all fitted; those of few rows are ``other``."""
+    words = ["".join(chr(97 + (i * 7 + j * 3 + j * j * (i // 26 + 1)) % 26) for j in range(6)) for i in range(70)]
+    data = [(100 * i + j, f"{w} {w[::-1]} {w[1:]}{w[:2]} {w}" * 3, f"l{i:02d}", None, None) for i, w in enumerate(words) for j in range(6)]
+    data += [(9000 + i, "qqq zzz qzq zqz " * 4, f"r{i}", None, None) for i in range(4)]
+    df = spark.createDataFrame(data, "doc_id long, text string, declared string, host string, suffix string")
+    model = L.fit(df)
+    assert len(model.languages) == 71 and L.OTHER in model.languages
+    got = {r.doc_id: r for r in L.identify(df, model).collect()}
+    assert sum(got[d].lang == said for d, _, said, _, _ in data[:420]) / 420 > 0.98
+    assert all(got[9000 + i].lang == L.OTHER for i in range(4))
+    monkeypatch.setattr(L, "CELLS", 1 << 17)
+    few = L.fit(df)
+    assert len(few.logs) < L.BUCKETS and len(few.languages) == 71
+    got = {r.doc_id: r for r in L.identify(df, few).collect()}
+    assert sum(got[d].lang == said for d, _, said, _, _ in data[:420]) / 420 > 0.9
+
+
+def test_a_very_long_text(spark):
+    df = spark.createDataFrame([*rows(), (900, f"{EN} " * 60_000, None, None, None)], "doc_id long, text string, declared string, host string, suffix string")
+    assert {r.doc_id: r.lang for r in L.identify(df).collect()}[900] == "en"
+
+
+def test_evidence_decides_pages(spark):
+    """Pages whose text says nothing go by markup, host and suffix."""
+    page = '<html lang="{}"><body>{}</body></html>'
+    data = [(i, f"http://h{i % 5}.example.uk/{i}", page.format("en", EN)) for i in range(40)] + [(100 + i, f"http://f{i % 5}.example.fr/a|b{i}", page.format("fr", FR)) for i in range(40)]
+    data += [(200, "http://new.example.fr/1", "<html>1</html>"), (201, "http://new.example.uk/1", "<html>1</html>"), (202, "http://h1.example.uk/2", "<html>2</html>"), (203, None, page.format("fr", "3"))]
+    got = {r.doc_id: r.lang for r in L.identify(L.page_evidence(spark.createDataFrame(data, "page_id long, url string, html string"))).collect()}
+    assert [got[i] for i in (200, 201, 202, 203)] == ["fr", "en", "en", "fr"]
