@@ -31,10 +31,12 @@ files and no rows; other columns are ignored; a text of any length is encoded wh
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -56,8 +58,12 @@ SAMPLED = 100
 SEED = 11
 #: Words that a worker knows at once.
 KNOWN = 600_000
-#: Fixed values of the vocabulary: its split of text in lower case.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+
+
+def split_pattern(path: str) -> str | None:
+    """The pattern by which a tokenizers file splits texts; None where it has no such step."""
+    steps = json.loads(Path(path).read_text("utf-8")).get("pre_tokenizer") or {}
+    return next((x["pattern"]["Regex"] for x in [steps, *steps.get("pretokenizers", [])] if "Regex" in x.get("pattern", {})), None)
 
 
 def _byte_chars() -> list[str]:
@@ -96,7 +102,7 @@ class WordEncoder:
 
     The vocabulary's normalization and split work within words, so the ids of a text are
     those of its words in order; ``whole`` encodes without this.  For a word of printable
-    Latin-1 without a special token's string they are plain (lower case and ``PIECES``), so
+    Latin-1 without a special token's string they are plain (lower case and the file's split), so
     its pieces go straight to the library's model, where a probe shows that the file's own
     steps do the same.
     """
@@ -109,12 +115,17 @@ class WordEncoder:
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or "(?!)", re.IGNORECASE)
         self.packed = [i.to_bytes(self.kind.itemsize, "little") for i in range(self.tokenizer.get_vocab_size())]
+        pattern = split_pattern(path)
+        self.find = regex.compile(pattern or "(?!)").findall
         self.known = Known(self._word)
         self.pieces = Known(self._piece)
         latin = [c for c in map(chr, range(33, 256)) if c.isprintable()]
         probe = [a + b + "Ab'S" + a + "1" for a in latin for b in latin[:: 1 if a < "\x7f" else 9]]
-        self.plain = not any(c.isspace() for t in special for c in t)
+        self.plain = pattern is not None and not any(c.isspace() for t in special for c in t)
         self.plain = self.plain and all(self._pieces(p) == self._bytes(x) for p, x in zip(probe, self.whole(probe), strict=True))
+        if self.plain:  # and so are letters with punctuation behind them
+            probe = [c + "Zé" + m for c in latin[::3] if c.isalpha() for m in (*MARKS, ".,", '!)"')]
+            self.plain = all(self._word(p.encode()) == self._bytes(x) for p, x in zip(probe, self.whole(probe), strict=True))
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -126,7 +137,7 @@ class WordEncoder:
         return b"".join([self.packed[t.id] for t in self.tokenizer.model.tokenize(piece if piece.isascii() else "".join(map(BYTE_CHARS.__getitem__, piece.encode())))])
 
     def _pieces(self, word: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, PIECES.findall(word.lower())))
+        return b"".join(map(self.pieces.__getitem__, self.find(word.lower())))
 
     def _word(self, word: bytes) -> bytes:
         t = word.decode("utf-8")
