@@ -110,15 +110,16 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 def quality_stage(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that are not kept; all columns stay as they are.
 
-    The texts are measured twice, for the hosts and for the filter, so that no copy of
-    them is written or shuffled.
+    The texts are measured once and written with their flags, without those that fail
+    the base rules, whose rows only count for their hosts.
     """
     names = {c.lower(): c for c in docs.columns}
     source, text = names["source"], names["text"]
-    flags = measure(docs.select(F.col(source).alias("__pl_host"), F.col(text).alias("text"))).select("__pl_host", F.col("__pl_c_base").alias("base"), F.col("__pl_c_minor").alias("minor"))
-    hosts = host_verdicts(flags, "__pl_host", F.col("base") | F.col("minor"))
+    flagged = measure(docs, text).drop("__pl_c").withColumn(text, F.when(~F.col("__pl_c_base"), F.col(text)))
+    flagged = written(flagged, "flagged")
+    hosts = host_verdicts(flagged, source, F.col("__pl_c_base") | F.col("__pl_c_minor"))
     bad = hosts.where("host_bad").select(F.col("host").alias("__pl_bad"), F.lit(True).alias("__pl_is_bad"))
-    measured = measure(docs, text).where("not __pl_c_base")
+    measured = flagged.where("not __pl_c_base")
     joined = measured.join(maybe_broadcast(bad), F.col(source).eqNullSafe(F.col("__pl_bad")), "left")
     return joined.where("__pl_is_bad is null or not __pl_c_minor").select(*docs.columns)
 
