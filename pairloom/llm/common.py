@@ -58,6 +58,18 @@ def cleanup(spark: SparkSession) -> None:
         delete(spark, _paths.pop())
 
 
+def mark() -> int:
+    """A place to give to ``discard``."""
+    return len(_paths)
+
+
+def discard(spark: SparkSession, since: int) -> None:
+    """Delete the tables written since ``mark``, but the last; what read them must be written."""
+    for path in _paths[since:-1]:
+        delete(spark, path)
+    del _paths[since:-1]
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a path with Hadoop's file system; a session that has ended is left alone."""
     jvm = spark.sparkContext._jvm
