@@ -72,7 +72,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in order, over the documents of ``sf_dir``."""
-    docs = common.documents(spark, sf_dir)
+    docs, since = common.documents(spark, sf_dir), common.mark()
     for name, stage in STAGES[:-1]:
         docs = common.written(stage(spark, docs, sf_dir), name)
+        common.discard(spark, since)
     return STAGES[-1][1](spark, docs, sf_dir).select("doc_id", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "ids_sha256", "decoded_sha256")
