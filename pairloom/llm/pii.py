@@ -102,11 +102,12 @@ _LOUD = rf"{_UPPER}(?:[-'’]{_UPPER})?"
 _TITLE = {t: g for g, ts in TITLES.items() for t in ts}
 _LISTED = [n for ns in GIVEN.values() for n in ns]
 PERSON = re.compile(
-    rf"(?<!\w)(?:(?:{'|'.join(_TITLE)}|MR|MRS)\.? +(?:({_NAME})(?: +({_NAME}))?|({_LOUD})(?: +({_LOUD}))?)"
+    rf"(?=[A-ZÀ-ÖØ-ÞА-ЯЁ{''.join(sorted({t[0] for t in _TITLE if t[0].islower()}))}])(?<!\w)(?:(?:{'|'.join(_TITLE)}|MR|MRS)\.? +(?:({_NAME})(?: +({_NAME}))?|({_LOUD})(?: +({_LOUD}))?)"
     rf"|({'|'.join(_LISTED)}) +({_NAME})|({'|'.join(n.upper() for n in _LISTED)}) +({_LOUD}))(?!\w)"
 )
 #: Words that introduce a name, of one word or two, and of two only.
-INTRODUCED = re.compile(rf"(?<!\w)(?:(?i:my name is|signed by|yours sincerely,|kind regards,|dear)\s+({_NAME})(?: +({_NAME}))?|(?i:contact|contact person:|ask for|attn\.?:?|author:|written by)\s+({_NAME}) +({_NAME}))(?!\w)")
+ONE_OR_TWO, TWO = ("my name is", "signed by", "yours sincerely,", "kind regards,", "dear"), ("contact", "contact person:", "ask for", "attn", "attn:", "attn.", "author:", "written by")
+INTRODUCED = re.compile(rf"(?<!\w)(?:(?i:{'|'.join(map(re.escape, ONE_OR_TWO))})\s+({_NAME})(?: +({_NAME}))?|(?i:{'|'.join(map(re.escape, TWO))})\s+({_NAME}) +({_NAME}))(?!\w)")
 #: Words that stand where a name would.
 ADDRESSEES = frozenset("sir sirs madam all customer customers friend friends colleague colleagues reader readers team editor everyone god lord diary".split())
 #: Before an address in angle brackets.
@@ -246,7 +247,9 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 if kind == "phone" and (len(norm) == 11 and norm[0] == "1" or norm[0] == "0"):
                     norm = norm[1:]
             got.append((start, end, kind, norm))
-    names = {m[i].lower() for pattern in (PERSON, INTRODUCED, ADDRESSED) for m in pattern.finditer(text) for i in range(1, pattern.groups + 1) if m[i] and len(m[i].lower()) == len(m[i])} - ADDRESSEES
+    low = text.lower()
+    patterns = [PERSON, *([INTRODUCED] if any(w in low for w in (*ONE_OR_TWO, *TWO)) else []), *([ADDRESSED] if " <" in text else [])]
+    names = {m[i].lower() for pattern in patterns for m in pattern.finditer(text) for i in range(1, pattern.groups + 1) if m[i] and len(m[i].lower()) == len(m[i])} - ADDRESSEES
     for m in _CAPITALS.finditer(text) if names else ():
         word, start = m[0].lower(), m.start()
         # A compound is no name that was found, but its parts may be.
