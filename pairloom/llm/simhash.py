@@ -11,8 +11,8 @@ Finding the links, for N distinct fingerprints (copies of a text share one):
    three blocks, and close pairs meet under a key of some 32 bits.
 2. Each key's fingerprints, streamed in order, are verified by XOR and bit count; only
    a spanning forest of the group's links is emitted, never all pairs.
-3. A key with more than ``GROUP`` fingerprints is passed on unread.  Its fingerprints
-   are keyed again by every choice of 13 of 16 four-bit blocks; at most
+3. A key with more than ``GROUP`` fingerprints is passed on unread; those that a sample
+   of the fingerprints shows to be so aren't even gathered.  Their fingerprints are keyed again by every choice of 13 of 16 four-bit blocks; at most
    2**12 = ``GROUP`` distinct fingerprints can share such a key, so this is exact and
    bounded.
 4. Components come from alternating large-star and small-star steps on tables; nothing
@@ -52,6 +52,8 @@ SHINGLE = 3
 SEED = 42
 #: Fingerprints that one key's group may hold in memory: 2 ** 12, see step 3.
 GROUP = 4096
+#: One fingerprint in so many tells which keys are crowded.
+CROWD = 64
 #: Bits of the six blocks.
 BLOCKS = (11, 11, 11, 11, 10, 10)
 #: The stage's shingles, and the similarity that it links, as a fraction.
@@ -145,48 +147,44 @@ def _links(keyed: DataFrame, limit: int | None) -> DataFrame:
     ``keyed`` has (k, m, fp): key number, masked bits and fingerprint.
     """
 
-    def run(batches):
-        last, group, over = None, [], False
-
-        def done():
-            if len(group) > 1:
-                a, b = _forest(np.array(group, np.int64).view(np.uint64), DISTANCE)
-                if a:
-                    yield a, b, False
+    def out(a, b, flag):
+        return pa.RecordBatch.from_arrays([*(pa.array(np.asarray(x, np.uint64).view(np.int64)) for x in (a, b)), pa.array(np.full(len(a), flag))], names=["a", "b", "over"])
 
-        def out(a, b, flag):
-            as_long = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (a, b)]
-            return pa.RecordBatch.from_arrays([*as_long, pa.array([flag] * len(a), pa.bool_())], names=["a", "b", "over"])
+    def run(batches):
+        last, size, open_group = None, 0, []  # the key that may go on: its members so far
+        a, b = [], []
 
-        def through(x):
-            y = [v & 0xFFFFFFFFFFFFFFFF for v in x]
-            return out(y, y, True)
+        def close():
+            if 1 < size <= (limit or size):
+                x, y = _forest(np.concatenate(open_group), DISTANCE)
+                a.extend(x)
+                b.extend(y)
 
-        held_a, held_b = [], []
         for batch in batches:
-            for k, m, fp in zip(*(batch.column(c).to_pylist() for c in ("k", "m", "fp")), strict=True):
-                if (k, m) != last:
-                    if not over:
-                        for a, b, _ in done():
-                            held_a += a
-                            held_b += b
-                    last, group, over = (k, m), [], False
-                if over:
-                    yield through([fp])
-                    continue
-                group.append(fp)
-                if limit is not None and len(group) > limit:
-                    yield through(group)
-                    group, over = [], True
-            if len(held_a) > 10_000:
-                yield out(held_a, held_b, False)
-                held_a, held_b = [], []
-        if not over:
-            for a, b, _ in done():
-                held_a += a
-                held_b += b
-        if held_a:
-            yield out(held_a, held_b, False)
+            k, m, fp = (batch.column(c).to_numpy() for c in ("k", "m", "fp"))
+            if not len(k):
+                continue
+            fp = fp.view(np.uint64)
+            starts = np.flatnonzero(np.append(True, (k[1:] != k[:-1]) | (m[1:] != m[:-1])))
+            ends = np.append(starts[1:], len(k))
+            for i in np.flatnonzero((ends - starts > 1) | (starts == 0) | (ends == len(k))).tolist():  # single members link to none
+                s, e = int(starts[i]), int(ends[i])
+                if (k[s], m[s]) != last:
+                    close()
+                    last, size, open_group = (k[s], m[s]), 0, []
+                size += e - s
+                if limit is None or size <= limit:
+                    open_group.append(fp[s:e].copy())
+                else:  # passed on unread
+                    for part in (*open_group, fp[s:e]):
+                        yield out(part, part, True)
+                    open_group = []
+            if len(a) > 10_000:
+                yield out(a, b, False)
+                a, b = [], []
+        close()
+        if a:
+            yield out(a, b, False)
 
     dealt = keyed.repartition("k", "m").sortWithinPartitions("k", "m", "fp")
     return dealt.mapInArrow(run, "a long, b long, over boolean")
@@ -200,9 +198,18 @@ def _keyed(fps: DataFrame, masks: list[int]) -> DataFrame:
 def link_forest(fps: DataFrame, group: int = GROUP) -> DataFrame:
     """(a, b): links whose components are those of all pairs of distinct ``fps`` (column
     fp) within the distance; a and b differ."""
-    first = written(_links(_keyed(fps, _masks()), group), "links", plain=True)
+    keyed = _keyed(fps, _masks())
+    # Keys that a sample shows to be crowded aren't gathered; any others are, up to the limit.
+    some = _keyed(fps.where(F.pmod(F.xxhash64("fp"), F.lit(CROWD)) == 0), _masks())
+    crowded = written(some.groupBy("k", "m").count().where(F.col("count") > group // CROWD).select("k", "m"), "crowded", plain=True)
+    over = fps.limit(0)
+    if not crowded.isEmpty():
+        crowded = maybe_broadcast(crowded)
+        over = written(keyed.join(crowded, ["k", "m"], "left_semi").select("fp").distinct(), "crowd", plain=True)
+        keyed = keyed.join(crowded, ["k", "m"], "left_anti")
+    first = written(_links(keyed, group), "links", plain=True)
     links = first.where(~F.col("over")).select("a", "b")
-    over = first.where("over").select(F.col("a").alias("fp")).distinct()
+    over = over.union(first.where("over").select("a")).distinct()
     if not over.isEmpty():
         fine = _links(_keyed(over, _fine_masks()), None)
         links = links.union(fine.select("a", "b"))
