@@ -9,8 +9,9 @@ matter.
 
 Idempotence: a batch whose marker exists is not applied again; one that failed before its
 marker is written anew over what it left.  ``compact`` sums committed batches into a
-snapshot that lists them; its marker, too, comes last.  Paths are Hadoop paths, so a
-store's own file system serves.  One writer at a time.
+snapshot that lists them; its marker, too, comes last, and then what the snapshot holds is
+deleted, so the folder stays small however many batches came.  Paths are Hadoop paths, so
+a store's own file system serves.  One writer at a time.
 
 Edge cases: null source, language or version is a group of its own; a null or empty text
 counts a document with no tokens; groups that sum to nothing are left out; repeated rows
@@ -93,8 +94,23 @@ class Rollup:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.path}/{folder}")))
 
+    def _delete(self, name: str) -> None:
+        self._fs.delete(self._path(f"{self.path}/{name}"), True)
+
+    def _snapshot(self) -> str | None:
+        """The folder of the last whole snapshot."""
+        whole = [n for n in self._names("snapshots") if self._exists(f"whole/{n}")]
+        return f"{self.path}/snapshots/{max(whole, key=int)}" if whole else None
+
+    def _inside(self, batches: list[str]) -> set[str]:
+        """Those of ``batches`` that the snapshot has."""
+        at = self._snapshot()
+        if at is None or not batches:
+            return set()
+        return {r.batch for r in self.spark.read.schema("batch string").parquet(f"{at}/batches").where(F.col("batch").isin(batches)).collect()}
+
     def committed(self, batch: str) -> bool:
-        return self._exists(f"committed/{batch}")
+        return self._exists(f"committed/{batch}") or bool(self._inside([batch]))
 
     def commit(self, batch: str, rows: DataFrame) -> bool:
         """Apply a batch of signed rows once; whether it was applied now."""
@@ -102,19 +118,17 @@ class Rollup:
             raise ValueError("a batch's id has letters, digits, dots, dashes and underscores")
         if self.committed(batch):
             return False
-        summed(rows).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/deltas/{batch}")
+        summed(rows).write.mode("overwrite").parquet(f"{self.path}/deltas/{batch}")
         self._mark(f"committed/{batch}")
         return True
 
-    def _parts(self) -> tuple[list[str], set[str]]:
-        """Folders whose rows add up to the totals, and the batches that the snapshot has."""
-        snapshots = [n for n in self._names("snapshots") if self._exists(f"whole/{n}")]
-        folders, inside = [], set()
-        if snapshots:
-            last = max(snapshots, key=int)
-            inside = {r.batch for r in self.spark.read.schema("batch string").parquet(f"{self.path}/snapshots/{last}/batches").collect()}
-            folders.append(f"{self.path}/snapshots/{last}/totals")
-        return folders + [f"{self.path}/deltas/{b}" for b in self._names("committed") if b not in inside], inside
+    def _parts(self) -> tuple[list[str], list[str]]:
+        """Folders whose rows add up to the totals, and the batches beyond the snapshot."""
+        marked = self._names("committed")
+        inside = self._inside(marked)
+        new = [b for b in marked if b not in inside]
+        at = self._snapshot()
+        return ([f"{at}/totals"] if at else []) + [f"{self.path}/deltas/{b}" for b in new], new
 
     def totals(self) -> DataFrame:
         folders, _ = self._parts()
@@ -122,13 +136,26 @@ class Rollup:
         return summed(rows)
 
     def compact(self) -> None:
-        """Sum the committed batches into a new snapshot."""
-        batches = self._names("committed")
-        n = max([int(x) for x in self._names("snapshots")], default=0) + 1
+        """Sum the committed batches into a new snapshot; then delete what it holds.
+
+        Totals that were asked for before must have been read.
+        """
+        before, (_, new) = self._snapshot(), self._parts()
+        names = self._names("snapshots")
+        n = max([int(x) for x in names], default=0) + 1
         at = f"{self.path}/snapshots/{n}"
-        self.totals().coalesce(1).write.mode("overwrite").parquet(f"{at}/totals")
-        self.spark.createDataFrame([(b,) for b in batches], "batch string").coalesce(1).write.mode("overwrite").parquet(f"{at}/batches")
+        self.totals().write.mode("overwrite").parquet(f"{at}/totals")
+        batches = self.spark.createDataFrame([(b,) for b in new], "batch string")
+        if before:
+            batches = batches.union(self.spark.read.schema("batch string").parquet(f"{before}/batches"))
+        batches.write.mode("overwrite").parquet(f"{at}/batches")
         self._mark(f"whole/{n}")
+        for b in self._names("committed"):
+            self._delete(f"committed/{b}")
+            self._delete(f"deltas/{b}")
+        for x in names:
+            self._delete(f"whole/{x}")
+            self._delete(f"snapshots/{x}")
 
 
 def history(docs: DataFrame, path: str, first: tuple[str, str], second: tuple[str, str], pattern: str, revise: Column, delete: Column) -> DataFrame:
