@@ -19,6 +19,9 @@ MODULES = {
     "pii": "op8_pii_surrogates",
     "langid": "op7_language_id",
     "tokencount": "op5_token_counts",
+    "fim": "op11_fill_in_middle",
+    "whiten": "op12_embedding_whitening",
+    "packing": "op13_best_fit_packing",
 }
 
 #: Further queries: name -> (module, function).
