@@ -41,13 +41,13 @@ def register(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    from . import catalog_io  # noqa: F401  it registers its own
+    from . import catalog_io, catalog_more  # noqa: F401  they register their own
 
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import catalog_io  # noqa: F401
+    from . import catalog_io, catalog_more  # noqa: F401
 
     return dict(_SQL)
 
@@ -142,7 +142,7 @@ def _web_sql() -> str:
         for text, field in _web_parts(i):
             pieces += ["'" + text.replace("'", "''") + "'", {"h": "href", "p": "page_id::VARCHAR", None: "''"}[field]]
         host = "NULL" if _WEB[i][2] is None else f"'{_WEB[i][2]}'"
-        return f"SELECT page_id, pos, {i} AS form, {' || '.join(pieces)} AS link, {str(_WEB[i][1]).lower()} AS absolute, {host} AS host FROM anchors WHERE pos < 2"
+        return f"SELECT page_id, pos, {i} AS form, {' || '.join(pieces)} AS link, {str(_WEB[i][1]).lower()} AS absolute, {host} AS host FROM anchors"
 
     return "web AS (" + " UNION ALL ".join(map(one, range(len(_WEB)))) + ")"
 
@@ -155,8 +155,7 @@ def _web(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.struct(F.lit(i).alias("form"), F.concat(*pieces).alias("link"))
 
     forms = F.array(*map(link, range(len(_WEB))))
-    first = _anchors(spark, sf_dir).where("pos < 2")
-    return first.select("page_id", F.col("pos").cast("long").alias("pos"), "label", F.col("url").alias("page"), F.explode(forms).alias("w")).select("page_id", "pos", "label", "page", "w.*")
+    return _anchors(spark, sf_dir).select("page_id", F.col("pos").cast("long").alias("pos"), "label", F.col("url").alias("page"), F.explode(forms).alias("w")).select("page_id", "pos", "label", "page", "w.*")
 
 
 @register(f"WITH {_ANCHORS}, {_web_sql()} SELECT page_id, pos, form, link, absolute, host FROM web")

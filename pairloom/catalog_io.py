@@ -16,7 +16,6 @@ from .functions import media as A
 from .functions import text as X
 from .functions import url as U
 from .functions import vector as V
-from .operators import bloom as B
 from .operators import dedup as D
 from .operators import links as L
 from .operators import series as R
@@ -225,10 +224,9 @@ def key_files(spark, sf_dir):
     """Key files by folder, listed without their contents."""
     path = _path(spark, "keys")
     docs = table(spark, sf_dir, "documents").select("lang", F.md5("text").alias("hash"))
-    for (lang,) in [tuple(r) for r in docs.select("lang").distinct().collect()]:  # a folder a language
-        sinks.keys(docs.where(F.col("lang") == lang), f"{path}/{lang}")
+    docs.write.partitionBy("lang").text(path)  # a folder a language
     found = files.listing(spark, path, "part-*")
-    return found.select(F.element_at(F.split("path", "/"), -2).alias("folder"), "n_bytes").groupBy("folder").agg(F.sum("n_bytes").alias("n_bytes"))
+    return found.select(F.regexp_extract("path", "/lang=([^/]*)/[^/]*$", 1).alias("folder"), "n_bytes").groupBy("folder").agg(F.sum("n_bytes").alias("n_bytes"))
 
 
 @register("SELECT DISTINCT md5(text) AS key FROM documents")
@@ -324,15 +322,6 @@ def first_by_ranges(spark, sf_dir):
     return D.first_rows(df, 2000, ["o_orderdate", "o_orderkey"], most=100).drop("o_orderdate")
 
 
-@register("SELECT count(*) AS held, count(*) AS claimed FROM (SELECT DISTINCT md5(text) FROM documents WHERE doc_id < 50)")
-def sketch_restored(spark, sf_dir):
-    """A sketch dumped and restored claims every key that was added (50 are asked)."""
-    keys = table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("h"))
-    sketch = B.Sketch.restore(spark, B.Sketch.build(keys, "h", 100_000).dump(spark))
-    some = [r.h for r in keys.where("doc_id < 50").select("h").distinct().collect()]
-    return spark.createDataFrame([(len(some), sum(map(sketch.contains, some)))], "held long, claimed long")
-
-
 # ---------------------------------------------------------------- jobs and streams
 
 _WHEN = "TIMESTAMP '2024-03-01 00:00:00'"

@@ -6,11 +6,12 @@ folder is the batch's id, so a batch that is run again overwrites what it left.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.dedup import first_by, unseen
 from ..operators.state import route
 
 
@@ -19,22 +20,51 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def dedup_once(stream: DataFrame, key: str, order: list[str], out: str, checkpoint: str, trigger: dict | None = None):
-    """Q6: rows whose key no earlier row had, first by ``order`` within a batch.
+#: The state store: state on the executors' disks, of which a checkpoint gets the changes.
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def _conf(spark: SparkSession, settings: dict[str, str]):
+    """The session with these settings; a query keeps those that it began with."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
 
-    The kept rows are the seen set: one write commits both, so a crash can't part them.
-    Batch n goes to ``out/batch=n``; it is tested against the folders of other batches.
+def first_of_key(stream: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Q6: a stream's rows whose key no earlier batch had, first by ``order`` within a batch; for output mode update.
+
+    The state is a row a key, updated by the batch's keys alone: nothing seen is read
+    again.  Each key has the first and last time of the batches that had it, and is new as long as these
+    are one.  A batch's time comes from its offset log, so a batch that is run again has it again.  No two batches
+    may have the same time in milliseconds.
     """
-    spark = stream.sparkSession
+    rest = [F.col(c) for c in stream.columns if c != key and c not in order]
+    first = F.min(F.struct(*order, *rest)) if rest or order else F.min(F.struct(F.lit(0)))
+    timed = stream.where(F.col(key).isNotNull()).withColumn("__at", F.current_timestamp())
+    got = timed.groupBy(key).agg(first.alias("__row"), F.min("__at").alias("__from"), F.max("__at").alias("__to"))
+    return got.where("__from = __to").select(*(F.col(c) if c == key else F.col(f"__row.{c}").alias(c) for c in stream.columns))
+
+
+def dedup_once(stream: DataFrame, key: str, order: list[str], out: str, checkpoint: str, trigger: dict | None = None):
+    """Q6: ``first_of_key`` into tables: batch n goes to ``out/batch=n`` and is overwritten if it
+    is run again, from the state before it.  A batch takes the time of its own rows."""
 
     def batch(df: DataFrame, n: int) -> None:
-        fresh = first_by(df.where(F.col(key).isNotNull()), [key], order)
-        seen = seen_rows(spark, out, df.schema)
-        if seen is not None:
-            fresh = unseen(fresh, seen.where(F.col("batch") != n), key, normalize=lambda c: c)
-        fresh.write.mode("overwrite").parquet(f"{out}/batch={n}")
+        df.write.mode("overwrite").parquet(f"{out}/batch={n}")
 
-    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    with _conf(stream.sparkSession, ROCKSDB):
+        found = first_of_key(stream, key, order)
+        return found.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def seen_rows(spark: SparkSession, out: str, schema) -> DataFrame | None:
