@@ -95,19 +95,21 @@ WITH RECURSIVE step(w, pos, tok) USING KEY (w, pos) AS (
     FROM (
         SELECT *, coalesce(lag(hit) OVER (PARTITION BY w ORDER BY pos), false) AS gone, bool_or(hit) OVER (PARTITION BY w) AS going
         FROM (
-            SELECT *, coalesce(bool_and(fits) OVER (PARTITION BY w, run ORDER BY pos) AND (CASE WHEN alone THEN first ELSE (n - run) % 2 = 0 END), false) AS hit
+            SELECT *, coalesce(bool_and(fits) OVER (PARTITION BY w, run ORDER BY pos) AND (CASE WHEN alone THEN first OR (calm AND (n - run) % 2 = 0) ELSE (n - run) % 2 = 0 END), false) AS hit
             FROM (
                 SELECT w, pos, tok, r, alone, n, max(CASE WHEN begins THEN n END) OVER (PARTITION BY w ORDER BY pos) AS run,
                     coalesce(r = min(r) OVER (PARTITION BY w ORDER BY pos RANGE BETWEEN {reach} PRECEDING AND {reach} FOLLOWING) AND pos BETWEEN low AND high, false) AS fits,
-                    {first} AS first
+                    {first} AS first, {calm} AS calm
                 FROM (
-                    SELECT w, pos, tok, r, alone, n, low, high, r IS DISTINCT FROM lag(r) OVER (PARTITION BY w ORDER BY pos) AS begins
+                    SELECT w, pos, tok, m.r, alone, n, low, high, m.r IS DISTINCT FROM lag(m.r) OVER (PARTITION BY w ORDER BY pos) AS begins, {wild} AS wild
                     FROM (
-                        SELECT w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS nexttok, row_number() OVER (PARTITION BY w ORDER BY pos) AS n
+                        SELECT w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS nexttok, row_number() OVER (PARTITION BY w ORDER BY pos) AS n,
+                            lag(tok) OVER (PARTITION BY w ORDER BY pos) AS before, lead(tok, 2) OVER (PARTITION BY w ORDER BY pos) AS behind
                         FROM step
                         WHERE tok >= 0
                     ) q
                     LEFT JOIN merges m ON m.ab = ((q.tok::BIGINT << 20) | q.nexttok)
+                    {falls}
                     JOIN bounds USING (w)
                 )
             )
@@ -118,6 +120,14 @@ WITH RECURSIVE step(w, pos, tok) USING KEY (w, pos) AS (
 SELECT w, pos, tok FROM step WHERE tok >= 0 ORDER BY w, pos
 """
 _FIRST = "(r::BIGINT << 40 | pos) = min(r::BIGINT << 40 | pos) OVER (PARTITION BY w ORDER BY pos RANGE BETWEEN {reach} PRECEDING AND {reach} FOLLOWING)"
+#: A pair is wild if its token would make, with a neighbour as it is or contracted likewise, a
+#: pair of lower rank, which would come before the next of its own rank.  Pairs that
+#: are not, and have no wild one of their rank before them within reach, contract together.
+_FALLS = """LEFT JOIN falls f ON alone AND f.ab = ((q.before::BIGINT << 20) | m.r) AND f.r < m.r
+                    LEFT JOIN falls g ON alone AND g.ab = ((m.r::BIGINT << 20) | q.behind) AND g.r < m.r"""
+_WILD = "alone AND (twin OR f.r IS NOT NULL OR g.r IS NOT NULL)"
+_CALM = """(NOT wild AND r = min(r) OVER (PARTITION BY w ORDER BY pos RANGE BETWEEN {reach} PRECEDING AND {reach} FOLLOWING)
+                        AND coalesce(min(CASE WHEN wild THEN r END) OVER (PARTITION BY w ORDER BY pos RANGE BETWEEN {reach} PRECEDING AND CURRENT ROW) > r, true))"""
 
 _DECODE = """
 SELECT d, string_agg(v.hex, '' ORDER BY pos) AS hex FROM ids JOIN vocab v ON v.id = ids.id GROUP BY d
@@ -192,9 +202,10 @@ class Codec:
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": MEMORY, "preserve_insertion_order": False, "temp_directory": ""})
         self.alone = bool(alone.any())
         self.occurring: ahocorasick.Automaton | None = None
-        merges = pa.table({"ab": (a.astype(np.int64) << 20) | b, "r": r, "alone": alone})  # noqa: F841  read by name
+        merges = pa.table({"ab": (a.astype(np.int64) << 20) | b, "r": r, "alone": alone, "twin": np.isin(r, a[(a == b) & (a > r)])})  # noqa: F841  read by name
         vocab = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "hex": pa.array([t.hex() for t in ranks])})  # noqa: F841
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges ORDER BY ab")
+        self.db.execute("CREATE TABLE falls AS SELECT ab, r FROM merges WHERE r < (ab >> 20) OR r < (ab & 1048575) ORDER BY ab")
         self.db.execute("CREATE TABLE vocab AS SELECT * FROM vocab")
         self.pairs = np.unique(merges.column("ab").to_numpy())
         self.known: list[dict[str, str]] = [{}, {}]
@@ -238,8 +249,9 @@ class Codec:
         lengths = [len(p[0]) for p in parts]
         self.db.register("start", pa.table({"w": np.repeat(np.arange(len(parts), dtype=np.int32), lengths), "pos": np.concatenate([p[0] for p in parts]), "tok": np.concatenate([p[1] for p in parts])}))
         self.db.register("bounds", pa.table({"w": np.arange(len(parts), dtype=np.int32), "low": np.array([p[2] for p in parts], np.int64), "high": np.array([p[3] for p in parts], np.int64)}))
-        first = _FIRST.format(reach=3 * longest) if self.alone else "false"
-        w, pos, tok = (c.to_numpy() for c in self.db.sql(_MANY.format(reach=2 * longest, first=first)).to_arrow_table().columns)
+        parts_of = {"first": _FIRST, "calm": _CALM, "wild": _WILD, "falls": _FALLS} if self.alone else {"first": "false", "calm": "false", "wild": "false", "falls": ""}
+        ask = _MANY.format(reach=2 * longest, **{k: v.format(reach=3 * longest) for k, v in parts_of.items()})
+        w, pos, tok = (c.to_numpy() for c in self.db.sql(ask).to_arrow_table().columns)
         self.db.unregister("start")
         self.db.unregister("bounds")
         cuts = np.searchsorted(w, np.arange(1, len(parts)))
@@ -304,7 +316,8 @@ class Codec:
             cuts, most = self.cut(p)
             longest = max(longest, most)
             parts.append([p[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)])
-        known: dict[bytes, list[int]] = {x: [self.ranks[x]] for p in parts for x in p if x in self.ranks}
+        # A whole piece that is a token is that token; of a cut piece's parts, only what their pairs make.
+        known: dict[bytes, list[int]] = {p: [self.ranks[p]] for p in pieces if p in self.ranks}
         todo = list(dict.fromkeys(x for p in parts for x in p if x not in known))
         lot, size = [], 0
         short = [x for x in todo if len(x) < LONG]

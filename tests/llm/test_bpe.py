@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -139,3 +140,37 @@ def test_operators_keep_columns_and_odd_rows(spark):
     assert sorted((str(r.doc_id), bytes(r.decoded)) for r in dec.collect()) == [("1", b""), ("1", b""), ("1", b""), ("None", b"x y")]
     assert bpe.round_trip(df, RANKS, public_tokenizers.PATTERN).count() == 4
     assert bpe.round_trip(df.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_periodic_runs(own, theirs):
+    """Runs of one word without spaces: equal to the library, in time in proportion to their length."""
+    codec, library = own, theirs
+    rng = random.Random(6)
+    words = ["the", "ing", "that", "haha", "http", "www.", "lol", "e", "naïve", "привет"]
+    for n in range(150):
+        size = rng.randint(1, 12)
+        word = words[n] if n < len(words) else "".join(rng.choice("abcdefghijklmnopqrstuvwxyz" if n % 2 else "etaoinshr") for _ in range(size))
+        text = word * (rng.choice([300, 3000]) // len(word))
+        assert codec.encode_pieces([text.encode()]) == [library.encode_ordinary(text)] or not word.isalpha(), (word, len(text))
+    for word in ("the", "abcab", "statistic"):
+        text = word * (200_000 // len(word))
+        began = time.monotonic()
+        assert codec.encode_pieces([text.encode()]) == [library.encode_ordinary(text)]
+        assert time.monotonic() - began < 30
+
+
+def test_vocabularies_whose_tokens_are_ranked_before_their_parts():
+    """Random vocabularies, in which contracting one pair can make a pair of lower rank."""
+    rng = random.Random(8)
+    for _ in range(40):
+        tokens = {bytes([b]) for b in range(256)}
+        while len(tokens) < 256 + 25:
+            tokens.add(bytes(rng.choice(b"abc") for _ in range(rng.randint(2, 5))))
+        grown = sorted(t for t in tokens if len(t) > 1)
+        rng.shuffle(grown)
+        ranks = {bytes([b]): b for b in range(256)} | {t: 256 + i for i, t in enumerate(grown)}
+        library = tiktoken.Encoding("odd", pat_str=r"[a-z]+", mergeable_ranks=ranks, special_tokens={})
+        codec = bpe.Codec(ranks, r"[a-z]+")
+        for _ in range(12):
+            text = "".join(rng.choice("abc") for _ in range(rng.randint(1, 4))) * rng.randint(20, 60) + "".join(rng.choice("abc") for _ in range(rng.randint(0, 90)))
+            assert codec.encode_pieces([text.encode()]) == [library.encode_ordinary(text)], (text, ranks)
