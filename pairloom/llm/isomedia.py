@@ -142,14 +142,28 @@ def _table(data: bytes, node, kind: str, columns: int = 1, skip: int = 8) -> np.
     return np.frombuffer(data, kind, n * columns, node[1] + skip).astype(np.int64).reshape(n, columns)
 
 
-def _sizes(data: bytes, stbl) -> np.ndarray:
+class Left:
+    """Samples that a file may still have: as many as its bytes, over all its tracks and runs."""
+
+    def __init__(self, data: bytes):
+        self.n = len(data)
+
+    def take(self, n: int) -> None:
+        self.n -= n
+        if self.n < 0:
+            raise Malformed("more samples than the file has bytes for")
+
+
+def _sizes(data: bytes, stbl, left: Left) -> np.ndarray:
     if node := _find(stbl, b"stsz"):
         uniform, n = struct.unpack_from(">II", data, node[1] + 4)
         if uniform and n > len(data) // uniform:
             raise Malformed("more samples than the file has bytes for")
+        left.take(n)
         return np.full(n, uniform, np.int64) if uniform else _table(data, node, ">u4", skip=12)[:, 0]
     if node := _find(stbl, b"stz2"):
         bits, n = struct.unpack_from(">xxxBI", data, node[1] + 4)
+        left.take(n)
         if bits == 4:
             raw = np.frombuffer(data, np.uint8, (n + 1) // 2, node[1] + 12)
             return np.stack((raw >> 4, raw & 15), axis=1).reshape(-1)[:n].astype(np.int64)
@@ -157,12 +171,12 @@ def _sizes(data: bytes, stbl) -> np.ndarray:
     raise Malformed("a track has no sample sizes")
 
 
-def _in_chunks(data: bytes, stbl: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _in_chunks(data: bytes, stbl: list, left: Left) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The starts and sizes of the samples of a sample table, and the indexes of its key frames."""
     stsc, offsets = _find(stbl, b"stsc"), _find(stbl, b"stco") or _find(stbl, b"co64")
     if not (stsc and offsets):
         raise Malformed("a track lacks a table")
-    sizes = _sizes(data, stbl)
+    sizes = _sizes(data, stbl, left)
     at = _table(data, offsets, ">u4" if offsets[0] == b"stco" else ">u8")[:, 0]
     runs = _table(data, stsc, ">u4", 3)
     if len(runs) and (runs[0, 0] != 1 or (np.diff(runs[:, 0]) <= 0).any() or runs[-1, 0] > max(len(at), 1)):
@@ -191,7 +205,7 @@ def _lasting(data: bytes, stbl: list) -> int:
 _NO_KEY = 0x10000
 
 
-def _fragments(data: bytes, nodes: list) -> dict[int, list]:
+def _fragments(data: bytes, nodes: list, left: Left) -> dict[int, list]:
     """By track number: (starts, sizes, whether key frames, time) of each run of each fragment."""
     defaults = {}
     for mvex in (n for n in (_find(nodes, b"moov") or (0, 0, 0, []))[3] if n[0] == b"mvex"):
@@ -220,11 +234,11 @@ def _fragments(data: bytes, nodes: list) -> dict[int, list]:
                 held.append(value)
             at = base
             for trun in (n for n in traf[3] if n[0] == b"trun"):
-                at = _run(data, trun, base, at, held, out.setdefault(track, []))
+                at = _run(data, trun, base, at, held, out.setdefault(track, []), left)
     return out
 
 
-def _run(data: bytes, trun, base: int, at: int, held: list[int], into: list) -> int:
+def _run(data: bytes, trun, base: int, at: int, held: list[int], into: list, left: Left) -> int:
     """Adds one run's samples; the byte behind them."""
     flags, n = struct.unpack_from(">II", data, trun[1])
     place = trun[1] + 8
@@ -238,6 +252,7 @@ def _run(data: bytes, trun, base: int, at: int, held: list[int], into: list) ->
     fields = [bit for bit in (0x100, 0x200, 0x400, 0x800) if flags & bit]
     if n > len(data) or place + 4 * n * len(fields) > trun[2]:
         raise Malformed("more samples than the file has bytes for")
+    left.take(n)
     table = np.frombuffer(data, ">u4", n * len(fields), place).astype(np.int64).reshape(n, len(fields))
     times, sizes, kinds = (table[:, fields.index(bit)] if bit in fields else np.full(n, value, np.int64) for bit, value in zip((0x100, 0x200, 0x400), held, strict=True))
     keys = kinds & _NO_KEY == 0
@@ -259,7 +274,8 @@ def tracks(data: bytes) -> list[dict]:
     try:
         nodes = tree(data)
         out = []
-        fragments = _fragments(data, nodes)
+        left = Left(data)
+        fragments = _fragments(data, nodes, left)
         for trak in (n for n in (_find(nodes, b"moov") or (0, 0, 0, []))[3] if n[0] == b"trak"):
             mdia = _find(trak[3], b"mdia")
             mdhd, hdlr, stbl = (_find(mdia[3], *x) for x in ((b"mdhd",), (b"hdlr",), (b"minf", b"stbl"))) if mdia else (None,) * 3
@@ -271,7 +287,7 @@ def tracks(data: bytes) -> list[dict]:
             if not stsd:
                 raise Malformed("a track lacks a table")
             codec = struct.unpack_from(">4s", data, stsd[1] + 12)[0]
-            starts, sizes, keys = _in_chunks(data, stbl[3])
+            starts, sizes, keys = _in_chunks(data, stbl[3], left)
             parts = fragments.get(struct.unpack_from(">I", data, tkhd[1] + (20 if data[tkhd[1]] else 12))[0], []) if tkhd else []
             if duration in (0, (1 << (64 if wide else 32)) - 1):
                 duration = _lasting(data, stbl[3]) + sum(p[3] for p in parts)
@@ -283,7 +299,7 @@ def tracks(data: bytes) -> list[dict]:
         if not out:
             raise Malformed("no track")
         return out
-    except (struct.error, ValueError, IndexError, OverflowError) as e:
+    except (struct.error, ValueError, IndexError, OverflowError, MemoryError) as e:
         raise Malformed(str(e)) from e
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import struct
+import tracemalloc
 import zlib
 
 import pytest
@@ -148,6 +149,26 @@ def test_fragments_and_all_tracks(spark):
     assert got[2].error is None and got[2].n_samples == 0 and got[3].error and got[3].tracks is None
 
 
+def test_samples_of_all_runs_and_tracks_are_bounded_by_the_file(spark):
+    """Small files whose runs, or tracks, each claim nearly all that one may."""
+    trex = box(b"trex", bytes(4) + struct.pack(">5I", 1, 1, 5, 0, 0))
+    runs = b"".join(box(b"trun", struct.pack(">II", 0, 98_000)) for _ in range(1000))
+    moov = box(b"moov", track(1, b"soun", b"mp4a", empty_tables()) + box(b"mvex", trex))
+    many_runs = box(b"ftyp", b"iso5") + moov + box(b"moof", box(b"traf", box(b"tfhd", struct.pack(">II", 0x20000, 1)) + runs)) + bytes(80_000)
+    uniform = box(b"stts", bytes(8)) + box(b"stsc", bytes(4) + struct.pack(">4I", 1, 1, 99_000, 1)) + box(b"stsz", bytes(4) + struct.pack(">II", 1, 99_000)) + box(b"stco", bytes(4) + struct.pack(">II", 1, 0))
+    many_tracks = box(b"ftyp", b"iso5") + box(b"moov", b"".join(track(i, b"soun", b"mp4a", uniform) for i in range(300)))
+    many_tracks += bytes(max(0, 100_000 - len(many_tracks)))
+    for data in (many_runs, many_tracks):
+        tracemalloc.start()
+        with pytest.raises(M.Malformed):
+            M.tracks(data)
+        assert tracemalloc.get_traced_memory()[1] < 50 << 20
+        tracemalloc.stop()
+    rows = [(1, bytearray(many_runs)), (2, bytearray(many_tracks)), (3, bytearray(film()))]
+    got = {r.doc_id: r for r in M.media_columns(spark.createDataFrame(rows, "doc_id long, media binary")).collect()}
+    assert got[1].error and got[2].error and got[3].error is None
+
+
 def test_a_very_long_text(spark):
     text = "é and words " * 400_000
     (r,) = M.digests(M.from_texts(spark.createDataFrame([(1, text)], "doc_id long, text string"))).collect()
