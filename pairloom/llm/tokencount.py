@@ -114,8 +114,8 @@ class Rollup:
 
     def commit(self, batch: str, rows: DataFrame) -> bool:
         """Apply a batch of signed rows once; whether it was applied now."""
-        if not re.fullmatch(r"[A-Za-z0-9._-]+", batch):
-            raise ValueError("a batch's id has letters, digits, dots, dashes and underscores")
+        if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", batch):  # Spark hides folders that begin with a dot or an underscore
+            raise ValueError("a batch's id has letters, digits, dots, dashes and underscores, and begins with a letter or digit")
         if self.committed(batch):
             return False
         summed(rows).write.mode("overwrite").parquet(f"{self.path}/deltas/{batch}")

@@ -44,8 +44,9 @@ def test_batches(spark, tmp_path):
     assert totals(r.totals()) == want and r.commit("d", C.inserts(a.limit(0)))
     r.compact()
     assert totals(r.totals()) == want and not r.commit("a", C.inserts(a)) and len(r._parts()[0]) == 1
-    with pytest.raises(ValueError):
-        r.commit("../x", C.inserts(a))
+    for name in ("../x", ".", "..", "", "_x", ".x", "a/b", "-x"):
+        with pytest.raises(ValueError):
+            r.commit(name, C.inserts(a))
 
 
 def test_failures_between_steps(spark, tmp_path, monkeypatch):
