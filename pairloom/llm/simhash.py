@@ -369,11 +369,12 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
     return marked.join(found, marked.fp == found.of).select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
-def dedup_stage(docs: DataFrame, whole: bool = False) -> DataFrame:
+def dedup_stage(docs: DataFrame, whole: bool = True) -> DataFrame:
     """``docs`` with one row of each component: the smallest doc_id's, and of repeated
     rows one.  All columns stay as they are.
 
-    ``whole``: similar texts link too, not near fingerprints alone.
+    Near fingerprints link and, unless ``whole`` is false, all pairs of texts whose five-word
+    shingles are similar: fingerprints alone miss most near copies.
     """
     columns = docs.columns
     at, text = "__pl_row", columns[[c.lower() for c in columns].index("text")]
