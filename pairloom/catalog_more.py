@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .catalog import register, table
 from .catalog_io import _path
+from .functions import imagebytes as I  # noqa: E741
 from .operators.seen import SeenSet, filled, merged
 
 # ---------------------------------------------------------------- seen sets
@@ -67,3 +68,51 @@ def sketch_restored(spark, sf_dir):
     asked = keys.select("key").distinct().withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)))
     claimed = asked.join(same, "block", "left_semi").select("key", F.lit(1).alias("claimed"))
     return asked.join(claimed, "key", "left").agg(F.count("*").alias("held"), F.count("claimed").alias("claimed"))
+
+
+# ---------------------------------------------------------------- image bytes
+
+_FORMS = "f AS (SELECT p_partkey, p_partkey % 9 AS form, 20 + p_partkey % 100 AS w, 20 + p_partkey * 7 % 90 AS h, 3000 + p_partkey % 4000 AS n FROM part)"
+_FILE_SIZE = "CASE WHEN form IN (0, 1) THEN (w + 1) * h + 68 WHEN form = 2 THEN ((w + 1) * h + 68) // 2 WHEN form IN (3, 8) THEN n + 37 WHEN form = 4 THEN n + 35 WHEN form = 5 THEN n + 26 WHEN form = 6 THEN 2 * n + 30 ELSE 0 END"
+
+
+def _hexed(value, bytes_: int, little: bool = False):
+    """A number as bytes, in hex."""
+    digits = F.lpad(F.hex(value.cast("long")), 2 * bytes_, "0")
+    return F.concat(*(F.substring(digits, 2 * i - 1, 2) for i in range(bytes_, 0, -1))) if little else digits
+
+
+def _image_files(spark, sf_dir):
+    """An image file for each part: sound, lying, cut, of a format that isn't kept, huge, or none."""
+    part = table(spark, sf_dir, "part").select("p_partkey", F.pmod("p_partkey", F.lit(9)).alias("form"))
+    part = part.withColumns({"w": 20 + F.pmod("p_partkey", F.lit(100)), "h": 20 + F.pmod(F.col("p_partkey") * 7, F.lit(90)), "n": 3000 + F.pmod("p_partkey", F.lit(4000))})
+    form, w, h, n = (F.col(c) for c in ("form", "w", "h", "n"))
+    zeros = lambda count: F.repeat(F.lit("00"), count.cast("int"))
+
+    def chunk(kind: str, body, wrong=None):
+        crc = _hexed(F.crc32(F.unhex(F.concat(F.lit(kind), body))), 4)
+        return F.concat(_hexed(F.length(body) / 2, 4), F.lit(kind), body, crc if wrong is None else F.when(wrong, F.lit("00" * 4)).otherwise(crc))
+
+    rows = (w + 1) * h
+    stored = F.concat(F.lit("780101"), _hexed(rows, 2, True), _hexed(65535 - rows, 2, True), zeros(rows), _hexed(rows % 65521, 2), F.lit("0001"))
+    png = F.concat(F.lit("89504E470D0A1A0A"), chunk("49484452", F.concat(_hexed(w, 4), _hexed(h, 4), F.lit("0800000000")), form == 1), chunk("49444154", stored), chunk("49454E44", F.lit("")))
+    png = F.when(form == 2, F.substring(png, F.lit(1), (F.floor(F.length(png) / 4) * 2).cast("int"))).otherwise(png)
+    side = lambda x: F.when(form == 8, F.lit(60000)).otherwise(x)
+    jpeg = F.concat(F.lit("FFD8FFC0001108"), _hexed(side(h), 2), _hexed(side(w), 2), F.lit("03" + "00" * 9 + "FFDA000C" + "00" * 10), zeros(n), F.when(form == 4, F.lit("")).otherwise(F.lit("FFD9")))
+    gif = F.concat(F.lit("474946383961"), _hexed(w, 2, True), _hexed(h, 2, True), F.lit("000000" + "2C" + "00" * 9 + "02" + "00" + "3B"), zeros(n))
+    webp = F.concat(F.lit("52494646"), _hexed(2 * n + 22, 4, True), F.lit("5745425056503820"), _hexed(2 * n + 10, 4, True), F.lit("1000009D012A"), _hexed(w, 2, True), _hexed(h, 2, True), zeros(2 * n))
+    made = F.when(form <= 2, png).when(form.isin(3, 4, 8), jpeg).when(form == 5, gif).when(form == 6, webp)
+    return part.select("p_partkey", F.unhex(made).alias("content"))
+
+
+@register(
+    f"""WITH {_FORMS}, s AS (SELECT *, CASE WHEN ({_FILE_SIZE}) < 5000 THEN 8 ELSE 0 END AS small FROM f)
+SELECT p_partkey, CASE WHEN form <= 2 THEN 'PNG' WHEN form IN (3, 4, 8) THEN 'JPEG' WHEN form = 5 THEN 'GIF' WHEN form = 6 THEN 'WEBP' END AS format,
+    CASE WHEN form = 8 THEN 60000 WHEN form <> 7 THEN w END AS width, CASE WHEN form = 8 THEN 60000 WHEN form <> 7 THEN h END AS height,
+    CASE WHEN form = 1 THEN 'corrupt' WHEN form IN (2, 4) THEN 'truncated' WHEN form = 7 THEN 'empty' END AS problem,
+    CASE WHEN form IN (1, 2, 4, 7) THEN 9 + small WHEN form = 8 THEN 12 + small WHEN form = 5 THEN 10 + small WHEN small = 8 THEN 16 ELSE 2 END AS status
+FROM s"""
+)
+def image_status(spark, sf_dir):
+    """Format, size, fault and status of files, from their bytes."""
+    return I.with_status(_image_files(spark, sf_dir)).select("p_partkey", "format", "width", "height", "problem", "status")
