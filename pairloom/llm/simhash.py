@@ -18,9 +18,12 @@ Finding the links, for N distinct fingerprints (copies of a text share one):
 4. Components come from alternating large-star and small-star steps on tables; nothing
    that grows is sent to the driver.
 
-``dedup_stage(docs, whole=True)`` also links texts whose sets of ``WORDS``-word shingles have
-a Jaccard similarity of ``NEAR`` or more, which 3 bits mostly miss.  ``similar`` finds all
-of them:
+``dedup_stage`` also links texts whose sets of ``WORDS``-word shingles have a Jaccard similarity
+of ``NEAR`` or more, which 3 bits mostly miss.  ``near_texts`` finds candidates by bands of least
+hashes, beside the pigeonhole blocks, and verifies each on the whole sets.  Rows that share a
+band are paired with the first and the few before them, so candidates grow with the
+rows, not with the square of a group; a band's group is dealt to parts and only the parts'
+first rows meet.  ``similar`` finds all of them:
 
 1. Shingles are put in one order for all texts.  Of two such sets of sizes m and n, each
    has a common shingle among its first size - ceil(NEAR size) + 1 (prefix filter).
@@ -36,6 +39,7 @@ smallest id unless all are null; no rows give no rows; other columns are ignored
 
 from __future__ import annotations
 
+from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -348,6 +352,127 @@ def similar(texts: DataFrame) -> DataFrame:
     return written(both.where(fine).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")), "similar", plain=True)
 
 
+#: Bands of the stage's candidates, and least hashes in each: of pairs at a similarity of 0.8
+#: all but (1 - 0.8 ** 5) ** 24, one in 14,000, agree in a band; of those at 0.9 all but one in 10 ** 9.
+BANDS, LEAST = 24, 5
+#: Parts into which a band's group is dealt, and earlier rows that each row is paired with.
+PARTS, BACK = 64, 8
+
+
+@cache
+def _multipliers() -> np.ndarray:
+    return np.random.default_rng(SEED).integers(0, 1 << 32, BANDS * LEAST, np.uint32) | np.uint32(1)
+
+
+def _least(shingles: np.ndarray) -> np.ndarray:
+    """The least of the shingles' hashes by each of the multiplicative hash functions."""
+    high = (shingles >> np.uint64(32)).astype(np.uint32)
+    return np.array([(high * m).min() for m in _multipliers()], np.uint32)
+
+
+def _banded(texts: DataFrame) -> DataFrame:
+    """key, n, row, fp: a row for each band of each of ``texts`` (text, row, fp); the key is that of the
+    band and of its least hashes of the text's shingles, n their number."""
+
+    def run(batches):
+        for b in slices(batches):
+            keys, sizes, at = [], [], []
+            for i, t in enumerate(b.column(0).to_pylist()):
+                h = shingle_set(t)
+                if len(h):
+                    least = _least(h).tobytes()
+                    keys += [xxhash.xxh64_intdigest(least[4 * LEAST * k : 4 * LEAST * (k + 1)], k) for k in range(BANDS)]
+                    sizes.append(len(h))
+                    at.append(i)
+            each = pa.array(np.repeat(np.array(at, np.int64), BANDS))
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(np.repeat(np.array(sizes, np.int64), BANDS)), b.column(1).take(each), b.column(2).take(each)], names=["key", "n", "row", "fp"])
+
+    return texts.select("text", "row", "fp").mapInArrow(run, "key long, n long, row long, fp long")
+
+
+def _neighbours(rows: DataFrame, *by: str) -> DataFrame:
+    """Of rows that agree in ``by`` (the columns of a key), in order: each with the first and the
+    ``BACK`` before it, (a, b, fp_a, fp_b) where a link isn't ruled out by size or known by
+    fingerprint; and the first of each key, as (a, its n as b, fp, null)."""
+    p, q = NEAR
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, n, row, fp = (batch.column(i).to_numpy() for i in range(4))
+            part = batch.column(4).to_numpy() if batch.num_columns > 4 else np.zeros(len(key), np.int64)
+            cols, fresh = [key, part, n, row, fp], 0
+            if held is not None:
+                fresh = len(held[0])
+                cols = [np.append(h, c) for h, c in zip(held, cols, strict=True)]
+            key, part, n, row, fp = cols
+            new = np.append(True, (key[1:] != key[:-1]) | (part[1:] != part[:-1]))
+            first = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+            firsts = np.flatnonzero(new[fresh:]) + fresh
+            out = [(row[firsts], n[firsts], fp[firsts], np.zeros(len(firsts), np.int64), np.ones(len(firsts), bool), key[firsts])]
+            i = np.arange(fresh, len(key))
+            for back in range(BACK + 1):
+                j = first[i] if not back else i - back
+                good = (j >= first[i]) & (j < i)
+                x, y = j[good], i[good]
+                low, high = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+                apart = np.bitwise_count(fp[x].view(np.uint64) ^ fp[y].view(np.uint64)) > DISTANCE
+                fine = apart & (q * low >= p * high) & (row[x] != row[y])
+                x, y = x[fine], y[fine]
+                x, y = np.where(row[x] < row[y], x, y), np.where(row[x] < row[y], y, x)
+                out.append((row[x], row[y], fp[x], fp[y], np.zeros(len(x), bool), key[x]))
+            a, b, fa, fb, lead, k = (np.concatenate(c) for c in zip(*out, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (a, b, fa, fb, lead, k)], names=["a", "b", "fp_a", "fp_b", "lead", "key"])
+            # The last key may go on: its first row and its last rows are kept.
+            begin = int(first[-1])
+            keep = np.unique(np.append(begin, np.arange(max(begin, len(key) - BACK), len(key))))
+            held = [c[keep] for c in cols]
+
+    dealt = rows.repartition(*by).sortWithinPartitions(*by, "row")
+    columns = ["key", "n", "row", "fp", *(c for c in by if c != "key")]
+    return dealt.select(*columns).mapInArrow(run, "a long, b long, fp_a long, fp_b long, lead boolean, key long")
+
+
+def near_texts(texts: DataFrame) -> DataFrame:
+    """(a, b): fingerprints of ``texts`` (text, row, fp; row is unique) that link because their shingle
+    sets have a similarity of ``NEAR`` or more; of candidates by bands, each verified on the whole sets.
+
+    A band's group, of any size, is dealt to ``PARTS`` parts; then the parts' first rows meet.
+    """
+    p, q = NEAR
+    slim = texts.select("row", "fp", F.xxhash64("text").alias("same"))
+    firsts = slim.groupBy("fp", "same").agg(F.min("row").alias("first"))
+    repeats = written(slim.join(firsts, ["fp", "same"]).where(F.col("row") > F.col("first")).select(F.col("row").alias("again")), "repeats", plain=True)
+    texts = texts.join(maybe_broadcast(repeats), F.col("row") == F.col("again"), "left_anti")
+    parts = _banded(texts).withColumn("part", F.pmod(F.xxhash64("row"), F.lit(PARTS)))
+    inner = written(_neighbours(parts, "key", "part"), "neighbours", plain=True)
+    leads = inner.where("lead").select("key", F.col("b").alias("n"), F.col("a").alias("row"), F.col("fp_a").alias("fp"))
+    pairs = inner.union(_neighbours(leads, "key")).where("not lead").select("a", "b").distinct()
+    pairs = written(pairs, "candidates", plain=True)
+    of = written(pairs.select(F.explode(F.array("a", "b")).alias("of")).distinct(), "candidate-rows", plain=True)
+    some = written(texts.join(maybe_broadcast(of), F.col("row") == F.col("of"), "left_semi").select("text", "row", "fp"), "candidate-texts")
+
+    def verify(batches):
+        last, known = None, None
+        for b in slices(batches):
+            keep = []
+            for a, x, y in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+                if a != last:
+                    last, known = a, shingle_set(x.as_py())
+                other = shingle_set(y.as_py())
+                common = len(np.intersect1d(known, other, assume_unique=True))
+                keep.append((p + q) * common >= p * (len(known) + len(other)))
+            kept = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column(3).filter(kept), b.column(4).filter(kept)], names=["a", "b"])
+
+    one, two = (some.select(*(F.col(c).alias(f"{c}_{x}") for c in some.columns)) for x in "ab")
+    both = pairs.join(one, pairs.a == F.col("row_a")).join(two, pairs.b == F.col("row_b"))
+    linked = both.select("row_a", "text_a", "text_b", "fp_a", "fp_b").mapInArrow(verify, "a long, b long")
+    return written(linked.where("a <> b"), "similar", plain=True)
+
+
 def near_duplicates(marked: DataFrame, more: DataFrame | None = None) -> DataFrame:
     """(fp, component_id) for each distinct fingerprint of ``marked`` (doc_id, fp).
 
@@ -369,19 +494,21 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
     return marked.join(found, marked.fp == found.of).select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
-def dedup_stage(docs: DataFrame, whole: bool = True) -> DataFrame:
+def dedup_stage(docs: DataFrame, link: str = "bands") -> DataFrame:
     """``docs`` with one row of each component: the smallest doc_id's, and of repeated
     rows one.  All columns stay as they are.
 
-    Near fingerprints link and, unless ``whole`` is false, all pairs of texts whose five-word
-    shingles are similar: fingerprints alone miss most near copies.
+    Near fingerprints link, and texts whose five-word shingles are similar, which
+    fingerprints mostly miss: by ``near_texts`` (``bands``), by ``similar`` (``all``, which misses
+    none, for several times the input in shuffles), or not (``fingerprints``).
     """
     columns = docs.columns
     at, text = "__pl_row", columns[[c.lower() for c in columns].index("text")]
     fp = with_fingerprint(docs, text, "__pl_fp").withColumn(at, F.monotonically_increasing_id())
     kept = written(fp, "fingerprinted")
     slim = kept.select("doc_id", F.col("__pl_fp").alias("fp"), F.col(at).alias("row"))
-    alike = similar(kept.select(F.col(text).alias("text"), F.col(at).alias("row"), F.col("__pl_fp").alias("fp"))) if whole else None
+    ways = {"bands": near_texts, "all": similar, "fingerprints": None}
+    alike = ways[link](kept.select(F.col(text).alias("text"), F.col(at).alias("row"), F.col("__pl_fp").alias("fp"))) if ways[link] else None
     found = near_duplicates(slim.select("doc_id", "fp"), alike).withColumnRenamed("fp", "of")
     first = slim.join(found, slim.fp == found.of).groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")).alias("x"))
     keep = written(first.select(F.col("x.row").alias("__pl_keep")), "keep", plain=True)

@@ -143,6 +143,41 @@ def test_whole_stage_links_all_similar_texts(spark, monkeypatch):
     assert missed > 20
     want = {i for i in range(len(texts)) if top(i) == i}
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {r.doc_id for r in S.dedup_stage(df).collect()} == want
+    assert len({r.doc_id for r in S.dedup_stage(df, "fingerprints").collect()}) > len(want)
     for hot in (10, 10**9):
         monkeypatch.setattr(S, "HOT", hot)
-        assert {r.doc_id for r in S.dedup_stage(df, whole=True).collect()} == want
+        assert {r.doc_id for r in S.dedup_stage(df, "all").collect()} == want
+
+
+def test_bands_agree_as_often_as_they_should():
+    """The share of pairs at a similarity that have a band in common, against 1 - (1 - s^5)^24."""
+    rng = np.random.default_rng(5)
+    for s in (0.5, 0.8):
+        hits = 0
+        for _ in range(200):
+            common, own = round(300 * 2 * s / (1 + s)), 300 - round(300 * 2 * s / (1 + s))
+            x, y, z = (rng.integers(0, 1 << 64, n, np.uint64) for n in (common, own, own))
+            a, b = (S._least(np.append(x, v)).reshape(S.BANDS, S.LEAST) for v in (y, z))
+            hits += bool((a == b).all(1).any())
+        want = 1 - (1 - s**S.LEAST) ** S.BANDS
+        assert abs(hits / 200 - want) < 0.11
+        assert s < 0.8 or hits == 200
+
+
+def test_a_large_group_of_near_copies(spark, monkeypatch):
+    """Candidates grow with the rows of a group, and all of it is one component."""
+    rng = np.random.default_rng(6)
+    base = [f"w{i}" for i in rng.integers(0, 900, 300)]
+    texts = []
+    for _ in range(700):
+        x = list(base)
+        for j in rng.integers(0, 300, 2):
+            x[j] = f"own{rng.integers(0, 10**6)}"
+        texts.append(" ".join(x))
+    rows = []
+    written = S.written
+    monkeypatch.setattr(S, "written", lambda df, name, plain=False: (got := written(df, name, plain), rows.append((name, got.count())) if name == "candidates" else None)[0])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    assert [r.doc_id for r in S.dedup_stage(df).collect()] == [0]
+    assert 0 < rows[0][1] < 700 * 2 * (S.BACK + 1) * 4
