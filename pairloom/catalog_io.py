@@ -381,32 +381,6 @@ def stream_routed(spark, sf_dir):
 # ---------------------------------------------------------------- models and media
 
 
-def _stopword_sql() -> str:
-    of = ", ".join("list_count(list_filter(w, lambda x: x IN (" + ", ".join(f"'{x}'" for x in s.split()) + f"))) AS {k}_" for k, s in X.STOPWORDS.items())
-    names = list(X.STOPWORDS)
-    most = "greatest(" + ", ".join(f"{k}_" for k in names) + ")"
-    at_most = " + ".join(f"({k}_ = m)::INT" for k in names)
-    first = "CASE " + " ".join(f"WHEN {k}_ = m THEN '{k}'" for k in names) + " END"
-    return f"""WITH w AS (SELECT doc_id, regexp_split_to_array(lower(text), '[^\\p{{L}}]+') AS w FROM documents), n AS (SELECT doc_id, {of} FROM w), m AS (SELECT *, {most} AS m FROM n)
-SELECT doc_id, CASE WHEN m >= {X.LEAST_WORDS} AND {at_most} = 1 THEN {first} ELSE '' END AS language FROM m"""
-
-
-@register(_stopword_sql())
-def language_native(spark, sf_dir):
-    """the built-in detector, gated by its reliability."""
-    df = table(spark, sf_dir, "documents").select("doc_id", X.native_language("text").alias("d"))
-    return df.select("doc_id", X.gated_language("d.language", "d.reliable").alias("language"))
-
-
-@register("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'Grüße – “' || c_custkey || '” café' ELSE 'plain Ä ' || c_custkey END AS text FROM customer")
-def text_mended(spark, sf_dir):
-    """texts read with the wrong encoding are mended, others stay."""
-    broken = "Grüße – “".encode().decode("cp1252"), "café".encode().decode("cp1252")
-    end = "â€\u009d "  # the closing quote's bytes; Windows-1252 has no character for the last
-    text = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit(broken[0]), F.col("c_custkey").cast("string"), F.lit(end + broken[1]))).otherwise(F.concat(F.lit("plain Ä "), F.col("c_custkey").cast("string")))
-    return table(spark, sf_dir, "customer").select("c_custkey", X.mended(text).alias("text"))
-
-
 def _toy_encoder():
     """A deterministic encoder: length, words, and the share of vowels in thousandths."""
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from .catalog import register, table
 from .catalog_io import _path
 from .functions import imagebytes as I  # noqa: E741
+from .functions import language as G
+from .functions import text as X
 from .operators.seen import SeenSet, filled, merged
 
 # ---------------------------------------------------------------- seen sets
@@ -116,3 +118,55 @@ FROM s"""
 def image_status(spark, sf_dir):
     """Format, size, fault and status of files, from their bytes."""
     return I.with_status(_image_files(spark, sf_dir)).select("p_partkey", "format", "width", "height", "problem", "status")
+
+
+# ---------------------------------------------------------------- languages
+
+
+def _language_sql() -> str:
+    """The model counted from its seeds and applied, in SQL."""
+    seeds = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in G.SEEDS.items())
+    cut = "SELECT {key}, unnest(list_transform(range(1, length(w) + 1), lambda i: substr(' ' || w || ' ', i::INT, 3))) AS g FROM (SELECT {key}, unnest(regexp_extract_all(lower({text}), '\\p{{L}}+')) AS w FROM {table})"
+    return f"""WITH seeds(lang, t) AS (VALUES {seeds}), sg AS ({cut.format(key="lang", text="t", table="seeds")}),
+n3 AS (SELECT lang, g, count(*) AS n FROM sg GROUP BY ALL), n3p AS (SELECT lang, substr(g, 1, 2) AS g, count(*) AS n FROM sg GROUP BY ALL),
+n2 AS (SELECT lang, substr(g, 2, 2) AS g, count(*) AS n FROM sg GROUP BY ALL), n2p AS (SELECT lang, substr(g, 2, 1) AS g, count(*) AS n FROM sg GROUP BY ALL),
+n1 AS (SELECT lang, substr(g, 3, 1) AS g, count(*) AS n FROM sg GROUP BY ALL), n0 AS (SELECT lang, count(*) AS n FROM sg GROUP BY ALL),
+size AS (SELECT 2 + count(DISTINCT c) AS z FROM (SELECT unnest(string_split(t, '')) AS c FROM (SELECT lower(t) AS t FROM seeds)) WHERE regexp_full_match(c, '\\p{{L}}')),
+dg AS (SELECT doc_id, g, count(*) AS times FROM ({cut.format(key="doc_id", text="text", table="documents")}) GROUP BY ALL),
+kinds AS (SELECT DISTINCT g, lang FROM dg, n0),
+p AS (SELECT k.g, k.lang, n3.n IS NOT NULL AS own,
+    (coalesce(n3.n, 0) + {G.LEAN} * (coalesce(n2.n, 0) + {G.LEAN} * (coalesce(n1.n, 0) + {G.SMOOTHING}) / (n0.n + {G.SMOOTHING} * z)) / (coalesce(n2p.n, 0) + {G.LEAN})) / (coalesce(n3p.n, 0) + {G.LEAN}) AS p
+    FROM kinds k JOIN n0 USING (lang), size LEFT JOIN n3 ON n3.lang = k.lang AND n3.g = k.g LEFT JOIN n3p ON n3p.lang = k.lang AND n3p.g = substr(k.g, 1, 2)
+    LEFT JOIN n2 ON n2.lang = k.lang AND n2.g = substr(k.g, 2, 2) LEFT JOIN n2p ON n2p.lang = k.lang AND n2p.g = substr(k.g, 2, 1) LEFT JOIN n1 ON n1.lang = k.lang AND n1.g = substr(k.g, 3, 1)),
+sums AS (SELECT doc_id, lang, sum(times * floor(100 * ln(p) + 0.5)) AS s, sum(times) FILTER (own) AS own, sum(times) AS letters FROM dg JOIN p USING (g) GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER w AS place, s - lead(s) OVER w AS ahead FROM sums WINDOW w AS (PARTITION BY doc_id ORDER BY s DESC, lang))
+SELECT d.doc_id, CASE WHEN ahead >= {G.MARGIN} AND letters >= {G.LEAST_TRIGRAMS} AND {G.OWN} * coalesce(own, 0) >= letters THEN lang ELSE '' END AS language
+FROM (SELECT doc_id FROM documents) d LEFT JOIN ranked r ON r.doc_id = d.doc_id AND place = 1"""
+
+
+@register(_language_sql())
+def language_native(spark, sf_dir):
+    """the built-in detector, gated by its reliability."""
+    df = table(spark, sf_dir, "documents").select("doc_id", G.native_language("text").alias("d"))
+    return df.select("doc_id", X.gated_language("d.language", "d.reliable").alias("language"))
+
+
+@register("SELECT lang, count(*) AS docs, true AS told FROM documents GROUP BY lang")
+def language_held_out(spark, sf_dir):
+    """the documents of each language, of which the model saw none, and whether at least 97 of 100 are told, reliably."""
+    df = table(spark, sf_dir, "documents").select("lang", G.native_language("text").alias("d"))
+    right = F.count_if(F.col("d.reliable") & (F.col("d.language") == F.col("lang")))
+    return df.groupBy("lang").agg(F.count("*").alias("docs"), (right * 100 >= F.count("*") * 97).alias("told"))
+
+
+# ---------------------------------------------------------------- repair
+
+
+@register("SELECT doc_id, md5(replace(text, chr(10), ' ')) AS mended, md5('日本 ' || replace(text, chr(10), ' ')) AS mended_twice FROM documents")
+def text_mended(spark, sf_dir):
+    """all documents read with the wrong encoding once, and twice behind a sound word, are mended."""
+    df = table(spark, sf_dir, "documents").select("doc_id", F.replace("text", F.lit("\n"), F.lit(" ")).alias("text"))
+    # Bytes as Latin-1 characters, of which Windows-1252 shows some otherwise.
+    misread = lambda c: F.translate(F.decode(F.encode(c, "UTF-8"), "ISO-8859-1"), X._CP1252_BYTES, X.CP1252)
+    once, twice = X.mended(misread(F.col("text"))), X.mended(F.concat(F.lit("日本 "), misread(misread(F.col("text")))))
+    return df.select("doc_id", F.md5(once).alias("mended"), F.md5(twice).alias("mended_twice"))

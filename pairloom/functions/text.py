@@ -52,15 +52,63 @@ CP1252 = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œž
 _CP1252_BYTES = "".join(map(chr, (0x80, 0x82, 0x83, 0x84, 0x85, 0x86, 0x87, 0x88, 0x89, 0x8A, 0x8B, 0x8C, 0x8E, 0x91, 0x92, 0x93, 0x94, 0x95, 0x96, 0x97, 0x98, 0x99, 0x9A, 0x9B, 0x9C, 0x9E, 0x9F)))
 
 
+def _bytes(first: int, last: int) -> str:
+    """The characters, in a regular expression's set, that wrongly read bytes become: Latin-1's or Windows-1252's."""
+    return f"\\x{{{first:x}}}-\\x{{{last:x}}}" + "".join(c for c, b in zip(CP1252, _CP1252_BYTES, strict=True) if first <= ord(b) <= last)
+
+
+_REST = f"[{_bytes(0x80, 0xBF)}]"
+#: Wrongly read characters beyond ASCII: their first byte's character and those of the others.  What
+#: would become a control character (128 to 159) must be one already, as text read twice has them.
+_SEQUENCE = "|".join(
+    (
+        "\u00c2[\u0080-\u00bf]",
+        f"[\u00c3-\u00df]{_REST}",
+        f"\u00e0[{_bytes(0xA0, 0xBF)}]{_REST}",
+        f"[\u00e1-\u00ec\u00ee\u00ef]{_REST}{{2}}",
+        f"\u00ed[{_bytes(0x80, 0x9F)}]{_REST}",
+        f"\u00f0[{_bytes(0x90, 0xBF)}]{_REST}{{2}}",
+        f"[\u00f1-\u00f3]{_REST}{{3}}",
+        f"\u00f4[{_bytes(0x80, 0x8F)}]{_REST}{{2}}",
+    )
+)
+#: Marks that a sound text has behind a letter, too.
+_MARKS = "[»«”“’‘›‹…–—·•]"
+#: One such character alone whose further bytes are all marks may be a sound letter and its marks.  After Â and
+#: Ã, which hardly end a word, it is so only behind a capital and before no letter, and in a
+#: text where nothing else is broken.
+_SOUND = f"[\u00c4-\u00df]{_MARKS}|[\u00e0-\u00ef]{_MARKS}{{2}}"
+_CAPITALS = f"(?<=[A-Z\u00c0-\u00de])[\u00c2\u00c3]{_MARKS}(?!\\p{{L}})"
+BROKEN = f"(?:{_SEQUENCE}){{2,}}|(?!{_SOUND}|{_CAPITALS})(?:{_SEQUENCE})"
+_ALL_BROKEN = f"(?:{_SEQUENCE}){{2,}}|(?!{_SOUND})(?:{_SEQUENCE})"
+#: Times that a text can have been broken over and over.
+ROUNDS = 6
+#: Two code points that are no characters.
+_OPEN, _CLOSE = "\ufdd0", "\ufdd1"
+
+
+def _mended_once(c: Column) -> Column:
+    parts = F.split(F.regexp_replace(c, f"({_ALL_BROKEN})", f"{_OPEN}$1{_CLOSE}"), _OPEN, -1)
+
+    def read_again(x: Column) -> Column:
+        raw = F.translate(F.substring_index(x, _CLOSE, 1), CP1252, _CP1252_BYTES)
+        return F.concat(F.encode(raw, "ISO-8859-1").cast("string"), F.substring_index(x, _CLOSE, -1))
+
+    first = parts[0]
+    return F.concat(first, F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), read_again), ""))
+
+
 def mended(c: str | Column) -> Column:
-    """F2's repair without an injected function: a text whose characters are all bytes of
-    Windows-1252, and which as bytes is valid UTF-8 beyond ASCII, was read with the wrong
-    encoding; other texts stay."""
-    bytes_ = F.translate(c, CP1252, _CP1252_BYTES)
-    broken = bytes_.rlike("[\u00c2-\u00f4][\u0080-\u00bf]") & ~bytes_.rlike("[^\u0000-\u00ff]")
-    # Characters beyond Latin-1 can't be encoded: they are taken out where no repair is due.
-    raw = F.encode(F.when(broken, bytes_).otherwise(""), "ISO-8859-1").cast("string")
-    return F.when(broken & F.is_valid_utf8(raw), raw).otherwise(col(c))
+    """F2's repair without an injected function: UTF-8 that was read as Windows-1252 or Latin-1,
+    anywhere in a text and ``ROUNDS`` times over, is read again as UTF-8; the rest stays.
+
+    Runs of wrongly read characters are found by the form of UTF-8, so whatever is
+    read again is valid.  A text that has one of the two code points U+FDD0 and U+FDD1 stays as it is.
+    """
+    text = col(c)
+    due = text.rlike(BROKEN) & ~text.contains(_OPEN) & ~text.contains(_CLOSE)
+    step = lambda acc, _: F.when(acc.rlike(BROKEN), _mended_once(acc)).otherwise(acc)
+    return F.when(due, F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), text, step)).otherwise(text)
 
 
 def clean(c: str | Column) -> Column:
@@ -113,37 +161,6 @@ def detected(c: str | Column, detector: Callable[[str], tuple[str, bool]]) -> Co
     return run(c)
 
 
-#: Frequent short words by language, and letters by script.
-STOPWORDS = {
-    "de": "der die das und ist nicht mit den von ein eine für auf im dem sich auch werden",
-    "en": "the and of to is that with for was this are from have not you it on by",
-    "es": "el los las que una por con para del está como más pero sus se y es",
-    "fr": "le les des une est que dans pour qui sur pas avec plus du et il au ce",
-    "it": "il che di una per con non sono della gli nel anche è alla dei più ed si",
-    "nl": "het een van en niet dat met voor zijn op aan te naar bij ook maar er ik",
-    "pt": "o os uma que não com para dos das em por mais como foi ao são se e",
-}
-SCRIPTS = {"ar": r"\p{IsArabic}", "el": r"\p{IsGreek}", "he": r"\p{IsHebrew}", "hi": r"\p{IsDevanagari}", "ja": r"[\p{IsHiragana}\p{IsKatakana}]", "ko": r"\p{IsHangul}", "ru": r"\p{IsCyrillic}", "th": r"\p{IsThai}", "zh": r"\p{IsHan}"}
-#: Words of a language that make its answer reliable.
-LEAST_WORDS = 2
-
-
-def native_language(c: str | Column) -> Column:
-    """F3 without an injected detector: struct of language and reliable, JVM-side.
-
-    A script that has a third of the letters tells the language; Latin letters are told by
-    the most frequent words, which must be ``LEAST_WORDS`` and more than any other
-    language's.  Null and empty texts have no language.
-    """
-    words = F.split(F.lower(c), r"[^\p{L}]+", -1)
-    score = lambda s: -F.size(F.filter(words, lambda w: w.isin(s.split())))
-    ranked = F.array_sort(F.array(*(F.struct(score(s).alias("n"), F.lit(k).alias("language")) for k, s in STOPWORDS.items())))
-    letters = F.regexp_count(c, F.lit(r"\p{L}"))
-    script = F.coalesce(*(F.when((letters > 0) & (F.regexp_count(c, F.lit(p)) * 3 >= letters), F.lit(k)) for k, p in SCRIPTS.items()))
-    latin = (ranked[0]["n"] <= -LEAST_WORDS) & (ranked[0]["n"] < ranked[1]["n"])
-    return F.struct(F.coalesce(script, F.when(ranked[0]["n"] < 0, ranked[0]["language"]), F.lit("")).alias("language"), F.coalesce(script.isNotNull() | latin, F.lit(False)).alias("reliable"))
-
-
 def language_or_english(c: str | Column) -> Column:
     """F15."""
     return F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit("en"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions.language import native_language
 from ..functions import url as U
 from ..schemas import CRAWL
 from . import ranges
@@ -93,7 +94,7 @@ def candidates(links: DataFrame, mode: str = "strict", detector=None, fix=None)
     df = df.withColumn("domain", U.host("url")).where(U.good_host("domain"))
     cleaned = X.printable(X.repaired("alt", fix)) if fix else X.clean(X.mended("alt"))
     df = once(df, "text", cleaned).where(X.long_enough("text"))
-    found = X.native_language("text") if detector is None else X.detected("text", detector)
+    found = native_language("text") if detector is None else X.detected("text", detector)
     df = df.withColumn("__d", found).withColumn("language", X.gated_language("__d.language", "__d.reliable")).drop("__d")
     df = df.withColumn("text", X.escaped("text")).withColumn("hash", X.pair_hash("url", "text"))
     return df.drop("alt", "base")
