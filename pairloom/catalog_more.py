@@ -10,6 +10,8 @@ from .catalog_io import _path
 from .functions import imagebytes as I  # noqa: E741
 from .functions import language as G
 from .functions import text as X
+from .sources.byteranges import ByteRanges
+from .sources.recordfiles import RecordFiles
 from .operators.seen import SeenSet, filled, merged
 
 # ---------------------------------------------------------------- seen sets
@@ -170,3 +172,33 @@ def text_mended(spark, sf_dir):
     misread = lambda c: F.translate(F.decode(F.encode(c, "UTF-8"), "ISO-8859-1"), X._CP1252_BYTES, X.CP1252)
     once, twice = X.mended(misread(F.col("text"))), X.mended(F.concat(F.lit("日本 "), misread(misread(F.col("text")))))
     return df.select("doc_id", F.md5(once).alias("mended"), F.md5(twice).alias("mended_twice"))
+
+
+# ---------------------------------------------------------------- files
+
+
+@register("SELECT count(*) AS examples, count(DISTINCT doc_id) AS ids, sum(strlen(text))::BIGINT AS n_bytes FROM documents")
+def record_files(spark, sf_dir):
+    """K9: documents as examples in record files, and read back: a line of JSON before the text's bytes."""
+    spark.dataSource.register(RecordFiles)
+    path = _path(spark, "records")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    head = F.to_json(F.struct("doc_id", F.octet_length("text").alias("n")))
+    docs.select(F.concat(head, F.lit("\n"), "text").cast("binary").alias("record")).write.format("record_files").mode("append").save(path)
+    text = F.col("record").cast("string")
+    got = spark.read.format("record_files").load(path).select(F.from_json(F.substring_index(text, "\n", 1), "doc_id long, n long").alias("h"), "record")
+    right = F.octet_length("record") == F.col("h.n") + F.octet_length(F.substring_index(text, "\n", 1)) + 1
+    return got.where(right).agg(F.count("*").alias("examples"), F.countDistinct("h.doc_id").alias("ids"), F.sum("h.n").alias("n_bytes"))
+
+
+@register(
+    """WITH l AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents WHERE text <> '')
+SELECT md5(regexp_replace(line, '\\r$', '')) AS line, count(*) AS times FROM l GROUP BY 1"""
+)
+def byte_ranges(spark, sf_dir):
+    """All documents' lines from text files cut in thirteen by byte offset."""
+    spark.dataSource.register(ByteRanges)
+    path = _path(spark, "lines")
+    table(spark, sf_dir, "documents").where("text <> ''").select("text").write.text(path)
+    lines = spark.read.format("byte_ranges").option("parts", 13).load(path)
+    return lines.groupBy(F.md5("line").alias("line")).agg(F.count("*").alias("times"))
