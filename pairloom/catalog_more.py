@@ -10,6 +10,7 @@ from .catalog_io import _path
 from .functions import imagebytes as I  # noqa: E741
 from .functions import language as G
 from .functions import text as X
+from .sources import fetch
 from .sources.byteranges import ByteRanges
 from .sources.recordfiles import RecordFiles
 from .operators.seen import SeenSet, filled, merged
@@ -202,3 +203,36 @@ def byte_ranges(spark, sf_dir):
     table(spark, sf_dir, "documents").where("text <> ''").select("text").write.text(path)
     lines = spark.read.format("byte_ranges").option("parts", 13).load(path)
     return lines.groupBy(F.md5("line").alias("line")).agg(F.count("*").alias("times"))
+
+
+# ---------------------------------------------------------------- fetching
+
+
+def _slow_fetcher():
+    """A fetcher that hangs, fails, redirects and answers, by the address's number."""
+    import time
+
+    def get(url: str, connect: float, total: float) -> dict:
+        n = int(url.rsplit("/", 1)[1])
+        if n % 50 == 0:
+            time.sleep(4 * total)
+        if n % 7 == 0:
+            raise OSError("refused")
+        moved = {"url": url + "?moved"} if n % 5 == 0 else {}
+        return {**moved, "n_bytes": 4000 + n % 2000, "width": 60000 if n % 11 == 0 else 300, "height": 60000 if n % 11 == 0 else 200, "format": "GIF" if n % 13 == 0 else "WEBP"}
+
+    return get
+
+
+@register(
+    """WITH f AS (SELECT doc_id AS n, 'http://' || source || '.example.org/' || doc_id AS url, CASE WHEN doc_id % 50 = 0 OR doc_id % 7 = 0 THEN 0 WHEN 4000 + doc_id % 2000 < 5000 THEN 8 ELSE 0 END AS small FROM documents)
+SELECT n AS sample_id, CASE WHEN n % 50 <> 0 AND n % 7 <> 0 AND n % 5 = 0 THEN url || '?moved' ELSE url END AS url, CASE WHEN n % 50 = 0 THEN 'timeout' WHEN n % 7 = 0 THEN 'error' END AS fault,
+    CASE WHEN n % 50 = 0 OR n % 7 = 0 THEN 9 WHEN n % 11 = 0 THEN 12 + small WHEN n % 13 = 0 THEN 10 + small WHEN small = 8 THEN 16 ELSE 2 END AS status FROM f"""
+)
+def fetch_statuses(spark, sf_dir):
+    """An address for each document, fetched by a fetcher that may hang: each ends, with its status."""
+    docs = table(spark, sf_dir, "documents")
+    url = F.concat(F.lit("http://"), "source", F.lit(".example.org/"), F.col("doc_id").cast("string"))
+    asked = docs.select(F.col("doc_id").alias("sample_id"), url.alias("url"), F.lit("").alias("text"), F.lit("?").alias("license"), F.col("lang").alias("language"))
+    got = fetch.fetched(asked, _slow_fetcher, connect=1.0, total=2.0, rate=4000.0)
+    return got.select("sample_id", "url", "fault", "status")

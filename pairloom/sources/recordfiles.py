@@ -33,7 +33,7 @@ POLYNOMIAL = 0x82F63B78
 MASK = 0xA282EAD8
 HEAD = struct.Struct("<QI")
 #: Bytes of a lane, see ``crc32c``.
-LANE = 256
+LANE = 32
 #: Bytes of records in an Arrow batch.
 BATCH = 8 << 20
 

@@ -1,6 +1,8 @@
 import datetime
 import os
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,7 +97,7 @@ def test_listing(spark, tmp_path):
 
 def test_fetching(spark):
     def fetcher():
-        def get(url):
+        def get(url, connect, total):
             if "bad" in url:
                 raise OSError("no")
             return {"url": url + "?moved", "n_bytes": 4000 if "small" in url else 9000, "width": 10, "height": 20, "format": "PNG"}
@@ -108,6 +110,31 @@ def test_fetching(spark):
     assert got[1].url == "http://ok?moved" and got[2].url == "http://bad" and got[2].width is None
 
 
+def test_fetches_end_and_hosts_have_a_rate(spark):
+    asked = []
+
+    def get(url, connect, total):
+        asked.append((url.split("/")[2], time.monotonic()))
+        if "hang" in url:
+            time.sleep(8)
+        if "bad" in url:
+            raise OSError("no")
+        return {"n_bytes": 9000, "width": 10, "height": 20, "format": "PNG"}
+
+    rows = [{"host": h, "url": f"http://{h}/{kind}{i}", "sample_id": i} for i in range(12) for h, kind in (("a", "x"), ("b", "hang"), ("c", "bad"), (None, "x"))]
+    for r in rows:
+        r["url"] = r["url"].replace("None", "none")
+    began = time.monotonic()
+    got = list(fetch.ended(iter(rows), get, 5, 0.1, 0.4, 20.0))
+    assert time.monotonic() - began < 4
+    assert sorted(g["url"] for g in got) == sorted(r["url"] for r in rows)
+    assert all(g.get("fault") == {"x": None, "hang": "timeout", "bad": "error"}["hang" if "hang" in g["url"] else "bad" if "bad" in g["url"] else "x"] for g in got)
+    for h in "ac":
+        times = sorted(t for host, t in asked if host == h)
+        assert len(times) == 12 and times[-1] - times[0] >= 11 / 20.0 - 0.01
+    assert list(fetch.ended(iter([]), get, 5, 0.1, 0.4, 20.0)) == []
+
+
 SCHEMA = "id long, k string, language string"
 
 
