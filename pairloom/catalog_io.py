@@ -18,6 +18,7 @@ from .functions import url as U
 from .functions import vector as V
 from .operators import dedup as D
 from .operators import links as L
+from .operators import metrics as M
 from .operators import series as R
 from .operators import state as S
 from .shared import fresh
@@ -272,11 +273,17 @@ def old_files(spark, sf_dir):
     return old.select("event_id", sinks.archive_class("path").alias("class"), U.stem("path").alias("stem"))
 
 
-@register("SELECT s_suppkey, '{\"used\":' || s_suppkey || ',\"total\":100,\"utilization\":' || round(s_suppkey / 100, 2)::DOUBLE || '}' AS json FROM supplier")
+@register(
+    """SELECT 'capacity' AS page, s_suppkey AS id, '{"used":' || s_suppkey || ',"total":100,"utilization":' || round(s_suppkey / 100, 2)::DOUBLE || '}' AS json FROM supplier
+UNION ALL SELECT 'stats', NULL, '{"suppliers":' || count(*) || ',"keys":' || sum(s_suppkey)::BIGINT || ',"nations":' || count(DISTINCT s_nationkey) || '}' FROM supplier"""
+)
 def capacity_json(spark, sf_dir):
-    """Rows with their utilization as JSON."""
-    df = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("long").alias("used"), F.lit(100).cast("long").alias("total"))
-    return files.capacity(df).select(F.get_json_object("json", "$.used").cast("long").alias("s_suppkey"), "json")
+    """Rows with their utilization, and the page of sums, as JSON."""
+    df = table(spark, sf_dir, "supplier")
+    each = files.capacity(df.select(F.col("s_suppkey").cast("long").alias("used"), F.lit(100).cast("long").alias("total")))
+    each = each.select(F.lit("capacity").alias("page"), F.get_json_object("json", "$.used").cast("long").alias("id"), "json")
+    sums = df.agg(F.count("*").alias("suppliers"), F.sum(F.col("s_suppkey").cast("long")).alias("keys"), F.countDistinct("s_nationkey").alias("nations"))
+    return each.unionByName(M.stats_page(sums).withColumn("page", F.lit("stats")), allowMissingColumns=True)
 
 
 # ---------------------------------------------------------------- membership and order
@@ -300,11 +307,11 @@ def anti_stem(spark, sf_dir):
 
 @register("SELECT doc_id, row_number() OVER (ORDER BY md5('7:' || doc_id), doc_id) AS place FROM documents")
 def shuffled_places(spark, sf_dir):
-    """Each row's place in an order by hash."""
-    df = table(spark, sf_dir, "documents").select("doc_id", F.md5(F.concat_ws(":", F.lit(7), F.col("doc_id").cast("string"))).alias("h"))
-    # The order itself is no column: its places are counted by ranges of the same hash.
-    same = D.shuffled(df, "doc_id", 7).select("doc_id", "h")
-    return D.with_ids(same.withColumn("one", F.lit(1)), ["one"], ["h", "doc_id"], F.lit(1), "place").select("doc_id", "place")
+    """Each row's place in the order that ``shuffled`` gives."""
+    df = table(spark, sf_dir, "documents").select("doc_id")
+    # Ids that rise in the order in which rows come, from partition to partition.
+    came = D.shuffled(df, "doc_id", 7).withColumn("at", F.monotonically_increasing_id())
+    return D.with_ids(came.withColumn("one", F.lit(1)), ["one"], ["at"], F.lit(1), "place").select("doc_id", "place")
 
 
 @register("SELECT (o_orderkey % 1000)::VARCHAR AS number, o_orderkey FROM orders ORDER BY o_orderkey % 1000, o_orderkey LIMIT 300")
@@ -399,13 +406,12 @@ def encoded_batches(spark, sf_dir):
     return got.select("doc_id", *(F.col("embedding")[i].alias(c) for i, c in enumerate("abc")))
 
 
-@register("SELECT name, i, name || ' ' || i AS label, length(name || ' ' || i)::FLOAT AS a FROM (SELECT 'main' AS name, unnest(range(35)) AS i UNION ALL SELECT 'ages', unnest(range(8)) UNION ALL SELECT 'animals', unnest(range(33)))")
+@register("SELECT n_regionkey AS category, n_nationkey AS label_id, lower(n_name) AS label, length(n_name)::FLOAT AS a, (length(n_name) - length(replace(n_name, ' ', '')))::FLOAT AS b FROM nation")
 def category_vectors(spark, sf_dir):
-    """M5: the categories' labels and what an encoder makes of them."""
-    rows = [(name, i, label) for name in V.CATEGORIES for i, label in enumerate(V.category_labels(name))]
-    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "doc_id long, name string, i long, text string")
-    vectors = V.encoded(df, ["doc_id", "text"], "doc_id long, embedding array<float>", _toy_encoder)
-    return df.join(vectors, "doc_id").select("name", "i", F.col("text").alias("label"), F.col("embedding")[0].alias("a"))
+    """M5: categories and their labels from a table, and what an encoder makes of the labels."""
+    labels = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("category"), F.col("n_nationkey").cast("long").alias("doc_id"), F.lower("n_name").alias("text"))
+    vectors = V.encoded(labels, ["doc_id", "text"], "doc_id long, embedding array<float>", _toy_encoder)
+    return labels.join(vectors, "doc_id").select("category", F.col("doc_id").cast("int").alias("label_id"), F.col("text").alias("label"), F.col("embedding")[0].alias("a"), F.col("embedding")[1].alias("b"))
 
 
 @register("SELECT c_custkey, 40 AS n, (c_custkey * 40 + 389.5)::DOUBLE AS total FROM customer")

@@ -13,6 +13,7 @@ from .functions import text as X
 from .sources import fetch
 from .sources.byteranges import ByteRanges
 from .sources.recordfiles import RecordFiles
+from .operators.claims import Claims
 from .operators.seen import SeenSet, filled, merged
 
 # ---------------------------------------------------------------- seen sets
@@ -236,3 +237,28 @@ def fetch_statuses(spark, sf_dir):
     asked = docs.select(F.col("doc_id").alias("sample_id"), url.alias("url"), F.lit("").alias("text"), F.lit("?").alias("license"), F.col("lang").alias("language"))
     got = fetch.fetched(asked, _slow_fetcher, connect=1.0, total=2.0, rate=4000.0)
     return got.select("sample_id", "url", "fault", "status")
+
+
+# ---------------------------------------------------------------- claims
+
+
+@register("SELECT o_orderkey AS id, 1::BIGINT AS times, o_orderkey * 2 AS result FROM orders")
+def claims_once(spark, sf_dir):
+    """Two writers claim lots of all orders in turn; one leaves a lot unfinished, which the other takes over and the first then finishes in vain."""
+    path = _path(spark, "claims")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    jobs = Claims.create(spark, path, orders, "id", 5)
+    work = lambda c: jobs.rows([c]).select("id", (F.col("id") * 2).alias("result"))
+    left, now = [], 0.0
+    while True:
+        got = jobs.claim(("a", "b")[int(now) % 2], now, 3.0)
+        if not got and len(jobs.state()[1]) == len(jobs.lots()):
+            break
+        for c in got:
+            if not left:
+                left.append(c)
+            else:
+                jobs.complete(c, work(c))
+        now += 1
+    jobs.complete(left[0], work(left[0]))
+    return jobs.results().groupBy("id").agg(F.count("*").alias("times"), F.max("result").alias("result"))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import ranges
+
 FORECAST_FACTOR = 1.1
 SAMPLED = 40
 
@@ -31,18 +35,30 @@ def resample(df: DataFrame, ts: str, values: list[str], hours: int, dense: bool
 
 def polynomial(df: DataFrame, keys: list[str], order: str, value: str, degree: int = 5) -> DataFrame:
     """M6: keys, ``order`` and the least-squares polynomial's value at each point, over equal
-    steps from 0 to 1.  A series is a log of buckets: it fits one worker."""
-    kinds = dict(df.dtypes)
-    schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), f"`{order}` {kinds[order]}", "fitted double"])
-
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values(order)
-        x = np.linspace(0, 1, len(f))
-        with np.errstate(all="ignore"):
-            fitted = np.polynomial.Polynomial.fit(x, f[value].astype(float), min(degree, max(0, len(f) - 1)), domain=[0, 1], window=[0, 1])(x)
-        return f[[*keys, order]].assign(fitted=fitted)
+    steps from 0 to 1.
 
-    return df.select(*keys, order, value).groupBy(*keys).applyInPandas(run, schema)
+    By aggregation: polynomials that are orthogonal over n equal steps follow a recurrence
+    whose coefficients depend on n alone, so a series' fit is ``degree`` + 1 sums of value times
+    polynomial, over sums of squares that are known in closed form.  Points are numbered by
+    ranges of a series (``ranges.numbered``), so a series may be of any length.  A series
+    of n points gets a polynomial of degree n - 1 at most; null values count as no number, and make the fit so.
+    """
+    numbered = ranges.numbered(df.select(*keys, order, value), keys, [order], "__i")
+    counts = numbered.groupBy(*keys).agg(F.count("*").alias("__n"))
+    same = lambda t, prefix: functools.reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys), F.lit(True))
+    points = numbered.join(counts.withColumnsRenamed({k: f"__c_{k}" for k in keys}), same(counts, "__c_"), "left")
+    n, x = F.col("__n").cast("double"), (2 * F.col("__i") - 1 - F.col("__n")).cast("double") / F.col("__n")
+    # p0 = 1, p1 = x, p(k+1) = x pk - c(k) p(k-1); the centred steps are (2i - 1 - n) / n, which keeps all within 1.
+    p, norm = [F.lit(1.0), x], [n]
+    for k in range(1, degree + 1):
+        c = (F.lit(float(k * k)) * (n * n - k * k)) / (F.lit(float(4 * k * k - 1)) * n * n)
+        norm.append(norm[-1] * c)
+        p.append(x * p[k] - c * p[k - 1])
+    p = [F.when(n > k, q) for k, q in enumerate(p[: degree + 1])]
+    sums = points.groupBy(*keys).agg(*(F.sum(F.col(value).cast("double") * q).alias(f"__s{k}") for k, q in enumerate(p)), F.count_if(F.col(value).isNull()).alias("__nulls"))
+    both = points.join(sums.withColumnsRenamed({k: f"__f_{k}" for k in keys}), same(sums, "__f_"), "left")
+    fitted = functools.reduce(lambda a, b: a + b, (F.coalesce(F.col(f"__s{k}") / norm[k] * p[k], F.lit(0.0)) for k in range(degree + 1)))
+    return both.select(*keys, order, F.when(F.col("__nulls") == 0, fitted).otherwise(F.lit(float("nan"))).alias("fitted"))
 
 
 def holt_path(y: np.ndarray, level: float, trend: float, steps: int) -> tuple[np.ndarray, np.ndarray]:
