@@ -21,7 +21,7 @@ from .operators import links as L
 from .operators import metrics as M
 from .operators import series as R
 from .operators import state as S
-from .shared import fresh
+from .shared import discard, fresh
 from .sources import delimited, files
 
 _written: list[tuple[SparkSession, str]] = []
@@ -37,10 +37,7 @@ def _path(spark: SparkSession, name: str) -> str:
 
 def _clean() -> None:
     for spark, path in _written:
-        if spark.sparkContext._jsc is None or spark.sparkContext._jvm is None:
-            continue
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        discard(spark, path)
 
 
 # ---------------------------------------------------------------- crawl lines

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -28,10 +29,29 @@ def fresh(spark: SparkSession, name: str) -> str:
     return f"{folder(spark)}/pairloom-{uuid.uuid4().hex[:12]}-{name}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a path with Hadoop's file system; a session that has ended is left alone."""
+    if spark.sparkContext._jsc is None or spark.sparkContext._jvm is None:
+        return
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+_kept: list[tuple[SparkSession, str]] = []
+
+
+def _discard_all() -> None:
+    while _kept:
+        discard(*_kept.pop())
+
+
 def kept(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder, its lineage cut."""
+    """``df`` computed once, as a Parquet table in the shared folder, its lineage cut; the table
+    goes when the driver ends, or by ``discard``."""
     spark = df.sparkSession
-    at = folder(spark)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(at)
-    return df.checkpoint()
+    if not _kept:
+        atexit.register(_discard_all)
+    path = fresh(spark, "kept")
+    _kept.append((spark, path))
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
