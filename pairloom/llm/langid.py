@@ -108,22 +108,35 @@ def fit(rows: DataFrame) -> TextModel:
     if rare:
         named = F.create_map(*(F.lit(x) for d in languages for x in (d, d)))
         rows = rows.withColumn("declared", F.when(F.col("declared").isNotNull(), F.coalesce(F.try_element_at(named, F.col("declared")), F.lit(OTHER))))
-    drawn = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30)) < F.try_element_at(share, F.col("declared")) * (1 << 30)
+    # Rows without an id are told apart by their texts; of one id and text repeated, all are drawn or none.
+    at = F.xxhash64(F.lit(SEED), "doc_id", F.when(F.col("doc_id").isNull(), F.col("text")))
+    drawn = F.pmod(at, F.lit(1 << 30)) < F.try_element_at(share, F.col("declared")) * (1 << 30)
+
+    def packed(held: dict[str, np.ndarray]):
+        for d, c in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([d], pa.string()), pa.array([c.astype("<i8").tobytes()], pa.binary())], names=["declared", "counts"])
 
     def count(batches):
         held: dict[str, np.ndarray] = {}
         for b in slices(batches):
             for t, d in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 held[d] = held.get(d, 0) + np.bincount(buckets_of(t, n_buckets), minlength=n_buckets)
-        for d, c in held.items():
-            at = np.flatnonzero(c)
-            yield pa.RecordBatch.from_arrays([pa.array([d] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(c[at], pa.int64())], names=["declared", "bucket", "n"])
+        yield from packed(held)
+
+    def add(batches):
+        held: dict[str, np.ndarray] = {}
+        for b in batches:
+            for d, c in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                held[d] = held.get(d, 0) + np.frombuffer(c.as_py(), "<i8")
+        yield from packed(held)
 
-    sampled = rows.where(drawn).select("text", "declared").mapInArrow(count, "declared string, bucket int, n long")
+    schema = "declared string, counts binary"
+    sampled = rows.where(drawn).select("text", "declared").mapInArrow(count, schema)
     table = np.full((n_buckets, len(languages)), 0.5, np.float32)
     index = {d: i for i, d in enumerate(languages)}
-    for r in sampled.groupBy("declared", "bucket").agg(F.sum("n").alias("n")).collect():
-        table[r.bucket, index[r.declared]] += r.n
+    # One array a language comes to the driver: all together at most CELLS counts, or LEAST_BUCKETS a language.
+    for r in sampled.repartition("declared").mapInArrow(add, schema).toLocalIterator():
+        table[:, index[r.declared]] += np.frombuffer(r.counts, "<i8")
     return TextModel(languages, np.log(table / table.sum(axis=0)))
 
 
