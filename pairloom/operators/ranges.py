@@ -1,6 +1,7 @@
 """Windows over groups of any size.
 
-A group's rows are dealt to ranges of its order, so a key with a third of all rows is many
+Where no group has more than ``GROUP_ROWS`` rows (counted first, with map-side combine), a plain
+window does.  Else a group's rows are dealt to ranges of its order, so a key with a third of all rows is many
 ranges.  A window works within a range; what goes over a range's edge is one row a
 group and range, summed up by a second, small window and joined back.
 """
@@ -13,6 +14,14 @@ from pyspark.sql import functions as F
 from ..shared import kept
 
 RANGE = "__range"
+#: Rows of a group that one task sorts.
+GROUP_ROWS = 1_000_000
+
+
+def _bounded(df: DataFrame, keys: list[str]) -> bool:
+    """Whether every group of ``df`` has at most ``GROUP_ROWS`` rows."""
+    most = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"]
+    return (most or 0) <= GROUP_ROWS
 
 
 def dealt(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -36,6 +45,8 @@ def _earlier(keys: list[str]) -> Window:
 
 def numbered(df: DataFrame, keys: list[str], order: list[str], out: str) -> DataFrame:
     """``df`` with each row's number from 1 in its group."""
+    if _bounded(df, keys):
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
     rows = dealt(df, keys, order)
     counts = rows.groupBy(*keys, RANGE).agg(F.count("*").alias("__n"))
     before = counts.withColumn("__before", F.coalesce(F.sum("__n").over(_earlier(keys)), F.lit(0))).drop("__n")
@@ -46,6 +57,9 @@ def numbered(df: DataFrame, keys: list[str], order: list[str], out: str) -> Data
 def last_before(df: DataFrame, keys: list[str], order: str, value: str, out: str, inclusive: bool) -> DataFrame:
     """``df`` with the last ``value`` that isn't null before each row of its group, or, where
     ``inclusive``, at or before it."""
+    if _bounded(df, keys):
+        w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+        return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
     rows = dealt(df, keys, [order])
     valued = F.when(F.col(value).isNotNull(), F.struct(order, F.col(value).alias("__v")))
     lasts = rows.groupBy(*keys, RANGE).agg(F.max(valued)["__v"].alias("__last"))

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from pairloom.operators import dedup as D
 from pairloom.operators import links as L
 from pairloom.operators import metrics as M
 from pairloom.operators import ranges as R
+from pairloom.operators import series as Q
 from pairloom.operators import state as S
 
 
@@ -42,13 +44,19 @@ def test_a_hot_key_lies_in_several_ranges(df):
     assert max(r.n for r in got) > 1
 
 
-def test_ids(df):
+@pytest.fixture(params=[50, 10**6])
+def most(request, monkeypatch):
+    """Groups beyond what a task sorts, and within it."""
+    monkeypatch.setattr(R, "GROUP_ROWS", request.param)
+
+
+def test_ids(df, most):
     want = {n: 100 + i for g in groups().values() for i, (n, _) in enumerate(g)}
     assert {r.n: r.sampleid for r in D.with_ids(df, ["k"], ["n"], F.lit(100)).collect()} == want
     assert D.with_ids(df.limit(0), ["k"], ["n"], F.lit(1)).count() == 0
 
 
-def test_carried_and_deltas(df):
+def test_carried_and_deltas(df, most):
     carried, deltas = {}, {}
     for g in groups().values():
         last = None
@@ -66,6 +74,18 @@ def test_first_rows(df, n):
     assert got.columns == df.columns and sorted(r.n for r in got.collect()) == list(range(min(n, 3000)))
 
 
+def test_trends_of_a_hot_series(spark, most):
+    rng = random.Random(5)
+    rows = [("long", i, rng.random()) for i in range(400)] + [(None, i, float(i)) for i in range(3)] + [("one", 0, 7.0)] + [("null", i, None if i == 1 else 1.0) for i in range(4)]
+    df = spark.createDataFrame(rows, "k string, o int, v double").repartition(5)
+    got = {(r.k, r.o): r.fitted for r in Q.polynomial(df, ["k"], "o", "v").collect()}
+    x = np.linspace(-1, 1, 400)
+    want = np.polynomial.Chebyshev.fit(x, [v for k, _, v in rows if k == "long"], 5)(x)
+    assert [got["long", i] for i in range(400)] == pytest.approx(want)
+    assert [got[None, i] for i in range(3)] == pytest.approx([0, 1, 2], abs=1e-12) and got["one", 0] == pytest.approx(7.0)
+    assert all(np.isnan(got["null", i]) for i in range(4)) and Q.polynomial(df.limit(0), ["k"], "o", "v").count() == 0
+
+
 def test_results_twice_for_a_key(spark):
     table = spark.createDataFrame([(i, 1, 5) for i in range(30)], "id long, status int, width int")
     done = spark.createDataFrame([(3, 2, 10)] * 20 + [(4, 2, None), (None, 9, 9)], "id long, status int, width int")
