@@ -114,6 +114,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table as it is read, dealt out anew if that has fewer tasks than the cluster has cores, as
+    one small file has.  Not for what comes behind a shuffle: asking for its tasks would run it."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def text_or_empty(c: str | Column = "text") -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, slices
+from .common import documents, slices, spread
 
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 SEED = 1
@@ -132,7 +132,7 @@ def restore(transformed: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fill_in_middle(documents(spark, sf_dir), digests=True)
+    return fill_in_middle(spread(documents(spark, sf_dir)), digests=True)
 
 
 #: The same by substrings of the text; the restored text is the text.

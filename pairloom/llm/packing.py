@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, maybe_broadcast, slices, written
+from .common import documents, maybe_broadcast, slices, spread, written
 from .tokenbin import BYTE_CHARS
 
 SEQUENCE = 1024
@@ -233,4 +233,4 @@ def packed(docs: DataFrame, path: str, pattern: str, length: int = SEQUENCE, end
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packed(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return packed(spread(documents(spark, sf_dir)), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)

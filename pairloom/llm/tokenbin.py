@@ -45,7 +45,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, new_path, slices, written
+from .common import documents, new_path, slices, spread, written
 
 MAGIC = b"PLTB0001"
 BLOCK = 1024
@@ -413,4 +413,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     folder = new_path(spark, "tokens")
     folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
-    return read_files(spark, write_files(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), folder))
+    return read_files(spark, write_files(spread(documents(spark, sf_dir)), public_tokenizers.path("word_bpe_49k.json"), folder))
