@@ -74,13 +74,16 @@ _SEQUENCE = "|".join(
 )
 #: Marks that a sound text has behind a letter, too.
 _MARKS = "[»«”“’‘›‹…–—·•]"
+#: Of these, what closes or breaks off: marks that open, and the dash between numbers, don't end a word.
+_CLOSING = "[»”’›…—·•]"
 #: One such character alone whose further bytes are all marks may be a sound letter and its marks.  After Â and
-#: Ã, which hardly end a word, it is so only behind a capital and before no letter, and in a
-#: text where nothing else is broken.
+#: Ã, which hardly end a word, it is so only behind a capital, with a mark that closes and before no letter, and in a
+#: text where nothing else is broken: so Ñ, Ó, Ö and Ë that end a word in capitals come back.
 _SOUND = f"[\u00c4-\u00df]{_MARKS}|[\u00e0-\u00ef]{_MARKS}{{2}}"
-_CAPITALS = f"(?<=[A-Z\u00c0-\u00de])[\u00c2\u00c3]{_MARKS}(?!\\p{{L}})"
-BROKEN = f"(?:{_SEQUENCE}){{2,}}|(?!{_SOUND}|{_CAPITALS})(?:{_SEQUENCE})"
-_ALL_BROKEN = f"(?:{_SEQUENCE}){{2,}}|(?!{_SOUND})(?:{_SEQUENCE})"
+_CAPITALS = f"(?<=[A-Z\u00c0-\u00de])[\u00c2\u00c3]{_CLOSING}(?!\\p{{L}})"
+#: Runs are possessive: a regular expression that may go back into a run takes stack for each character of it.
+BROKEN = f"(?:{_SEQUENCE}){{2,}}+|(?!{_SOUND}|{_CAPITALS})(?:{_SEQUENCE})"
+_ALL_BROKEN = f"(?:{_SEQUENCE}){{2,}}+|(?!{_SOUND})(?:{_SEQUENCE})"
 #: Times that a text can have been broken over and over.
 ROUNDS = 6
 #: Two code points that are no characters.

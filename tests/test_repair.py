@@ -55,3 +55,20 @@ def test_broken_in_part(spark):
 def test_known_cases(spark):
     cases = {"Ä GrÃ¼ÃŸe": "Ä Grüße", "GrÃ¼ÃŸe 中文": "Grüße 中文", "ESPAÃ‘A": "ESPAÑA", "Ã–sterreich": "Österreich", "GrÃƒÂ¼ÃƒÅ¸e": "Grüße", "﷐ Ã¼": "﷐ Ã¼", "x" * 70_000 + "Ã¼": "x" * 70_000 + "ü"}
     assert mend(spark, list(cases)) == list(cases.values())
+
+
+def test_capitals_that_end_a_word_come_back(spark):
+    """Nothing else in the text is broken, and the second byte looks like a dash or an opening quote."""
+    texts = ["UND!! ENCHPFÖ!! EREN!!", "EINIETZ STERÖ, ENCHPFÖ!! IN", "LLEGÓ. HABLÓ", "ESPAÑ: Ñ", "CITROË"]
+    for times in (1, 2):
+        got = texts
+        for _ in range(times):
+            got = [broken(t) for t in got]
+        assert got != texts and mend(spark, got) == texts
+    assert mend(spark, ["日本 " + broken(broken(t)) for t in texts]) == ["日本 " + t for t in texts]
+
+
+def test_a_long_run_comes_back(spark):
+    """No ASCII character in 40,000, in a stack of the usual size."""
+    texts = ["日本語" * 13_400, "é" * 40_000]
+    assert mend(spark, [broken(t) for t in texts]) == texts
