@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from pairloom import schemas, sinks
+from pairloom import catalog_io, schemas, sinks
 from pairloom import streaming as T
 from pairloom.sources import delimited as D
 from pairloom.sources import fetch, files
@@ -164,3 +164,14 @@ def test_stream_route_equals_batch(spark, tmp_path):
     stream = T.routed(T.file_stream(spark, src, spark.createDataFrame([], SCHEMA).schema))
     T.to_memory(stream, "routed_rows", str(tmp_path / "cp")).awaitTermination()
     assert rows(spark.table("routed_rows")) == rows(spark.createDataFrame(data, SCHEMA).withColumn("route", route("language")))
+
+
+def test_batches_of_a_stream_do_not_grow_with_the_files(spark, sf, tmp_path, monkeypatch):
+    """Three arrivals of several files each are three batches, and each key is kept once across them."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 1000)).repartition(12).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(catalog_io, "_path", lambda spark, name: f"{tmp_path}/{name}")
+    got = {r.h: r.copies for r in catalog_io.stream_once(spark, str(tmp_path)).collect()}
+    assert got == {r.h: r.n * 2 for r in docs.groupBy(F.md5("text").alias("h")).agg(F.count("*").alias("n")).collect()}
+    assert len(list((tmp_path / "stream-in").glob("*.parquet"))) > 6
+    assert sorted(p.name for p in (tmp_path / "stream-out").iterdir()) == ["batch=0", "batch=1", "batch=2"]
