@@ -175,3 +175,22 @@ def test_batches_of_a_stream_do_not_grow_with_the_files(spark, sf, tmp_path, mon
     assert got == {r.h: r.n * 2 for r in docs.groupBy(F.md5("text").alias("h")).agg(F.count("*").alias("n")).collect()}
     assert len(list((tmp_path / "stream-in").glob("*.parquet"))) > 6
     assert sorted(p.name for p in (tmp_path / "stream-out").iterdir()) == ["batch=0", "batch=1", "batch=2"]
+
+
+def test_parts_of_a_host_in_one_task_keep_their_rates(spark):
+    """1200 addresses of one host at 800 a second take some 1.5 seconds, though all its parts are in one task."""
+
+    def fetcher():
+        return lambda url, connect, total: {"n_bytes": 9000, "width": 10, "height": 20, "format": "PNG"}
+
+    req = spark.range(0, 1200, 1, 4).select(F.col("id").alias("sample_id"), F.concat(F.lit("http://one/"), F.col("id").cast("string")).alias("url"), *(F.lit("?").alias(c) for c in ("text", "license", "language")))
+    fetch.fetched(req.limit(5), fetcher).collect()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        began = time.monotonic()
+        got = fetch.fetched(req, fetcher, rate=800.0).collect()
+        took = time.monotonic() - began
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len({r.sample_id for r in got}) == 1200 and 1.3 < took < 4
