@@ -23,11 +23,14 @@ of ``NEAR`` or more, which 3 bits mostly miss.  ``near_texts`` finds candidates
 hashes, beside the pigeonhole blocks, and verifies each on the whole sets.  Rows that share a
 band are paired with the first and the few before them, so candidates grow with the
 rows, not with the square of a group; a band's group is dealt to parts and only the parts'
-first rows meet.  ``similar`` finds all of them:
+first rows meet.  This links most of a group.  ``rest`` goes on with the bands that have rows which were not paired and
+are not of one component yet: of their rows, it finds all pairs of different components, as ``similar`` does.  ``similar`` finds all
+similar texts:
 
 1. Shingles are put in one order for all texts.  Of two such sets of sizes m and n, each
    has a common shingle among its first size - ceil(NEAR size) + 1 (prefix filter).
-2. Texts meet under these shingles; pairs whose sizes or places rule it out are dropped.
+2. Texts meet under these shingles; pairs whose sizes or places rule it out are dropped, and those of one component.  A shingle
+   of over ``CELL`` texts is dealt to cells of two lots of them.
 3. The rest are verified on the whole sets.
 The order is by hash, with shingles that are frequent in a bounded sample of texts last.
 The sample only saves work: any order finds the same links.
@@ -39,6 +42,7 @@ smallest id unless all are null; no rows give no rows; other columns are ignored
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cache
 from itertools import combinations
 
@@ -268,10 +272,15 @@ def _hot(texts: DataFrame) -> np.ndarray:
     return np.sort(np.array([r.key for r in rows], np.int64).view(np.uint64))
 
 
-def _meeting(keyed: DataFrame) -> DataFrame:
-    """(a, b), a < b: rows of ``keyed`` (key, n, at, row) that meet under a key and whose
+#: Rows of a shingle that meet in one task; more are cut into lots, each two of which are a cell.
+CELL = 8192
+
+
+def _meeting(keyed: DataFrame, cell: int | None = None) -> DataFrame:
+    """(a, b), a < b: rows of ``keyed`` (key, n, at, row, root) that meet under a key, whose roots differ and whose
     sizes and places allow the similarity; some twice."""
     p, q = NEAR
+    cell = cell or CELL
 
     def run(batches):
         held = None
@@ -281,47 +290,70 @@ def _meeting(keyed: DataFrame) -> DataFrame:
                 continue
             if held is not None:
                 part = [np.append(h, c) for h, c in zip(held, part, strict=True)]
-            # The last key may go on in the next batch.
-            cut = int(np.searchsorted(part[0], part[0][-1], "left"))
-            held = [c[cut:] for c in part]
-            yield from pairs(*(c[:cut] for c in part))
+            # The last group may go on in the next batch.
+            new = np.flatnonzero(np.append(True, (part[0][1:] != part[0][:-1]) | (part[1][1:] != part[1][:-1])))
+            held = [c[new[-1] :] for c in part]
+            for s, e in zip(new[:-1].tolist(), new[1:].tolist(), strict=True):
+                yield from pairs(*(c[s:e] for c in part[2:]))
         if held is not None:
-            yield from pairs(*held)
-
-    def pairs(key, n, at, row):
-        i, step = np.arange(len(key)), 0
-        while len(i):
-            step += 1
-            i = i[i + step < len(key)]
-            j = i + step
-            go = (key[i] == key[j]) & (q * n[i] >= p * n[j])  # sizes rise within a key
-            i, j = i[go], j[go]
-            most = np.minimum(n[i] - at[i], n[j] - at[j])  # common from here on
-            fine = ((p + q) * most >= p * (n[i] + n[j])) & (row[i] != row[j])
-            x, y = row[i[fine]], row[j[fine]]
-            if len(x):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
-
-    dealt = keyed.repartition("key").sortWithinPartitions("key", "n", "row")
+            yield from pairs(*held[2:])
+
+    def pairs(root, n, at, row):
+        # Roots rise; each row meets those of the roots behind its own, the rows of the largest root none.
+        _, of, size = np.unique(root, return_inverse=True, return_counts=True)
+        order = np.lexsort((of, size[of]))
+        of, n, at, row = of[order], n[order], at[order], row[order]
+        ends = np.append(np.flatnonzero(of[1:] != of[:-1]) + 1, len(of))
+        place = np.searchsorted(ends, np.arange(ends[-2] if len(ends) > 1 else 0), "right")
+        found, total = [], 0
+        for i, end in enumerate(ends[place].tolist()):
+            m, most = n[end:], np.minimum(n[i] - at[i], n[end:] - at[end:])  # common from here on
+            fine = (q * np.minimum(m, n[i]) >= p * np.maximum(m, n[i])) & ((p + q) * most >= p * (n[i] + m))
+            other = row[end:][fine]
+            if len(other):
+                found.append((np.minimum(other, row[i]), np.maximum(other, row[i])))
+                total += len(other)
+            if total > 100_000:
+                yield out(found)
+                found, total = [], 0
+        if found:
+            yield out(found)
+
+    def out(found):
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=["a", "b"])
+
+    counts = keyed.groupBy("key").agg(F.count("*").alias("c"), (F.min("root") != F.max("root")).alias("differ")).where("differ").select(F.col("key").alias("of"), "c")
+    due = keyed.join(counts, F.col("key") == F.col("of")).withColumn("lots", F.ceil(F.col("c") / cell).cast("int"))
+    lot = F.pmod(F.xxhash64("row", F.lit(SEED)), F.col("lots")).cast("int")
+    cells = F.transform(F.sequence(F.lit(0), F.col("lots") - 1), lambda j: F.least(lot, j) * F.col("lots") + F.greatest(lot, j))
+    dealt = due.select("key", F.explode(cells).alias("cell"), "root", "n", "at", "row").repartition("key", "cell").sortWithinPartitions("key", "cell", "root")
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def _unrepeated(texts: DataFrame) -> DataFrame:
+    """One row of each text: equal texts have one fingerprint."""
+    slim = texts.select("row", "fp", F.xxhash64("text").alias("same"))
+    firsts = slim.groupBy("fp", "same").agg(F.min("row").alias("first"))
+    repeats = written(slim.join(firsts, ["fp", "same"]).where(F.col("row") > F.col("first")).select(F.col("row").alias("again")), "repeats", plain=True)
+    return texts.join(maybe_broadcast(repeats), F.col("row") == F.col("again"), "left_anti")
+
+
 def similar(texts: DataFrame) -> DataFrame:
     """(a, b): the fingerprints of all pairs of ``texts`` (text, row, fp; row is unique)
     whose shingle sets have a similarity of ``NEAR`` or more, where they differ."""
+    return _similar(_unrepeated(texts).select("text", "row", "fp", F.col("fp").alias("root")))
+
+
+def _similar(texts: DataFrame) -> DataFrame:
+    """(a, b): the fingerprints of all similar pairs of ``texts`` (text, row, fp, root) whose roots differ."""
     p, q = NEAR
-    # One row of each text: equal texts have one fingerprint.
-    slim = texts.select("row", "fp", F.xxhash64("text").alias("same"))
-    firsts = slim.groupBy("fp", "same").agg(F.min("row").alias("first"))
-    repeats = written(slim.join(firsts, ["fp", "same"]).where(F.col("row") > F.col("first")).select(F.col("row").alias("again")), "repeats", plain=True)
-    texts = texts.join(maybe_broadcast(repeats), F.col("row") == F.col("again"), "left_anti")
     hot = texts.sparkSession.sparkContext.broadcast(_hot(texts))
 
     def prefixes(batches):
         last = hot.value
         for b in slices(batches):
             parts = []
-            for t, row in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for t, row, root in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
                 h = shingle_set(t)
                 if not len(h):
                     continue
@@ -330,26 +362,14 @@ def similar(texts: DataFrame) -> DataFrame:
                     h = np.concatenate([h[~late], h[late]])
                 n = len(h)
                 k = n - (p * n + q - 1) // q + 1
-                parts.append((h[:k], np.full(k, n), np.arange(k), np.full(k, row)))
+                parts.append((h[:k], np.full(k, n), np.arange(k), np.full(k, row), np.full(k, root)))
             if parts:
-                key, n, at, row = (np.concatenate(x) for x in zip(*parts, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n, pa.int64()), pa.array(at, pa.int64()), pa.array(row, pa.int64())], names=["key", "n", "at", "row"])
+                key, *more = (np.concatenate(x) for x in zip(*parts, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *(pa.array(x, pa.int64()) for x in more)], names=["key", "n", "at", "row", "root"])
 
-    def sets(batches):
-        for b in slices(batches):
-            got = [shingle_set(t).view(np.int64) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(got, pa.list_(pa.int64()))], names=["row", "fp", "shingles"])
-
-    keyed = texts.select("text", "row").mapInArrow(prefixes, "key long, n long, at long, row long")
+    keyed = written(texts.select("text", "row", "root").mapInArrow(prefixes, "key long, n long, at long, row long, root long"), "prefixes", plain=True)
     met = written(_meeting(keyed).distinct(), "met", plain=True)
-    of = written(met.select(F.explode(F.array("a", "b")).alias("of")).distinct(), "met-rows", plain=True)
-    some = texts.join(maybe_broadcast(of), F.col("row") == F.col("of"), "left_semi").select("text", "row", "fp")
-    whole = written(some.mapInArrow(sets, "row long, fp long, shingles array<bigint>"), "shingles")
-    one, two = (whole.select(*(F.col(c).alias(f"{c}_{x}") for c in whole.columns)) for x in "ab")
-    both = met.join(one, met.a == F.col("row_a")).join(two, met.b == F.col("row_b")).where("fp_a <> fp_b")
-    common = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    fine = (p + q) * common >= p * (F.size("shingles_a") + F.size("shingles_b"))
-    return written(both.where(fine).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")), "similar", plain=True)
+    return _verified(texts, met)
 
 
 #: Bands of the stage's candidates, and least hashes in each: of pairs at a similarity of 0.8
@@ -393,11 +413,12 @@ def _banded(texts: DataFrame) -> DataFrame:
 def _neighbours(rows: DataFrame, *by: str) -> DataFrame:
     """Of rows that agree in ``by`` (the columns of a key), in order: each with the first and the
     ``BACK`` before it, (a, b, fp_a, fp_b) where a link isn't ruled out by size or known by
-    fingerprint; and the first of each key, as (a, its n as b, fp, null)."""
+    fingerprint, of kind 0; and the first of each key, as (a, its n as b, fp, 0), of kind 1, the second, of kind 2, and the first
+    that isn't paired with all before it, of kind 3."""
     p, q = NEAR
 
     def run(batches):
-        held = None
+        held, gone = None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -411,8 +432,12 @@ def _neighbours(rows: DataFrame, *by: str) -> DataFrame:
             new = np.append(True, (key[1:] != key[:-1]) | (part[1:] != part[:-1]))
             first = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
             firsts = np.flatnonzero(new[fresh:]) + fresh
-            out = [(row[firsts], n[firsts], fp[firsts], np.zeros(len(firsts), np.int64), np.ones(len(firsts), bool), key[firsts])]
+            out = [(row[firsts], n[firsts], fp[firsts], np.zeros(len(firsts), np.int64), np.ones(len(firsts), np.int8), key[firsts])]
             i = np.arange(fresh, len(key))
+            since = i - first[fresh:] + np.where(first[fresh:] == 0, gone, 0)  # earlier rows of the key, those not held any more too
+            for kind, place in ((2, 1), (3, BACK + 2)):
+                x = i[since == place]
+                out.append((row[x], n[x], fp[x], np.zeros(len(x), np.int64), np.full(len(x), kind, np.int8), key[x]))
             for back in range(BACK + 1):
                 j = first[i] if not back else i - back
                 good = (j >= first[i]) & (j < i)
@@ -422,35 +447,54 @@ def _neighbours(rows: DataFrame, *by: str) -> DataFrame:
                 fine = apart & (q * low >= p * high) & (row[x] != row[y])
                 x, y = x[fine], y[fine]
                 x, y = np.where(row[x] < row[y], x, y), np.where(row[x] < row[y], y, x)
-                out.append((row[x], row[y], fp[x], fp[y], np.zeros(len(x), bool), key[x]))
-            a, b, fa, fb, lead, k = (np.concatenate(c) for c in zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (a, b, fa, fb, lead, k)], names=["a", "b", "fp_a", "fp_b", "lead", "key"])
+                out.append((row[x], row[y], fp[x], fp[y], np.zeros(len(x), np.int8), key[x]))
+            a, b, fa, fb, kind, k = (np.concatenate(c) for c in zip(*out, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (a, b, fa, fb, kind, k)], names=["a", "b", "fp_a", "fp_b", "kind", "key"])
             # The last key may go on: its first row and its last rows are kept.
             begin = int(first[-1])
             keep = np.unique(np.append(begin, np.arange(max(begin, len(key) - BACK), len(key))))
             held = [c[keep] for c in cols]
+            gone = len(key) - begin - len(keep) + (gone if begin == 0 else 0)
 
     dealt = rows.repartition(*by).sortWithinPartitions(*by, "row")
     columns = ["key", "n", "row", "fp", *(c for c in by if c != "key")]
-    return dealt.select(*columns).mapInArrow(run, "a long, b long, fp_a long, fp_b long, lead boolean, key long")
+    return dealt.select(*columns).mapInArrow(run, "a long, b long, fp_a long, fp_b long, kind tinyint, key long")
 
 
-def near_texts(texts: DataFrame) -> DataFrame:
+def near_texts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(a, b): fingerprints of ``texts`` (text, row, fp; row is unique) that link because their shingle
     sets have a similarity of ``NEAR`` or more; of candidates by bands, each verified on the whole sets.
+    And (key, row, fp): the rows of the bands in which some were not paired, for ``rest``.
 
     A band's group, of any size, is dealt to ``PARTS`` parts; then the parts' first rows meet.
     """
-    p, q = NEAR
-    slim = texts.select("row", "fp", F.xxhash64("text").alias("same"))
-    firsts = slim.groupBy("fp", "same").agg(F.min("row").alias("first"))
-    repeats = written(slim.join(firsts, ["fp", "same"]).where(F.col("row") > F.col("first")).select(F.col("row").alias("again")), "repeats", plain=True)
-    texts = texts.join(maybe_broadcast(repeats), F.col("row") == F.col("again"), "left_anti")
-    parts = _banded(texts).withColumn("part", F.pmod(F.xxhash64("row"), F.lit(PARTS)))
+    texts = _unrepeated(texts)
+    bands = written(_banded(texts), "bands", plain=True)
+    parts = bands.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(PARTS)))
     inner = written(_neighbours(parts, "key", "part"), "neighbours", plain=True)
-    leads = inner.where("lead").select("key", F.col("b").alias("n"), F.col("a").alias("row"), F.col("fp_a").alias("fp"))
-    pairs = inner.union(_neighbours(leads, "key")).where("not lead").select("a", "b").distinct()
+    leads = inner.where("kind = 1").select("key", F.col("b").alias("n"), F.col("a").alias("row"), F.col("fp_a").alias("fp"))
+    outer = written(_neighbours(leads, "key").where("kind in (0, 3)"), "leads", plain=True)
+    pairs = inner.union(outer).where("kind = 0").select("a", "b").distinct()
     pairs = written(pairs, "candidates", plain=True)
+    # Not all met: in a part, or of the parts' first rows, or some beside the first of a part in a group of several.
+    left = inner.union(outer).where("kind = 3").select("key").union(inner.where("kind = 2").select("key").distinct().join(leads.groupBy("key").count().where("count > 1"), "key", "left_semi"))
+    left = written(left.distinct(), "left", plain=True)
+    return _verified(texts, pairs), bands.join(maybe_broadcast(left), "key", "left_semi").select("key", "row", "fp")
+
+
+def rest(texts: DataFrame, crowd: DataFrame, rooted: DataFrame) -> DataFrame:
+    """(a, b): the links of different components in ``crowd`` (key, row, fp), whose components ``rooted`` (fp, root) tells: of the
+    rows of keys that have rows of several, all pairs, exactly."""
+    known = rooted.select(F.col("fp").alias("of"), "root")
+    crowd = written(crowd.join(known, F.col("fp") == F.col("of")).select("key", "row", "root"), "crowd-rows", plain=True)
+    apart = crowd.groupBy("key").agg((F.min("root") != F.max("root")).alias("differ")).where("differ").select("key")
+    due = written(crowd.join(apart, "key", "left_semi").select(F.col("row").alias("due"), "root").distinct(), "due", plain=True)
+    return _similar(written(texts.join(due, F.col("row") == F.col("due")).select("text", "row", "fp", "root"), "due-texts"))
+
+
+def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b): the fingerprints of those ``pairs`` (rows a, b) of ``texts`` whose whole shingle sets are similar."""
+    p, q = NEAR
     of = written(pairs.select(F.explode(F.array("a", "b")).alias("of")).distinct(), "candidate-rows", plain=True)
     some = written(texts.join(maybe_broadcast(of), F.col("row") == F.col("of"), "left_semi").select("text", "row", "fp"), "candidate-texts")
 
@@ -473,15 +517,21 @@ def near_texts(texts: DataFrame) -> DataFrame:
     return written(linked.where("a <> b"), "similar", plain=True)
 
 
-def near_duplicates(marked: DataFrame, more: DataFrame | None = None) -> DataFrame:
+def near_duplicates(marked: DataFrame, more: DataFrame | None = None, still: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(fp, component_id) for each distinct fingerprint of ``marked`` (doc_id, fp).
 
-    ``more``: links (a, b) of fingerprints besides those of their distance.
+    ``more``: links (a, b) of fingerprints besides those of their distance; ``still``: gives those that
+    are left from (fp, root), the components by all others.
     """
     fps = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints", plain=True)
     links = link_forest(fps.select("fp"))
     to = components(links if more is None else links.union(more))
-    rooted = written(fps.join(to, fps.fp == to.a, "left").select("fp", "least", F.coalesce("b", "fp").alias("root")), "rooted", plain=True)
+    root = lambda to: written(fps.join(to, fps.fp == to.a, "left").select("fp", "least", F.coalesce("b", "fp").alias("root")), "rooted", plain=True)
+    rooted = root(to)
+    if still is not None:
+        last = still(rooted.select("fp", "root"))
+        if not last.isEmpty():
+            rooted = root(components(to.union(last)))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return written(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "components", plain=True)
 
@@ -507,9 +557,15 @@ def dedup_stage(docs: DataFrame, link: str = "bands") -> DataFrame:
     fp = with_fingerprint(docs, text, "__pl_fp").withColumn(at, F.monotonically_increasing_id())
     kept = written(fp, "fingerprinted")
     slim = kept.select("doc_id", F.col("__pl_fp").alias("fp"), F.col(at).alias("row"))
-    ways = {"bands": near_texts, "all": similar, "fingerprints": None}
-    alike = ways[link](kept.select(F.col(text).alias("text"), F.col(at).alias("row"), F.col("__pl_fp").alias("fp"))) if ways[link] else None
-    found = near_duplicates(slim.select("doc_id", "fp"), alike).withColumnRenamed("fp", "of")
+    texts, alike, still = kept.select(F.col(text).alias("text"), F.col(at).alias("row"), F.col("__pl_fp").alias("fp")), None, None
+    if link == "bands":
+        alike, crowd = near_texts(texts)
+        still = lambda rooted: rest(texts, crowd, rooted)
+    elif link == "all":
+        alike = similar(texts)
+    elif link != "fingerprints":
+        raise ValueError(link)
+    found = near_duplicates(slim.select("doc_id", "fp"), alike, still).withColumnRenamed("fp", "of")
     first = slim.join(found, slim.fp == found.of).groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")).alias("x"))
     keep = written(first.select(F.col("x.row").alias("__pl_keep")), "keep", plain=True)
     return kept.join(keep, kept[at] == keep["__pl_keep"], "left_semi").select(*columns)

@@ -181,3 +181,21 @@ def test_a_large_group_of_near_copies(spark, monkeypatch):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
     assert [r.doc_id for r in S.dedup_stage(df).collect()] == [0]
     assert 0 < rows[0][1] < 700 * 2 * (S.BACK + 1) * 4
+
+
+@pytest.mark.parametrize("cell", [S.CELL, 7])
+def test_crowded_bands_lose_no_link(spark, monkeypatch, cell):
+    """All texts agree in all bands, so that most similar ones are neither first nor neighbours in a part."""
+    monkeypatch.setattr(S, "_least", lambda h: np.zeros(S.BANDS * S.LEAST, np.uint32))
+    monkeypatch.setattr(S, "CELL", cell)
+    rng = np.random.default_rng(8)
+    common = " ".join(f"c{i}" for i in range(60))
+    texts = []
+    for i in range(150):
+        x = [f"w{j}" for j in rng.integers(0, 10**6, 90)]
+        texts += [f"{common} {' '.join(x)}", f"{common} {' '.join(x[:-1])} other{i} last{i}"]
+    order = rng.permutation(len(texts)).tolist()
+    df = spark.createDataFrame([(int(d), t) for d, t in zip(order, texts, strict=True)], "doc_id long, text string").repartition(5)
+    want = {min(order[i], order[i + 1]) for i in range(0, len(texts), 2)}
+    assert {r.doc_id for r in S.dedup_stage(df).collect()} == want
+    assert {r.doc_id for r in S.dedup_stage(df, "all").collect()} == want
