@@ -23,6 +23,9 @@ BROADCAST_ROWS = 100_000
 #: Bytes of texts that a worker takes in at once.
 SLICE_BYTES = 8 << 20
 
+#: Bytes of a row group of large rows.
+LARGE_BYTES = 16 << 20
+
 _paths: list[str] = []
 
 
@@ -82,19 +85,22 @@ def delete(spark: SparkSession, path: str) -> None:
         print(f"pairloom: could not delete {path}: {type(e).__name__}")
 
 
-def written(df: DataFrame, name: str, plain: bool = False) -> DataFrame:
+def written(df: DataFrame, name: str, plain: bool = False, large: bool = False) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again.
 
     This cuts the lineage: what was computed is not computed again, and it outlives
     any executor.  A column of type void becomes a string.  ``plain``: without compression
     and dictionaries, for narrow tables of numbers.  The planner takes a file's size for
     the table's; sorted numbers compress so well that it would broadcast tables many
-    times its threshold.
+    times its threshold.  ``large``: for rows of megabytes.  A writer looks at the size of what it holds
+    after 100 rows only, unless told; so it closes a row group of some ``LARGE_BYTES`` after any row.
     """
     spark = df.sparkSession
     df = df.withColumns({c: df[c].cast("string") for c, kind in df.dtypes if kind == "void"})
     path = new_path(spark, name)
     writer = df.write.option("compression", "none").option("parquet.enable.dictionary", "false") if plain else df.write.option("compression", "zstd")
+    if large:
+        writer = writer.option("parquet.page.size.row.check.min", "1").option("parquet.block.size", str(LARGE_BYTES))
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

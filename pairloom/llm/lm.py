@@ -13,19 +13,20 @@ Every trained word and pair is in the filter, whatever its count.  Each token bu
 end comes before just one other, so c(h) is also the count of the pairs after h; a
 text's start has the count of the ends.
 
-How the work is dealt.  Words and pairs are 64-bit numbers, and the shard of a number is a
-range of them.  Workers count some ``HELD`` tokens at a time and send each shard's part as
-one row of packed numbers and counts; the task that gathers a shard adds the parts up,
-keeps the words' exact counts, and fills the shard of the filter.  The number of shards
-follows the size of the texts, so what a shard holds is bounded at any size.
+How the work is dealt.  Words and pairs are 64-bit numbers, the shard of a number is a
+range of them, and a part is a few shards that follow one another, with a task of its own.
+Workers count some ``HELD`` tokens at a time and send what each part gets as
+one row of packed numbers and counts; the task that gathers a part adds these up,
+keeps the words' exact counts, and fills the shards of the filter.  The numbers of shards and
+parts follow the size of the texts, so what either holds is bounded at any size.
 
 The filter is broadcast to workers if it has at most ``FILTER_BYTES``.  Beyond that, probes
-are dealt instead: each lot of texts sends its distinct words and pairs to their shards and
+are dealt instead: each lot of texts sends its distinct words and pairs to their parts and
 gets the levels back, by the same shuffle that exact counts take (below), and every text
-is read twice, at any size.
+is read twice, at any size.  A part answers many lots' numbers at once.
 
 base_score needs every word's exact count.  The most frequent words, at most ``TOP``, are
-broadcast; each lot's other distinct words are sent to their shards as packed rows, and
+broadcast; each lot's other distinct words are sent to their parts as packed rows, and
 the counts come back in the same way.
 
 Words are told apart by 64-bit numbers (a polynomial of their bytes): of a billion words
@@ -58,7 +59,7 @@ SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 GAP = re.compile(rb"[\x20\x09-\x0d]")
 #: Bytes of texts whose tokens are handled at once.
 LOT = 1 << 19
-#: Bytes of texts whose lookups are dealt as one.
+#: Bytes whose lookups are dealt as one.
 RECORD = 1 << 22
 MU = 4.0
 #: Bits set for an entry, all in one 64-bit word, and filter bits an entry of a pair: some
@@ -73,6 +74,10 @@ TOP = 100_000
 HELD = 1 << 20
 #: Bytes of texts a shard: some 400,000 tokens.
 SHARD_TEXT = 2 << 20
+#: Bytes of texts a part.
+PART_TEXT = 8 << 20
+#: Numbers that a part answers at once.
+ANSWERED = 1 << 18
 #: Numbers that are gathered before equal ones are added up.
 GATHERED = 1 << 21
 
@@ -108,11 +113,11 @@ def shard_of(keys: np.ndarray, n: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
-def by_shard(keys: np.ndarray, n: int):
-    """(shard, first, last) of each shard that sorted ``keys`` fall in."""
+def by_shard(keys: np.ndarray, n: int, parts: int | None = None):
+    """(shard, first, last) of each shard that sorted ``keys`` fall in; with ``parts``, of each part of the shards."""
     if not len(keys):
         return
-    shard = shard_of(keys, n)
+    shard = shard_of(keys, n) if parts is None else shard_of(keys, n) * parts // n
     first = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
     yield from zip(shard[first].tolist(), first.tolist(), np.append(first[1:], len(keys)).tolist(), strict=True)
 
@@ -143,17 +148,18 @@ def fill(keys: np.ndarray, counts: np.ndarray, bits_each: float = BITS) -> np.nd
 
 
 class Filter:
-    """A filter's shards, ready to be probed: ``sizes`` 64-bit words each, one after the other."""
+    """A filter's shards, ready to be probed: ``sizes`` 64-bit words each, one after the other.
+    They may be some of ``n`` shards, from ``first`` on."""
 
-    def __init__(self, data: np.ndarray, sizes: np.ndarray):
-        self.data, self.sizes = data, sizes.astype(np.uint64)
+    def __init__(self, data: np.ndarray, sizes: np.ndarray, first: int = 0, n: int | None = None):
+        self.data, self.sizes, self.first, self.n = data, sizes.astype(np.uint64), first, n or len(sizes)
         self.starts = np.cumsum(sizes, dtype=np.int64) - sizes.astype(np.int64)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The highest level that each key reaches; 0 for one that isn't found."""
         out = np.zeros(len(keys), np.uint8)
         left = np.arange(len(keys))
-        shard = shard_of(keys, len(self.sizes))
+        shard = shard_of(keys, self.n) - self.first
         base, size = self.starts[shard], self.sizes[shard]
         at = 0
         while len(left) and at < _LEVELS - 1:
@@ -267,8 +273,9 @@ def added_up(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nda
 _SHARDS = "shard int, n long, v long, ones long, levels array<bigint>, words binary, counts binary, word_bits binary, pair_bits binary"
 
 
-def count(docs: DataFrame, n: int, bits: float = BITS) -> DataFrame:
-    """The counts of the words and pairs of ``docs`` (text) in ``n`` shards, a written table.
+def count(docs: DataFrame, n: int, bits: float = BITS, parts: int = 1) -> DataFrame:
+    """The counts of the words and pairs of ``docs`` (text) in ``n`` shards, a written table;
+    ``parts`` tasks gather them.
 
     Of each shard: tokens, distinct words, words seen once, and the number of words of each
     level; the words' numbers and exact counts; the filters of words and of pairs.  A
@@ -280,12 +287,12 @@ def count(docs: DataFrame, n: int, bits: float = BITS) -> DataFrame:
         size = 0
 
         def out():
-            for pair, parts in enumerate(held):
-                keys, c = added_up(np.concatenate(parts))
-                parts.clear()
-                rows = [(s, pair == 1, keys[a:b].astype("<u8").tobytes(), c[a:b].astype("<u4").tobytes()) for s, a, b in by_shard(keys, n)]
+            for pair, some in enumerate(held):
+                keys, c = added_up(np.concatenate(some))
+                some.clear()
+                rows = [(p, pair == 1, keys[a:b].astype("<u8").tobytes(), c[a:b].astype("<u4").tobytes()) for p, a, b in by_shard(keys, n, parts)]
                 for i in range(0, len(rows), 4096):
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[i : i + 4096], strict=True), (pa.int32(), pa.bool_(), pa.binary(), pa.binary()), strict=True)], names=["shard", "pair", "keys", "counts"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[i : i + 4096], strict=True), (pa.int32(), pa.bool_(), pa.binary(), pa.binary()), strict=True)], names=["part", "pair", "keys", "counts"])
 
         for b in slices(batches, 4096):
             for lot in lots(b.column(0).to_pylist()):
@@ -299,7 +306,6 @@ def count(docs: DataFrame, n: int, bits: float = BITS) -> DataFrame:
             yield from out()
 
     def gathered(batches):
-        now = None
         held: dict[bool, list[tuple[np.ndarray, np.ndarray]]] = {False: [], True: []}
         size = {False: 0, True: 0}
 
@@ -308,27 +314,21 @@ def count(docs: DataFrame, n: int, bits: float = BITS) -> DataFrame:
             held[pair], size[pair] = [(keys, c)], 0
             return keys, c
 
-        def out():
-            words, c = add_up(False)
-            pairs, of_pairs = add_up(True)
-            row = [now, int(c.sum()), len(c), int((c == 1).sum()), np.bincount(level(c), minlength=_LEVELS).tolist(), words.tobytes(), c.astype("<i8").tobytes(), fill(words, c, 2 * bits).tobytes(), fill(pairs, of_pairs, bits).tobytes()]
-            for pair in held:
-                held[pair] = []
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int32(), *[pa.int64()] * 3, pa.list_(pa.int64()), *[pa.binary()] * 4), strict=True)], names=[x.split()[0] for x in _SHARDS.split(", ")])
-
         for b in batches:
-            for shard, pair, keys, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
-                if now is not None and shard != now:
-                    yield out()
-                now = shard
+            for pair, keys, c in zip(b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
                 held[pair].append((np.frombuffer(keys.as_buffer(), "<u8").copy(), np.frombuffer(c.as_buffer(), "<u4").astype(np.int64)))
                 size[pair] += len(held[pair][-1][0])
                 if size[pair] >= GATHERED:
                     add_up(pair)
-        if now is not None:
-            yield out()
-
-    dealt = docs.select("text").mapInArrow(counted, "shard int, pair boolean, keys binary, counts binary").repartition("shard").sortWithinPartitions("shard")
+        every = [add_up(pair) for pair in (False, True)]
+        held.clear()
+        found = [{s: (first, last) for s, first, last in by_shard(keys, n)} for keys, _ in every]
+        for s in sorted(found[0].keys() | found[1].keys()):
+            (words, c), (pairs, of_pairs) = ([x[slice(*at.get(s, (0, 0)))] for x in both] for both, at in zip(every, found, strict=True))
+            row = [s, int(c.sum()), len(c), int((c == 1).sum()), np.bincount(level(c), minlength=_LEVELS).tolist(), words.tobytes(), c.astype("<i8").tobytes(), fill(words, c, 2 * bits).tobytes(), fill(pairs, of_pairs, bits).tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int32(), *[pa.int64()] * 3, pa.list_(pa.int64()), *[pa.binary()] * 4), strict=True)], names=[x.split()[0] for x in _SHARDS.split(", ")])
+
+    dealt = docs.select("text").mapInArrow(counted, "part int, pair boolean, keys binary, counts binary").repartitionById(parts, F.col("part"))
     return written(dealt.mapInArrow(gathered, _SHARDS), "counts", plain=True)
 
 
@@ -338,7 +338,9 @@ class Model:
     def __init__(self, docs: DataFrame, top: int = TOP, shard_text: int = SHARD_TEXT, bits: float = BITS):
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         self.n_shards = max(1, math.ceil(size / shard_text))
-        self.shards = count(docs, self.n_shards, bits)
+        # as many parts as cores, where the texts have so many shards
+        self.parts = min(self.n_shards, max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(size / PART_TEXT)))
+        self.shards = count(docs, self.n_shards, bits, self.parts)
         stats = self.shards.agg(F.sum("n"), F.sum("v"), F.sum("ones"), F.sum(F.octet_length("word_bits") + F.octet_length("pair_bits"))).first()
         self.n, self.v, ones, self.filter_bytes = (x or 0 for x in stats)
         self.unknown = (ones + 0.5) / (self.n + 1)
@@ -430,69 +432,91 @@ class Record:
 def looked_up(records: DataFrame, model: Model, dealt: bool) -> DataFrame:
     """(lot, pair, at, counts, levels) for the numbers of each record: the words' exact
     counts, and, where ``dealt``, the levels that words and pairs reach in the filters."""
-    n = model.n_shards
+    n, parts = model.n_shards, model.parts
 
     def probes(batches):
         rows = []
 
         def out():
-            batch = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()), strict=True)], names=["shard", "lot", "pair", "at", "a"])
+            batch = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()), strict=True)], names=["part", "lot", "pair", "at", "a"])
             rows.clear()
             return batch
 
         for b in batches:
             for i in range(b.num_rows):
+                lot = b.column(0)[i].as_py()
                 for pair in (False, True):
                     keys = np.frombuffer(b.column(1 + pair)[i].as_buffer(), "<u8")
-                    for s, first, last in by_shard(keys, n):
-                        rows.append((s, b.column(0)[i].as_py(), pair, first, keys[first:last].tobytes()))
-                        if len(rows) >= 8192:
+                    for p, first, last in by_shard(keys, n, parts):
+                        rows.append((p, lot, pair, first, keys[first:last].tobytes()))
+                        if len(rows) >= 4096:
                             yield out()
         if rows:
             yield out()
 
     def answered(batches):
-        now, held = None, {}
+        now, shards, held = None, {}, None
         for b in batches:
-            rows = []
-            for shard, lot, pair, at, *parts in zip(*(b.column(i).to_pylist() for i in range(4)), *(b.column(i) for i in range(4, 8)), strict=True):
-                if shard != now:
-                    now, held = shard, {}
-                if lot is None:  # the shard itself, which sorts first
-                    words, counts, *bits = (np.frombuffer(p.as_buffer(), "<u8") for p in parts)
-                    held = {"words": words.copy(), "counts": counts.copy(), "bits": [x.copy() for x in bits]}
+            part, lot, pair, at = (b.column(i).to_pylist() for i in range(4))
+            done, i = [], 0
+            while i < b.num_rows:
+                if part[i] != now:
+                    now, shards, held = part[i], {}, None
+                if lot[i] is None:  # a shard itself; a part's shards sort first
+                    shards[at[i]] = [np.frombuffer(b.column(c)[i].as_buffer(), "<u8").copy() for c in range(4, 8)]
+                    i += 1
                     continue
-                keys = np.frombuffer(parts[0].as_buffer(), "<u8")
-                counts, levels = np.zeros(0 if pair else len(keys), "<i8"), np.zeros(len(keys) if dealt else 0, np.uint8)
-                if held:
-                    if not pair and len(held["words"]):
-                        where = np.minimum(np.searchsorted(held["words"], keys), len(held["words"]) - 1)
-                        counts = np.where(held["words"][where] == keys, held["counts"][where], 0).astype("<i8")
-                    if dealt:
-                        bits = held["bits"][pair]
-                        levels = _probe(bits, keys)
-                rows.append((lot, pair, at, counts.tobytes(), levels.tobytes()))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["lot", "pair", "at", "counts", "levels"])
-
-    asked = records.select("lot", "words", "pairs").mapInArrow(probes, "shard int, lot long, pair boolean, at long, a binary")
+                if held is None:
+                    held, shards = Part(now, n, parts, shards, dealt), {}
+                first, size, keys = i, 0, []
+                while i < b.num_rows and (part[i], pair[i]) == (now, pair[first]) and lot[i] is not None and size < ANSWERED:
+                    keys.append(np.frombuffer(b.column(4)[i].as_buffer(), "<u8"))
+                    size += len(keys[-1])
+                    i += 1
+                counts, levels = held.answers(np.concatenate(keys), pair[first])
+                last = 0
+                for k, x in zip(range(first, i), keys, strict=True):
+                    here = slice(last, last := last + len(x))
+                    done.append((lot[k], pair[k], at[k], counts[here].tobytes(), levels[here].tobytes()))
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*done, strict=True), (pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["lot", "pair", "at", "counts", "levels"])
+
+    asked = records.select("lot", "words", "pairs").mapInArrow(probes, "part int, lot long, pair boolean, at long, a binary")
     none = F.lit(b"")
     bits = [F.col(c) if dealt else none for c in ("word_bits", "pair_bits")]
-    shards = model.shards.select("shard", F.lit(None).cast("long").alias("lot"), F.lit(False).alias("pair"), F.lit(0).cast("long").alias("at"), F.col("words").alias("a"), F.col("counts").alias("b"), bits[0].alias("c"), bits[1].alias("d"))
+    part = F.expr(f"cast(shard * {parts}L div {n} as int)").alias("part")
+    shards = model.shards.select(part, F.lit(None).cast("long").alias("lot"), F.lit(False).alias("pair"), F.col("shard").cast("long").alias("at"), F.col("words").alias("a"), F.col("counts").alias("b"), bits[0].alias("c"), bits[1].alias("d"))
     both = shards.unionByName(asked.withColumns({c: none for c in "bcd"}))
-    return both.repartition("shard").sortWithinPartitions("shard", F.col("lot").asc_nulls_first()).mapInArrow(answered, "lot long, pair boolean, at long, counts binary, levels binary")
+    return both.repartitionById(parts, F.col("part")).sortWithinPartitions("part", F.col("lot").isNotNull(), "pair").mapInArrow(answered, "lot long, pair boolean, at long, counts binary, levels binary")
 
 
 def _probe(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Levels in a shard's own bits."""
-    out, left, at = np.zeros(len(keys), np.uint8), np.arange(len(keys)), 0
-    while len(left) and at < _LEVELS - 1:
-        at += 1
-        word, wanted = spots(keys, at, len(bits))
-        hit = bits[word] & wanted == wanted
-        left, keys = left[hit], keys[hit]
-        out[left] = at
-    return out
+    return Filter(bits, np.array([len(bits)])).levels(keys)
+
+
+class Part:
+    """What numbers of a part are looked up in: its shards' words with their counts, and, where
+    ``dealt``, their filters.  ``shards``: [words, counts, word_bits, pair_bits] by shard."""
+
+    def __init__(self, part: int, n: int, parts: int, shards: dict[int, list[np.ndarray]], dealt: bool):
+        first, after = (-(-p * n // parts) for p in (part, part + 1))
+        none = np.zeros(0, "<u8")
+        held = [shards.get(s, [none, none, none, none]) for s in range(first, after)]
+        self.words, self.counts, *bits = (np.concatenate([x[i] for x in held]) for i in range(4))
+        self.filters = []
+        if dealt:
+            for i in (2, 3):
+                data = [x[i] if len(x[i]) else np.zeros(1, "<u8") for x in held]
+                self.filters.append(Filter(np.concatenate(data), np.array([len(x) for x in data]), first, n))
+
+    def answers(self, keys: np.ndarray, pair: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The words' exact counts (none for pairs), and the levels that ``keys`` reach."""
+        counts = np.zeros(0 if pair else len(keys), "<i8")
+        if not pair and len(self.words):
+            where = np.minimum(np.searchsorted(self.words, keys), len(self.words) - 1)
+            counts = np.where(self.words[where] == keys, self.counts[where], 0).astype("<i8")
+        return counts, self.filters[pair].levels(keys) if self.filters else np.zeros(0, np.uint8)
 
 
 def score(docs: DataFrame, model: Model, filter_bytes: int = FILTER_BYTES) -> DataFrame:
@@ -507,11 +531,12 @@ def score(docs: DataFrame, model: Model, filter_bytes: int = FILTER_BYTES) -> Da
         top_words, top_counts = shared.value[:2] if shared else (None, None)
         start = count_of(filters[0].levels(np.array([END]))) if filters else None
         record = Record()
+        each = 6 if filters else 24  # bytes of a record, some, for each token: all are in it where probes are dealt
         for b in slices(batches, 4096):
             record.last = None
             last = start  # the probed count of the token before the piece
             for lot in lots(b.column(0).to_pylist()):
-                if record.size * 6 >= RECORD and record.last != lot.of[0]:
+                if record.size * each >= RECORD and record.last != lot.of[0]:
                     yield record.out()
                     record = Record()
                 if not filters:
@@ -536,8 +561,11 @@ def score(docs: DataFrame, model: Model, filter_bytes: int = FILTER_BYTES) -> Da
             yield record.out()
 
     plain = docs.select("text", "doc_id", held_out().alias("held_out"))
-    records = written(plain.mapInArrow(first_pass, _RECORD_SCHEMA).withColumn("lot", F.monotonically_increasing_id()), "records", plain=True)
+    records = written(plain.mapInArrow(first_pass, _RECORD_SCHEMA).withColumn("lot", F.monotonically_increasing_id()), "records", plain=True, large=True)
     answers = looked_up(records, model, dealt)
+    # Some two records a task: what is sorted at once doesn't grow with the table.
+    n_records = records.count()
+    tasks = max(1, min(n_records, max(spark.sparkContext.defaultParallelism, math.ceil(n_records / 2))))
 
     def finished(batches):
         row, got = None, {}
@@ -576,7 +604,7 @@ def score(docs: DataFrame, model: Model, filter_bytes: int = FILTER_BYTES) -> Da
 
     # A record comes before its answers, which come in order.
     both = records.withColumn("tag", F.lit(0)).unionByName(answers.withColumn("tag", F.lit(1)), allowMissingColumns=True)
-    done = both.repartition("lot").sortWithinPartitions("lot", "tag", "pair", "at").mapInArrow(finished, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    done = both.repartition(tasks, "lot").sortWithinPartitions("lot", "tag", "pair", "at").mapInArrow(finished, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return done.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 

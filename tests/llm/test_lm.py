@@ -208,3 +208,27 @@ def test_pairs_seen_once_are_in_the_model(spark):
     assert got[5] != got[6]
     lot = L.Lot([(0, b"a b c", True, True)])
     assert (model.filter("pair_bits").levels(lot.pairs()) >= 1).all()
+
+
+def test_dealt_probes_are_few_large_rows_and_small_row_groups(spark, monkeypatch):
+    """A lot asks a part once for its words and once for its pairs, not every shard; and what a
+    writer of lots holds is bounded by bytes, however few rows these are."""
+    import pyarrow.parquet as pq
+
+    from pairloom.llm import common
+
+    seen = {}
+    for name in ("written", "looked_up"):
+        monkeypatch.setattr(L, name, lambda *a, f=getattr(L, name), **k: seen.setdefault((f.__name__, *(x for x in a if isinstance(x, str))), f(*a, **k)))
+    monkeypatch.setattr(common, "LARGE_BYTES", 1 << 20, raising=False)
+    monkeypatch.setattr(L, "RECORD", 1 << 20)
+    rows = [(i, " ".join(f"w{(i * 7919 + j * j) % 50021}" for j in range(20_000))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    model = L.Model(df, shard_text=10_000)
+    L.score(df, model, filter_bytes=0)
+    records, answers = seen["written", "records"], seen["looked_up",]
+    files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in records.inputFiles()]
+    groups = [m.row_group(i) for m in files for i in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) > 3
+    assert max(g.total_byte_size for g in groups) <= 4 << 20
+    assert answers.count() < records.count() * model.n_shards / 4
