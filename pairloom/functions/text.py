@@ -60,18 +60,23 @@ def _bytes(first: int, last: int) -> str:
 _REST = f"[{_bytes(0x80, 0xBF)}]"
 #: Wrongly read characters beyond ASCII: their first byte's character and those of the others.  What
 #: would become a control character (128 to 159) must be one already, as text read twice has them.
-_SEQUENCE = "|".join(
-    (
-        "\u00c2[\u0080-\u00bf]",
-        f"[\u00c3-\u00df]{_REST}",
-        f"\u00e0[{_bytes(0xA0, 0xBF)}]{_REST}",
-        f"[\u00e1-\u00ec\u00ee\u00ef]{_REST}{{2}}",
-        f"\u00ed[{_bytes(0x80, 0x9F)}]{_REST}",
-        f"\u00f0[{_bytes(0x90, 0xBF)}]{_REST}{{2}}",
-        f"[\u00f1-\u00f3]{_REST}{{3}}",
-        f"\u00f4[{_bytes(0x80, 0x8F)}]{_REST}{{2}}",
-    )
+_FORMS = (
+    ("\u00c2", "[\u0080-\u00bf]"),
+    ("[\u00c3-\u00df]", _REST),
+    ("\u00e0", f"[{_bytes(0xA0, 0xBF)}]{_REST}"),
+    ("[\u00e1-\u00ec\u00ee\u00ef]", f"{_REST}{{2}}"),
+    ("\u00ed", f"[{_bytes(0x80, 0x9F)}]{_REST}"),
+    ("\u00f0", f"[{_bytes(0x90, 0xBF)}]{_REST}{{2}}"),
+    ("[\u00f1-\u00f3]", f"{_REST}{{3}}"),
+    ("\u00f4", f"[{_bytes(0x80, 0x8F)}]{_REST}{{2}}"),
 )
+_SEQUENCE = "|".join(first + others for first, others in _FORMS)
+_FIRST = "[\u00c2-\u00f4]"
+#: A sequence where a search begins: one test of a character, which most fail, before the forms are tried.
+_BEGUN = f"{_FIRST}(?:" + "|".join(f"(?<={first}){others}" for first, others in _FORMS) + ")"
+_MORE = f"(?={_FIRST})(?:{_SEQUENCE})++"
+#: The byte that those first characters, and few others, begin with in UTF-8.
+_FIRST_BYTE = b"\xc3"
 #: Marks that a sound text has behind a letter, too.
 _MARKS = "[»«”“’‘›‹…–—·•]"
 #: Of these, what closes or breaks off: marks that open, and the dash between numbers, don't end a word.
@@ -80,25 +85,30 @@ _CLOSING = "[»”’›…—·•]"
 #: Ã, which hardly end a word, it is so only behind a capital, with a mark that closes and before no letter, and in a
 #: text where nothing else is broken: so Ñ, Ó, Ö and Ë that end a word in capitals come back.
 _SOUND = f"[\u00c4-\u00df]{_MARKS}|[\u00e0-\u00ef]{_MARKS}{{2}}"
-_CAPITALS = f"(?<=[A-Z\u00c0-\u00de])[\u00c2\u00c3]{_CLOSING}(?!\\p{{L}})"
+_CAPITALS = f"(?<=[A-Z\u00c0-\u00de][\u00c2\u00c3]{_CLOSING})(?!\\p{{L}})"
 #: Runs are possessive: a regular expression that may go back into a run takes stack for each character of it.
-BROKEN = f"(?:{_SEQUENCE}){{2,}}+|(?!{_SOUND}|{_CAPITALS})(?:{_SEQUENCE})"
-_ALL_BROKEN = f"(?:{_SEQUENCE}){{2,}}+|(?!{_SOUND})(?:{_SEQUENCE})"
+BROKEN = f"{_BEGUN}(?:{_MORE}|(?<!{_SOUND})(?!{_CAPITALS}))"
+_ALL_BROKEN = f"{_BEGUN}(?:{_MORE}|(?<!{_SOUND}))"
 #: Times that a text can have been broken over and over.
 ROUNDS = 6
-#: Two code points that are no characters.
-_OPEN, _CLOSE = "\ufdd0", "\ufdd1"
+#: A code point that is no character; and another that, like it, keeps a text from being mended.
+_MARK, _OTHER = "\ufdd0", "\ufdd1"
 
 
-def _mended_once(c: Column) -> Column:
-    parts = F.split(F.regexp_replace(c, f"({_ALL_BROKEN})", f"{_OPEN}$1{_CLOSE}"), _OPEN, -1)
+def _let(x: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(x)`` with ``x`` worked out once, also within a lambda, where common expressions are not shared."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
 
-    def read_again(x: Column) -> Column:
-        raw = F.translate(F.substring_index(x, _CLOSE, 1), CP1252, _CP1252_BYTES)
-        return F.concat(F.encode(raw, "ISO-8859-1").cast("string"), F.substring_index(x, _CLOSE, -1))
+def _mended_once(c: Column) -> Column:
+    # Sound parts and runs in turn.  The runs, which have no newline, are read again in one piece.
+    def put_back(parts: Column) -> Column:
+        runs = F.array_join(F.filter(parts, lambda _, i: i % 2 == 1), "\n")
+        again = F.encode(F.translate(runs, CP1252, _CP1252_BYTES), "ISO-8859-1").cast("string")
+        chosen = lambda read: F.transform(parts, lambda x, i: F.when(i % 2 == 0, x).otherwise(F.get(read, F.shiftright(i, 1))))
+        return _let(F.split(again, "\n", -1), lambda read: F.array_join(chosen(read), ""))
 
-    first = parts[0]
-    return F.concat(first, F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), read_again), ""))
+    return _let(F.split(F.regexp_replace(c, _ALL_BROKEN, f"{_MARK}$0{_MARK}"), _MARK, -1), put_back)
 
 
 def mended(c: str | Column) -> Column:
@@ -106,12 +116,22 @@ def mended(c: str | Column) -> Column:
     anywhere in a text and ``ROUNDS`` times over, is read again as UTF-8; the rest stays.
 
     Runs of wrongly read characters are found by the form of UTF-8, so whatever is
-    read again is valid.  A text that has one of the two code points U+FDD0 and U+FDD1 stays as it is.
+    read again is valid.  A text that has one of the two code points U+FDD0 and U+FDD1, or comes to have
+    one, stays as it is then.  Rounds end with the first that finds nothing; a text without the
+    first byte of all broken characters is not searched.
     """
     text = col(c)
-    due = text.rlike(BROKEN) & ~text.contains(_OPEN) & ~text.contains(_CLOSE)
-    step = lambda acc, _: F.when(acc.rlike(BROKEN), _mended_once(acc)).otherwise(acc)
-    return F.when(due, F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), text, step)).otherwise(text)
+    # Bytes are searched several times as fast as characters.
+    has = lambda x, found: F.contains(x.cast("binary"), F.lit(found))
+    due = lambda x: has(x, _FIRST_BYTE) & ~has(x, _MARK.encode()) & ~has(x, _OTHER.encode())
+    state = lambda x, more: F.struct(x.alias("text"), F.lit(more).alias("more"))
+
+    def step(acc: Column, _: Column) -> Column:
+        x = acc["text"]
+        return F.when(acc["more"] & due(x) & x.rlike(BROKEN), state(_mended_once(x), True)).otherwise(state(x, False))
+
+    rounds = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), state(text, True), step, lambda acc: acc["text"])
+    return F.when(due(text), rounds).otherwise(text)
 
 
 def clean(c: str | Column) -> Column:
